@@ -61,9 +61,12 @@ def read_jdbc(spark: SparkSession, **settings) -> DataFrame:
     return spark.read.format("jdbc").options(**jdbc_options(**settings)).load()
 
 
-def run_sql(spark: SparkSession, query: str, params: dict | None = None) -> DataFrame:
-    """Run a query whose :name markers are bound to values, never spliced into the text."""
-    return spark.sql(query, args=params or {})
+def run_sql(spark: SparkSession, query: str, params: dict | None = None, **tables: DataFrame) -> DataFrame:
+    """Run a query whose :name markers are bound to values, never spliced into the text.
+
+    {name} in the query stands for the DataFrame passed under that name.
+    """
+    return spark.sql(query, args=params or {}, **tables)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
