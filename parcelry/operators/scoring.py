@@ -57,7 +57,7 @@ def score_table(
 ) -> DataFrame:
     """The original columns plus prediction, lower_bound and upper_bound. Map-only."""
     kept = [c for c in df.columns if c not in OUTPUTS]
-    carried = df.select("*", F.struct(*kept).alias("__original"))
+    carried = df.select(*kept, F.struct(*kept).alias("__original"))
     scored = predict(prepare_requests(carried, centroids, on_missing_location), trained)
     inner = inner_model(trained.model)
     forest = None

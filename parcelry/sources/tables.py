@@ -15,7 +15,14 @@ MISSING_TEXTS = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-_CSV = {"header": "true", "escape": '"', "emptyValue": "", "nullValue": ""}
+_CSV = {
+    "header": "true",
+    "escape": '"',
+    "emptyValue": "",
+    "nullValue": "",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def scan_priced(df: DataFrame, price: str = TARGET) -> DataFrame:
@@ -69,14 +76,16 @@ def run_sql(spark: SparkSession, query: str, params: dict | None = None, **table
     return spark.sql(query, args=params or {}, **tables)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
     """CSV with a header and a declared schema.
 
-    Columns match the header by position. Missing-value texts become NULL; any other text
-    that does not fit its column fails the job, and NaN never enters the table.
+    The header must name the columns in schema order. Missing-value texts become NULL; any
+    other text that does not fit its column fails the job, and NaN never enters the table.
+    Fields that contain line breaks need multi_line, which keeps a file in one task.
     """
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-    raw = spark.read.options(**_CSV).option("enforceSchema", "false").schema(as_text).csv(path)
+    reader = spark.read.options(**_CSV).option("enforceSchema", "false").option("multiLine", multi_line)
+    raw = reader.schema(as_text).csv(path)
     columns = []
     for f in schema:
         text = F.when(~named(f.name).isin(MISSING_TEXTS), named(f.name))
