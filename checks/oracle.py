@@ -364,15 +364,13 @@ FROM complete, spread""",
     "calibrate_interval_by_cuts": CALIBRATED_ROWS,
     "apply_interval": f"""WITH {CALIBRATED}, sides AS (
   SELECT list(quantile ORDER BY segment) AS qs, any_value(cut.ed) AS ed FROM calibrated, cut)
-SELECT property_id, round(prediction, 4) AS prediction,
-       round(greatest(0.0::DOUBLE, p * (1.0::DOUBLE - q)), 4) AS lower_bound,
-       round(p * (1.0::DOUBLE + q), 4) AS upper_bound
+SELECT property_id, prediction, greatest(0.0::DOUBLE, p * (1.0::DOUBLE - q)) AS lower_bound,
+       p * (1.0::DOUBLE + q) AS upper_bound
 FROM (SELECT *, qs[len(list_filter(ed, lambda e: e <= p)) + 1] AS q FROM errors, sides)""",
-    "apply_interval_legacy": f"""WITH {LEGACY} SELECT property_id, round(prediction, 4) AS prediction,
-  round(lower_bound, 4) AS lower_bound, round(upper_bound, 4) AS upper_bound FROM bounded""",
+    "apply_interval_legacy": f"WITH {LEGACY} SELECT * FROM bounded",
     "interval_margin": f"""WITH {LEGACY} SELECT property_id,
-  round((upper_bound - lower_bound) / 2, 4) AS margin,
-  round((upper_bound - lower_bound) / 2 / nullif(prediction, 0) * 100, 4) AS margin_pct,
+  (upper_bound - lower_bound) / 2 AS margin,
+  (upper_bound - lower_bound) / 2 / nullif(prediction, 0) * 100 AS margin_pct,
   95.0::DOUBLE AS confidence_level FROM bounded""",
     "train_ridge_one_feature": f"""WITH {FILLED}, {RIDGE}
 SELECT property_id, round(exp(my + slope * (x - mx)) - 1, 2) AS prediction FROM fit""",

@@ -30,12 +30,15 @@ def distinct_edges(values: Sequence[float]) -> list[float]:
 
 
 def histogram(df: DataFrame, x: Column, edges: Sequence[float]) -> DataFrame:
-    """(bucket, rows) over the edges, empty buckets included, values outside ignored."""
+    """(bucket, rows) over the edges, empty buckets included, values outside ignored.
+
+    The counts that are broadcast hold one row per bucket at most.
+    """
     buckets = len(edges) - 1
     found = df.select(x.alias("x")).select(histogram_bucket(F.col("x"), edges).alias("bucket"))
     counted = found.filter(F.col("bucket").isNotNull()).groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"))
     every = df.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
-    return every.join(counted, "bucket", "left").select(
+    return every.join(F.broadcast(counted), "bucket", "left").select(
         "bucket", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows")
     )
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from parcelry.contract import CATEGORICAL_FEATURES, NUMERIC_FEATURES, require_columns
 from parcelry.functions.columns import named, sql_double, sql_string, without_nan
 from parcelry.operators.order_stats import Wanted, order_statistics
+from parcelry.session import held
 
 MAX_CATEGORIES = 20_000
 ASSEMBLED = "features"
@@ -181,8 +182,16 @@ class Preprocessor:
         self.categorical_features = list(categorical)
         self.fitted: FittedPreprocessor | None = None
 
-    def fit(self, df: DataFrame) -> FittedPreprocessor:
-        require_columns(df, self.numeric_features + self.categorical_features)
+    def fit(self, df: DataFrame, hold: bool = True) -> FittedPreprocessor:
+        """Fit on the feature columns, held while the passes read them.
+
+        hold=False suits a table the caller already keeps.
+        """
+        names = self.numeric_features + self.categorical_features
+        require_columns(df, names)
+        if hold:
+            with held(df.select(*[named(c) for c in names])) as rows:
+                return self.fit(rows, hold=False)
         self.fitted = FittedPreprocessor(
             tuple(fit_numeric(df, self.numeric_features)),
             tuple(fit_categorical(df, self.categorical_features)),

@@ -27,15 +27,19 @@ def hash_split(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42)
     return df.filter(~in_test), df.filter(in_test)
 
 
+def with_split_hash(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
+    """Add the hash columns that exact_split cuts on; worth it before keeping a table."""
+    digest = _digest(key, seed)
+    return df.withColumns({"__h1": hex_prefix_as_int(digest, 1, 13), "__h2": hex_prefix_as_int(digest, 14, 13)})
+
+
 def exact_split(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Train and test rows with exactly ceil(n * test_size) test rows, for a unique key.
 
     The test rows have the smallest hashes. The cut is found by rank selection over the
     hash, so nothing is sorted. Rows that share a key share a side.
     """
-    first = hex_prefix_as_int(_digest(key, seed), 1, 13)
-    second = hex_prefix_as_int(_digest(key, seed), 14, 13)
-    keyed = df.withColumns({"__h1": first, "__h2": second})
+    keyed = df if "__h1" in df.columns else with_split_hash(df, key, seed)
     h1, h2 = F.col("__h1"), F.col("__h2")
     cut = order_statistics(keyed, {"h": Wanted(h1, (test_size,), "count")})
     n = cut.counts["h"]

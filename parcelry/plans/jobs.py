@@ -5,11 +5,10 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelry.contract import TrainingOptions
+from parcelry.contract import SNAPSHOT_DATE, TARGET, TrainingOptions
 from parcelry.functions.columns import nan_to_null
 from parcelry.operators.cleaning import clean, remove_outliers, select_training_columns
 from parcelry.operators.drift import BINS, MODERATE, drift_verdict, take_snapshot
@@ -18,7 +17,7 @@ from parcelry.operators.intervals import calibrate_interval
 from parcelry.operators.metrics import evaluation_metrics
 from parcelry.operators.models import fit_model, inner_model
 from parcelry.operators.scoring import score_table
-from parcelry.operators.splitting import exact_split
+from parcelry.operators.splitting import exact_split, with_split_hash
 from parcelry.operators.versions import (
     IMPROVEMENT,
     METRIC,
@@ -30,7 +29,8 @@ from parcelry.operators.versions import (
 )
 from parcelry.sources.models import TrainedModel
 from parcelry.sources.snapshots import load_snapshot, save_snapshot
-from parcelry.sources.tables import scan_priced, write_csv
+from parcelry.session import held, use_checkpoints
+from parcelry.sources.tables import read_csv, scan_priced, write_csv
 
 
 def refresh_job(
@@ -43,17 +43,23 @@ def refresh_job(
 ) -> DataFrame:
     """Extract priced rows, compare them with the stored snapshot and return the verdict row.
 
+    With an extract path the rows are written there and read back, so that all passes see the
+    same rows even if the source moves on.
+
     The snapshot is replaced when the verdict asks for retraining, and written when there was
     none. Failures surface; they never read as "no drift".
     """
     priced = scan_priced(properties)
     if extract_path:
         write_csv(priced, extract_path)
+        priced = read_csv(spark, extract_path, priced.schema)
     snapshot = load_snapshot(spark, snapshot_path)
-    verdict = drift_verdict(priced, snapshot, threshold)
-    row = verdict.first()
-    if snapshot is None or row["should_retrain"]:
-        save_snapshot(spark, snapshot_path, take_snapshot(priced, bins))
+    needed = [c for c in (TARGET, SNAPSHOT_DATE) if c in priced.columns]
+    with held(priced.select(*needed)) as prices:
+        verdict = drift_verdict(prices, snapshot, threshold)
+        row = verdict.first()
+        if snapshot is None or row["should_retrain"]:
+            save_snapshot(spark, snapshot_path, take_snapshot(prices, bins))
     return spark.createDataFrame([row], verdict.schema)
 
 
@@ -73,22 +79,19 @@ def training_rows(properties: DataFrame, options: TrainingOptions) -> DataFrame:
 
 def train_job(spark: SparkSession, properties: DataFrame, options: TrainingOptions = TrainingOptions()) -> TrainingResult:
     """Clean, split, fit, evaluate and calibrate one candidate model."""
-    rows = training_rows(scan_priced(properties, options.target), options).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    cleaned = training_rows(scan_priced(properties, options.target), options)
+    with held(with_split_hash(cleaned, options.split_key, options.seed)) as rows:
         train, test = exact_split(rows, options.split_key, options.test_size, options.seed)
-        preprocessor = Preprocessor().fit(train)
+        preprocessor = Preprocessor().fit(train, hold=False)
         model = fit_model(
             spark, train, preprocessor, options.target, options.model_type,
             options.hyperparameters, options.seed, options.target_transform,
         )
-        scored = model.transform(test).select(F.col(options.target).alias("actual"), "prediction")
-        scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
+        outcome = model.transform(test).select(F.col(options.target).alias("actual"), "prediction")
+        with held(outcome) as scored:
             metrics = evaluation_metrics(scored, "actual", "prediction").first().asDict()
             interval = calibrate_interval(scored, "actual", "prediction")
             test_size = scored.count()
-        finally:
-            scored.unpersist()
         metadata = {
             "model_type": type(inner_model(model)).__name__,
             "model_key": options.model_type,
@@ -102,8 +105,6 @@ def train_job(spark: SparkSession, properties: DataFrame, options: TrainingOptio
             "val_size": 0,
             "test_size": test_size,
         }
-    finally:
-        rows.unpersist()
     return TrainingResult(TrainedModel(model, preprocessor, metadata), metrics, uuid.uuid4().hex)
 
 
@@ -126,14 +127,16 @@ def promote_job(
     """Gate candidates (model_name, run_id), register and promote those that pass.
 
     Returns the verdicts and the version table to store next. Write it to a new path: it
-    reads the table it replaces.
+    reads the table it replaces. The verdicts and the new versions, a row per candidate each,
+    are checkpointed, since several steps read them.
     """
     metric = runs.filter(F.col("metric_name") == metric_name).select(
         "run_id", F.col("metric_value").alias("candidate_metric")
     )
     measured = candidates.select("model_name", "run_id").join(metric, "run_id", "left")
-    gated = promotion_gate(measured, production_metric(versions, runs, metric_name), threshold)
-    registered = register_versions(versions, gated)
+    use_checkpoints(versions.sparkSession)
+    gated = promotion_gate(measured, production_metric(versions, runs, metric_name), threshold).checkpoint()
+    registered = register_versions(versions, gated).checkpoint()
     grown = versions.select("model_name", "version", "run_id", "stage").unionByName(registered)
     after = promote_versions(grown, registered, stage)
     verdicts = gated.join(registered.select("model_name", "run_id", "version"), ["model_name", "run_id"], "left")

@@ -43,8 +43,9 @@ def nation_centroids(spark: SparkSession, folder: str) -> DataFrame:
 def listings(spark: SparkSession, folder: str) -> DataFrame:
     """One listing per order: customer and nation give the place, its lines the features.
 
-    Lines collapse to one row per order first. Nation is a handful of rows; Spark broadcasts
-    what its own size estimate allows and splits hot customers at run time.
+    Lines collapse to one row per order, and places to one row per customer, before orders
+    meet them. Spark broadcasts what its own size estimate allows and splits hot customers at
+    run time.
     """
     key = F.col("o_orderkey")
     lines = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(
@@ -56,11 +57,13 @@ def listings(spark: SparkSession, folder: str) -> DataFrame:
     shift = (key % 100) / F.lit(1000.0)
     placed = key % 5 != 0
     nation = F.col("n_nationkey")
+    places = table(spark, folder, "customer").join(
+        table(spark, folder, "nation"), F.col("c_nationkey") == nation
+    )
     return (
         table(spark, folder, "orders")
-        .join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(table(spark, folder, "nation"), F.col("c_nationkey") == nation)
         .join(lines, key == F.col("l_orderkey"), "left")
+        .join(places, F.col("o_custkey") == F.col("c_custkey"))
         .select(
             key.alias("property_id"),
             F.to_date("o_orderdate").alias("snapshot_date"),

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", app: str = "parcelry", partitions: int = 8) -> SparkSession:
@@ -43,6 +46,19 @@ def new_shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/parcelry/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def held(df: DataFrame) -> Iterator[DataFrame]:
+    """Keep a table that several passes read, spilling to disk, and release it after.
+
+    Lost blocks are recomputed from the plan.
+    """
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
 def use_checkpoints(spark: SparkSession) -> None:
     """Let iterative estimators cut their lineage in the shared folder."""
     folder = shared_folder(spark)
