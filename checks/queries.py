@@ -398,9 +398,9 @@ def interval_margin(spark, folder):
 
 
 def _ridge_one_feature(spark, folder):
-    rows = listings(spark, folder)
-    fitted = features.FittedPreprocessor(tuple(features.fit_numeric(rows, ["living_area"])), ())
-    model = models.fit_model(spark, rows, fitted, "price", "ridge", {"alpha": RIDGE_ALPHA})
+    with held(listings(spark, folder).select("living_area", "price")) as rows:
+        fitted = features.FittedPreprocessor(tuple(features.fit_numeric(rows, ["living_area"])), ())
+        model = models.fit_model(spark, rows, fitted, "price", "ridge", {"alpha": RIDGE_ALPHA})
     metadata = {"target_transform": "log1p", "prediction_interval": SCORE_INTERVAL}
     return model_store.TrainedModel(model, fitted, metadata)
 

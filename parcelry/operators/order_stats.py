@@ -254,18 +254,22 @@ def _read_gaps(narrow, fields, waiting, found) -> None:
     trimmed = narrow.select(
         *[gap.keep(F.col(fields[name])).alias(f"g{i}") for i, (name, gap) in enumerate(gaps)]
     )
-    measures = []
+    listed = trimmed.agg(*[F.collect_list(f"g{i}").alias(f"g{i}") for i in range(len(gaps))])
+    picked = []
     for i, key in enumerate(gaps):
-        gap = key[1]
-        shares = ", ".join(sql_double((rank - gap.below + 0.5) / gap.rows) for rank in waiting[key])
-        measures.append(
-            F.expr(f"percentile_disc(array({shares})) within group (order by g{i})").alias(f"g{i}")
-        )
-    row = trimmed.agg(*measures).first()
+        places = F.array(*[F.lit(rank - key[1].below) for rank in waiting[key]])
+        picked.append(_at_places(F.col(f"g{i}"), places).alias(f"g{i}"))
+    row = listed.select(*picked).first()
     for i, key in enumerate(gaps):
         found[key[0]].update(zip(waiting[key], row[f"g{i}"]))
 
 
+def _at_places(values: Column, places: Column) -> Column:
+    """Elements of the sorted values; the one-element wrapper has them sorted only once."""
+    wrapped = F.array(F.sort_array(values))
+    return F.transform(wrapped, lambda v: F.transform(places, lambda at: F.get(v, at)))[0]
+
+
 def quantiles(df: DataFrame, column: Column, parts: int, gap_rows: int = GAP_ROWS) -> list[float] | None:
     """Linear-interpolation quantiles of one column at parts + 1 even steps."""
     return order_statistics(df, {"x": Wanted(column, linear_grid(parts))}, gap_rows=gap_rows).values["x"]
