@@ -18,6 +18,15 @@ HIGH = 0.02
 EMPTY_SHARE = 1e-6
 MIN_ROWS = 10
 
+# The reasons a verdict gives.
+FIRST_RUN = (
+    "No reference snapshot exists. Current data saved as the new reference. "
+    "Retraining skipped on this first run."
+)
+NOT_COMPUTED = "PSI could not be computed. Retraining skipped as a safety measure."
+STEADY = "No significant drift (PSI={psi}). Retraining skipped."
+DRIFTED = "{level} drift (PSI={psi}). Retraining {action} (threshold={threshold})."
+
 SNAPSHOT_SCHEMA = (
     "snapshot_date string, row_count bigint, bins int, price_median double, price_mean double, "
     "price_std double, price_log_bin_edges array<double>, price_log_ref_pct array<double>, "
@@ -142,39 +151,46 @@ def price_summary(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame([row], schema)
 
 
+def _log1p(spark: SparkSession, values: list[float]) -> list[float]:
+    """log1p as Spark computes it, so that edges agree with rows to the last bit.
+
+    log1p keeps order, so the values at the ranks of a price give those of its logarithm.
+    """
+    return list(spark.range(1).select(F.transform(F.array(*[F.lit(v) for v in values]), F.log1p)).first()[0])
+
+
 def take_snapshot(df: DataFrame, bins: int = BINS) -> dict:
     """Summary of the prices that later checks compare against."""
     if TARGET not in df.columns:
         raise ValueError(f"Column '{TARGET}' not found. Available columns: {df.columns}")
     price = without_nan(F.col(TARGET).cast("double"))
-    steps = linear_grid(bins)
+    wanted = Wanted(price, linear_grid(bins) + (0.5,))
     stats = order_statistics(
         df,
-        {
-            "raw": Wanted(price, steps),
-            "median": Wanted(price, (0.5,)),
-            "log": Wanted(F.log1p(price), steps),
-        },
+        {"price": wanted},
         {"n": F.count(F.lit(1)), "mean": F.avg(price), "std": F.stddev_samp(price), "date": latest_date(df)},
     )
-    if not stats.counts["log"]:
+    n, by_rank = stats.counts["price"], stats.by_rank["price"]
+    if not n:
         raise ValueError(f"Column '{TARGET}' has no values to build a snapshot from.")
-    edges = distinct_edges(stats.values["log"])
+    *raw, median = stats.values["price"]
+    log_by_rank = dict(zip(by_rank, _log1p(df.sparkSession, list(by_rank.values()))))
+    edges = distinct_edges([wanted.value(n, q, log_by_rank) for q in linear_grid(bins)])
     if len(edges) > 1:
         counts = [r["rows"] for r in histogram(df, F.log1p(price), edges).orderBy("bucket").collect()]
     else:
-        edges, counts = edges * 2, [stats.counts["log"]]
+        counts = []
     total = sum(counts)
     return {
         "snapshot_date": stats.also["date"],
         "row_count": stats.also["n"],
         "bins": bins,
-        "price_median": stats.values["median"][0],
+        "price_median": median,
         "price_mean": stats.also["mean"],
         "price_std": stats.also["std"],
         "price_log_bin_edges": edges,
         "price_log_ref_pct": [c / total for c in counts],
-        "price_raw_quantiles": stats.values["raw"],
+        "price_raw_quantiles": raw,
     }
 
 
@@ -230,24 +246,15 @@ def drift_verdict(df: DataFrame, snapshot: dict | None, threshold: float = MODER
     retrain = F.col("drift_level").isin("high", "moderate") & (F.col("psi") >= F.lit(float(threshold)))
     shown = F.format_string("%.4f", F.col("psi"))
     action = F.when(F.col("should_retrain"), "triggered").otherwise("not triggered")
-    drifted = F.concat(
-        F.initcap("drift_level"), F.lit(" drift (PSI="), shown, F.lit("). Retraining "), action,
-        F.lit(f" (threshold={threshold})."),
+    steady = F.format_string(STEADY.format(psi="%s"), shown)
+    drifted = F.format_string(
+        DRIFTED.format(level="%s", psi="%s", action="%s", threshold=threshold),
+        F.initcap("drift_level"), shown, action,
     )
     reason = (
-        F.when(
-            F.col("drift_level") == "no_reference",
-            "No reference snapshot exists. Current data saved as the new reference. "
-            "Retraining skipped on this first run.",
-        )
-        .when(
-            F.col("drift_level") == "unknown",
-            "PSI could not be computed. Retraining skipped as a safety measure.",
-        )
-        .when(
-            F.col("drift_level") == "none",
-            F.concat(F.lit("No significant drift (PSI="), shown, F.lit("). Retraining skipped.")),
-        )
+        F.when(F.col("drift_level") == "no_reference", FIRST_RUN)
+        .when(F.col("drift_level") == "unknown", NOT_COMPUTED)
+        .when(F.col("drift_level") == "none", steady)
         .otherwise(drifted)
     )
     known = snapshot or {}

@@ -9,24 +9,33 @@ BROADCAST_ROWS = 50_000
 HOT_SHARE = 0.01
 
 
-def lookup_join(df: DataFrame, lookup: DataFrame, key: str, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Left join where lookup has one row per key; duplicate lookup keys are an error.
+def lookup_join(
+    df: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    broadcast_rows: int = BROADCAST_ROWS,
+    known_unique: bool = False,
+) -> DataFrame:
+    """Left join where lookup has one row per key; a repeated lookup key is an error.
 
     A lookup counted to be small is broadcast. Beyond that the join shuffles, and keys that
     hold a large share of df are joined apart, so that no task receives a whole hot key.
+    known_unique skips the check for a lookup that was grouped by the key.
     """
-    if not _broadcastable(lookup, key, broadcast_rows):
+    if not _broadcastable(lookup, key, broadcast_rows, known_unique):
         return _shuffled(df, lookup, key)
     return df.join(F.broadcast(lookup), key, "left")
 
 
-def _broadcastable(lookup: DataFrame, key: str, broadcast_rows: int) -> bool:
+def _broadcastable(lookup: DataFrame, key: str, broadcast_rows: int, known_unique: bool) -> bool:
     """Whether lookup holds at most broadcast_rows rows; fails on a repeated key."""
     head = lookup.select(key).limit(broadcast_rows + 1)
-    size = head.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(key).alias("keys"), F.count(key).alias("given")).first()
+    size = head.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct(key).alias("keys"), F.count(key).alias("given")
+    ).first()
     small = size["rows"] <= broadcast_rows
     repeated = size["keys"] < size["given"]
-    if not small and not repeated:
+    if not small and not repeated and not known_unique:
         repeated = not lookup.groupBy(key).count().filter("count > 1").limit(1).isEmpty()
     if repeated:
         raise ValueError(f"lookup holds a '{key}' more than once; rows would multiply")

@@ -56,11 +56,14 @@ class Wanted:
 
 @dataclass(frozen=True)
 class OrderStats:
-    """values and counts per wanted name; also holds the extra aggregates asked for."""
+    """Values and counts per wanted name, the extra aggregates asked for, and by_rank, the
+    data values at every rank that was looked up.
+    """
 
     values: dict[str, list[float] | None]
     counts: dict[str, int]
     also: dict = field(default_factory=dict)
+    by_rank: dict[str, dict[int, float]] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -154,6 +157,7 @@ def order_statistics(
     grids: dict[tuple, list[float]] = {}
     waiting = open_ranks()
     while wide := {k: r for k, r in waiting.items() if k[1].rows > gap_rows}:
+        before = set(wide)
         if any((n, gap.low, gap.high) not in grids for n, gap in wide):
             grids.update(_scan(narrow, fields, cuts, {}, {(n, gap.low, gap.high) for n, gap in wide}))
         new: dict[str, set[float]] = {}
@@ -167,6 +171,8 @@ def order_statistics(
                     still_wide.add((n, low, high))
         grids.update(_scan(narrow, fields, cuts, new, still_wide))
         waiting = open_ranks()
+        if before <= set(waiting):
+            raise RuntimeError("The table changed between passes; read it from a stored copy.")
     if waiting:
         _read_gaps(narrow, fields, waiting, found)
 
@@ -174,7 +180,7 @@ def order_statistics(
         n: [wanted[n].value(counts[n], q, found[n]) for q in wanted[n].quantiles] if counts[n] else None
         for n in names
     }
-    return OrderStats(values, counts, {k: head[f"also{i}"] for i, k in enumerate(extra)})
+    return OrderStats(values, counts, {k: head[f"also{i}"] for i, k in enumerate(extra)}, found)
 
 
 def _around(grid: list[float], gap: _Gap, rank: int) -> tuple[float | None, float | None, int]:
@@ -261,6 +267,8 @@ def _read_gaps(narrow, fields, waiting, found) -> None:
         picked.append(_at_places(F.col(f"g{i}"), places).alias(f"g{i}"))
     row = listed.select(*picked).first()
     for i, key in enumerate(gaps):
+        if None in row[f"g{i}"]:
+            raise RuntimeError("The table changed between passes; read it from a stored copy.")
         found[key[0]].update(zip(waiting[key], row[f"g{i}"]))
 
 

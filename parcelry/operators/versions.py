@@ -65,12 +65,13 @@ def promotion_gate(
     """Which candidates (model_name, run_id, candidate_metric) may replace production.
 
     A model without a production metric passes. Otherwise the gain must exceed the
-    threshold; a candidate that lacks its metric does not pass then.
+    threshold; a candidate that lacks its metric does not pass then. production has one row
+    per model, as production_metric gives it.
     """
     held = production.select("model_name", "production_metric")
     gain = F.col("candidate_metric") - F.col("production_metric")
     passed = F.col("production_metric").isNull() | (gain > F.lit(threshold))
-    return candidates.join(held, "model_name", "left").select(
+    return lookup_join(candidates, held, "model_name", known_unique=True).select(
         "model_name",
         "run_id",
         "candidate_metric",

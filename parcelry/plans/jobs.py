@@ -30,7 +30,7 @@ from parcelry.operators.versions import (
 from parcelry.sources.models import TrainedModel
 from parcelry.sources.snapshots import load_snapshot, save_snapshot
 from parcelry.session import held, use_checkpoints
-from parcelry.sources.tables import read_csv, scan_priced, write_csv
+from parcelry.sources.tables import scan_priced, store_extract, write_csv
 
 
 def refresh_job(
@@ -38,6 +38,7 @@ def refresh_job(
     properties: DataFrame,
     snapshot_path: str,
     extract_path: str | None = None,
+    extract_format: str = "csv",
     threshold: float = MODERATE,
     bins: int = BINS,
 ) -> DataFrame:
@@ -51,8 +52,7 @@ def refresh_job(
     """
     priced = scan_priced(properties)
     if extract_path:
-        write_csv(priced, extract_path)
-        priced = read_csv(spark, extract_path, priced.schema)
+        priced = store_extract(priced, extract_path, extract_format)
     snapshot = load_snapshot(spark, snapshot_path)
     needed = [c for c in (TARGET, SNAPSHOT_DATE) if c in priced.columns]
     with held(priced.select(*needed)) as prices:

@@ -31,6 +31,17 @@ def load_snapshot(spark: SparkSession, path: str) -> dict | None:
     return row
 
 
+def read_snapshot_document(spark: SparkSession, path: str) -> dict | None:
+    """A snapshot kept as one JSON document in a file of its own, or None if absent."""
+    try:
+        found = spark.read.schema(SNAPSHOT_SCHEMA).option("multiLine", "true").json(path).limit(1).collect()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return found[0].asDict() if found else None
+
+
 def save_snapshot(spark: SparkSession, path: str, snapshot: dict) -> int:
     """Append as the next version. Nothing already stored is rewritten. One writer at a time."""
     stored = _stored(spark, path)

@@ -93,6 +93,17 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: b
     return raw.select(*columns)
 
 
+def store_extract(df: DataFrame, path: str, file_format: str = "csv") -> DataFrame:
+    """Write a table and return it as read back, so that later passes see fixed rows.
+
+    Parquet lets those passes read single columns; CSV has them read every byte.
+    """
+    if file_format == "csv":
+        return read_csv(df.sparkSession, write_csv(df, path), df.schema)
+    df.write.mode("overwrite").format(file_format).save(path)
+    return df.sparkSession.read.format(file_format).schema(df.schema).load(path)
+
+
 def write_csv(df: DataFrame, path: str) -> str:
     """Write a folder of CSV files with headers, one per task."""
     df.write.mode("overwrite").options(**_CSV).csv(path)

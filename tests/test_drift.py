@@ -1,3 +1,5 @@
+import json
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -57,6 +59,12 @@ def test_repeated_quantiles_merge_into_one_edge(spark):
     assert len(snapshot["price_raw_quantiles"]) == 11
 
 
+def test_constant_prices_give_one_edge(spark):
+    snapshot = drift.take_snapshot(prices(spark, [5] * 12))
+    assert len(snapshot["price_log_bin_edges"]) == 1 and snapshot["price_log_ref_pct"] == []
+    assert drift.drift_verdict(prices(spark, [5] * 12), snapshot).first()["drift_level"] == "unknown"
+
+
 def test_snapshot_matches_numpy(spark):
     values = np.exp(np.random.default_rng(3).normal(13, 1, 500))
     snapshot = drift.take_snapshot(prices(spark, [*values, None]))
@@ -127,6 +135,14 @@ def test_store_returns_the_newest_version(spark, tmp_path):
     assert snapshots.load_snapshot(spark, path) == second
 
 
+def test_snapshot_document_of_its_own(spark, tmp_path):
+    document = {"snapshot_date": "2026-03-01", "row_count": 3, "bins": 2, "price_log_bin_edges": [1.0, 2.0, 3.0]}
+    (tmp_path / "one.json").write_text(json.dumps(document, indent=2))
+    found = snapshots.read_snapshot_document(spark, str(tmp_path / "one.json"))
+    assert {k: found[k] for k in document} == document and found["price_median"] is None
+    assert snapshots.read_snapshot_document(spark, str(tmp_path / "two.json")) is None
+
+
 def test_refresh_replaces_the_snapshot_only_on_retraining(spark, tmp_path):
     path = str(tmp_path / "snapshots")
     steady, moved = prices(spark, range(1000, 2000)), prices(spark, range(3000, 4000), "2026-04-01")
@@ -136,7 +152,7 @@ def test_refresh_replaces_the_snapshot_only_on_retraining(spark, tmp_path):
     same = jobs.refresh_job(spark, steady, path).first()
     assert same["drift_level"] == "none" and same["psi"] == 0.0
     assert snapshots.load_snapshot(spark, path)["price_median"] == 1499.5
-    drifted = jobs.refresh_job(spark, moved, path).first()
+    drifted = jobs.refresh_job(spark, moved, path, str(tmp_path / "parquet"), "parquet").first()
     assert drifted["should_retrain"] and drifted["reference_price_median"] == 1499.5
     assert snapshots.load_snapshot(spark, path)["price_median"] == 3499.5
     with pytest.raises(Exception, match="price"):
