@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,8 +41,8 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 def pick_by_edges(x: Column, edges: Sequence[float], values: Sequence) -> Column:
     """values[number of edges at or below x], NULL for NULL x.
 
-    The edges are sorted constants. A balanced CASE keeps the lookup inside generated
-    code at log2(edges) comparisons, where a lambda over an array would be interpreted.
+    The edges are a few sorted constants. A balanced CASE keeps the lookup inside generated
+    code, where a lambda over an array would be interpreted; with_bucket suits many edges.
     """
     if len(values) != len(edges) + 1:
         raise ValueError("pick_by_edges needs one more value than edges")
@@ -57,14 +58,21 @@ def pick_by_edges(x: Column, edges: Sequence[float], values: Sequence) -> Column
     return F.when(x.isNotNull(), branch(0, len(edges)))
 
 
-def histogram_bucket(x: Column, edges: Sequence[float]) -> Column:
-    """0-based bucket of x over the edges: [a, b) each, the last one [a, b].
+def with_bucket(df: DataFrame, x: str, edges: Sequence[float]) -> DataFrame:
+    """Add the 0-based bucket of x over the edges: [a, b) each, the last one [a, b].
 
-    NULL for values outside the edges.
+    NULL for values outside the edges. Bucketizer finds the bucket by binary search, at the
+    same cost for any number of edges.
     """
-    buckets = len(edges) - 1
-    inner = pick_by_edges(x, edges[1:-1], list(range(buckets)))
-    return F.when((x >= F.lit(edges[0])) & (x <= F.lit(edges[-1])), inner)
+    value = F.col(x)
+    inside = F.when((value >= F.lit(edges[0])) & (value <= F.lit(edges[-1])), value)
+    df = df.withColumn("__inside", inside)
+    if len(edges) == 2:
+        df = df.withColumn("bucket", F.when(F.col("__inside").isNotNull(), F.lit(0)))
+    else:
+        finder = Bucketizer(splits=list(edges), inputCol="__inside", outputCol="bucket", handleInvalid="keep")
+        df = finder.transform(df).withColumn("bucket", F.col("bucket").cast("int"))
+    return df.drop("__inside")
 
 
 def clip(x: Column, low: float, high: float) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelry.contract import SNAPSHOT_DATE, TARGET
-from parcelry.functions.columns import clip, histogram_bucket, named, without_nan
+from parcelry.functions.columns import clip, named, with_bucket, without_nan
 from parcelry.operators.order_stats import GAP_ROWS, Wanted, linear_grid, order_statistics
 
 # PSI levels, the share standing in for an empty bucket, and the smallest sample.
@@ -44,7 +44,7 @@ def histogram(df: DataFrame, x: Column, edges: Sequence[float]) -> DataFrame:
     The counts that are broadcast hold one row per bucket at most.
     """
     buckets = len(edges) - 1
-    found = df.select(x.alias("x")).select(histogram_bucket(F.col("x"), edges).alias("bucket"))
+    found = with_bucket(df.select(x.alias("x")), "x", edges)
     counted = found.filter(F.col("bucket").isNotNull()).groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"))
     every = df.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
     return every.join(F.broadcast(counted), "bucket", "left").select(
@@ -60,8 +60,7 @@ def _bucket_counts(sides: DataFrame, edges: Sequence[float]) -> DataFrame:
     """
     buckets = len(edges) - 1
     counted = (
-        sides.filter(F.col("x").isNotNull())
-        .select(histogram_bucket(F.col("x"), edges).alias("bucket"), "is_reference")
+        with_bucket(sides.filter(F.col("x").isNotNull()), "x", edges)
         .groupBy("bucket")
         .agg(
             F.count_if("is_reference").alias("reference"),

@@ -4,7 +4,7 @@ Spark's own exact percentile merges every distinct value into one task. Here mer
 sketches only propose cut points; counting passes then fix, exactly, how many rows lie
 below each cut, and so in which gap between cuts a wanted rank falls. Gaps shrink by a
 large factor per pass. The last pass gathers a gap once it is known to hold few rows.
-Every pass is a scan whose tasks send a few numbers and sketches, merged in two levels.
+Every pass is a scan whose tasks send a few counts or sketches; sketches merge in two levels.
 """
 
 from __future__ import annotations
@@ -13,15 +13,17 @@ import math
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelry.functions.columns import pick_by_edges, sql_double, without_nan
+from parcelry.functions.columns import sql_double
 
 GAP_ROWS = 250_000
 SKETCH_SIZE = 4_000
 GRID_STEPS = 400
 MERGE_GROUPS = 200
+CHANGED = "The table changed between passes; read it from a stored copy."
 
 
 @dataclass(frozen=True)
@@ -75,14 +77,6 @@ class _Gap:
     below: int
     rows: int
 
-    def keep(self, x: Column) -> Column:
-        inside = x.isNotNull()
-        if self.low is not None:
-            inside = inside & (x > F.lit(self.low))
-        if self.high is not None:
-            inside = inside & (x < F.lit(self.high))
-        return F.when(inside, x)
-
 
 class _Cuts:
     """Cut values of one column with the exact number of rows under and up to each."""
@@ -121,7 +115,7 @@ def order_statistics(
     """
     names = list(wanted)
     fields = {name: f"__x{i}" for i, name in enumerate(names)}
-    series = [without_nan(wanted[n].column.cast("double")).alias(fields[n]) for n in names]
+    series = [F.nanvl(wanted[n].column.cast("double"), F.lit(None).cast("double")).alias(fields[n]) for n in names]
     extra = dict(also or {})
     narrow = df.select(*series)
 
@@ -137,6 +131,8 @@ def order_statistics(
     found: dict[str, dict[int, float]] = {n: {} for n in names}
     for i, n in enumerate(names):
         if counts[n]:
+            if math.isinf(head[f"lo{i}"]) or math.isinf(head[f"hi{i}"]):
+                raise ValueError(f"'{n}' holds infinite values, which have no place in quantiles.")
             found[n] = {0: head[f"lo{i}"], counts[n] - 1: head[f"hi{i}"]}
 
     def open_ranks() -> dict[tuple[str, _Gap], list[int]]:
@@ -154,27 +150,19 @@ def order_statistics(
                     found[n][rank] = place
         return {key: sorted(ranks) for key, ranks in waiting.items()}
 
-    grids: dict[tuple, list[float]] = {}
     waiting = open_ranks()
     while wide := {k: r for k, r in waiting.items() if k[1].rows > gap_rows}:
-        before = set(wide)
-        if any((n, gap.low, gap.high) not in grids for n, gap in wide):
-            grids.update(_scan(narrow, fields, cuts, {}, {(n, gap.low, gap.high) for n, gap in wide}))
+        grids = _sketch_gaps(narrow, fields, cuts, list(wide))
         new: dict[str, set[float]] = {}
-        still_wide = set()
         for (n, gap), ranks in wide.items():
-            grid = grids[(n, gap.low, gap.high)]
             for rank in ranks:
-                low, high, rows = _around(grid, gap, rank)
-                new.setdefault(n, set()).update(c for c in (low, high) if c not in (None, gap.low, gap.high))
-                if rows > gap_rows:
-                    still_wide.add((n, low, high))
-        grids.update(_scan(narrow, fields, cuts, new, still_wide))
+                new.setdefault(n, set()).update(_around(grids[(n, gap)], gap, rank))
+        _count_cuts(narrow, fields, cuts, new)
         waiting = open_ranks()
-        if before <= set(waiting):
-            raise RuntimeError("The table changed between passes; read it from a stored copy.")
+        if set(wide) <= set(waiting):
+            raise RuntimeError(CHANGED)
     if waiting:
-        _read_gaps(narrow, fields, waiting, found)
+        _read_gaps(narrow, fields, cuts, waiting, found)
 
     values = {
         n: [wanted[n].value(counts[n], q, found[n]) for q in wanted[n].quantiles] if counts[n] else None
@@ -183,93 +171,121 @@ def order_statistics(
     return OrderStats(values, counts, {k: head[f"also{i}"] for i, k in enumerate(extra)}, found)
 
 
-def _around(grid: list[float], gap: _Gap, rank: int) -> tuple[float | None, float | None, int]:
-    """Grid values one step to either side of a rank, and the rows expected between them."""
+def _around(grid: list[float], gap: _Gap, rank: int) -> set[float]:
+    """Grid values one step to either side of a rank, as far as they lie inside the gap."""
     at = (rank + 0.5 - gap.below) / gap.rows * GRID_STEPS
     left, right = math.floor(at) - 1, math.ceil(at) + 1
-    low = grid[left] if left >= 0 else gap.low
-    high = grid[right] if right <= GRID_STEPS else gap.high
-    if low == gap.low and high == gap.high:
-        low = high = grid[GRID_STEPS // 2]
-    return low, high, 0 if low == high else gap.rows * (right - left) // GRID_STEPS
+    inside = {grid[i] for i in (left, right) if 0 <= i <= GRID_STEPS}
+    return inside or {grid[GRID_STEPS // 2]}
 
 
-def _scan(narrow, fields, cuts, new, brackets) -> dict[tuple, list[float]]:
-    """One pass: exact row counts at the new cuts, and a sketch of each gap in a bracket.
+@dataclass(frozen=True)
+class _Cells:
+    """Numbers for the gaps between sorted points and for the points themselves.
 
-    A row's cell says which gap between cuts, or which cut, its value falls on. Cells are
-    counted and sketched per group of input partitions first and merged after that, so no
-    task merges the sketches of all input partitions.
+    The splits put each point in a bucket of its own, [point, next double), so that ties with
+    a point are counted apart. Bucketizer looks a value up by binary search; a CASE over many
+    points would outgrow what the JVM compiles.
     """
-    layout, cells, wide_cells = {}, [], []
-    for n in sorted({*new, *(n for n, _, _ in brackets)}):
-        points = sorted({*cuts[n].known, *new.get(n, ())})
-        start = sum(2 * len(p) + 1 for _, p in layout.values())
-        layout[n] = (start, points)
-        x = F.col(fields[n])
-        leaves = [F.lit(start)] + [
-            F.when(x == F.lit(c), start + 2 * i + 1).otherwise(start + 2 * i + 2) for i, c in enumerate(points)
-        ]
-        cells.append(F.struct(pick_by_edges(x, points, leaves).alias("cell"), x.alias("x")))
-        ends = [None, *points, None]
-        for i in range(len(points) + 1):
-            low, high = ends[i], ends[i + 1]
-            for name, bracket_low, bracket_high in brackets:
-                over = bracket_low is None or (low is not None and low >= bracket_low)
-                under = bracket_high is None or (high is not None and high <= bracket_high)
-                if name == n and over and under:
-                    wide_cells.append(start + 2 * i)
-
-    long = narrow.select(F.inline(F.array(*cells))).filter(F.col("cell").isNotNull())
-    measures = {"rows": F.count(F.lit(1))}
-    if wide_cells:
-        sketched = F.when(F.col("cell").isin(sorted(set(wide_cells))), F.col("x"))
-        measures["sketch"] = F.kll_sketch_agg_double(sketched, F.lit(SKETCH_SIZE))
+
+    points: list[float]
+    start: int
+
+    @property
+    def splits(self) -> list[float]:
+        ends = {-math.inf, math.inf}
+        return sorted(ends.union(*[{c, math.nextafter(c, math.inf)} for c in self.points]))
+
+    def bucket(self, low: float | None) -> int:
+        """Bucket that begins at low, exclusive; None stands for the first bucket."""
+        return self.start + (self.splits.index(math.nextafter(low, math.inf)) if low is not None else 0)
+
+    def at(self, point: float) -> int:
+        return self.start + self.splits.index(point)
+
+
+def _with_cells(narrow, fields, points: Mapping[str, list[float]]) -> tuple[DataFrame, dict[str, _Cells]]:
+    """Add a cell number column per name. Cells of different names do not overlap."""
+    cells, start = {}, 0
+    for n, cuts in points.items():
+        cells[n] = _Cells(cuts, start)
+        start += 2 * len(cuts) + 2
+    cut = [n for n in cells if cells[n].points]
+    if cut:
+        narrow = Bucketizer(
+            splitsArray=[cells[n].splits for n in cut],
+            inputCols=[fields[n] for n in cut],
+            outputCols=[f"{fields[n]}_cell" for n in cut],
+            handleInvalid="keep",
+        ).transform(narrow)
+    numbers = {}
+    for n, c in cells.items():
+        found = F.col(f"{fields[n]}_cell").cast("int") + c.start if c.points else F.lit(c.start)
+        numbers[f"{fields[n]}_cell"] = found if c.points else F.when(F.col(fields[n]).isNotNull(), found)
+    return narrow.withColumns(numbers), cells
+
+
+def _rows_in_gaps(narrow, fields, cuts, gaps) -> tuple[DataFrame, dict[tuple, int]]:
+    """(cell, x) for the rows that fall into the gaps, and the cell number of each gap."""
+    names = sorted({n for n, _ in gaps})
+    placed, cells = _with_cells(narrow, fields, {n: sorted(cuts[n].known) for n in names})
+    number = {(n, gap): cells[n].bucket(gap.low) for n, gap in gaps}
+    pairs = [F.struct(F.col(f"{fields[n]}_cell").alias("cell"), F.col(fields[n]).alias("x")) for n in names]
+    long = placed.select(F.inline(F.array(*pairs)))
+    return long.filter(F.col("cell").isin(sorted(number.values())) & F.col("x").isNotNull()), number
+
+
+def _sketch_gaps(narrow, fields, cuts, gaps) -> dict[tuple, list[float]]:
+    """Evenly spaced quantile estimates of each gap, from one sketch per gap.
+
+    Sketches merge first within groups of input partitions and then into one, so that no
+    single task merges the sketches of every input partition.
+    """
+    long, number = _rows_in_gaps(narrow, fields, cuts, gaps)
     groups = (F.spark_partition_id() % F.lit(MERGE_GROUPS)).alias("merge_group")
-    partly = long.groupBy("cell", groups).agg(*[c.alias(a) for a, c in measures.items()])
-    merged = partly.groupBy("cell").agg(
-        F.sum("rows").alias("rows"),
-        *([F.kll_merge_agg_double("sketch").alias("sketch")] if wide_cells else []),
-    )
-    if wide_cells:
-        steps = F.expr("array(" + ", ".join(sql_double(s) for s in linear_grid(GRID_STEPS)) + ")")
-        some = F.kll_sketch_get_n_double("sketch") > 0
-        merged = merged.select(
-            "cell", "rows", F.when(some, F.kll_sketch_get_quantile_double("sketch", steps)).alias("grid")
-        )
-    by_cell = {row["cell"]: row for row in merged.collect()}
-
-    seen = {}
-    for n, (start, points) in layout.items():
-        total, ends = 0, [None, *points, None]
-        for i in range(len(points) + 1):
-            gap = by_cell.get(start + 2 * i)
-            if wide_cells and gap and gap["grid"]:
-                seen[(n, ends[i], ends[i + 1])] = gap["grid"]
-            total += gap["rows"] if gap else 0
-            if i < len(points):
-                at = by_cell.get(start + 2 * i + 1)
-                under, total = total, total + (at["rows"] if at else 0)
-                cuts[n].known[points[i]] = (under, total)
-    return seen
-
-
-def _read_gaps(narrow, fields, waiting, found) -> None:
-    """Read the remaining ranks from gaps proven to hold at most gap_rows rows."""
-    gaps = list(waiting)
-    trimmed = narrow.select(
-        *[gap.keep(F.col(fields[name])).alias(f"g{i}") for i, (name, gap) in enumerate(gaps)]
-    )
-    listed = trimmed.agg(*[F.collect_list(f"g{i}").alias(f"g{i}") for i in range(len(gaps))])
-    picked = []
-    for i, key in enumerate(gaps):
-        places = F.array(*[F.lit(rank - key[1].below) for rank in waiting[key]])
-        picked.append(_at_places(F.col(f"g{i}"), places).alias(f"g{i}"))
-    row = listed.select(*picked).first()
-    for i, key in enumerate(gaps):
-        if None in row[f"g{i}"]:
-            raise RuntimeError("The table changed between passes; read it from a stored copy.")
-        found[key[0]].update(zip(waiting[key], row[f"g{i}"]))
+    partly = long.groupBy("cell", groups).agg(F.kll_sketch_agg_double("x", F.lit(SKETCH_SIZE)).alias("sketch"))
+    merged = partly.groupBy("cell").agg(F.kll_merge_agg_double("sketch").alias("sketch"))
+    steps = F.expr("array(" + ", ".join(sql_double(s) for s in linear_grid(GRID_STEPS)) + ")")
+    rows = merged.select("cell", F.kll_sketch_get_quantile_double("sketch", steps).alias("grid")).collect()
+    grids = {r["cell"]: r["grid"] for r in rows}
+    if set(grids) != set(number.values()):
+        raise RuntimeError(CHANGED)
+    return {key: grids[cell] for key, cell in number.items()}
+
+
+def _count_cuts(narrow, fields, cuts, new) -> None:
+    """Count the rows under and up to each new cut; the counts make the result exact."""
+    points = {n: sorted({*cuts[n].known, *values}) for n, values in new.items()}
+    placed, cells = _with_cells(narrow, fields, points)
+    numbers = F.array(*[F.col(f"{fields[n]}_cell") for n in points])
+    long = placed.select(F.explode(numbers).alias("cell")).filter(F.col("cell").isNotNull())
+    rows = {r["cell"]: r["rows"] for r in long.groupBy("cell").agg(F.count(F.lit(1)).alias("rows")).collect()}
+    for n, c in cells.items():
+        upto, low = 0, None
+        for point in c.points:
+            under = upto
+            if low is None or math.nextafter(low, math.inf) < point:
+                under += rows.get(c.bucket(low), 0)
+            upto = under + rows.get(c.at(point), 0)
+            cuts[n].known[point] = (under, upto)
+            low = point
+
+
+def _read_gaps(narrow, fields, cuts, waiting, found) -> None:
+    """Read the remaining ranks from gaps counted to hold at most gap_rows rows each."""
+    long, number = _rows_in_gaps(narrow, fields, cuts, list(waiting))
+    places = F.lit(None)
+    for key, ranks in waiting.items():
+        at = F.array(*[F.lit(rank - key[1].below) for rank in ranks])
+        places = F.when(F.col("cell") == number[key], at).otherwise(places)
+    listed = long.groupBy("cell").agg(F.collect_list("x").alias("x"))
+    rows = listed.select("cell", _at_places(F.col("x"), places).alias("values")).collect()
+    read = {r["cell"]: r["values"] for r in rows}
+    for key, ranks in waiting.items():
+        values = read.get(number[key])
+        if not values or None in values:
+            raise RuntimeError(CHANGED)
+        found[key[0]].update(zip(ranks, values))
 
 
 def _at_places(values: Column, places: Column) -> Column:

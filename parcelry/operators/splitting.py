@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from parcelry.functions.columns import hex_prefix_as_int, named
 from parcelry.operators.order_stats import Wanted, order_statistics
+from parcelry.session import held
 
 PARTS = 1000
 
@@ -39,19 +40,28 @@ def exact_split(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42)
     The test rows have the smallest hashes. The cut is found by rank selection over the
     hash, so nothing is sorted. Rows that share a key share a side.
     """
-    keyed = df if "__h1" in df.columns else with_split_hash(df, key, seed)
-    h1, h2 = F.col("__h1"), F.col("__h2")
-    cut = order_statistics(keyed, {"h": Wanted(h1, (test_size,), "count")})
-    n = cut.counts["h"]
-    if not n:
-        return df, df.limit(0)
-    at = int(cut.values["h"][0])
-    ties = keyed.agg(F.count_if(h1 < at).alias("under"), F.count_if(h1 == at).alias("tied")).first()
-    in_test = h1 <= at
-    wanted = math.ceil(n * test_size) - ties["under"]
-    if wanted < ties["tied"]:
-        share = (wanted - 0.5) / ties["tied"]
-        tied = order_statistics(keyed.filter(h1 == at), {"h": Wanted(h2, (share,), "count")})
-        in_test = (h1 < at) | ((h1 == at) & (h2 <= int(tied.values["h"][0])))
+    if "__h1" in df.columns:
+        in_test = _smallest(df, test_size)
+        keyed = df
+    else:
+        keyed = with_split_hash(df, key, seed)
+        with held(keyed.select("__h1", "__h2")) as hashes:
+            in_test = _smallest(hashes, test_size)
     in_test = F.coalesce(in_test, F.lit(False))
     return keyed.filter(~in_test).drop("__h1", "__h2"), keyed.filter(in_test).drop("__h1", "__h2")
+
+
+def _smallest(hashes: DataFrame, share: float) -> Column:
+    """Condition that exactly ceil(n * share) of n rows with distinct hashes meet."""
+    h1, h2 = F.col("__h1"), F.col("__h2")
+    cut = order_statistics(hashes, {"h": Wanted(h1, (share,), "count")})
+    if not cut.counts["h"]:
+        return F.lit(False)
+    at = int(cut.values["h"][0])
+    ties = hashes.agg(F.count_if(h1 < at).alias("under"), F.count_if(h1 == at).alias("tied")).first()
+    wanted = math.ceil(cut.counts["h"] * share) - ties["under"]
+    if wanted >= ties["tied"]:
+        return h1 <= at
+    among = (wanted - 0.5) / ties["tied"]
+    tied = order_statistics(hashes.filter(h1 == at), {"h": Wanted(h2, (among,), "count")})
+    return (h1 < at) | ((h1 == at) & (h2 <= int(tied.values["h"][0])))
