@@ -22,7 +22,7 @@ def is_present(x: Column) -> Column:
 
 def without_nan(x: Column) -> Column:
     """NULL in place of NaN, so that missing has one spelling."""
-    return F.when(~F.isnan(x), x)
+    return F.nanvl(x, F.lit(None))
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

@@ -60,11 +60,11 @@ def _bucket_counts(sides: DataFrame, edges: Sequence[float]) -> DataFrame:
     """
     buckets = len(edges) - 1
     counted = (
-        with_bucket(sides.filter(F.col("x").isNotNull()), "x", edges)
+        with_bucket(sides, "x", edges)
         .groupBy("bucket")
         .agg(
-            F.count_if("is_reference").alias("reference"),
-            F.count_if(~F.col("is_reference")).alias("current"),
+            F.count(F.when(F.col("is_reference"), F.col("x"))).alias("reference"),
+            F.count(F.when(~F.col("is_reference"), F.col("x"))).alias("current"),
         )
     )
     per_bucket = {
@@ -176,7 +176,9 @@ def take_snapshot(df: DataFrame, bins: int = BINS) -> dict:
     log_by_rank = dict(zip(by_rank, _log1p(df.sparkSession, list(by_rank.values()))))
     edges = distinct_edges([wanted.value(n, q, log_by_rank) for q in linear_grid(bins)])
     if len(edges) > 1:
-        counts = [r["rows"] for r in histogram(df, F.log1p(price), edges).orderBy("bucket").collect()]
+        found = with_bucket(df.select(F.log1p(price).alias("x")), "x", edges).groupBy("bucket").count()
+        by_bucket = {r["bucket"]: r["count"] for r in found.collect()}
+        counts = [by_bucket.get(i, 0) for i in range(len(edges) - 1)]
     else:
         counts = []
     total = sum(counts)

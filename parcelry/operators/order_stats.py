@@ -17,7 +17,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelry.functions.columns import sql_double
+from parcelry.functions.columns import sql_double, without_nan
 
 GAP_ROWS = 250_000
 SKETCH_SIZE = 4_000
@@ -115,7 +115,7 @@ def order_statistics(
     """
     names = list(wanted)
     fields = {name: f"__x{i}" for i, name in enumerate(names)}
-    series = [F.nanvl(wanted[n].column.cast("double"), F.lit(None).cast("double")).alias(fields[n]) for n in names]
+    series = [without_nan(wanted[n].column.cast("double")).alias(fields[n]) for n in names]
     extra = dict(also or {})
     narrow = df.select(*series)
 
