@@ -21,8 +21,11 @@ WHITE_SPACE = b" \t\n\x0b\x0c\r"
 SHINGLE_WORDS = 5
 NEAR = 0.8
 
-_SEPARATOR = np.zeros(256, bool)
-_SEPARATOR[np.frombuffer(WHITE_SPACE, np.uint8)] = True
+_WORD = np.ones(256, np.uint8)
+_WORD[np.frombuffer(WHITE_SPACE, np.uint8)] = 0
+#: The same with ASCII punctuation and control characters as a kind of their own.
+_MARK = np.array([2 * (not (chr(c).isalnum() or c >= 128)) for c in range(256)], np.uint8)
+_TOKEN = np.where(_WORD == 0, 0, np.maximum(_MARK, 1)).astype(np.uint8)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(8)] + [2**64 - 1], np.uint64)
@@ -80,23 +83,21 @@ def pieces(texts: pa.Array, most_bytes: int = 1 << 21) -> Iterator[tuple[int, in
 
 
 class Words:
-    """Words of a batch of texts: byte bounds, and for text i the range bounds[i]:bounds[i + 1]."""
+    """Words of a batch of texts: byte bounds, and for text i the range bounds[i]:bounds[i + 1].
 
-    def __init__(self, texts: pa.Array, lower: bool = False):
+    With `marks`, runs of punctuation inside a word are tokens of their own.
+    """
+
+    def __init__(self, texts: pa.Array, lower: bool = False, marks: bool = False):
         data, ends = utf8(texts)
         self.data = _LOWER[data] if lower else data
         n = len(data)
-        white = _SEPARATOR[data]
-        edge = np.zeros(n + 1, bool)
-        edge[ends] = True
-        before = np.ones(n + 1, bool)
-        before[1:] = white
-        before |= edge
-        self.starts = np.flatnonzero(~white & before[:-1])
-        after = np.ones(n + 1, bool)
-        after[:-1] = white
-        after |= edge
-        self.ends = np.flatnonzero(~white & after[1:]) + 1
+        kind = (_TOKEN if marks else _WORD)[data]
+        change = np.ones(n + 1, bool)
+        change[1:n] = kind[1:] != kind[:-1]
+        change[ends] = True
+        self.starts = np.flatnonzero(change[:-1] & (kind > 0))
+        self.ends = np.flatnonzero(change[1:] & (kind > 0)) + 1
         self.bounds = np.searchsorted(self.starts, ends)
 
     def hashes(self) -> np.ndarray:

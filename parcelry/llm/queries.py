@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelry.llm import language
+from parcelry.llm import language, quality, toxicity
 from parcelry.llm.common import crc_mod, table
 
 
@@ -18,10 +18,29 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def _classified(spark, folder, model, label, threshold):
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = crc_mod(F.col("doc_id"), 5) == 0
+    weights = model.fit(docs, labels, label, ~held_out)
+    return model.score(docs, weights).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
+    )
+
+
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return _classified(spark, folder, quality, "quality", 0.3)
+
+
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return _classified(spark, folder, toxicity, "toxic", 0.5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_language_id,
+        op6_quality,
+        op9_toxicity,
     )
 }
 ORACLE: dict[str, str] = {}
