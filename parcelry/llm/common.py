@@ -26,8 +26,6 @@ _WORD[np.frombuffer(WHITE_SPACE, np.uint8)] = 0
 #: The same with ASCII punctuation and control characters as a kind of their own.
 _MARK = np.array([2 * (not (chr(c).isalnum() or c >= 128)) for c in range(256)], np.uint8)
 _TOKEN = np.where(_WORD == 0, 0, np.maximum(_MARK, 1)).astype(np.uint8)
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
 _LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(8)] + [2**64 - 1], np.uint64)
 LONG_WORD = 64
 
@@ -89,9 +87,8 @@ class Words:
     """
 
     def __init__(self, texts: pa.Array, lower: bool = False, marks: bool = False):
-        data, ends = utf8(texts)
-        self.data = _LOWER[data] if lower else data
-        n = len(data)
+        self.data, ends = utf8(pc.utf8_lower(texts) if lower else texts)
+        data, n = self.data, len(self.data)
         kind = (_TOKEN if marks else _WORD)[data]
         change = np.ones(n + 1, bool)
         change[1:n] = kind[1:] != kind[:-1]

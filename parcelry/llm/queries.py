@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelry.llm import language, quality, toxicity
+from parcelry.llm import decontaminate, language, quality, toxicity
 from parcelry.llm.common import crc_mod, table
 
 
@@ -31,6 +31,12 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     return _classified(spark, folder, quality, "quality", 0.3)
 
 
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document that holds a benchmark item, with the item and how much of it."""
+    found = decontaminate.contained(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", F.round("containment", 6).alias("containment"))
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return _classified(spark, folder, toxicity, "toxic", 0.5)
 
@@ -40,7 +46,37 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_language_id,
         op6_quality,
+        op7_decontamination,
         op9_toxicity,
     )
 }
-ORACLE: dict[str, str] = {}
+#: Words of a lower-cased text, shingles of five, and windows of the item's class that hold a shared shingle.
+DECONTAMINATION_SQL = r"""
+WITH d AS (
+    SELECT doc_id, row_number() OVER () AS r, list_filter(string_split_regex(lower(text), '[\x09-\x0D ]+'), lambda x: x <> '') AS w
+    FROM documents WHERE text IS NOT NULL
+), i AS (
+    SELECT item_id, list_filter(string_split_regex(lower(text), '[\x09-\x0D ]+'), lambda x: x <> '') AS w
+    FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL
+), ig AS (
+    SELECT DISTINCT item_id, len(w) AS n, array_to_string(w[p + 1 : p + 5], ' ') AS g
+    FROM (SELECT item_id, w, unnest(range(greatest(len(w) - 4, least(len(w), 1)))) AS p FROM i)
+), ic AS (
+    SELECT item_id, g, count(*) OVER (PARTITION BY item_id) AS size_of, 8 * power(2, ceil(log2(greatest(n, 16) / 16)))::BIGINT AS step
+    FROM ig
+), dg AS (
+    SELECT doc_id, r, len(w) AS n, p, array_to_string(w[p + 1 : p + 5], ' ') AS g
+    FROM (SELECT doc_id, r, w, unnest(range(greatest(len(w) - 4, least(len(w), 1)))) AS p FROM d)
+), hit AS (
+    SELECT doc_id, r, item_id, g, p, step, size_of, greatest(ceil((n - 3 * step) / step), 0)::BIGINT AS last FROM dg JOIN ic USING (g)
+), held AS (
+    SELECT DISTINCT doc_id, r, item_id, g, size_of, unnest(range(
+        greatest(ceil((p - 3 * step + 5) / step), 0)::BIGINT, least(p // step, last) + 1)) AS win
+    FROM hit
+), share AS (
+    SELECT doc_id, r, item_id, win, count(*) / any_value(size_of) AS part FROM held GROUP BY ALL
+)
+SELECT doc_id, item_id, round(max(part), 6) AS containment FROM share WHERE part >= 0.8 GROUP BY doc_id, r, item_id
+"""
+
+ORACLE: dict[str, str] = {"op7_decontamination": DECONTAMINATION_SQL}
