@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelry.llm import decontaminate, language, quality, toxicity
+from parcelry.llm import decontaminate, language, pieces, quality, toxicity
 from parcelry.llm.common import crc_mod, table
 
 
@@ -41,6 +41,20 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return _classified(spark, folder, toxicity, "toxic", 0.5)
 
 
+def op10_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of each text's sampled pieces and of what they decode to."""
+    vocabulary = pieces.read_vocabulary(pieces.MODEL)
+    encoded = pieces.encode(table(spark, folder, "documents").select("doc_id", "text"), vocabulary)
+    decoded = pieces.decode(encoded, vocabulary)
+    return decoded.select(
+        "doc_id",
+        F.size("piece_ids").cast("long").alias("n_pieces"),
+        F.xxhash64("piece_ids").alias("pieces_hash"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -48,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_quality,
         op7_decontamination,
         op9_toxicity,
+        op10_pieces,
     )
 }
 #: Words of a lower-cased text, shingles of five, and windows of the item's class that hold a shared shingle.
