@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelry.llm.common import mix, pieces, salted, utf8
 
@@ -257,7 +258,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", seed: i
                 yield pa.record_batch([*(batch.column(c)[a:b] for c in columns), found], names=[*columns, "piece_ids"])
 
     seeded = docs.withColumn("_seed", F.xxhash64(F.col(key).cast("string"), F.lit(seed)))
-    return seeded.mapInArrow(run, docs.schema.add("piece_ids", "array<int>"))
+    return seeded.mapInArrow(run, docs.schema.add("piece_ids", T.ArrayType(T.IntegerType())))
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
