@@ -258,7 +258,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", seed: i
                 yield pa.record_batch([*(batch.column(c)[a:b] for c in columns), found], names=[*columns, "piece_ids"])
 
     seeded = docs.withColumn("_seed", F.xxhash64(F.col(key).cast("string"), F.lit(seed)))
-    return seeded.mapInArrow(run, docs.schema.add("piece_ids", T.ArrayType(T.IntegerType())))
+    return seeded.mapInArrow(run, T.StructType([*docs.schema, T.StructField("piece_ids", T.ArrayType(T.IntegerType()))]))
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -285,4 +285,4 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             text = pa.LargeStringArray.from_buffers(len(counts), pa.py_buffer(bounds.astype(np.int64).tobytes()), pa.py_buffer(spelled[keep].tobytes()))
             yield pa.record_batch([*(batch.column(c) for c in columns), text.cast(pa.string())], names=[*columns, "decoded"])
 
-    return encoded.mapInArrow(run, encoded.schema.add("decoded", "string"))
+    return encoded.mapInArrow(run, T.StructType([*encoded.schema, T.StructField("decoded", T.StringType())]))
