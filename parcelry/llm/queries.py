@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelry.llm import decontaminate, language, pieces, quality, toxicity
+from parcelry.llm import decontaminate, language, parsing, pieces, quality, toxicity
 from parcelry.llm.common import crc_mod, table
 
 
@@ -18,6 +18,10 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return parsing.compare_edited(table(spark, folder, "documents"))
+
+
 def _classified(spark, folder, model, label, threshold):
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     held_out = crc_mod(F.col("doc_id"), 5) == 0
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_language_id,
+        op4_fingerprints,
         op6_quality,
         op7_decontamination,
         op9_toxicity,
