@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelry.llm import decontaminate, language, parsing, pieces, quality, toxicity
+from parcelry.llm import decontaminate, language, nearcopies, parsing, pieces, quality, toxicity
 from parcelry.llm.common import crc_mod, table
 
 
@@ -41,6 +41,11 @@ def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "item_id", F.round("containment", 6).alias("containment"))
 
 
+def op8_near_copies(spark: SparkSession, folder: str) -> DataFrame:
+    """The group of near copies of every document."""
+    return nearcopies.groups(table(spark, folder, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return _classified(spark, folder, toxicity, "toxic", 0.5)
 
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_fingerprints,
         op6_quality,
         op7_decontamination,
+        op8_near_copies,
         op9_toxicity,
         op10_pieces,
     )
