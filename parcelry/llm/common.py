@@ -55,6 +55,29 @@ def salted(seed: int, n: int) -> np.ndarray:
         return mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
 
 
+#: Base of the hashes of ranges: a range's hash is a difference of prefix sums, moved to place 0.
+BASE = 0x9E3779B97F4A7C15
+_POWERS: list = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least n powers of the base and of its inverse."""
+    while len(_POWERS[0]) < n:
+        with np.errstate(over="ignore"):
+            for k, base in enumerate((BASE, pow(BASE, -1, 1 << 64))):
+                have = _POWERS[k]
+                _POWERS[k] = np.concatenate([have, have * np.uint64(pow(base, len(have), 1 << 64))])
+    return _POWERS[0], _POWERS[1]
+
+
+def prefix_sums(values: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * powers(len(values))[0][: len(values)], dtype=np.uint64)])
+
+
+def inverse_powers(at: np.ndarray) -> np.ndarray:
+    return powers(int(at.max()) + 1)[1][at]
+
+
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts of a batch and the bounds of each; a null is empty."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")

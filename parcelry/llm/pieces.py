@@ -25,13 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcelry.llm.common import mix, pieces, salted, utf8
+from parcelry.llm.common import inverse_powers, mix, pieces, powers, prefix_sums, salted
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 THETA = 0.0005
 #: Fixed value: the sign that stands for a blank in a piece.
 BLANK = "▁"
-_BASE = 0x9E3779B97F4A7C15 | 1
 _BATCH = 1 << 21
 
 
@@ -80,7 +79,7 @@ class Sampler:
         with np.errstate(over="ignore"):
             for i, t in usable.items():
                 codes = self.code[[ord(c) for c in t]]
-                keys[int((self.salt[codes] * _powers(len(t))[0][: len(t)]).sum(dtype=np.uint64))] = i
+                keys[int((self.salt[codes] * powers(len(t))[0][: len(t)]).sum(dtype=np.uint64))] = i
         self.keys = np.array(sorted(keys), np.uint64)
         self.ids = np.array([keys[k] for k in self.keys.tolist()], np.int32)
         # hash tables of places in keys: the second holds those whose slot in the first was taken
@@ -152,9 +151,9 @@ class Sampler:
         if not len(starts):
             return np.zeros(0, np.int64), []
         with np.errstate(over="ignore"):
-            sums = _prefix(self.salt[codes])
+            sums = prefix_sums(self.salt[codes])
             lengths = ends - starts
-            names = mix(((sums[ends] - sums[starts]) * _inverse(starts)) ^ lengths.astype(np.uint64))
+            names = mix(((sums[ends] - sums[starts]) * inverse_powers(starts)) ^ lengths.astype(np.uint64))
             _, pick, which = np.unique(names, return_index=True, return_inverse=True)
         length = lengths[pick]
         bounds = np.concatenate([[0], np.cumsum(length)])
@@ -186,7 +185,7 @@ class Sampler:
         n = len(salts)
         inside = np.arange(n) - np.repeat(bounds[:-1], np.diff(bounds))
         with np.errstate(over="ignore"):
-            sums, inverse = _prefix(salts), _powers(n + 1)[1]
+            sums, inverse = prefix_sums(salts), powers(n + 1)[1]
             found = []
             ends = np.arange(n)
             for size in range(1, self.longest + 1):
@@ -222,27 +221,6 @@ class Sampler:
         return top, np.minimum(share, 1.0), state - size, piece
 
 
-_POWERS: list = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """At least n powers of the base and of its inverse."""
-    while len(_POWERS[0]) < n:
-        with np.errstate(over="ignore"):
-            for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-                have = _POWERS[k]
-                _POWERS[k] = np.concatenate([have, have * np.uint64(pow(base, len(have), 1 << 64))])
-    return _POWERS[0], _POWERS[1]
-
-
-def _prefix(values: np.ndarray) -> np.ndarray:
-    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * _powers(len(values))[0][: len(values)], dtype=np.uint64)])
-
-
-def _inverse(at: np.ndarray) -> np.ndarray:
-    return _powers(int(at.max()) + 1)[1][at]
-
-
 def encode(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", seed: int = 0, theta: float = THETA) -> DataFrame:
     """docs with a column `piece_ids`, the sampled pieces of `text`."""
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
