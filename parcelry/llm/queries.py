@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelry.llm import decontaminate, language, nearcopies, parsing, pieces, quality, substrings, toxicity
+from parcelry.llm import decontaminate, language, nearcopies, parsing, pieces, quality, substrings, suffixes, toxicity
 from parcelry.llm.common import crc_mod, table
 
 
@@ -18,6 +18,11 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op2_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffixes.without_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_substrings(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.without_repeats(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_language_id,
+        op2_suffixes,
         op3_substrings,
         op4_fingerprints,
         op6_quality,

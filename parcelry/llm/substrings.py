@@ -54,9 +54,8 @@ def _edges(texts: DataFrame, opened: DataFrame, window: int) -> DataFrame:
         which, offset, edge = superstrings.windows(symbols, bounds[text] + start, number, window)
         place = (start[which].astype(np.int64) + offset) << superstrings.TAG_BITS | rows.column("tag").to_numpy()[text[which]]
         names = edge ^ minimizer[which].view(np.uint64)
-        first = np.unique(names, return_index=True)[1]
-        later = np.ones(len(names), bool)
-        later[first] = False
+        _, first, back = np.unique(names, return_index=True, return_inverse=True)
+        later = ~superstrings.at_same_place(rows.column("key"), text[which], place, first[back])
         bucket = np.where(later, names.view(np.int64) ^ place, minimizer[which])
         return pa.record_batch(
             [pa.array(bucket), pa.array(edge.view(np.int64)), rows.column("key").take(pa.array(text[which])), pa.array(place), pa.array(later)],
@@ -81,7 +80,7 @@ def repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, gram: in
     judged = superstrings.stored(superstrings.judged(paths, every=False), "paths")
     gone = judged.where("gone").select("key", "place", F.col("windows").cast("int").alias("windows"))
     edges = _edges(superstrings.packed(docs, key), judged.where("open").select("key", "place", "windows", "minimizer"), window)
-    first = F.row_number().over(Window.partitionBy("minimizer", "edge").orderBy("key", "place")) == 1
+    first = F.rank().over(Window.partitionBy("minimizer", "edge").orderBy("key", "place")) == 1
     again = edges.withColumn("first", first).where("later or not first")
     return gone.unionByName(again.select("key", "place", F.lit(1).alias("windows")))
 

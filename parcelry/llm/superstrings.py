@@ -27,6 +27,8 @@ TAG_BITS = 24
 #: Symbols handled at once; a longer text is taken in overlapping parts.
 PART = 1 << 21
 _PLACE_BITS = np.uint64(24)
+#: Contents of a minimizer from which its bucket is split.
+CROWD = 1000
 #: Kinds of a superstring: the only one or first of its batch, the first of several in it, a later one.
 FIRST, REPEATED, LATER = 0, 1, 2
 
@@ -99,7 +101,13 @@ def windows(symbols: np.ndarray, start: np.ndarray, number: np.ndarray, window:
         return which, offset, mix((sums[at + window] - sums[at]) * inverse[at])
 
 
-def found(docs: DataFrame, key: str, symbols, window: int, gram: int) -> DataFrame:
+def at_same_place(keys: pa.Array, text: np.ndarray, places: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Whether each place has the key and the start of another one of the batch: rows that are equal."""
+    code = keys.dictionary_encode().indices.fill_null(-1).to_numpy()[text]
+    return (places == places[other]) & (code == code[other])
+
+
+def found(docs: DataFrame, key: str, symbols, window: int, gram: int, piece_bytes: int = 1 << 21) -> DataFrame:
     """(minimizer, content, key, place, windows, kind) of every superstring of docs.
 
     Equal superstrings of a batch are told apart before the shuffle: the later ones of them get a name of
@@ -109,7 +117,7 @@ def found(docs: DataFrame, key: str, symbols, window: int, gram: int) -> DataFra
     def run(batches):
         for batch in batches:
             batch = batch.sort_by([(key, "ascending"), ("tag", "ascending")])
-            for a, b in pieces(batch.column("text")):
+            for a, b in pieces(batch.column("text"), piece_bytes):
                 yield one(batch.slice(a, b - a))
 
     def one(rows):
@@ -118,8 +126,8 @@ def found(docs: DataFrame, key: str, symbols, window: int, gram: int) -> DataFra
         with np.errstate(over="ignore"):
             name = mix(minimizer ^ mix(content))
             _, first, back, times = np.unique(name, return_index=True, return_inverse=True, return_counts=True)
-            kind = np.where(times[back] > 1, LATER, FIRST)
-            kind[first[times > 1]] = REPEATED
+            same_place = at_same_place(rows.column(key), text, places, first[back])
+            kind = np.where(times[back] == 1, FIRST, np.where(same_place, REPEATED, LATER))
             own = mix(name + np.arange(len(name), dtype=np.uint64) + np.uint64(rows.num_rows) + mix(places.astype(np.uint64)))
         minimizer = np.where(kind == LATER, own, minimizer)
         whose = rows.column(key).take(pa.array(text))
@@ -143,22 +151,24 @@ def found(docs: DataFrame, key: str, symbols, window: int, gram: int) -> DataFra
 
 
 def judged(superstrings: DataFrame, every: bool) -> DataFrame:
-    """(key, place, windows, minimizer, gone, open) of the superstrings that repeat or are open.
+    """(key, place, windows, minimizer, gone, open, crowded) of the superstrings that repeat or are open.
 
     gone: all its windows repeat and are to go, every time (`every`) or but for the first. open: it is the
-    first of its content, and its minimizer stands in other contents too. One shuffle, by minimizer.
+    first of its content, and its minimizer stands in other contents too; crowded: in more than CROWD of them.
+    One shuffle, by minimizer.
     """
     same = Window.partitionBy("minimizer", "content").orderBy("key", "place")
     near = Window.partitionBy("minimizer")
     judged = (
         superstrings.repartition("minimizer")
-        .withColumn("first", F.row_number().over(same) == 1)
+        .withColumn("first", F.rank().over(same) == 1)
         .withColumn("follower", F.lead("kind").over(same).isNotNull())
         .withColumn("branches", F.min("content").over(near) != F.max("content").over(near))
+        .withColumn("crowded", F.count(F.when(F.col("first"), 1)).over(near) > CROWD)
     )
     later = (F.col("kind") == LATER) | ~F.col("first")
     gone = later | (F.col("follower") | (F.col("kind") == REPEATED)) if every else later
-    judged = judged.select("key", "place", "windows", "minimizer", gone.alias("gone"), (F.col("first") & F.col("branches") & (F.col("kind") != LATER)).alias("open"))
+    judged = judged.select("key", "place", "windows", "minimizer", gone.alias("gone"), (F.col("first") & F.col("branches") & (F.col("kind") != LATER)).alias("open"), "crowded")
     return judged.where("gone or open")
 
 
