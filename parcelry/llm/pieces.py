@@ -31,7 +31,9 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 THETA = 0.0005
 #: Fixed value: the sign that stands for a blank in a piece.
 BLANK = "▁"
-_BATCH = 1 << 21
+_BATCH = 1 << 20
+#: Pieces decoded at once.
+_DECODED = 1 << 18
 
 
 @dataclass
@@ -181,44 +183,55 @@ class Sampler:
         return counts, steps
 
     def _filter(self, salts, bounds):
-        """The first edge that ends at each place; of each edge the running share of its end's weight, the place before, the piece."""
+        """The first edge that ends at each place; of each edge the running share of its end's weight, the place before, the piece.
+
+        Edges stand in order of how far inside its segment their end is, so that all segments go forward together.
+        """
         n = len(salts)
-        inside = np.arange(n) - np.repeat(bounds[:-1], np.diff(bounds))
+        inside = (np.arange(n) - np.repeat(bounds[:-1], np.diff(bounds))).astype(np.int32)
         with np.errstate(over="ignore"):
             sums, inverse = prefix_sums(salts), powers(n + 1)[1]
-            found = []
-            ends = np.arange(n)
+            found, ends = [], np.arange(n)
             for size in range(1, self.longest + 1):
                 ends = ends[inside[ends] >= size - 1] if size > 1 else ends
                 hit, ids = self.lookup((sums[ends + 1] - sums[ends + 1 - size]) * inverse[ends + 1 - size])
-                found.append((ends[hit], np.full(len(hit), size), ids))
-        state = np.concatenate([x[0] for x in found])
-        size = np.concatenate([x[1] for x in found])
-        piece = np.concatenate([x[2] for x in found])
-        order = np.argsort(inside[state] * n + state)  # by place within the segment: all segments go forward together
-        state, size, piece = state[order], size[order], piece[order]
-        step = inside[state]
-        rounds = np.searchsorted(step, np.arange(int(step[-1]) + 2))
-        forward = np.zeros(n + 1)  # log weight of the paths to a place; the start of a segment has 0
-        logs = np.zeros(len(state))
+                found.append((ends[hit], ids))
+        counts = np.zeros(n, np.int32)
+        for ends, _ in found:
+            counts[ends] += 1
+        deep = int(inside.max()) + 1
+        order = np.argsort(inside.astype(np.uint16) if deep < 1 << 16 else inside, kind="stable")
+        number = counts[order]
+        top = np.cumsum(number) - number
+        first = np.empty(n, np.int64)
+        first[order] = top
+        edges = int(number.sum())
+        piece, before = np.empty(edges, np.int32), np.empty(edges, np.int32)
+        opens = np.zeros(edges, bool)  # the edge starts its segment
+        free = first.copy()
+        for size, (ends, ids) in enumerate(found, 1):
+            at = free[ends]
+            piece[at], before[at], opens[at] = ids, ends - size, inside[ends] == size - 1
+            free[ends] += 1
+        forward = np.zeros(n + 1)  # log weight of the paths to a place; the last stands for the start of a segment
+        share = np.empty(edges)
         weight = self.weight[piece]
-        first = inside[state] == size - 1
-        for a, b in zip(rounds, rounds[1:]):
-            own = state[a:b]
-            logs[a:b] = weight[a:b] + np.where(first[a:b], 0.0, forward[own - size[a:b]])
-            top = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-            most = np.maximum.reduceat(logs[a:b], top)
-            spread = np.exp(logs[a:b] - np.repeat(most, np.diff(np.append(top, b - a))))
-            forward[own[top]] = most + np.log(np.add.reduceat(spread, top))
-        order = np.argsort(state * (self.longest + 1) + size)
-        state, size, piece, logs = state[order], size[order], piece[order], logs[order]
-        part = np.exp(logs - forward[state])
-        total = np.cumsum(part)
-        top = np.flatnonzero(np.concatenate([[True], state[1:] != state[:-1]]))
-        number = np.diff(np.append(top, len(state)))
-        share = total - np.repeat(total[top] - part[top], number)
-        share[np.append(top[1:], len(state)) - 1] = 1.0
-        return top, np.minimum(share, 1.0), state - size, piece
+        ahead = np.where(opens, n, before)
+        rounds = np.append(0, np.cumsum(np.bincount(inside, minlength=deep)))
+        for a, b in zip(rounds.tolist(), rounds[1:].tolist()):
+            e, f = int(top[a]), int(top[b]) if b < n else edges
+            logs = weight[e:f] + forward[ahead[e:f]]
+            starts, each = top[a:b] - e, number[a:b]
+            most = np.maximum.reduceat(logs, starts)
+            part = np.exp(logs - np.repeat(most, each))
+            total = np.add.reduceat(part, starts)
+            forward[order[a:b]] = most + np.log(total)
+            part /= np.repeat(total, each)
+            running = np.cumsum(part)
+            running -= np.repeat(running[starts] - part[starts], each)
+            running[starts + each - 1] = 1.0
+            share[e:f] = running
+        return first, np.minimum(share, 1.0), before, piece
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", seed: int = 0, theta: float = THETA) -> DataFrame:
@@ -241,26 +254,31 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", seed: i
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """encoded with a column `decoded`, the text that `piece_ids` spell."""
-    sent = encoded.sparkSession.sparkContext.broadcast(vocabulary)
     columns = encoded.columns
+    sizes = np.array([len(t) for t in vocabulary.texts])
+    begins = np.cumsum(sizes) - sizes
+    letters = np.frombuffer(b"".join(vocabulary.texts), np.uint8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts = sent.value.texts
-        sizes = np.array([len(t) for t in texts])
-        begins = np.cumsum(sizes) - sizes
-        letters = np.frombuffer(b"".join(texts), np.uint8)
         for batch in batches:
-            column = batch.column("piece_ids")
-            counts = np.nan_to_num(column.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
-            ids = column.flatten().to_numpy()
-            length = sizes[ids]
-            ends = np.cumsum(length)
-            spelled = letters[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(begins[ids] - (ends - length), length)]
-            text_ends = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-            keep = np.ones(len(spelled), bool)
-            keep[text_ends[:-1][counts > 0]] = False  # the blank that encoding puts before a text
-            bounds = text_ends - np.concatenate([[0], np.cumsum(counts > 0)])
-            text = pa.LargeStringArray.from_buffers(len(counts), pa.py_buffer(bounds.astype(np.int64).tobytes()), pa.py_buffer(spelled[keep].tobytes()))
-            yield pa.record_batch([*(batch.column(c) for c in columns), text.cast(pa.string())], names=[*columns, "decoded"])
+            counts = np.nan_to_num(batch.column("piece_ids").value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+            total = np.append(0, np.cumsum(counts))
+            a = 0
+            while a < len(counts):
+                b = max(int(np.searchsorted(total, total[a] + _DECODED, "right")) - 1, a + 1)
+                yield spell(batch.slice(a, b - a), counts[a:b])
+                a = b
+
+    def spell(batch, counts):
+        ids = batch.column("piece_ids").flatten().to_numpy()
+        length = sizes[ids]
+        ends = np.cumsum(length)
+        spelled = letters[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(begins[ids] - (ends - length), length)]
+        text_ends = np.append(0, ends)[np.append(0, np.cumsum(counts))]
+        keep = np.ones(len(spelled), bool)
+        keep[text_ends[:-1][counts > 0]] = False  # the blank that encoding puts before a text
+        bounds = text_ends - np.append(0, np.cumsum(counts > 0))
+        text = pa.LargeStringArray.from_buffers(len(counts), pa.py_buffer(bounds.astype(np.int64).tobytes()), pa.py_buffer(spelled[keep].tobytes()))
+        return pa.record_batch([*(batch.column(c) for c in columns), text.cast(pa.string())], names=[*columns, "decoded"])
 
     return encoded.mapInArrow(run, T.StructType([*encoded.schema, T.StructField("decoded", T.StringType())]))
