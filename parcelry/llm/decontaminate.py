@@ -31,16 +31,16 @@ from pyspark.sql import functions as F
 
 from parcelry.llm.common import NEAR, SHINGLE_WORDS, Words, mix, pieces, salted, shingles
 
-LEAST_WORDS = 16
+LEAST_WORDS = 8
 MISS = 1e-7
 BLOCK_SHINGLES = 1 << 20
 
 
 def bands(bound: int, near: float = NEAR) -> int:
     """Rows, each a band, that find an item of the class in the window that holds it but for MISS."""
-    least = max(bound // 2 + 1 - SHINGLE_WORDS + 1, 1)  # shingles of the shortest item
+    least = 1 if bound == LEAST_WORDS else bound // 2 + 1 - SHINGLE_WORDS + 1  # shingles of the shortest item
     window = bound + bound // 2 - SHINGLE_WORDS + 1
-    shared = near * least
+    shared = math.ceil(near * least)
     likeness = shared / (window + least - shared)
     return math.ceil(math.log(MISS) / math.log(1 - likeness))
 

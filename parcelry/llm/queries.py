@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelry.llm import decontaminate, language, nearcopies, parsing, pieces, quality, substrings, suffixes, toxicity
+from parcelry.llm import decontaminate, language, licenses, nearcopies, parsing, pieces, quality, substrings, suffixes, toxicity
 from parcelry.llm.common import crc_mod, table
 
 
@@ -32,6 +32,12 @@ def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return parsing.compare_edited(table(spark, folder, "documents"))
 
 
+def op5_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document that holds a license notice, with the notice and how much of it."""
+    found = licenses.scan(table(spark, folder, "documents"), licenses.templates(spark))
+    return found.select("doc_id", "template", F.round("containment", 6).alias("containment"))
+
+
 def _classified(spark, folder, model, label, threshold):
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     held_out = crc_mod(F.col("doc_id"), 5) == 0
@@ -81,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_suffixes,
         op3_substrings,
         op4_fingerprints,
+        op5_licenses,
         op6_quality,
         op7_decontamination,
         op8_near_copies,
@@ -88,33 +95,42 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_pieces,
     )
 }
-#: Words of a lower-cased text, shingles of five, and windows of the item's class that hold a shared shingle.
-DECONTAMINATION_SQL = r"""
+#: Words, shingles of five, and windows of an item's class that hold a shared shingle.
+_CONTAINMENT_SQL = """
 WITH d AS (
-    SELECT doc_id, row_number() OVER () AS r, list_filter(string_split_regex(lower(text), '[\x09-\x0D ]+'), lambda x: x <> '') AS w
+    SELECT doc_id, row_number() OVER () AS r, {words} AS w
     FROM documents WHERE text IS NOT NULL
 ), i AS (
-    SELECT item_id, list_filter(string_split_regex(lower(text), '[\x09-\x0D ]+'), lambda x: x <> '') AS w
-    FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL
+    SELECT {item}, {words} AS w
+    FROM {items} WHERE text IS NOT NULL AND {item} IS NOT NULL
 ), ig AS (
-    SELECT DISTINCT item_id, len(w) AS n, array_to_string(w[p + 1 : p + 5], ' ') AS g
-    FROM (SELECT item_id, w, unnest(range(greatest(len(w) - 4, least(len(w), 1)))) AS p FROM i)
+    SELECT DISTINCT {item}, len(w) AS n, array_to_string(w[p + 1 : p + 5], ' ') AS g
+    FROM (SELECT {item}, w, unnest(range(greatest(len(w) - 4, least(len(w), 1)))) AS p FROM i)
 ), ic AS (
-    SELECT item_id, g, count(*) OVER (PARTITION BY item_id) AS size_of, 8 * power(2, ceil(log2(greatest(n, 16) / 16)))::BIGINT AS step
+    SELECT {item}, g, count(*) OVER (PARTITION BY {item}) AS size_of, 4 * power(2, ceil(log2(greatest(n, 8) / 8)))::BIGINT AS step
     FROM ig
 ), dg AS (
     SELECT doc_id, r, len(w) AS n, p, array_to_string(w[p + 1 : p + 5], ' ') AS g
     FROM (SELECT doc_id, r, w, unnest(range(greatest(len(w) - 4, least(len(w), 1)))) AS p FROM d)
 ), hit AS (
-    SELECT doc_id, r, item_id, g, p, step, size_of, greatest(ceil((n - 3 * step) / step), 0)::BIGINT AS last FROM dg JOIN ic USING (g)
+    SELECT doc_id, r, {item}, g, p, step, size_of, greatest(ceil((n - 3 * step) / step), 0)::BIGINT AS last FROM dg JOIN ic USING (g)
 ), held AS (
-    SELECT DISTINCT doc_id, r, item_id, g, size_of, unnest(range(
+    SELECT DISTINCT doc_id, r, {item}, g, size_of, unnest(range(
         greatest(ceil((p - 3 * step + 5) / step), 0)::BIGINT, least(p // step, last) + 1)) AS win
     FROM hit
 ), share AS (
-    SELECT doc_id, r, item_id, win, count(*) / any_value(size_of) AS part FROM held GROUP BY ALL
+    SELECT doc_id, r, {item}, win, count(*) / any_value(size_of) AS part FROM held GROUP BY ALL
 )
-SELECT doc_id, item_id, round(max(part), 6) AS containment FROM share WHERE part >= 0.8 GROUP BY doc_id, r, item_id
+SELECT doc_id, {item}, round(max(part), 6) AS containment FROM share WHERE part >= 0.8 GROUP BY doc_id, r, {item}
 """
+DECONTAMINATION_SQL = _CONTAINMENT_SQL.format(
+    item="item_id", items="benchmark", words=r"list_filter(string_split_regex(lower(text), '[\x09-\x0D ]+'), lambda x: x <> '')"
+)
+_TEMPLATE_ROWS = ", ".join("('{}', '{}')".format(*(v.replace("'", "''") for v in row)) for row in licenses.TEMPLATES)
+LICENSES_SQL = _CONTAINMENT_SQL.format(
+    item="template",
+    items=f"(VALUES {_TEMPLATE_ROWS}) AS t(template, text)",
+    words=r"list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')",
+)
 
-ORACLE: dict[str, str] = {"op7_decontamination": DECONTAMINATION_SQL}
+ORACLE: dict[str, str] = {"op5_licenses": LICENSES_SQL, "op7_decontamination": DECONTAMINATION_SQL}
