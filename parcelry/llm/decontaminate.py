@@ -52,11 +52,11 @@ def size_class(words: np.ndarray) -> np.ndarray:
 class Block:
     """Items to look for: their shingles, and for each size class the band tables."""
 
-    def __init__(self, ids: list[int], texts: list[str]):
+    def __init__(self, ids: list, texts: list[str]):
         words = Words(pa.array(texts, pa.string()), lower=True)
         grams, bounds = shingles(words.hashes(), words.bounds)
         kinds = size_class(np.diff(words.bounds))
-        self.ids = np.array(ids, np.int64)
+        self.ids = np.array(ids)
         self.sets = [np.unique(grams[a:b]) for a, b in zip(bounds, bounds[1:])]
         self.all = np.unique(grams)
         self.sieve = np.zeros(1 << 24, bool)
@@ -133,31 +133,48 @@ def contained(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key:
     return out
 
 
+def _held(block: Block, texts: pa.Array) -> Iterator[tuple[int, int, float]]:
+    """(text, item's place, containment) of a batch."""
+    for a, b in pieces(texts):
+        words = Words(texts[a:b], lower=True)
+        grams, bounds = shingles(words.hashes(), words.bounds)
+        hits = block.hits(grams)
+        cuts = np.searchsorted(hits, bounds)
+        for i in np.flatnonzero(np.diff(cuts)).tolist():
+            own = hits[cuts[i] : cuts[i + 1]] - bounds[i]
+            for item, share in block.find(grams[bounds[i] : bounds[i + 1]], own):
+                yield a + i, item, share
+
+
 def _search(sent, key: str, item_key: str):
     def search(batches):
-        ids, texts = sent.value
-        block = Block(list(ids), list(texts))
+        block = Block(*map(list, sent.value))
         for batch in batches:
-            rows, items, shares = [], [], []
-            for a, b in pieces(batch.column("text")):
-                words = Words(batch.column("text")[a:b], lower=True)
-                grams, bounds = shingles(words.hashes(), words.bounds)
-                hits = block.hits(grams)
-                cuts = np.searchsorted(hits, bounds)
-                for i in np.flatnonzero(np.diff(cuts)).tolist():
-                    own = hits[cuts[i] : cuts[i + 1]] - bounds[i]
-                    for item, share in block.find(grams[bounds[i] : bounds[i + 1]], own):
-                        rows.append(a + i)
-                        items.append(block.ids[item])
-                        shares.append(share)
+            found = list(_held(block, batch.column("text")))
+            rows, items, shares = zip(*found) if found else ((), (), ())
             yield pa.record_batch(
-                [batch.column(key).take(pa.array(rows, pa.int64())), pa.array(items, pa.int64()), pa.array(shares, pa.float64())],
+                [batch.column(key).take(pa.array(rows, pa.int64())), pa.array(block.ids[list(items)]), pa.array(shares, pa.float64())],
                 names=[key, item_key, "containment"],
             )
 
     return search
 
 
-def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Documents that hold no item; rows without a key stay."""
-    return docs.join(contained(docs, items, key).select(key).distinct(), key, "left_anti")
+def clean(docs: DataFrame, items: DataFrame, item_key: str = "item_id") -> DataFrame:
+    """The rows of docs that hold no item, as they are. Nothing is shuffled."""
+    for block in _blocks(items, item_key):
+        sent = docs.sparkSession.sparkContext.broadcast(tuple(zip(*block)))
+        docs = docs.mapInArrow(_without(sent), docs.schema)
+    return docs
+
+
+def _without(sent):
+    def without(batches):
+        block = Block(*map(list, sent.value))
+        for batch in batches:
+            dirty = np.zeros(batch.num_rows, bool)
+            for row, _, _ in _held(block, batch.column("text")):
+                dirty[row] = True
+            yield batch.filter(pa.array(~dirty))
+
+    return without

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelry.llm.common import Words, mix, pieces
 
@@ -123,18 +124,18 @@ def arrays(column: pa.Array) -> list[np.ndarray]:
     return [values[a:b] for a, b in zip(bounds, bounds[1:])]
 
 
-def score(docs: DataFrame, weights: np.ndarray, key: str, orders: int, lower: bool) -> DataFrame:
-    """(key, score): the logistic of the sum of the weights of a text's buckets, all texts whole."""
+def scored(docs: DataFrame, weights: np.ndarray, orders: int, lower: bool, column: str) -> DataFrame:
+    """docs with a column: the logistic of the sum of the weights of a text's buckets, all texts whole."""
     sent = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
+    columns = docs.columns
 
     def run(batches):
         w = sent.value
         for batch in batches:
-            scores = []
+            scores = [np.zeros(0)]
             for a, b in pieces(batch.column("text"), SCORE_BYTES):
                 at, bounds = features(*token_hashes(batch.column("text")[a:b], lower), orders)
                 scores.append(chance(np.add.reduceat(w[at].astype(np.float64), bounds[:-1])))
-            scores = np.concatenate(scores) if scores else np.zeros(0)
-            yield pa.record_batch([batch.column(key), pa.array(scores, pa.float64())], names=[key, "score"])
+            yield pa.record_batch([*batch.columns, pa.array(np.concatenate(scores))], names=[*columns, column])
 
-    return docs.select(key, "text").mapInArrow(run, docs.select(key).schema.add("score", "double"))
+    return docs.mapInArrow(run, T.StructType([*docs.schema, T.StructField(column, T.DoubleType())]))

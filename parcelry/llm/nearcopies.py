@@ -169,8 +169,11 @@ def _stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def groups(docs: DataFrame, key: str = "doc_id", near: float = NEAR) -> DataFrame:
-    """(key, class_id) of every row: the least key of its group of near copies."""
+def _classes(docs: DataFrame, key: str, near: float) -> tuple[DataFrame, DataFrame]:
+    """(text_id, key, ...) of every row with a text, and (text_id, least, class_id, chosen) of every text.
+
+    least is the text's least key; chosen marks the text that stands for its group: that of the least key, then id.
+    """
     use_checkpoints(docs.sparkSession)
     signed = _stored(signatures(docs, key), "signatures")
     texts = signed.groupBy("text_id").agg(F.min(key).alias("least"), F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
@@ -202,10 +205,18 @@ def groups(docs: DataFrame, key: str = "doc_id", near: float = NEAR) -> DataFram
     pairs = pairs.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
     more = _stored(_verified(pairs, sets, near), "more-links")
     joined = components(links.unionByName(more)) if not more.isEmpty() else first
-    class_of = joined.join(texts.select(F.col("text_id").alias("id"), "least"), "id")
-    named = class_of.join(class_of.groupBy("component").agg(F.min("least").alias("class_id")), "component").select(F.col("id").alias("text_id"), "class_id")
-    by_text = texts.select("text_id", "least").join(named, "text_id", "left").select("text_id", F.coalesce("class_id", "least").alias("class_id"))
-    found = signed.select("text_id", key).join(by_text, "text_id").select(key, "class_id")
+    of = joined.withColumnRenamed("id", "text_id")
+    of = texts.select("text_id", "least").join(of, "text_id", "left").withColumn("component", F.coalesce("component", "text_id"))
+    best = F.min(F.struct(F.col("least").isNull(), "least", "text_id"))
+    named = of.groupBy("component").agg(F.min("least").alias("class_id"), best["text_id"].alias("standing"))
+    named = of.join(named, "component").select("text_id", "least", "class_id", (F.col("standing") == F.col("text_id")).alias("chosen"))
+    return signed, _stored(named, "classes")
+
+
+def groups(docs: DataFrame, key: str = "doc_id", near: float = NEAR) -> DataFrame:
+    """(key, class_id) of every row: the least key of its group of near copies."""
+    signed, classes = _classes(docs, key, near)
+    found = signed.select("text_id", key).join(classes.select("text_id", "class_id"), "text_id").select(key, "class_id")
     without = docs.where(F.col("text").isNull()).select(key, F.col(key).alias("class_id"))
     return found.unionByName(without)
 
@@ -218,6 +229,13 @@ def _equal(a: str, b: str) -> Column:
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", near: float = NEAR) -> DataFrame:
-    """docs with the row of the least key of each group; of equal rows with that key, one stays."""
-    kept = groups(docs, key, near).where(F.col(key).eqNullSafe(F.col("class_id"))).select(key).distinct()
-    return docs.join(kept, docs[key].eqNullSafe(kept[key]), "left_semi").dropDuplicates([key])
+    """docs with one row of each group, as it is: the least key's; of equal rows one stays, and every row without a text."""
+    _, classes = _classes(docs, key, near)
+    # rows are met by text and key together, so that many copies of a text do not meet in one task
+    named = F.coalesce(F.col("key").cast("string"), F.lit("\0"))
+    chosen = classes.where("chosen").select("text_id", F.col("least").alias("key")).select("text_id", named.alias("key"))
+    whole = F.struct(*docs.columns)
+    rows = docs.where(F.col("text").isNotNull()).select(_text_id(F.col("text")).alias("text_id"), F.col(key).alias("key"), whole.alias("row"))
+    rows = rows.select("text_id", named.alias("key"), "row")
+    kept = rows.join(chosen, ["text_id", "key"], "left_semi").dropDuplicates(["text_id", "key"]).select("row.*")
+    return kept.unionByName(docs.where(F.col("text").isNull()))

@@ -45,4 +45,4 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, training: Column, key: s
 
 def score(docs: DataFrame, weights: np.ndarray, key: str = "doc_id") -> DataFrame:
     """(key, score) of every row, score in 0 to 1, higher where label 1 is likelier."""
-    return linear.score(docs, weights, key, ORDERS, lower=False)
+    return linear.scored(docs.select(key, "text"), weights, ORDERS, False, "score").select(key, "score")

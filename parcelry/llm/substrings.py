@@ -85,8 +85,11 @@ def repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, gram: in
     return gone.unionByName(again.select("key", "place", F.lit(1).alias("windows")))
 
 
-def without_repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """(key, n_words, n_removed, kept) of every row; kept: the words left, joined by a blank."""
+def without_repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, gram: int = GRAM, carry: bool = False) -> DataFrame:
+    """(key, n_words, n_removed, kept) of every row; kept: the words left, joined by a blank.
+
+    `carry` adds the row's columns besides the text, as a struct `rest`.
+    """
 
     def run(batches):
         for batch in batches:
@@ -112,15 +115,28 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW,
         bounds = np.concatenate([[0], ends])[left]
         kept = pa.LargeStringArray.from_buffers(len(total), pa.py_buffer(bounds.astype(np.int64).tobytes()), pa.py_buffer(out.tobytes()))
         kept = kept if not texts.null_count else pc.if_else(texts.is_valid(), kept, pa.scalar(None, pa.large_string()))
-        return pa.record_batch([rows.column("key"), pa.array(total), pa.array(total - np.diff(left)), kept.cast(pa.string())], names=schema.names)
+        return pa.record_batch([rows.column("key"), pa.array(total), pa.array(total - np.diff(left)), kept.cast(pa.string()), *(rows.column(c) for c in rest)], names=schema.names)
 
+    rest = ["rest"] if carry else []
     schema = T.StructType(
         [
             docs.schema[key],
             T.StructField("n_words", T.LongType()),
             T.StructField("n_removed", T.LongType()),
             T.StructField("kept", T.StringType()),
+            *(T.StructField(c, T.StructType([f for f in docs.schema if f.name != "text"])) for c in rest),
         ]
     )
     spans = superstrings.stored(repeats(docs, key, window, gram), "spans")
-    return superstrings.beside(superstrings.packed(docs, key), spans, "left").mapInArrow(run, schema)
+    return superstrings.beside(superstrings.packed(docs, key, carry), spans, "left").mapInArrow(run, schema)
+
+
+def cut(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """docs with what repeats taken out of `text`, and `n_chars`, where there is one, counted anew.
+
+    A text that loses nothing stays as it is, but for white space: its words are joined by a blank.
+    """
+    found = without_repeats(docs, key, carry=True)
+    out = [F.col("kept").alias("text") if c == "text" else F.col("rest")[c].alias(c) for c in docs.columns]
+    out = [F.length("kept").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else x for c, x in zip(docs.columns, out)]
+    return found.select(*out)

@@ -172,18 +172,21 @@ def judged(superstrings: DataFrame, every: bool) -> DataFrame:
     return judged.where("gone or open")
 
 
-def packed(docs: DataFrame, key: str) -> DataFrame:
-    """(key, tag, packed) of docs: texts compressed for the shuffle; null stays null."""
+def packed(docs: DataFrame, key: str, carry: bool = False) -> DataFrame:
+    """(key, tag, packed) of docs: texts compressed for the shuffle; null stays null. `carry` adds the other columns as `rest`."""
+    others = [c for c in docs.columns if c != "text"] if carry else []
+    rest = [F.struct(*others).alias("rest")] if carry else []
+    rows = docs.select(F.col(key).alias("key"), tag(F.coalesce("text", F.lit(""))).alias("tag"), *rest, "text")
 
     def run(batches):
         press = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             texts = batch.column("text").cast(pa.large_binary())
             found = pa.array([None if t is None else press.compress(t.as_buffer()) for t in texts], pa.binary())
-            yield pa.record_batch([batch.column("key"), batch.column("tag"), found], names=["key", "tag", "packed"])
+            yield pa.record_batch([*batch.columns[:-1], found], names=names)
 
-    schema = T.StructType([T.StructField("key", docs.schema[key].dataType), T.StructField("tag", T.LongType()), T.StructField("packed", T.BinaryType())])
-    return docs.select(F.col(key).alias("key"), "text", tag(F.coalesce("text", F.lit(""))).alias("tag")).mapInArrow(run, schema)
+    names = [*rows.columns[:-1], "packed"]
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[:-1], T.StructField("packed", T.BinaryType())]))
 
 
 def unpacked(column: pa.Array) -> pa.Array:

@@ -13,6 +13,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from parcelry.llm import linear
 from parcelry.llm.common import Words, pieces
@@ -88,4 +89,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, training: Column, key: s
 
 def score(docs: DataFrame, weights: np.ndarray, key: str = "doc_id") -> DataFrame:
     """(key, score) of every row, score in 0 to 1, higher where label 1 is likelier."""
-    return linear.score(docs, weights, key, ORDERS, lower=True)
+    return linear.scored(docs.select(key, "text"), weights, ORDERS, True, "score").select(key, "score")
+
+
+def accepted(docs: DataFrame, weights: np.ndarray, limit: float = 0.5) -> DataFrame:
+    """The rows of docs that score below the limit, as they are."""
+    found = linear.scored(docs, weights, ORDERS, True, "__toxicity")
+    return found.where(F.col("__toxicity") < limit).select(*docs.columns)
