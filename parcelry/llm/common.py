@@ -15,6 +15,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelry.session import new_shared_path
+
 #: The bytes that end a word, space and U+0009 to U+000D.
 WHITE_SPACE = b" \t\n\x0b\x0c\r"
 #: Words of a shingle, and the likeness from which two sets of shingles count as near.
@@ -34,6 +36,22 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """df as a table in the shared folder, which cuts its lineage."""
+    path = new_shared_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def removed(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        for file in df.inputFiles()[:1]:
+            folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
+            folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def crc_mod(key: Column, n: int) -> Column:
     """Remainder of the CRC-32 of a key's decimal text."""
     return F.crc32(key.cast("string").cast("binary")) % n

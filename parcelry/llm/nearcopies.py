@@ -27,9 +27,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcelry.llm.common import NEAR, Words, mix, pieces, shingles
+from parcelry.llm.common import NEAR, Words, mix, pieces, removed, shingles, stored
 from parcelry.llm.components import components
-from parcelry.session import new_shared_path, use_checkpoints
+from parcelry.session import use_checkpoints
 
 BANDS = 25
 ROWS = 5
@@ -163,19 +163,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, near: float) -> DataFrame:
     return met.where(both >= near * (F.size("ua") + F.size("ub") - both)).select("a", "b")
 
 
-def _stored(df: DataFrame, label: str) -> DataFrame:
-    path = new_shared_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _classes(docs: DataFrame, key: str, near: float) -> tuple[DataFrame, DataFrame]:
     """(text_id, key, ...) of every row with a text, and (text_id, least, class_id, chosen) of every text.
 
     least is the text's least key; chosen marks the text that stands for its group: that of the least key, then id.
     """
     use_checkpoints(docs.sparkSession)
-    signed = _stored(signatures(docs, key), "signatures")
+    signed = stored(signatures(docs, key), "signatures")
     texts = signed.groupBy("text_id").agg(F.min(key).alias("least"), F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     member = texts.where("size > 0").select("text_id", "size", F.posexplode("bands").alias("band", "value"))
     bucket = ["band", "value"]
@@ -183,14 +177,14 @@ def _classes(docs: DataFrame, key: str, near: float) -> tuple[DataFrame, DataFra
     leaders = member.groupBy(*bucket).agg(
         F.count("*").alias("n"), *[F.min(F.struct(order[k].alias("o"), "text_id", "size")).alias(f"l{k}") for k in range(LEADERS)]
     )
-    shared = _stored(member.join(leaders.where("n > 1"), bucket), "buckets")
+    shared = stored(member.join(leaders.where("n > 1"), bucket), "buckets")
     led = shared.select("band", "value", F.col("text_id").alias("a"), F.col("size").alias("size_a"), F.explode(F.array(*[f"l{k}" for k in range(LEADERS)])).alias("l"))
     fits = F.least("size_a", "size_b") >= near * F.greatest("size_a", "size_b")
     tried = led.select(F.col("a"), F.col("l.text_id").alias("b"), "size_a", F.col("l.size").alias("size_b")).where("a <> b").where(fits)
-    tried = _stored(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "tried")
+    tried = stored(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "tried")
     wanted = shared.select("text_id").distinct().join(texts.select("text_id", "least"), "text_id")
-    sets = _stored(_sets(docs, wanted, key), "sets")
-    links = _stored(_verified(tried, sets, near), "links")
+    sets = stored(_sets(docs, wanted, key), "sets")
+    links = stored(_verified(tried, sets, near), "links")
     first = components(links)
     # buckets that still span components: pairs across them, unless tried or too far by their sketches
     inside = shared.select("text_id", "size", *bucket).join(first.withColumnRenamed("id", "text_id"), "text_id", "left")
@@ -203,14 +197,16 @@ def _classes(docs: DataFrame, key: str, near: float) -> tuple[DataFrame, DataFra
     )
     pairs = left.join(right, bucket).where("a < b and in_a <> in_b").where(fits).where(_equal("sketch_a", "sketch_b") >= LEAST_EQUAL)
     pairs = pairs.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-    more = _stored(_verified(pairs, sets, near), "more-links")
+    more = stored(_verified(pairs, sets, near), "more-links")
     joined = components(links.unionByName(more)) if not more.isEmpty() else first
     of = joined.withColumnRenamed("id", "text_id")
     of = texts.select("text_id", "least").join(of, "text_id", "left").withColumn("component", F.coalesce("component", "text_id"))
     best = F.min(F.struct(F.col("least").isNull(), "least", "text_id"))
     named = of.groupBy("component").agg(F.min("least").alias("class_id"), best["text_id"].alias("standing"))
     named = of.join(named, "component").select("text_id", "least", "class_id", (F.col("standing") == F.col("text_id")).alias("chosen"))
-    return signed, _stored(named, "classes")
+    classes = stored(named, "classes")
+    removed(shared, tried, sets, links, more)
+    return signed, classes
 
 
 def groups(docs: DataFrame, key: str = "doc_id", near: float = NEAR) -> DataFrame:

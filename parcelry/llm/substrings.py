@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelry.llm import superstrings
-from parcelry.llm.common import Words, pieces
+from parcelry.llm.common import Words, pieces, removed, stored
 
 WINDOW = 20
 GRAM = 5
@@ -77,12 +77,14 @@ def _edges(texts: DataFrame, opened: DataFrame, window: int) -> DataFrame:
 def repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """(key, place, windows) of the windows that have started before, in runs."""
     paths = superstrings.found(docs, key, _symbols, window, gram)
-    judged = superstrings.stored(superstrings.judged(paths, every=False), "paths")
+    judged = stored(superstrings.judged(paths, every=False), "paths")
     gone = judged.where("gone").select("key", "place", F.col("windows").cast("int").alias("windows"))
     edges = _edges(superstrings.packed(docs, key), judged.where("open").select("key", "place", "windows", "minimizer"), window)
     first = F.rank().over(Window.partitionBy("minimizer", "edge").orderBy("key", "place")) == 1
     again = edges.withColumn("first", first).where("later or not first")
-    return gone.unionByName(again.select("key", "place", F.lit(1).alias("windows")))
+    found = stored(gone.unionByName(again.select("key", "place", F.lit(1).alias("windows"))), "spans")
+    removed(judged)
+    return found
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, gram: int = GRAM, carry: bool = False) -> DataFrame:
@@ -127,7 +129,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW,
             *(T.StructField(c, T.StructType([f for f in docs.schema if f.name != "text"])) for c in rest),
         ]
     )
-    spans = superstrings.stored(repeats(docs, key, window, gram), "spans")
+    spans = repeats(docs, key, window, gram)
     return superstrings.beside(superstrings.packed(docs, key, carry), spans, "left").mapInArrow(run, schema)
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelry.llm import superstrings
-from parcelry.llm.common import mix, pieces, salted, utf8
+from parcelry.llm.common import mix, pieces, removed, salted, stored, utf8
 
 WINDOW = 200
 GRAM = 64
@@ -236,10 +236,12 @@ def _sorted(contexts: DataFrame, window: int) -> DataFrame:
 def repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """(key, place, windows) of the windows that start anywhere else too, in runs."""
     strings = superstrings.found(docs, key, _symbols, window, gram, PIECE)
-    judged = superstrings.stored(superstrings.judged(strings, every=True), "strings")
+    judged = stored(superstrings.judged(strings, every=True), "strings")
     gone = judged.where("gone").select("key", "place", F.col("windows").cast("int").alias("windows"))
     opened = judged.where("open").select("key", "place", "windows", "minimizer", "crowded")
-    return gone.unionByName(_sorted(_contexts(superstrings.packed(docs, key), opened, window, gram), window))
+    found = stored(gone.unionByName(_sorted(_contexts(superstrings.packed(docs, key), opened, window, gram), window)), "spans")
+    removed(judged)
+    return found
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -272,5 +274,5 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW,
             T.StructField("kept", T.BinaryType()),
         ]
     )
-    spans = superstrings.stored(repeats(docs, key, window, gram), "spans")
+    spans = repeats(docs, key, window, gram)
     return superstrings.beside(superstrings.packed(docs, key), spans, "left").mapInArrow(run, schema)

@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelry.llm.common import mix, pieces, powers, prefix_sums
-from parcelry.session import new_shared_path
 
 TAG_BITS = 24
 #: Symbols handled at once; a longer text is taken in overlapping parts.
@@ -182,7 +181,7 @@ def packed(docs: DataFrame, key: str, carry: bool = False) -> DataFrame:
         press = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             texts = batch.column("text").cast(pa.large_binary())
-            found = pa.array([None if t is None else press.compress(t.as_buffer()) for t in texts], pa.binary())
+            found = pa.array([press.compress(t.as_buffer()) if t.is_valid else None for t in texts], pa.binary())
             yield pa.record_batch([*batch.columns[:-1], found], names=names)
 
     names = [*rows.columns[:-1], "packed"]
@@ -191,7 +190,7 @@ def packed(docs: DataFrame, key: str, carry: bool = False) -> DataFrame:
 
 def unpacked(column: pa.Array) -> pa.Array:
     press = zstandard.ZstdDecompressor()
-    return pa.array([None if t is None else press.decompress(t.as_buffer()) for t in column], pa.large_binary()).cast(pa.large_string())
+    return pa.array([press.decompress(t.as_buffer()) if t.is_valid else None for t in column], pa.large_binary()).cast(pa.large_string())
 
 
 def beside(texts: DataFrame, spans: DataFrame, how: str) -> DataFrame:
@@ -220,8 +219,3 @@ def covered(bounds: np.ndarray, text: np.ndarray, start: np.ndarray, number: np.
     np.add.at(change, first + number + window - 1, -1)
     return np.cumsum(change[:-1]) > 0
 
-
-def stored(df: DataFrame, label: str) -> DataFrame:
-    path = new_shared_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
