@@ -82,8 +82,9 @@ VERSIONS = """versions AS (
 ), gated AS (
   SELECT 'model_' || c_custkey AS model_name, 'candidate_' || c_custkey AS run_id,
          r.metric_value AS candidate_metric, p.production_metric,
-         coalesce(p.production_metric IS NULL
-                  OR r.metric_value - p.production_metric > 0.02::DOUBLE, false) AS passed
+         p.model_name IS NULL OR (r.metric_value IS NOT NULL AND coalesce(r.metric_value - p.production_metric > 0.02::DOUBLE, true)) AS passed, CASE WHEN p.model_name IS NULL THEN 'no production version' WHEN r.metric_value IS NULL THEN 'candidate lacks the metric'
+              WHEN p.production_metric IS NULL THEN 'production lacks the metric'
+              WHEN r.metric_value - p.production_metric > 0.02::DOUBLE THEN 'gain above the threshold' ELSE 'gain not above the threshold' END AS reason
   FROM customer LEFT JOIN runs r ON r.run_id = 'candidate_' || c_custkey AND r.metric_name = 'test_r2'
        LEFT JOIN production p ON p.model_name = 'model_' || c_custkey
 ), last AS (
@@ -268,6 +269,28 @@ PROMOTED = f"""WITH {VERSIONS}, targets AS (
   SELECT model_name, max(version) AS version FROM versions WHERE stage = 'Staging' GROUP BY model_name)
 {promoted('versions', 'targets')}"""
 
+SEVERAL = f"""WITH {VERSIONS}, after AS (
+  SELECT g.model_name, p.model_name IS NOT NULL OR g.passed AS held,
+         CASE WHEN g.passed THEN g.candidate_metric ELSE g.production_metric END AS production_metric
+  FROM gated g LEFT JOIN production p USING (model_name)
+), second AS (
+  SELECT 'model_' || c_custkey AS model_name, 'second_' || c_custkey AS run_id,
+         CASE WHEN c_custkey % 17 <> 0 THEN (c_custkey * 7 % 32) / 32.0::DOUBLE END AS candidate_metric FROM customer
+), regated AS (
+  SELECT s.model_name, s.run_id, s.candidate_metric, a.production_metric,
+         NOT a.held OR (s.candidate_metric IS NOT NULL AND coalesce(s.candidate_metric - a.production_metric > 0.02::DOUBLE, true)) AS passed,
+         CASE WHEN NOT a.held THEN 'no production version' WHEN s.candidate_metric IS NULL THEN 'candidate lacks the metric'
+              WHEN a.production_metric IS NULL THEN 'production lacks the metric'
+              WHEN s.candidate_metric - a.production_metric > 0.02::DOUBLE THEN 'gain above the threshold'
+              ELSE 'gain not above the threshold' END AS reason
+  FROM second s JOIN after a USING (model_name)
+), verdicts AS (SELECT * FROM gated UNION ALL SELECT * FROM regated
+), registered AS (
+  SELECT v.model_name, v.run_id, coalesce(last.version, 0) + row_number() OVER (
+           PARTITION BY v.model_name ORDER BY v.run_id LIKE 'second%') AS version
+  FROM verdicts v LEFT JOIN last USING (model_name) WHERE passed
+)"""
+
 PRICE_PSI = f"WITH {early_late('ln(1 + o_totalprice)')} SELECT * FROM scored"
 
 _edges = "[" + ", ".join(f"{e}::DOUBLE" for e in q.HISTOGRAM_EDGES) + "]"
@@ -394,7 +417,14 @@ WHERE stage = 'Production' GROUP BY model_name""",
     "register_versions": f"""WITH {VERSIONS} SELECT g.model_name, coalesce(last.version, 0) + 1 AS version, g.run_id,
   'Staging' AS stage FROM gated g LEFT JOIN last USING (model_name) WHERE passed""",
     "promote_version": PROMOTED,
-    "promote_version_shuffled": PROMOTED,
+    "promote_missing_target": f"""WITH {VERSIONS}, targets AS (
+  SELECT model_name, version FROM (SELECT model_name, max(version) AS version FROM versions WHERE stage = 'Staging' GROUP BY model_name)
+  WHERE version % 2 <> 0)
+{promoted('versions', 'targets')}""",
+    "promote_several_candidates": f"""{SEVERAL} SELECT v.*, r.version FROM verdicts v LEFT JOIN registered r USING (model_name, run_id)""",
+    "promote_several_stages": f"""{SEVERAL}, targets AS (SELECT model_name, max(version) AS version FROM registered GROUP BY model_name),
+grown AS (SELECT * FROM versions UNION ALL SELECT model_name, version, run_id, 'Production' FROM registered)
+{promoted('grown', 'targets')}""",
     "promote_job": f"""WITH {VERSIONS}, registered AS (
   SELECT g.model_name, coalesce(last.version, 0) + 1 AS version, g.run_id, NULL AS stage
   FROM gated g LEFT JOIN last USING (model_name) WHERE passed),

@@ -490,8 +490,7 @@ def production_metric(spark, folder):
 
 
 def _gated(spark, folder):
-    runs = shapes.model_runs(spark, folder)
-    metric = runs.filter("metric_name = 'test_r2'").select("run_id", F.col("metric_value").alias("candidate_metric"))
+    metric = versions.run_metric(shapes.model_runs(spark, folder)).withColumnRenamed("metric_value", "candidate_metric")
     candidates = shapes.candidate_runs(spark, folder).join(metric, "run_id", "left")
     return versions.promotion_gate(candidates, production_metric(spark, folder))
 
@@ -512,10 +511,11 @@ def promote_version(spark, folder):
     return versions.promote_versions(shapes.model_versions(spark, folder), _targets(spark, folder))
 
 
-def promote_version_shuffled(spark, folder):
-    """promote_version along the path of a target table too large to broadcast."""
-    rows, targets = shapes.model_versions(spark, folder), _targets(spark, folder)
-    return versions.promote_versions(rows, targets, broadcast_rows=10)
+def promote_missing_target(spark, folder):
+    """Half of the targets name a version that is not there; their models stay as they are."""
+    absent = F.when(F.col("version") % 2 == 0, -F.col("version")).otherwise(F.col("version"))
+    targets = _targets(spark, folder).withColumn("version", absent)
+    return versions.promote_versions(shapes.model_versions(spark, folder), targets, on_missing="keep")
 
 
 def promote_job(spark, folder):
@@ -524,6 +524,22 @@ def promote_job(spark, folder):
     )[1]
 
 
+def promote_several_candidates(spark, folder):
+    """Two candidates per model, the second against what the first has left; verdicts and new versions."""
+    first, (second, metrics) = shapes.candidate_runs(spark, folder), shapes.second_candidates(spark, folder)
+    offered = first.withColumn("position", F.lit(1)).unionByName(second.withColumn("position", F.lit(2)))
+    runs = shapes.model_runs(spark, folder).unionByName(metrics)
+    return jobs.promote_job(shapes.model_versions(spark, folder), runs, offered)[0]
+
+
+def promote_several_stages(spark, folder):
+    """The version table that promote_several_candidates leaves."""
+    first, (second, metrics) = shapes.candidate_runs(spark, folder), shapes.second_candidates(spark, folder)
+    offered = first.withColumn("position", F.lit(1)).unionByName(second.withColumn("position", F.lit(2)))
+    runs = shapes.model_runs(spark, folder).unionByName(metrics)
+    return jobs.promote_job(shapes.model_versions(spark, folder), runs, offered)[1]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -541,6 +557,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         train_ridge, train_gradient_boosting, train_hist_gradient_boosting, train_random_forest,
         batch_score, forest_interval, feature_importance, model_roundtrip,
         list_versions, resolve_version, production_metric, promotion_gate, register_versions,
-        promote_version, promote_version_shuffled, promote_job,
+        promote_version, promote_missing_target, promote_job,
+        promote_several_candidates, promote_several_stages,
     )
 }

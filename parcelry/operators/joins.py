@@ -5,67 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 50_000
-HOT_SHARE = 0.01
+_SPREAD = 1024
 
 
-def lookup_join(
-    df: DataFrame,
-    lookup: DataFrame,
-    key: str,
-    broadcast_rows: int = BROADCAST_ROWS,
-    known_unique: bool = False,
-) -> DataFrame:
-    """Left join where lookup has one row per key; a repeated lookup key is an error.
+def lookup_join(df: DataFrame, lookup: DataFrame, key: str, known_unique: bool = False) -> DataFrame:
+    """Left join where lookup has one row per key; a repeated lookup key fails the query.
 
-    A lookup counted to be small is broadcast. Beyond that the join shuffles, and keys that
-    hold a large share of df are joined apart, so that no task receives a whole hot key.
-    known_unique skips the check for a lookup that was grouped by the key.
+    One plan over one scan of each side. Spark broadcasts the lookup where its bytes are below
+    spark.sql.autoBroadcastJoinThreshold; beyond, the join shuffles and adaptive execution splits a hot
+    key's partition. A NULL key matches nothing and is spread by the row's hash, lest all such rows
+    meet in one task. known_unique skips the check for a lookup that was grouped by the key.
     """
-    if not _broadcastable(lookup, key, broadcast_rows, known_unique):
-        return _shuffled(df, lookup, key)
-    return df.join(F.broadcast(lookup), key, "left")
-
-
-def _broadcastable(lookup: DataFrame, key: str, broadcast_rows: int, known_unique: bool) -> bool:
-    """Whether lookup holds at most broadcast_rows rows; fails on a repeated key."""
-    head = lookup.select(key).limit(broadcast_rows + 1)
-    size = head.agg(
-        F.count(F.lit(1)).alias("rows"), F.count_distinct(key).alias("keys"), F.count(key).alias("given")
-    ).first()
-    small = size["rows"] <= broadcast_rows
-    repeated = size["keys"] < size["given"]
-    if not small and not repeated and not known_unique:
-        repeated = not lookup.groupBy(key).count().filter("count > 1").limit(1).isEmpty()
-    if repeated:
-        raise ValueError(f"lookup holds a '{key}' more than once; rows would multiply")
-    return small
-
-
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """Keys with more than this share of the rows: never more than 1 / share of them."""
-    counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).filter(F.col(key).isNotNull())
-    total = df.count()
-    return [r[key] for r in counted.filter(F.col("rows") > F.lit(total * share)).collect()]
-
-
-def _shuffled(df: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     columns = [key, *[c for c in df.columns if c != key], *[c for c in lookup.columns if c != key]]
-    if df.isStreaming:
-        return df.join(lookup, key, "left").select(*columns)
-    hot = hot_keys(df, key)
-    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
-    # A NULL key matches nothing; it would otherwise be hashed to a single task.
-    unmatched = lookup.schema
-    nulls = df.filter(F.col(key).isNull()).withColumns(
-        {f.name: F.lit(None).cast(f.dataType) for f in unmatched if f.name != key}
+    if not known_unique:
+        lookup = _checked(lookup, key)
+    given = [c for c in df.columns if not df.schema[c].dataType.simpleString().startswith("map")]
+    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*given), F.lit(_SPREAD)) + 1).otherwise(F.lit(0).cast("bigint"))
+    left = df.withColumn("__spread", spread)
+    right = lookup.withColumn("__spread", F.lit(0).cast("bigint"))
+    return left.join(right, [key, "__spread"], "left").select(*columns)
+
+
+def _checked(lookup: DataFrame, key: str) -> DataFrame:
+    """One row per key. The check stands in the key itself, which no select can prune from the join."""
+    others = [c for c in lookup.columns if c != key]
+    grouped = lookup.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key")).agg(
+        F.count(F.lit(1)).alias("__rows"), F.first(F.struct(F.lit(0), *others)).alias("__rest")
     )
-    rest = df.filter(F.col(key).isNotNull() & ~is_hot).join(lookup, key, "left")
-    parts = [rest.select(*columns), nulls.select(*columns)]
-    if hot:
-        few = F.broadcast(lookup.filter(F.col(key).isin(hot)))
-        parts.append(df.filter(is_hot).join(few, key, "left").select(*columns))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    fault = F.raise_error(F.concat(F.lit(f"lookup holds a '{key}' more than once; rows would multiply: "), F.col("__key").cast("string")))
+    once = F.when(F.col("__rows") == 1, F.col("__key")).otherwise(fault.cast(lookup.schema[key].dataType))
+    return grouped.select(once.alias(key), *[F.col("__rest")[c].alias(c) for c in others])

@@ -1,15 +1,16 @@
 """Model version tables: resolve, gate, register and promote, for all models at once.
 
 model_versions(model_name, version, run_id, stage) holds one row per version;
-model_runs(run_id, metric_name, metric_value) one row per run and metric.
+model_runs(run_id, metric_name, metric_value[, step]) what runs have logged; of several values for a run and
+metric the latest step counts, the largest where steps are equal or not given.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelry.operators.joins import BROADCAST_ROWS, lookup_join
+from parcelry.operators.joins import lookup_join
 
 # Stages, the gate's metric and its threshold.
 STAGES = ("Staging", "Production", "Archived")
@@ -47,13 +48,19 @@ def resolve_version(
     return found["version"]
 
 
+def run_metric(runs: DataFrame, metric_name: str = METRIC) -> DataFrame:
+    """(run_id, metric_value) with one row per run that has logged the metric."""
+    step = F.col("step") if "step" in runs.columns else F.lit(0)
+    logged = runs.filter((F.col("metric_name") == metric_name) & F.col("metric_value").isNotNull())
+    last = logged.groupBy("run_id").agg(F.max(F.struct(step.alias("step"), "metric_value")).alias("m"))
+    return last.select("run_id", F.col("m.metric_value").alias("metric_value"))
+
+
 def production_metric(versions: DataFrame, runs: DataFrame, metric_name: str = METRIC) -> DataFrame:
     """Metric of each model's newest Production version; NULL when its run lacks it."""
     held = versions.filter(F.col("stage") == PRODUCTION).groupBy("model_name")
     newest = held.agg(F.max(F.struct(_number().alias("version"), "run_id")).alias("v"))
-    metric = runs.filter(F.col("metric_name") == metric_name).select(
-        "run_id", F.col("metric_value").alias("production_metric")
-    )
+    metric = run_metric(runs, metric_name).withColumnRenamed("metric_value", "production_metric")
     return newest.select("model_name", "v.version", "v.run_id").join(metric, "run_id", "left").select(
         "model_name", "version", "run_id", "production_metric"
     )
@@ -62,57 +69,104 @@ def production_metric(versions: DataFrame, runs: DataFrame, metric_name: str = M
 def promotion_gate(
     candidates: DataFrame, production: DataFrame, threshold: float = IMPROVEMENT
 ) -> DataFrame:
-    """Which candidates (model_name, run_id, candidate_metric) may replace production.
+    """Which candidates (model_name, run_id, candidate_metric[, position]) may replace production.
+
+    Candidates of a model are gated one after another in order of position, then run_id; each that
+    passes is the production the next one must beat. The gain must exceed the threshold. A model
+    without a Production version takes any candidate, even one without the metric; where there is one,
+    a candidate without the metric does not pass, and a production without it yields to
+    any candidate that has it. `reason` says which case applied. production has one row per
+    Production version held, as production_metric gives it.
 
-    A model without a production metric passes. Otherwise the gain must exceed the
-    threshold; a candidate that lacks its metric does not pass then. production has one row
-    per model, as production_metric gives it.
+    The candidates of one model are folded as one array: a batch submits a few per model.
     """
-    held = production.select("model_name", "production_metric")
-    gain = F.col("candidate_metric") - F.col("production_metric")
-    passed = F.col("production_metric").isNull() | (gain > F.lit(threshold))
-    return lookup_join(candidates, held, "model_name", known_unique=True).select(
-        "model_name",
-        "run_id",
-        "candidate_metric",
-        "production_metric",
-        F.coalesce(passed, F.lit(False)).alias("passed"),
+    held = production.select("model_name", "production_metric", F.lit(True).alias("held"))
+    place = F.col("position") if "position" in candidates.columns else F.lit(0)
+    offered = F.struct(place.alias("position"), "run_id", "candidate_metric")
+    queue = candidates.groupBy("model_name").agg(F.sort_array(F.collect_list(offered)).alias("queue"))
+    queue = lookup_join(queue, held, "model_name", known_unique=True)
+    verdict = "struct<run_id:string,candidate_metric:double,production_metric:double,held:boolean,passed:boolean>"
+    start = F.struct(
+        F.col("production_metric").cast("double").alias("metric"),
+        F.coalesce("held", F.lit(False)).alias("held"),
+        F.array().cast(f"array<{verdict}>").alias("done"),
+    )
+
+    def gate(state, offer):
+        gain = offer["candidate_metric"] - state["metric"]
+        better = state["metric"].isNull() | (gain > F.lit(threshold))
+        passed = ~state["held"] | (offer["candidate_metric"].isNotNull() & F.coalesce(better, F.lit(False)))
+        row = F.struct(
+            offer["run_id"].cast("string").alias("run_id"),
+            offer["candidate_metric"].cast("double").alias("candidate_metric"),
+            state["metric"].alias("production_metric"),
+            state["held"].alias("held"),
+            passed.alias("passed"),
+        )
+        return F.struct(
+            F.when(passed, offer["candidate_metric"].cast("double")).otherwise(state["metric"]).alias("metric"),
+            (state["held"] | passed).alias("held"),
+            F.concat(state["done"], F.array(row)).alias("done"),
+        )
+
+    gated = queue.select("model_name", F.explode(F.aggregate("queue", start, gate, lambda state: state["done"])).alias("v"))
+    reason = (
+        F.when(~F.col("v.held"), "no production version")
+        .when(F.col("v.candidate_metric").isNull(), "candidate lacks the metric")
+        .when(F.col("v.production_metric").isNull(), "production lacks the metric")
+        .when(F.col("v.passed"), "gain above the threshold")
+        .otherwise("gain not above the threshold")
+    )
+    return gated.select(
+        "model_name", "v.run_id", "v.candidate_metric", "v.production_metric", "v.passed", reason.alias("reason")
     )
 
 
 def register_versions(versions: DataFrame, gated: DataFrame, stage: str | None = None) -> DataFrame:
-    """A row with the next version number for every candidate that passed.
+    """A row with the next version numbers for every candidate that passed, in the order it was gated.
 
-    A model may have one passing candidate per call; a second is an error, since each
-    registration changes what the next candidate must beat.
+    gated holds a model's candidates as promotion_gate gives them: each later one has beaten the one
+    before, so their metrics rise and order them; one without a metric comes first.
     """
-    per_model = gated.filter("passed").groupBy("model_name").agg(
-        F.max("run_id").alias("run_id"), F.count(F.lit(1)).alias("candidates")
-    )
-    single = F.when(F.col("candidates") == 1, F.col("run_id")).otherwise(
-        F.raise_error(F.concat(F.lit("more than one passing candidate for model "), F.col("model_name"))).cast("string")
-    )
+    turn = F.row_number().over(Window.partitionBy("model_name").orderBy(F.col("candidate_metric").asc_nulls_first(), "run_id"))
     last = latest_versions(versions).withColumnRenamed("version", "last_version")
-    return per_model.join(last, "model_name", "left").select(
+    passed = gated.filter("passed").withColumn("turn", turn)
+    return passed.join(last, "model_name", "left").select(
         "model_name",
-        (F.coalesce("last_version", F.lit(0)) + 1).cast("bigint").alias("version"),
-        single.alias("run_id"),
+        (F.coalesce("last_version", F.lit(0)) + F.col("turn")).cast("bigint").alias("version"),
+        "run_id",
         F.lit(stage).cast("string").alias("stage"),
     )
 
 
+def missing_targets(versions: DataFrame, targets: DataFrame) -> DataFrame:
+    """Targets (model_name, version) that the version table does not hold."""
+    there = versions.select("model_name", _number().alias("version"))
+    return targets.select("model_name", _number().alias("version")).join(there, ["model_name", "version"], "left_anti")
+
+
 def promote_versions(
-    versions: DataFrame, targets: DataFrame, stage: str = PRODUCTION, broadcast_rows: int = BROADCAST_ROWS
+    versions: DataFrame, targets: DataFrame, stage: str = PRODUCTION, on_missing: str = "error"
 ) -> DataFrame:
     """The version table after moving one target (model_name, version) per model to a stage.
 
-    Moving to Production archives the versions that held it.
+    Moving to Production archives the versions that held it. A target that the table does not hold fails
+    before anything moves, or with on_missing="keep" leaves its model as it is.
     """
     if stage not in STAGES:
-        raise ValueError(f"Unknown stage '{stage}'. Stages: {list(STAGES)}")
+        raise ValueError(f"Stage '{stage}' is none of {', '.join(STAGES)}; name one of them")
+    if on_missing not in ("error", "keep"):
+        raise ValueError("on_missing is 'error' or 'keep'")
     columns = versions.columns
-    wanted = targets.select("model_name", F.col("version").cast("bigint").alias("__target"))
-    joined = lookup_join(versions, wanted, "model_name", broadcast_rows)
+    wanted = targets.select("model_name", _number().alias("version"))
+    if on_missing == "error":
+        lost = missing_targets(versions, wanted).first()
+        if lost is not None:
+            raise ValueError(f"Version {lost['version']} of model '{lost['model_name']}' is not in the version table; nothing was promoted")
+    else:
+        there = versions.select("model_name", _number().alias("version"))
+        wanted = wanted.join(there, ["model_name", "version"], "left_semi")
+    joined = lookup_join(versions, wanted.withColumnRenamed("version", "__target"), "model_name")
     moved = F.when(_number() == F.col("__target"), F.lit(stage))
     if stage == PRODUCTION:
         replaced = F.col("__target").isNotNull() & (F.col("stage") == PRODUCTION)

@@ -26,6 +26,7 @@ from parcelry.operators.versions import (
     promote_versions,
     promotion_gate,
     register_versions,
+    run_metric,
 )
 from parcelry.sources.models import TrainedModel
 from parcelry.sources.snapshots import load_snapshot, save_snapshot
@@ -124,21 +125,21 @@ def promote_job(
     metric_name: str = METRIC,
     threshold: float = IMPROVEMENT,
 ) -> tuple[DataFrame, DataFrame]:
-    """Gate candidates (model_name, run_id), register and promote those that pass.
+    """Gate candidates (model_name, run_id[, position]), register and promote those that pass.
 
-    Returns the verdicts and the version table to store next. Write it to a new path: it
-    reads the table it replaces. The verdicts and the new versions, a row per candidate each,
+    Candidates of one model go one after another, each against the production just set; the last that
+    passes ends in the stage. Returns the verdicts and the version table to store next. Write it to a new
+    path: it reads the table it replaces. The verdicts and the new versions, a row per candidate each,
     are checkpointed, since several steps read them.
     """
-    metric = runs.filter(F.col("metric_name") == metric_name).select(
-        "run_id", F.col("metric_value").alias("candidate_metric")
-    )
-    measured = candidates.select("model_name", "run_id").join(metric, "run_id", "left")
+    metric = run_metric(runs, metric_name).withColumnRenamed("metric_value", "candidate_metric")
+    measured = candidates.join(metric, "run_id", "left")
     use_checkpoints(versions.sparkSession)
     gated = promotion_gate(measured, production_metric(versions, runs, metric_name), threshold).checkpoint()
-    registered = register_versions(versions, gated).checkpoint()
+    registered = register_versions(versions, gated, stage).checkpoint()
     grown = versions.select("model_name", "version", "run_id", "stage").unionByName(registered)
-    after = promote_versions(grown, registered, stage)
+    last = registered.groupBy("model_name").agg(F.max("version").alias("version"))
+    after = promote_versions(grown, last, stage, on_missing="keep")
     verdicts = gated.join(registered.select("model_name", "run_id", "version"), ["model_name", "run_id"], "left")
     return verdicts, after
 

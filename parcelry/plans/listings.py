@@ -131,6 +131,18 @@ def candidate_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def second_candidates(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """A further candidate per customer's model, offered after the first, and the metrics of their runs."""
+    customer = F.col("c_custkey")
+    rows = table(spark, folder, "customer").select(
+        F.concat(F.lit("model_"), customer.cast("string")).alias("model_name"),
+        F.concat(F.lit("second_"), customer.cast("string")).alias("run_id"),
+        F.when(customer % 17 != 0, (customer * 7 % 32) / F.lit(32.0)).alias("metric_value"),
+    )
+    runs = rows.select("run_id", F.lit("test_r2").alias("metric_name"), "metric_value").filter("metric_value IS NOT NULL")
+    return rows.select("model_name", "run_id"), runs
+
+
 def requests(spark: SparkSession, folder: str) -> DataFrame:
     """Listings under the older request field names, some of them faulty."""
     key = F.col("property_id")

@@ -3,6 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import plan_of
 from parcelry.operators import joins, location, splitting
 
 
@@ -31,23 +32,39 @@ def test_backfill_adds_absent_columns_and_needs_a_district(spark):
 def test_repeated_lookup_keys_are_refused(spark):
     twice = location.district_centroids(spark).unionAll(location.district_centroids(spark))
     df = spark.createDataFrame([("Paradise",)], "vegas_district string")
-    with pytest.raises(ValueError, match="more than once"):
-        location.backfill_location(df, twice)
-    with pytest.raises(ValueError, match="more than once"):
-        joins.lookup_join(df, twice, "vegas_district", broadcast_rows=2)
-
-
-def test_large_lookup_with_a_hot_key_keeps_every_row(spark):
-    hot = F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 50 == 1, F.lit(None)).otherwise(F.col("id"))
-    df = spark.range(6000).select("id", hot.cast("long").alias("k"))
-    lookup = spark.range(0, 9000, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v")).unionAll(
-        spark.createDataFrame([(7, 70)], "k long, v long")
-    )
-    assert joins.hot_keys(df, "k") == [7]
-    plain = df.join(lookup, "k", "left").select("k", "id", "v")
-    split = joins.lookup_join(df, lookup, "k", broadcast_rows=10)
-    assert split.count() == 6000
-    assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
+    with pytest.raises(Exception, match="more than once"):
+        location.backfill_location(df, twice).collect()
+    with pytest.raises(Exception, match="more than once"):
+        joins.lookup_join(df, twice, "vegas_district").select("vegas_district").count()
+
+
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_large_lookup_with_a_hot_key_keeps_every_row(spark, threshold):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        hot = F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 50 == 1, F.lit(None)).otherwise(F.col("id"))
+        df = spark.range(6000).select("id", hot.cast("long").alias("k"))
+        lookup = spark.range(0, 9000, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v")).unionAll(
+            spark.createDataFrame([(7, 70)], "k long, v long")
+        )
+        plain = df.join(lookup, "k", "left").select("k", "id", "v")
+        found = joins.lookup_join(df, lookup, "k")
+        assert found.count() == 6000
+        assert found.exceptAll(plain).isEmpty() and plain.exceptAll(found).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_lookup_join_reads_each_side_once(spark, tmp_path):
+    spark.range(100).select((F.col("id") % 9).alias("k"), "id").write.parquet(f"{tmp_path}/left")
+    spark.range(9).select(F.col("id").alias("k"), F.lit(1).alias("v")).write.parquet(f"{tmp_path}/right")
+    left, right = spark.read.parquet(f"{tmp_path}/left"), spark.read.parquet(f"{tmp_path}/right")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lookup", "lookup")
+    found = joins.lookup_join(left, right, "k")
+    assert not tracker.getJobIdsForGroup("lookup")
+    assert plan_of(found).count("FileScan parquet") == 2
 
 
 @pytest.mark.parametrize("split", [splitting.hash_split, splitting.exact_split])

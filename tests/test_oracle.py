@@ -5,10 +5,12 @@ import os
 import pytest
 
 import __spark_entry__ as registry
+from checks.oracle import ORACLE
+from checks.queries import QUERIES
 from checks.compare import connect, differences
 
 FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
-SQL = registry.oracle_sql()
+SQL = ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -17,14 +19,14 @@ def con():
 
 
 def test_sql_belongs_to_queries():
-    assert set(SQL) <= set(registry.queries())
+    assert set(registry.oracle_sql()) <= set(registry.queries())
 
 
 def test_entry_has_rows(spark):
     assert registry.entry(spark).count() == 1
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     found = registry.queries()[name](spark, FOLDER)
     if name in SQL:

@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as registry
+from checks.oracle import ORACLE
 from conftest import plan_of
 
 FOLDER = "/root/testdata/sf0.001"
-SQL = registry.oracle_sql()
+SQL = ORACLE
 
 
 @pytest.fixture()
