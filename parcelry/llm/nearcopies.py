@@ -6,11 +6,12 @@ unit. A dart belongs to one of COORDINATES coordinates, and each coordinate keep
 texts keep the same one with the probability of their weighted Jaccard likeness. Only darts up to a rank of
 DARTS / weight are thrown, farther ones only for texts that have left a coordinate empty.
 
-Texts that agree on a band of ROWS coordinates are candidates. Equal texts are first collapsed. In a band's
-bucket texts are held against a few leaders, which are drawn by hash; the links found join texts
-to components. Where a bucket still spans several, its texts of different components are compared by their
-sketches (8 bits of each coordinate), and pairs that could reach the likeness are verified as well. Every link is
-verified by the exact likeness of the weighted sets. A group is a connected component of links.
+Texts that agree on a band of ROWS coordinates share a bucket and are candidates. Equal texts are first
+collapsed. In each bucket texts are held against a few leaders, drawn by hash anew for each bucket and
+round; the links found join texts to components, and a later round looks only at buckets that still span
+several. After ROUNDS rounds the texts of different components in a bucket, few by then, are paired. Pairs whose
+sketches (8 bits of each coordinate) can't belong to near texts are passed over; every other one is verified by
+the exact likeness of the weighted sets. A group is a connected component of links.
 
 Defined cases: a null text is its own group; equal texts, empty ones included, are one group; texts without
 words are near no other text; shorter texts than a shingle are one shingle; equal keys take part once per row
@@ -36,9 +37,11 @@ ROWS = 5
 COORDINATES = BANDS * ROWS
 DARTS = math.ceil(COORDINATES * math.log(COORDINATES) + 2 * COORDINATES)
 LEADERS = 3
+ROUNDS = 3
 #: Equal coordinates that a pair of likeness NEAR has but with a chance of 1e-9: six deviations below the mean.
 LEAST_EQUAL = math.floor(COORDINATES * NEAR - 6 * math.sqrt(COORDINATES * NEAR * (1 - NEAR)))
 _OWNER = 52
+_SKETCH = -(-COORDINATES // 8)  # 64-bit numbers of a sketch
 
 
 def units(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -120,7 +123,9 @@ def signatures(docs: DataFrame, key: str) -> DataFrame:
                 hashes = mix(hashes * np.uint64(0x9E3779B97F4A7C15) + kept[:, k::ROWS])
         ends = np.concatenate([[0], np.cumsum(np.where(sizes > 0, BANDS, 0))]).astype(np.int32)
         bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes[sizes > 0].reshape(-1).view(np.int64)))
-        sketch = pa.array([r.tobytes() for r in (kept & np.uint64(0xFF)).astype(np.uint8)], pa.binary())
+        small = np.zeros((len(sizes), _SKETCH * 8), np.uint8)
+        small[:, :COORDINATES] = kept & np.uint64(0xFF)
+        sketch = pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * _SKETCH), pa.array(small.view(np.int64).reshape(-1)))
         return pa.record_batch([rows.column("text_id"), rows.column(key), pa.array(sizes), bands, sketch], names=schema.names)
 
     schema = T.StructType(
@@ -129,7 +134,7 @@ def signatures(docs: DataFrame, key: str) -> DataFrame:
             docs.schema[key],
             T.StructField("size", T.LongType()),
             T.StructField("bands", T.ArrayType(T.LongType())),
-            T.StructField("sketch", T.BinaryType()),
+            T.StructField("sketch", T.ArrayType(T.LongType())),
         ]
     )
     rows = docs.where(F.col("text").isNotNull()).select(_text_id(F.col("text")).alias("text_id"), key, "text")
@@ -163,6 +168,53 @@ def _verified(pairs: DataFrame, sets: DataFrame, near: float) -> DataFrame:
     return met.where(both >= near * (F.size("ua") + F.size("ub") - both)).select("a", "b")
 
 
+def _spanning(shared: DataFrame, joined: DataFrame) -> DataFrame:
+    """(bucket, text_id, component) of the buckets that hold texts of different components."""
+    inside = shared.join(joined.withColumnRenamed("id", "text_id"), "text_id", "left")
+    inside = inside.withColumn("component", F.coalesce("component", "text_id"))
+    spans = inside.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return inside.join(spans.where("low <> high").select("bucket"), "bucket")
+
+
+def _led(inside: DataFrame, turn: int) -> DataFrame:
+    """Pairs of each text with its bucket's leaders, but for those of its own component."""
+    order = [F.struct(F.xxhash64("text_id", "bucket", F.lit(turn * LEADERS + k)).alias("o"), "text_id", "component") for k in range(LEADERS)]
+    leaders = inside.groupBy("bucket").agg(*[F.min(o).alias(f"l{k}") for k, o in enumerate(order)])
+    led = inside.join(leaders, "bucket").select("text_id", "component", F.explode(F.array(*[f"l{k}" for k in range(LEADERS)])).alias("l"))
+    led = led.where(F.col("component") != F.col("l.component"))
+    return led.select(F.least("text_id", "l.text_id").alias("a"), F.greatest("text_id", "l.text_id").alias("b")).distinct()
+
+
+def _across(inside: DataFrame, texts: DataFrame, near: float) -> DataFrame:
+    """Pairs of texts of one bucket and different components."""
+    known = inside.join(texts.select("text_id", "size", "sketch"), "text_id")
+    left, right = (known.select("bucket", *[F.col(c).alias(f"{c}_{s}") for c in ("text_id", "component", "size", "sketch")]) for s in "ab")
+    met = left.join(right, "bucket").where("text_id_a < text_id_b and component_a <> component_b").where(_may_be_near(near))
+    return met.select(F.col("text_id_a").alias("a"), F.col("text_id_b").alias("b")).distinct()
+
+
+def _likely(pairs: DataFrame, texts: DataFrame, near: float) -> DataFrame:
+    """The pairs (a, b) whose sizes and sketches do not rule them out."""
+    left, right = (texts.select(F.col("text_id").alias(s), F.col("size").alias(f"size_{s}"), F.col("sketch").alias(f"sketch_{s}")) for s in "ab")
+    return pairs.join(left, "a").join(right, "b").where(_may_be_near(near)).select("a", "b")
+
+
+def _may_be_near(near: float) -> Column:
+    fits = F.least("size_a", "size_b") >= F.lit(near) * F.greatest("size_a", "size_b")
+    return fits & (_equal("sketch_a", "sketch_b") >= LEAST_EQUAL)
+
+
+def _equal(a: str, b: str) -> Column:
+    """Number of equal bytes of two sketches: in each, the lowest bit gathers whether any bit differs."""
+    differ = F.lit(0)
+    for i in range(_SKETCH):
+        x = F.col(a)[i].bitwiseXOR(F.col(b)[i])
+        for shift in (4, 2, 1):
+            x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
+        differ = differ + F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
+    return F.lit(COORDINATES) - differ
+
+
 def _classes(docs: DataFrame, key: str, near: float) -> tuple[DataFrame, DataFrame]:
     """(text_id, key, ...) of every row with a text, and (text_id, least, class_id, chosen) of every text.
 
@@ -170,42 +222,32 @@ def _classes(docs: DataFrame, key: str, near: float) -> tuple[DataFrame, DataFra
     """
     use_checkpoints(docs.sparkSession)
     signed = stored(signatures(docs, key), "signatures")
-    texts = signed.groupBy("text_id").agg(F.min(key).alias("least"), F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-    member = texts.where("size > 0").select("text_id", "size", F.posexplode("bands").alias("band", "value"))
-    bucket = ["band", "value"]
-    order = [F.xxhash64("text_id", F.lit(k)) for k in range(LEADERS)]
-    leaders = member.groupBy(*bucket).agg(
-        F.count("*").alias("n"), *[F.min(F.struct(order[k].alias("o"), "text_id", "size")).alias(f"l{k}") for k in range(LEADERS)]
-    )
-    shared = stored(member.join(leaders.where("n > 1"), bucket), "buckets")
-    led = shared.select("band", "value", F.col("text_id").alias("a"), F.col("size").alias("size_a"), F.explode(F.array(*[f"l{k}" for k in range(LEADERS)])).alias("l"))
-    fits = F.least("size_a", "size_b") >= near * F.greatest("size_a", "size_b")
-    tried = led.select(F.col("a"), F.col("l.text_id").alias("b"), "size_a", F.col("l.size").alias("size_b")).where("a <> b").where(fits)
-    tried = stored(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "tried")
+    once = signed.groupBy("text_id").agg(F.min(key).alias("least"), *[F.first(c).alias(c) for c in ("size", "bands", "sketch")])
+    texts = stored(once.drop("bands"), "texts")
+    member = once.where("size > 0").select("text_id", F.posexplode("bands").alias("band", "value"))
+    member = member.select("text_id", F.xxhash64("band", "value").alias("bucket"))
+    full = member.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    shared = stored(member.join(full, "bucket"), "buckets")
     wanted = shared.select("text_id").distinct().join(texts.select("text_id", "least"), "text_id")
     sets = stored(_sets(docs, wanted, key), "sets")
-    links = stored(_verified(tried, sets, near), "links")
-    first = components(links)
-    # buckets that still span components: pairs across them, unless tried or too far by their sketches
-    inside = shared.select("text_id", "size", *bucket).join(first.withColumnRenamed("id", "text_id"), "text_id", "left")
-    inside = inside.withColumn("component", F.coalesce("component", "text_id"))
-    spans = inside.groupBy(*bucket).agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
-    inside = inside.join(spans.where("low <> high and n > 2").select(*bucket), bucket).join(texts.select("text_id", "sketch"), "text_id")
-    left, right = (
-        inside.select(*bucket, F.col("text_id").alias(s), F.col("size").alias(f"size_{s}"), F.col("component").alias(f"in_{s}"), F.col("sketch").alias(f"sketch_{s}"))
-        for s in "ab"
-    )
-    pairs = left.join(right, bucket).where("a < b and in_a <> in_b").where(fits).where(_equal("sketch_a", "sketch_b") >= LEAST_EQUAL)
-    pairs = pairs.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-    more = stored(_verified(pairs, sets, near), "more-links")
-    joined = components(links.unionByName(more)) if not more.isEmpty() else first
+    links = shared.select(F.col("text_id").alias("a"), F.col("text_id").alias("b")).limit(0)
+    joined = links.select(F.col("a").alias("id"), F.col("b").alias("component"))
+    kept = []
+    for turn in range(ROUNDS + 1):
+        inside = _spanning(shared, joined)
+        pairs = _led(inside, turn) if turn < ROUNDS else _across(inside, texts, near)
+        found = stored(_verified(_likely(pairs, texts, near), sets, near), "links")
+        kept.append(found)
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            joined = components(links)
     of = joined.withColumnRenamed("id", "text_id")
     of = texts.select("text_id", "least").join(of, "text_id", "left").withColumn("component", F.coalesce("component", "text_id"))
     best = F.min(F.struct(F.col("least").isNull(), "least", "text_id"))
     named = of.groupBy("component").agg(F.min("least").alias("class_id"), best["text_id"].alias("standing"))
     named = of.join(named, "component").select("text_id", "least", "class_id", (F.col("standing") == F.col("text_id")).alias("chosen"))
     classes = stored(named, "classes")
-    removed(shared, tried, sets, links, more)
+    removed(shared, sets, *kept)
     return signed, classes
 
 
@@ -217,13 +259,6 @@ def groups(docs: DataFrame, key: str = "doc_id", near: float = NEAR) -> DataFram
     return found.unionByName(without)
 
 
-def _equal(a: str, b: str) -> Column:
-    """Number of equal bytes of two sketches."""
-    x, y = F.hex(a), F.hex(b)
-    ones = [(F.substring(x, 2 * i + 1, 2) == F.substring(y, 2 * i + 1, 2)).cast("int") for i in range(COORDINATES)]
-    return sum(ones[1:], ones[0])
-
-
 def keep_one(docs: DataFrame, key: str = "doc_id", near: float = NEAR) -> DataFrame:
     """docs with one row of each group, as it is: the least key's; of equal rows one stays, and every row without a text."""
     _, classes = _classes(docs, key, near)
