@@ -269,6 +269,13 @@ PROMOTED = f"""WITH {VERSIONS}, targets AS (
   SELECT model_name, max(version) AS version FROM versions WHERE stage = 'Staging' GROUP BY model_name)
 {promoted('versions', 'targets')}"""
 
+STUMP = f"""WITH {LISTINGS}, t AS (SELECT property_id, bedrooms, price FROM listings WHERE bedrooms IS NOT NULL AND price IS NOT NULL),
+cuts AS (SELECT c.bedrooms AS cut, avg(price) FILTER (WHERE t.bedrooms <= c.bedrooms) AS low, avg(price) FILTER (WHERE t.bedrooms > c.bedrooms) AS high,
+                count(*) FILTER (WHERE t.bedrooms <= c.bedrooms) AS n_low, count(*) FILTER (WHERE t.bedrooms > c.bedrooms) AS n_high
+         FROM t, (SELECT DISTINCT bedrooms FROM t) c GROUP BY c.bedrooms),
+best AS (SELECT * FROM cuts WHERE n_high > 0 ORDER BY n_low * low * low + n_high * high * high DESC LIMIT 1)
+SELECT property_id, round(CASE WHEN bedrooms <= cut THEN low ELSE high END, 3) AS prediction FROM t, best"""
+
 SEVERAL = f"""WITH {VERSIONS}, after AS (
   SELECT g.model_name, p.model_name IS NOT NULL OR g.passed AS held,
          CASE WHEN g.passed THEN g.candidate_metric ELSE g.production_metric END AS production_metric
@@ -331,7 +338,7 @@ UNION ALL SELECT 'vegas_district', vegas_district, count(*) FROM listings
 WHERE replace(vegas_district, 'NATION_', '')::INTEGER >= 12 GROUP BY ALL""",
     "dedup_rows": "SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag FROM lineitem",
     "hash_split": f"""WITH {PRICED} SELECT property_id,
-  CASE WHEN concat('0x', substr({MD5}, 1, 8))::UBIGINT % 1000 < 200 THEN 'test' ELSE 'train' END AS side FROM priced""",
+  CASE WHEN concat('0x', substr({MD5}, 1, 8))::UBIGINT < 858993459 THEN 'test' ELSE 'train' END AS side FROM priced""",
     "exact_split": f"""WITH {PRICED} SELECT property_id,
   CASE WHEN row_number() OVER (ORDER BY {MD5}) <= ceil((SELECT count(*) FROM priced) * 0.2::DOUBLE)
        THEN 'test' ELSE 'train' END AS side FROM priced""",
@@ -395,6 +402,38 @@ FROM (SELECT *, qs[len(list_filter(ed, lambda e: e <= p)) + 1] AS q FROM errors,
   (upper_bound - lower_bound) / 2 AS margin,
   (upper_bound - lower_bound) / 2 / nullif(prediction, 0) * 100 AS margin_pct,
   95.0::DOUBLE AS confidence_level FROM bounded""",
+    "csv_line_breaks": f"""WITH {PRICED} SELECT property_id, price, '12 "Main", St' || chr(10) || 'Apt ' || property_id AS address FROM priced""",
+    "validate_text_rows": f"""WITH {REQUESTS}, texts AS (
+  SELECT property_id, propertytype,
+         CASE WHEN property_id % 5 = 0 THEN 'abc' ELSE bedrooms::DECIMAL(12,2)::VARCHAR END AS bedrooms,
+         CASE WHEN property_id % 7 = 0 THEN '99' WHEN property_id % 11 = 0 THEN '' ELSE bathrooms::DECIMAL(12,2)::VARCHAR END AS bathrooms,
+         CASE WHEN property_id % 13 = 0 THEN '-5' ELSE livingarea::DECIMAL(12,2)::VARCHAR END AS livingarea FROM requests),
+checked AS (SELECT *, try_cast(bedrooms AS DOUBLE) AS b, try_cast(bathrooms AS DOUBLE) AS t, try_cast(livingarea AS DOUBLE) AS a FROM texts)
+SELECT property_id, array_to_string(list_filter([
+  CASE WHEN coalesce(bedrooms, '') = '' THEN 'bedrooms: required' END,
+  CASE WHEN bedrooms <> '' AND b IS NULL THEN 'bedrooms: must be a number' END,
+  CASE WHEN b <> floor(b) THEN 'bedrooms: must be a whole number' END,
+  CASE WHEN b < 0 THEN 'bedrooms: must be >= 0' END, CASE WHEN b > 20 THEN 'bedrooms: must be <= 20' END,
+  CASE WHEN coalesce(bathrooms, '') = '' THEN 'bathrooms: required' END,
+  CASE WHEN bathrooms <> '' AND t IS NULL THEN 'bathrooms: must be a number' END,
+  CASE WHEN t < 0 THEN 'bathrooms: must be >= 0' END, CASE WHEN t > 20 THEN 'bathrooms: must be <= 20' END,
+  CASE WHEN coalesce(livingarea, '') = '' THEN 'livingarea: required' END,
+  CASE WHEN livingarea <> '' AND a IS NULL THEN 'livingarea: must be a number' END,
+  CASE WHEN a <= 0 THEN 'livingarea: must be > 0' END,
+  CASE WHEN coalesce(propertytype, '') = '' THEN 'propertytype: required' END], lambda e: e IS NOT NULL), '; ') AS errors FROM checked""",
+    "regression_metrics_missing": f"""WITH {PAIRS}, complete AS (SELECT * FROM pairs WHERE property_id % 5 <> 0 AND property_id % 3 <> 0) SELECT
+  round(1 - sum((actual - prediction) * (actual - prediction))
+        / (SELECT sum((actual - m) * (actual - m)) FROM complete, (SELECT avg(actual) AS m FROM complete)), 9) AS r2,
+  round(sqrt(avg((actual - prediction) * (actual - prediction))), 3) AS rmse,
+  round(avg(abs(actual - prediction)), 3) AS mae,
+  round(avg((actual - prediction) * (actual - prediction)), 3) AS mse FROM complete""",
+    "one_hot_index": """WITH o AS (SELECT o_orderkey AS property_id, o_custkey::VARCHAR AS customer FROM orders)
+SELECT property_id, dense_rank() OVER (ORDER BY customer) - 1 AS index FROM o""",
+    "scale_constant": f"""WITH {PRICED} SELECT property_id,
+  CASE WHEN property_id % 3 <> 0 THEN round((property_id % 5)::DOUBLE, 6) ELSE 0.0::DOUBLE END AS latitude FROM priced""",
+    "forest_stump": STUMP,
+    "boosted_stump": STUMP,
+    "stump_importance": "SELECT 'bedrooms' AS feature, 1.0::DOUBLE AS importance",
     "train_ridge_one_feature": f"""WITH {FILLED}, {RIDGE}
 SELECT property_id, round(exp(my + slope * (x - mx)) - 1, 2) AS prediction FROM fit""",
     "score_table": f"""WITH {FILLED}, {RIDGE}, {CENTROIDS}, {REQUESTS.split('), ', 2)[2]},
@@ -431,3 +470,6 @@ grown AS (SELECT * FROM versions UNION ALL SELECT model_name, version, run_id, '
 grown AS (SELECT * FROM versions UNION ALL SELECT * FROM registered)
 {promoted('grown', 'registered')}""",
 }
+ORACLE["score_job_csv"] = ORACLE["score_table"].replace("coalesce(r.livingarea, r.living_area, m_living_area)", "coalesce(r.livingarea, m_living_area)").replace(
+    "SELECT property_id, livingarea, living_area, latitude, round", "SELECT property_id, round"
+)

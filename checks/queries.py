@@ -7,6 +7,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelry.contract import CATEGORICAL_FEATURES, NUMERIC_FEATURES, OPTIONAL_DEFAULTS
 from parcelry.functions.columns import named
@@ -83,6 +84,14 @@ def csv_roundtrip(spark, folder):
     return tables.read_csv(spark, path, rows.schema)
 
 
+def csv_line_breaks(spark, folder):
+    """An extract whose text holds line breaks, quotes and commas."""
+    rows = priced_orders(spark, folder).select(
+        "property_id", "price", F.concat(F.lit('12 "Main", St\nApt '), F.col("property_id").cast("string")).alias("address")
+    )
+    return tables.store_extract(rows, new_shared_path(spark, "lines"), "csv")
+
+
 def latest_per_key(spark, folder):
     history = table(spark, folder, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice")
     newest = cleaning.latest_per_key(history, "o_custkey", "o_orderdate", ["o_orderkey"])
@@ -131,6 +140,17 @@ def validate_rows(spark, folder):
     return checked.select("property_id", F.concat_ws("; ", "errors").alias("errors"))
 
 
+def validate_text_rows(spark, folder):
+    """The same rules over fields that arrive as text."""
+    key, rows = F.col("property_id"), shapes.requests(spark, folder)
+    texts = {c: F.col(c).cast("decimal(12,2)").cast("string") for c in ("bedrooms", "bathrooms", "livingarea")}
+    rows = rows.select("property_id", "propertytype", *[x.alias(c) for c, x in texts.items()])
+    rows = rows.withColumn("bedrooms", F.when(key % 5 == 0, "abc").otherwise(F.col("bedrooms")))
+    rows = rows.withColumn("bathrooms", F.when(key % 7 == 0, "99").when(key % 11 == 0, "").otherwise(F.col("bathrooms")))
+    rows = rows.withColumn("livingarea", F.when(key % 13 == 0, "-5").otherwise(F.col("livingarea")))
+    return cleaning.with_errors(rows).select("property_id", F.concat_ws("; ", "errors").alias("errors"))
+
+
 def reject_summary(spark, folder):
     return cleaning.reject_summary(cleaning.with_errors(shapes.requests(spark, folder)))
 
@@ -221,6 +241,16 @@ def regression_metrics(spark, folder):
     return rounded(rounded(found, 9, "r2"), 3, "rmse", "mae", "mse")
 
 
+def regression_metrics_missing(spark, folder):
+    """Rows that lack the prediction, or the price, count in no metric."""
+    key, rows = F.col("property_id"), shapes.fixed_predictions(spark, folder)
+    rows = rows.select(
+        F.when(key % 5 != 0, F.col("actual")).alias("actual"), F.when(key % 3 != 0, F.col("prediction")).alias("prediction")
+    )
+    found = metrics.regression_metrics(rows, "actual", "prediction")
+    return rounded(rounded(found, 9, "r2"), 3, "rmse", "mae", "mse")
+
+
 def cheap_segment_mae(spark, folder):
     found = metrics.evaluation_metrics(shapes.fixed_predictions(spark, folder), "actual", "prediction")
     return rounded(found.select("cheap_segment_mae", "cheap_segment_cutoff_p25"), 4, "cheap_segment_mae", "cheap_segment_cutoff_p25")
@@ -340,6 +370,21 @@ def one_hot_unseen(spark, folder):
     return _encoded(priced_orders(spark, folder), ENCODED_TYPES)
 
 
+def one_hot_index(spark, folder):
+    """The only non-zero place of the one-hot vector of a column with very many categories."""
+    rows = shapes.table(spark, folder, "orders").select(F.col("o_orderkey").alias("property_id"), F.col("o_custkey").cast("string").alias("customer"))
+    return features.encode_index(rows, "customer", features.category_index(rows, ["customer"])).select("property_id", "index")
+
+
+def scale_constant(spark, folder):
+    """A feature that was constant, with gaps, when fitted: other values are centred and scaled by 1."""
+    key = F.col("property_id")
+    rows = priced_orders(spark, folder).select("property_id", F.when(key % 3 != 0, F.lit(36.1699)).alias("latitude"))
+    fits = features.fit_numeric(rows, ["latitude"])
+    moved = rows.withColumn("latitude", F.col("latitude") + key % 5)
+    return rounded(features.scale_numeric(moved, fits), 6, "latitude")
+
+
 def preprocess(spark, folder):
     rows = listings(spark, folder)
     made = features.Preprocessor().fit_transform(rows, keep=["property_id"])
@@ -419,6 +464,40 @@ def score_table(spark, folder):
     return rounded(scored.select(*names), 2, *scoring.OUTPUTS)
 
 
+def score_job_csv(spark, folder):
+    """The scoring job's output file, read back."""
+    rows = shapes.requests(spark, folder).select("property_id", "livingarea", "latitude", "longitude", "vegas_district")
+    path = new_shared_path(spark, "scored")
+    jobs.score_job(rows, _ridge_one_feature(spark, folder), path, shapes.nation_centroids(spark, folder), "reject")
+    schema = T.StructType([T.StructField("property_id", T.LongType()), *[T.StructField(c, T.DoubleType()) for c in ("livingarea", "latitude", "longitude")], T.StructField("vegas_district", T.StringType()), *[T.StructField(c, T.DoubleType()) for c in scoring.OUTPUTS]])
+    found = tables.read_csv(spark, path, schema)
+    return rounded(found.select("property_id", *scoring.OUTPUTS), 2, *scoring.OUTPUTS)
+
+
+def _stump(spark, folder, family, hyperparameters):
+    """One split on the number of lines of an order, fitted on all listings."""
+    rows = listings(spark, folder).select("property_id", "bedrooms", "price").filter("bedrooms IS NOT NULL AND price IS NOT NULL")
+    with held(rows) as kept:
+        fitted = features.FittedPreprocessor((features.NumericFit("bedrooms", 0.0, 0.0, 1.0),), ())
+        model = models.fit_model(spark, kept, fitted, "price", family, hyperparameters, target_transform="none")
+    return rows, model_store.TrainedModel(model, fitted, {"target_transform": "none"})
+
+
+def forest_stump(spark, folder):
+    rows, trained = _stump(spark, folder, "random_forest", {"n_estimators": 1, "max_depth": 1, "bootstrap": False})
+    return rounded(scoring.predict(rows, trained).select("property_id", "prediction"), 3, "prediction")
+
+
+def boosted_stump(spark, folder):
+    rows, trained = _stump(spark, folder, "gradient_boosting", {"n_estimators": 1, "max_depth": 1})
+    return rounded(scoring.predict(rows, trained).select("property_id", "prediction"), 3, "prediction")
+
+
+def stump_importance(spark, folder):
+    _, trained = _stump(spark, folder, "random_forest", {"n_estimators": 1, "max_depth": 1, "bootstrap": False})
+    return models.feature_importance(spark, trained.model, trained.preprocessor.feature_names)
+
+
 def _train(spark, folder, model_type, hyperparameters):
     options = replace(OPTIONS, model_type=model_type, hyperparameters=hyperparameters)
     return jobs.train_job(spark, listings(spark, folder), options)
@@ -543,17 +622,18 @@ def promote_several_stages(spark, folder):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        scan_priced, scan_positive_priced, sql_with_params, csv_roundtrip, latest_per_key,
+        scan_priced, scan_positive_priced, sql_with_params, csv_roundtrip, csv_line_breaks, latest_per_key,
         drop_columns, cast_numeric, exclude_types, outlier_filter, select_contract, clean_rows,
-        alias_rename, validate_rows, reject_summary, fill_optional, unseen_categories,
+        alias_rename, validate_rows, validate_text_rows, reject_summary, fill_optional, unseen_categories,
         dedup_rows, hash_split, exact_split, centroid_backfill, missing_location,
         price_summary, quantiles, quantiles_by_cuts, histogram, order_stat_higher,
-        regression_metrics, cheap_segment_mae,
+        regression_metrics, regression_metrics_missing, cheap_segment_mae,
         psi, price_psi, price_psi_by_cuts, drift_snapshot, snapshot_roundtrip, psi_vs_snapshot,
         drift_verdict, refresh_job,
-        impute_median, standard_scale, impute_mode, one_hot, one_hot_unseen, preprocess,
+        impute_median, standard_scale, impute_mode, one_hot, one_hot_unseen, one_hot_index, scale_constant, preprocess,
         target_transform, calibrate_interval, calibrate_interval_by_cuts, apply_interval,
-        apply_interval_legacy, interval_margin, train_ridge_one_feature, score_table,
+        apply_interval_legacy, interval_margin, train_ridge_one_feature, score_table, score_job_csv,
+        forest_stump, boosted_stump, stump_importance,
         train_ridge, train_gradient_boosting, train_hist_gradient_boosting, train_random_forest,
         batch_score, forest_interval, feature_importance, model_roundtrip,
         list_versions, resolve_version, production_metric, promotion_gate, register_versions,

@@ -28,8 +28,11 @@ def latest_per_key(
 ) -> DataFrame:
     """Newest row of each key. Rows collapse per input partition before the shuffle,
     so a key that holds much of the table still sends one row per task.
+
+    Rows of equal date are ordered by the tiebreak columns, and then by a digest of the row.
     """
-    newest = F.struct(*[named(c) for c in (date, *tiebreak)])
+    hashed = [named(f.name) for f in df.schema if not isinstance(f.dataType, T.MapType)]
+    newest = F.struct(*[named(c) for c in (date, *tiebreak)], F.xxhash64(*hashed).alias("__digest"))
     row = F.max_by(F.struct(*[named(c) for c in df.columns]), newest)
     return df.groupBy(named(key).alias("__key")).agg(row.alias("__row")).select("__row.*")
 
@@ -170,25 +173,33 @@ def form_rules(required: Sequence[str]) -> tuple[FieldRule, ...]:
 
 
 def _broken(df: DataFrame, rule: FieldRule) -> list[Column]:
+    """One column per fault of a rule. Text is read as a number where the rule asks for one."""
     kind = df.schema[rule.name].dataType
-    x = named(rule.name)
-    numeric = isinstance(kind, T.NumericType)
-    if numeric:
-        x = x.cast("double")
-    missing = ~is_present(x) if numeric else x.isNull()
-    if isinstance(kind, T.StringType):
-        missing = missing | (x == "")
-    checks = [(missing, "required")] if rule.required else []
-    if numeric:
+    given = named(rule.name)
+    bounded = rule.whole or any(b is not None for b in (rule.low, rule.high, rule.above))
+    text = isinstance(kind, T.StringType)
+    missing = given.isNull() | (given == "") if text else given.isNull()
+    checks = []
+    x = None
+    if isinstance(kind, T.NumericType):
+        x = given.cast("double")
+        missing = missing | F.isnan(x)
+    elif text and bounded:
+        x = F.expr(f"try_cast(`{rule.name.replace('`', '``')}` AS double)")
+        checks.append((~missing & (x.isNull() | F.isnan(x)), "must be a number"))
+    if rule.required:
+        checks.insert(0, (missing, "required"))
+    if x is not None:
+        there = ~missing & ~F.isnan(x)
         if rule.whole:
-            checks.append((x != F.floor(x), "must be a whole number"))
+            checks.append((there & (x != F.floor(x)), "must be a whole number"))
         if rule.low is not None:
-            checks.append((x < F.lit(float(rule.low)), f"must be >= {rule.low}"))
+            checks.append((there & (x < F.lit(float(rule.low))), f"must be >= {rule.low}"))
         if rule.high is not None:
-            checks.append((~F.isnan(x) & (x > F.lit(float(rule.high))), f"must be <= {rule.high}"))
+            checks.append((there & (x > F.lit(float(rule.high))), f"must be <= {rule.high}"))
         if rule.above is not None:
-            checks.append((x <= F.lit(float(rule.above)), f"must be > {rule.above}"))
-    return [F.when(bad, F.lit(f"{rule.name}: {text}")) for bad, text in checks]
+            checks.append((there & (x <= F.lit(float(rule.above))), f"must be > {rule.above}"))
+    return [F.when(bad, F.lit(f"{rule.name}: {what}")) for bad, what in checks]
 
 
 def with_errors(df: DataFrame, rules: Sequence[FieldRule] = REQUEST_RULES) -> DataFrame:

@@ -167,9 +167,12 @@ def take_snapshot(df: DataFrame, bins: int = BINS) -> dict:
     stats = order_statistics(
         df,
         {"price": wanted},
-        {"n": F.count(F.lit(1)), "mean": F.avg(price), "std": F.stddev_samp(price), "date": latest_date(df)},
+        {"n": F.count(F.lit(1)), "mean": F.avg(price), "std": F.stddev_samp(price), "date": latest_date(df), "lowest": F.min(price)},
     )
     n, by_rank = stats.counts["price"], stats.by_rank["price"]
+    lowest = stats.also["lowest"]
+    if lowest is not None and lowest <= -1:
+        raise ValueError(f"A price of {lowest} has no log1p; take_snapshot needs prices above -1, so drop such rows first")
     if not n:
         raise ValueError(f"Column '{TARGET}' has no values to build a snapshot from.")
     *raw, median = stats.values["price"]

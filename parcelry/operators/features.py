@@ -4,19 +4,22 @@ from __future__ import annotations
 
 import json
 import math
+import sys
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parcelry.contract import CATEGORICAL_FEATURES, NUMERIC_FEATURES, require_columns
 from parcelry.functions.columns import named, sql_double, sql_string, without_nan
+from parcelry.operators.joins import lookup_join
 from parcelry.operators.order_stats import Wanted, order_statistics
 from parcelry.session import held
 
-MAX_CATEGORIES = 20_000
+PREFIX = 3
 ASSEMBLED = "features"
 
 
@@ -48,7 +51,8 @@ def fit_numeric(df: DataFrame, names: Sequence[str]) -> list[NumericFit]:
 
     Filling k gaps of n values with the median m moves the mean of the present values mu by
     a known amount, so mean and deviation come from the pass that counts, with no second
-    look at the filled column.
+    look at the filled column. A column of one value, and one whose deviation is within rounding of
+    zero, is scaled by 1.
     """
     wanted = {c: Wanted(named(c), (0.5,)) for c in names}
     also = {"rows": F.count(F.lit(1))}
@@ -56,6 +60,7 @@ def fit_numeric(df: DataFrame, names: Sequence[str]) -> list[NumericFit]:
         x = without_nan(named(c).cast("double"))
         also[f"mean {c}"] = F.avg(x)
         also[f"var {c}"] = F.var_pop(x)
+        also[f"low {c}"], also[f"high {c}"] = F.min(x), F.max(x)
     stats = order_statistics(df, wanted, also)
     rows, fits = stats.also["rows"], []
     for c in names:
@@ -66,7 +71,10 @@ def fit_numeric(df: DataFrame, names: Sequence[str]) -> list[NumericFit]:
         gaps = rows - present
         mean = (present * mu + gaps * median) / rows
         var = (present * (spread + (mu - mean) ** 2) + gaps * (median - mean) ** 2) / rows
-        fits.append(NumericFit(c, median, mean, math.sqrt(var) or 1.0))
+        if stats.also[f"low {c}"] == stats.also[f"high {c}"]:
+            mean, var = median, 0.0
+        noise = rows * sys.float_info.epsilon
+        fits.append(NumericFit(c, median, mean, 1.0 if var <= noise * var + (noise * mean) ** 2 else math.sqrt(var)))
     return fits
 
 
@@ -77,25 +85,52 @@ def category_counts(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def fit_categorical(
-    df: DataFrame, names: Sequence[str], max_categories: int = MAX_CATEGORIES
-) -> list[CategoryFit]:
-    """Sorted categories and the most frequent one, the smallest among ties."""
+def fit_categorical(df: DataFrame, names: Sequence[str]) -> list[CategoryFit]:
+    """Sorted categories and the most frequent one, the smallest among ties.
+
+    The categories become names of the model's features and so go to the driver. To number
+    the values of a column without that, see category_index.
+    """
     if not names:
         return []
-    found = category_counts(df, names).limit(max_categories + 1).collect()
-    if len(found) > max_categories:
-        raise ValueError(f"More than {max_categories} categories in {list(names)}; one-hot needs fewer.")
+    by_feature: dict[str, list] = {c: [] for c in names}
+    for r in category_counts(df, names).toLocalIterator():
+        by_feature[r["feature"]].append((r["value"], r["rows"]))
     fits = []
     for c in names:
-        counted = [(r["value"], r["rows"]) for r in found if r["feature"] == c]
+        counted = by_feature[c]
         if not counted:
-            raise ValueError(f"Categorical feature '{c}' has no values to fit on.")
+            raise ValueError(f"Categorical feature '{c}' is missing on every row; nothing can be encoded.")
         fill = min(counted, key=lambda vr: (-vr[1], vr[0]))[0]
         fits.append(CategoryFit(c, fill, tuple(sorted(v for v, _ in counted))))
     return fits
 
 
+def category_index(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(feature, value, index): the place of each value among its column's sorted values, from 0.
+
+    Values are numbered within groups of equal first letters, and only the sizes of the groups are added
+    up in one task.
+    """
+    found = category_counts(df, names).select("feature", "value", F.substring("value", 1, PREFIX).alias("head"))
+    group = Window.partitionBy("feature", "head").orderBy("value")
+    before = Window.partitionBy("feature").orderBy("head").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = found.groupBy("feature", "head").agg(F.count(F.lit(1)).alias("size"))
+    sizes = sizes.select("feature", "head", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
+    numbered = found.withColumn("place", F.row_number().over(group) - 1)
+    return numbered.join(sizes, ["feature", "head"]).select("feature", "value", (F.col("start") + F.col("place")).alias("index"))
+
+
+def encode_index(df: DataFrame, column: str, index: DataFrame) -> DataFrame:
+    """df with `index`, the 0-based category of a column: a one-hot vector as its only non-zero place.
+
+    Missing and unseen values have NULL. The lookup is joined, however many categories it holds.
+    """
+    own = index.where(F.col("feature") == column).select(F.col("value").alias("__value"), "index")
+    rows = df.withColumn("__value", named(column).cast("string"))
+    return lookup_join(rows, own, "__value", known_unique=True).select(*[named(c) for c in df.columns], "index")
+
+
 def impute_numeric(df: DataFrame, fits: Sequence[NumericFit]) -> DataFrame:
     """Median in place of a missing number."""
     return df.withColumns(
@@ -153,14 +188,23 @@ class FittedPreprocessor:
         made = [F.expr(text).alias(name) for text, name in zip(self.expressions(), self.feature_names)]
         return df.select(*keep, *made)
 
-    def stages(self) -> list:
-        """The same projection as ML stages that add one feature vector column."""
-        parts = [f"__f{i}" for i in range(len(self.feature_names))]
-        made = ", ".join(f"{text} AS {part}" for text, part in zip(self.expressions(), parts))
-        return [
-            SQLTransformer(statement=f"SELECT *, {made} FROM __THIS__"),
-            VectorAssembler(inputCols=parts, outputCol=ASSEMBLED),
-        ]
+    def stages(self, spark: SparkSession) -> list:
+        """ML stages that add one feature vector column, in the order of feature_names.
+
+        A category is looked up by hash and becomes one place of a sparse vector, so that the cost of a row
+        does not grow with the number of categories.
+        """
+        numbers = [f"__f{i}" for i in range(len(self.numeric))]
+        values, places, vectors = ([f"__{kind}{i}" for i in range(len(self.categorical))] for kind in ("fk", "fi", "fv"))
+        filled = [f"coalesce(cast({_quoted(f.name)} as string), {sql_string(f.fill)})" for f in self.categorical]
+        made = [f"{text} AS {name}" for text, name in zip([*self.expressions()[: len(numbers)], *filled], numbers + values)]
+        stages = [SQLTransformer(statement=f"SELECT *, {', '.join(made)} FROM __THIS__")]
+        if values:
+            # an unseen value gets the place after the last, which the encoder drops
+            lookups = [StringIndexerModel.from_labels(list(f.categories), v, p, "keep") for f, v, p in zip(self.categorical, values, places)]
+            sample = PipelineModel(lookups).transform(spark.createDataFrame([], ", ".join(f"{v} string" for v in values)))
+            stages += [*lookups, OneHotEncoder(inputCols=places, outputCols=vectors, dropLast=True).fit(sample)]
+        return [*stages, VectorAssembler(inputCols=numbers + vectors, outputCol=ASSEMBLED)]
 
     def to_json(self) -> str:
         return json.dumps(asdict(self))

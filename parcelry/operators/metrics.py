@@ -9,8 +9,9 @@ from parcelry.operators.order_stats import Wanted, order_statistics
 
 
 def metric_columns(y: Column, p: Column) -> dict[str, Column]:
-    """r2, rmse, mae and mse. r2 compares squared error with the spread of y itself."""
+    """r2, rmse, mae and mse over the rows that have both values. r2 compares squared error with the spread of y."""
     error = y - p
+    y = F.when(error.isNotNull(), y)
     squared = F.sum(error * error)
     spread = F.var_pop(y) * F.count(y)
     perfect = F.when(squared == 0, F.lit(1.0)).otherwise(F.lit(0.0))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import math
 from collections.abc import Mapping
 
 from pyspark.ml import PipelineModel
@@ -18,6 +19,11 @@ log = logging.getLogger(__name__)
 
 LABEL, RAW, LEAF = "__label", "__raw_prediction", "__leaf"
 
+#: Spark's own limit, which stands for "unlimited".
+DEEPEST = 30
+#: Candidate splits of a numeric feature for the families that would try every value.
+BINS = 256
+
 # Accepted model names and the family each one means.
 MODEL_TYPES = {
     "gradient_boosting": "gradient_boosting",
@@ -38,6 +44,8 @@ PARAMETERS = {
         "min_samples_leaf": "minInstancesPerNode",
         "max_depth": "maxDepth",
         "max_bins": "maxBins",
+        "max_leaf_nodes": "maxDepth",
+        "max_features": "featureSubsetStrategy",
     },
     "gradient_boosting": {
         "learning_rate": "stepSize",
@@ -45,12 +53,17 @@ PARAMETERS = {
         "min_samples_leaf": "minInstancesPerNode",
         "max_depth": "maxDepth",
         "subsample": "subsamplingRate",
+        "max_features": "featureSubsetStrategy",
+        "min_impurity_decrease": "minInfoGain",
     },
     "random_forest": {
         "n_estimators": "numTrees",
         "min_samples_leaf": "minInstancesPerNode",
         "max_depth": "maxDepth",
         "bootstrap": "bootstrap",
+        "max_features": "featureSubsetStrategy",
+        "min_impurity_decrease": "minInfoGain",
+        "max_samples": "subsamplingRate",
     },
     "ridge": {"alpha": "alpha", "fit_intercept": "fitIntercept", "max_iter": "maxIter", "tol": "tol"},
 }
@@ -58,8 +71,8 @@ DEFAULTS = {
     "hist_gradient_boosting": {
         "stepSize": 0.1, "maxIter": 100, "minInstancesPerNode": 20, "maxDepth": 5, "maxBins": 255,
     },
-    "gradient_boosting": {"stepSize": 0.1, "maxIter": 100, "minInstancesPerNode": 1, "maxDepth": 3},
-    "random_forest": {"numTrees": 100, "minInstancesPerNode": 1, "maxDepth": 12, "featureSubsetStrategy": "all"},
+    "gradient_boosting": {"stepSize": 0.1, "maxIter": 100, "minInstancesPerNode": 1, "maxDepth": 3, "maxBins": BINS},
+    "random_forest": {"numTrees": 100, "minInstancesPerNode": 1, "maxDepth": DEEPEST, "maxBins": BINS, "featureSubsetStrategy": "all"},
     "ridge": {"alpha": 1.0},
 }
 _CLASSES = {
@@ -76,15 +89,42 @@ def model_family(model_type: str) -> str:
     return MODEL_TYPES[model_type]
 
 
+def _spark_value(name: str, value):
+    """A hyperparameter's value as its Spark parameter takes it."""
+    if name == "max_leaf_nodes":
+        return max(1, math.ceil(math.log2(value)))
+    if name == "max_features":
+        return "all" if value == 1.0 and isinstance(value, float) else str(value)
+    if name == "max_samples":
+        return float(value)
+    return value
+
+
 def model_parameters(model_type: str, hyperparameters: Mapping | None, seed: int) -> dict:
-    """Spark parameters for the accepted hyperparameters; the others are logged and left out."""
+    """Spark parameters for the accepted hyperparameters; the others are logged as warnings and left out.
+
+    An unlimited depth, an explicit None or a forest's default, becomes Spark's limit of 30, which is logged.
+    A bound on the leaves becomes the depth that holds as many; histogram boosting starts from 31 leaves.
+    """
     family = model_family(model_type)
     accepted = PARAMETERS[family]
-    given = {k: v for k, v in dict(hyperparameters or {}).items() if v is not None}
-    ignored = sorted(set(given) - set(accepted))
+    given = dict(hyperparameters or {})
+    if given.get("max_samples") is not None and not 0 < given["max_samples"] <= 1:
+        log.warning("max_samples is a share of the rows here; %s is left out", given.pop("max_samples"))
+    ignored = sorted(k for k, v in given.items() if k not in accepted and v is not None)
     if ignored:
-        log.info("Ignoring hyperparameters that %s does not take: %s", model_type, ignored)
-    chosen = {**DEFAULTS[family], **{accepted[k]: v for k, v in given.items() if k in accepted}}
+        log.warning("%s has no counterpart for these hyperparameters, left out: %s", model_type, ignored)
+    chosen = {**DEFAULTS[family]}
+    if family != "ridge" and "max_depth" in given and given["max_depth"] is None and given.get("max_leaf_nodes") is None:
+        chosen["maxDepth"] = DEEPEST if family != "hist_gradient_boosting" else chosen["maxDepth"]
+    # a depth given besides a number of leaves is the stricter bound where it is smaller
+    named = [(accepted[k], _spark_value(k, v)) for k, v in given.items() if k in accepted and v is not None]
+    depths = [v for k, v in named if k == "maxDepth"]
+    chosen.update(named)
+    if depths:
+        chosen["maxDepth"] = min(depths)
+    if chosen.get("maxDepth") == DEEPEST:
+        log.warning("%s is unlimited in depth; trees stop at Spark's limit of %d", model_type, DEEPEST)
     if family != "ridge":
         chosen["seed"] = seed
     return chosen
@@ -137,7 +177,7 @@ def fit_model(
     use_checkpoints(spark)
     label = transform_target(F.col(target).cast("double"), target_transform).alias(LABEL)
     rows = train.select(*preprocessor.input_columns, label).filter(F.col(LABEL).isNotNull())
-    stages = preprocessor.stages()
+    stages = preprocessor.stages(spark)
     for stage in stages:
         rows = stage.transform(rows)
     ready = rows.select(ASSEMBLED, LABEL)

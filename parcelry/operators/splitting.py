@@ -11,7 +11,7 @@ from parcelry.functions.columns import hex_prefix_as_int, named
 from parcelry.operators.order_stats import Wanted, order_statistics
 from parcelry.session import held
 
-PARTS = 1000
+PARTS = 1 << 32
 
 
 def _digest(key: str, seed: int) -> Column:
@@ -19,11 +19,11 @@ def _digest(key: str, seed: int) -> Column:
 
 
 def hash_split(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows by a hash of the key, in one map step. The size is approximate.
+    """Train and test rows by a 32-bit hash of the key, in one map step. The size is approximate.
 
     Rows without a key go to train.
     """
-    part = hex_prefix_as_int(_digest(key, seed), 1, 8) % PARTS
+    part = hex_prefix_as_int(_digest(key, seed), 1, 8)
     in_test = F.coalesce(part, F.lit(PARTS)) < round(test_size * PARTS)
     return df.filter(~in_test), df.filter(in_test)
 
@@ -38,7 +38,7 @@ def exact_split(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42)
     """Train and test rows with exactly ceil(n * test_size) test rows, for a unique key.
 
     The test rows have the smallest hashes. The cut is found by rank selection over the
-    hash, so nothing is sorted. Rows that share a key share a side.
+    hash, so nothing is sorted. Rows that share a key share a side. A missing key is an error.
     """
     if "__h1" in df.columns:
         in_test = _smallest(df, test_size)
@@ -54,7 +54,10 @@ def exact_split(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42)
 def _smallest(hashes: DataFrame, share: float) -> Column:
     """Condition that exactly ceil(n * share) of n rows with distinct hashes meet."""
     h1, h2 = F.col("__h1"), F.col("__h2")
-    cut = order_statistics(hashes, {"h": Wanted(h1, (share,), "count")})
+    cut = order_statistics(hashes, {"h": Wanted(h1, (share,), "count")}, {"rows": F.count(F.lit(1))})
+    lacking = cut.also["rows"] - cut.counts["h"]
+    if lacking:
+        raise ValueError(f"exact_split needs a key on every row; {lacking} rows have none")
     if not cut.counts["h"]:
         return F.lit(False)
     at = int(cut.values["h"][0])

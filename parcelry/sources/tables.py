@@ -47,7 +47,9 @@ def jdbc_options(
     partitions: int = 1,
     fetch_rows: int = 10_000,
 ) -> dict[str, str]:
-    """Options of a partitioned JDBC read; the bounds only place the partition borders."""
+    """Options of a JDBC read. The bounds only place the partition borders; without a partition column
+    one task reads the whole table, which suits small ones.
+    """
     options = {"url": url, "dbtable": table, "fetchsize": str(fetch_rows), **(properties or {})}
     if driver:
         options["driver"] = driver
@@ -93,13 +95,14 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: b
     return raw.select(*columns)
 
 
-def store_extract(df: DataFrame, path: str, file_format: str = "csv") -> DataFrame:
+def store_extract(df: DataFrame, path: str, file_format: str = "parquet") -> DataFrame:
     """Write a table and return it as read back, so that later passes see fixed rows.
 
     Parquet lets those passes read single columns; CSV has them read every byte.
     """
     if file_format == "csv":
-        return read_csv(df.sparkSession, write_csv(df, path), df.schema)
+        # text may hold line breaks; each write task's file is read by one task
+        return read_csv(df.sparkSession, write_csv(df, path), df.schema, multi_line=True)
     df.write.mode("overwrite").format(file_format).save(path)
     return df.sparkSession.read.format(file_format).schema(df.schema).load(path)
 

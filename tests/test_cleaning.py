@@ -132,3 +132,26 @@ def test_unseen_categories_counts_values_outside_the_options(spark):
     )
     found = {tuple(r) for r in cleaning.unseen_categories(df).collect()}
     assert found == {("property_type", "MULTI_FAMILY", 2), ("vegas_district", "Henderson", 1)}
+
+
+def test_text_fields_are_validated_as_numbers(spark):
+    rows = [("abc", "99", "-5"), ("3", "2.5", "1600"), ("", None, "NaN"), ("2.5", " 2 ", "10")]
+    df = spark.createDataFrame(rows, "bedrooms string, bathrooms string, livingarea string").withColumn("propertytype", F.lit("CONDO"))
+    found = [r["errors"] for r in cleaning.with_errors(df).collect()]
+    assert found == [
+        ["bedrooms: must be a number", "bathrooms: must be <= 20", "livingarea: must be > 0"],
+        [],
+        ["bedrooms: required", "bathrooms: required", "livingarea: must be a number"],
+        ["bedrooms: must be a whole number"],
+    ]
+
+
+def test_nan_is_missing_and_nothing_else(spark):
+    df = spark.createDataFrame([(float("nan"), 1.0, 100.0, "CONDO")], "bedrooms double, bathrooms double, livingarea double, propertytype string")
+    assert cleaning.with_errors(df).first()["errors"] == ["bedrooms: required"]
+
+
+def test_equal_dates_give_the_same_row_whatever_the_partitioning(spark):
+    rows = [(1, "2026-01-01", v) for v in ("a", "b", "c")]
+    df = spark.createDataFrame(rows, "property_id long, snapshot_date string, note string")
+    assert len({cleaning.latest_per_key(df.repartition(n)).first()["note"] for n in (1, 2, 3, 5)}) == 1

@@ -55,8 +55,6 @@ def test_most_frequent_category_takes_the_smallest_of_a_tie(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), ("c",), (None,)], "k string")
     fit = features.fit_categorical(df, ["k"])[0]
     assert (fit.fill, fit.categories) == ("a", ("a", "b", "c"))
-    with pytest.raises(ValueError, match="More than 2"):
-        features.fit_categorical(df, ["k"], max_categories=2)
 
 
 def test_one_hot_gives_zeros_for_unseen_and_missing(spark):
@@ -71,6 +69,33 @@ def test_projection_and_ml_stages_agree_even_for_awkward_names(spark):
     fitted = features.Preprocessor(["a.b c"], ["kind"]).fit(df)
     assert features.FittedPreprocessor.from_json(fitted.to_json()) == fitted
     plain = [tuple(r) for r in fitted.transform(df).collect()]
-    staged = PipelineModel(fitted.stages()).transform(df).select(features.ASSEMBLED).collect()
+    staged = PipelineModel(fitted.stages(spark)).transform(df).select(features.ASSEMBLED).collect()
     assert [tuple(r[0].toArray()) for r in staged] == plain
     assert plain[2][1:] == (0.0, 1.0)
+
+
+@pytest.mark.parametrize("value, rows, gaps", [(36.1699, 100, 37), (0.1, 3, 4)])
+def test_constant_column_with_gaps_scales_by_one(spark, value, rows, gaps):
+    df = spark.createDataFrame([(value,)] * rows + [(None,)] * gaps, "x double")
+    assert features.fit_numeric(df, ["x"])[0] == features.NumericFit("x", value, value, 1.0)
+
+
+def test_many_categories_become_sparse_places(spark):
+    df = spark.range(20_000).select("id", (F.col("id") % 10_000).cast("string").alias("k"))
+    fitted = features.Preprocessor([], ["k"]).fit(df)
+    rows = df.unionAll(spark.createDataFrame([(-1, "unseen"), (-2, None)], "id long, k string"))
+    made = PipelineModel(fitted.stages(spark)).transform(rows).select("id", "k", features.ASSEMBLED)
+    found = {r["id"]: (r["k"], r[2].indices.tolist(), r[2].size) for r in made.where("id < 50").collect()}
+    order = fitted.categorical[0].categories
+    assert found[-1][1:] == ([], 10_000) and order[found[-2][1][0]] == fitted.categorical[0].fill
+    assert all(order[found[i][1][0]] == str(i) for i in range(50))
+
+
+def test_index_is_the_place_among_sorted_values(spark):
+    values = ["b", "a", "abc", "abcd", "abd", "", "é", "a", None, "ab"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, k string")
+    index = features.category_index(df, ["k"])
+    order = sorted(set(v for v in values if v is not None))
+    assert {r["value"]: r["index"] for r in index.collect()} == {v: i for i, v in enumerate(order)}
+    found = {r["id"]: r["index"] for r in features.encode_index(df, "k", index).collect()}
+    assert found == {i: None if v is None else order.index(v) for i, v in enumerate(values)}

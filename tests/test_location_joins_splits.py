@@ -90,3 +90,11 @@ def test_rows_that_share_a_key_share_a_side(spark):
     train, test = splitting.exact_split(df, "id", 0.5)
     assert not {r[0] for r in train.distinct().collect()} & {r[0] for r in test.distinct().collect()}
     assert train.count() + test.count() == 300
+
+
+def test_small_shares_and_missing_keys(spark):
+    df = spark.range(20_000)
+    assert 1 <= splitting.hash_split(df, "id", test_size=0.0004)[1].count() <= 25
+    keyed = spark.range(10).select("id").unionAll(spark.range(10).select(F.lit(None).cast("long")))
+    with pytest.raises(ValueError, match="10 rows have none"):
+        splitting.exact_split(keyed, "id")

@@ -78,7 +78,7 @@ def test_forest_bounds_match_the_trees_one_by_one(spark, transform):
     trained = fit(spark, df, "random_forest", {"n_estimators": 7, "max_depth": 4}, transform)
     scored = scoring.score_table(df, trained).orderBy("property_id").toPandas()
     ready = df.orderBy("property_id")
-    for stage in trained.model.stages[:2]:
+    for stage in trained.model.stages[:-2]:
         ready = stage.transform(ready)
     by_tree = []
     for i, tree in enumerate(models.inner_model(trained.model).trees):
@@ -160,3 +160,30 @@ def test_scoring_keeps_original_columns_and_fills_only_for_the_model(spark, tmp_
         scoring.score_table(requests, trained, on_missing_location="guess")
     path = jobs.score_job(requests, trained, str(tmp_path / "scored"))
     assert tables.read_csv(spark, path, scored.schema).orderBy("id").collect() == scored.orderBy("id").collect()
+
+
+@pytest.mark.parametrize(
+    "family, given, expected",
+    [
+        ("random_forest", {}, {"maxDepth": 30, "maxBins": 256, "featureSubsetStrategy": "all"}),
+        ("random_forest", {"max_depth": None}, {"maxDepth": 30}),
+        ("random_forest", {"max_features": "sqrt", "min_impurity_decrease": 0.1, "max_samples": 0.5}, {"featureSubsetStrategy": "sqrt", "minInfoGain": 0.1, "subsamplingRate": 0.5}),
+        ("random_forest", {"max_features": 0.5}, {"featureSubsetStrategy": "0.5"}),
+        ("random_forest", {"max_features": 1.0}, {"featureSubsetStrategy": "all"}),
+        ("gradient_boosting", {"max_depth": None, "max_features": 3}, {"maxDepth": 30, "featureSubsetStrategy": "3", "maxBins": 256}),
+        ("hist_gradient_boosting", {"max_leaf_nodes": 63}, {"maxDepth": 6}),
+        ("hist_gradient_boosting", {"max_leaf_nodes": 63, "max_depth": 4}, {"maxDepth": 4}),
+        ("hist_gradient_boosting", {"max_depth": None}, {"maxDepth": 5}),
+    ],
+)
+def test_hyperparameters_reach_spark(family, given, expected):
+    chosen = models.model_parameters(family, given, 42)
+    assert {k: chosen[k] for k in expected} == expected
+    models.make_estimator(family, given, 42)
+
+
+def test_what_has_no_counterpart_is_warned_about(caplog):
+    with caplog.at_level("WARNING"):
+        chosen = models.model_parameters("hist_gradient_boosting", {"l2_regularization": 0.1}, 42)
+        models.model_parameters("random_forest", {"max_samples": 50}, 42)
+    assert "l2_regularization" in caplog.text and "max_samples" in caplog.text and "l2_regularization" not in chosen

@@ -70,3 +70,9 @@ def test_jdbc_options_partition_the_read():
     }
     with pytest.raises(ValueError, match="bounds"):
         tables.jdbc_options("jdbc:x:y", "t", partition_column="property_id")
+
+
+def test_a_csv_extract_keeps_line_breaks(spark, tmp_path):
+    df = spark.createDataFrame([(1, "12 Main\nApt 4"), (2, 'a "b", c')], "id long, note string")
+    found = tables.store_extract(df, str(tmp_path / "extract"), "csv")
+    assert sorted(found.collect()) == sorted(df.collect())
