@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from parcelry.contract import NUMERIC_FEATURES
+from parcelry.operators import drift
 from checks import queries as q
 
 LISTINGS = """lines AS (
@@ -375,6 +376,20 @@ SELECT round(avg(abs(actual - prediction)) FILTER (WHERE actual <= cut), 4) AS c
 SELECT psi, current_rows FROM scored""",
     "drift_verdict": verdict(f" * {q.RAISED}::DOUBLE"),
     "refresh_job": verdict(""),
+    "verdict_no_reference": f"""SELECT false AS should_retrain, NULL::DOUBLE AS psi, 0.01::DOUBLE AS psi_threshold,
+       'no_reference' AS drift_level, count(*) AS current_row_count, NULL::BIGINT AS reference_row_count,
+       round(median(o_totalprice), 4) AS current_price_median, NULL::DOUBLE AS reference_price_median,
+       NULL::VARCHAR AS reference_snapshot_date, strftime(max(o_orderdate), '%Y-%m-%d') AS current_snapshot_date,
+       '{drift.FIRST_RUN}' AS reason FROM orders WHERE {LATE}""",
+    "verdict_unknown": f"""SELECT false AS should_retrain, NULL::DOUBLE AS psi, 0.01::DOUBLE AS psi_threshold,
+       'unknown' AS drift_level, count(*) AS current_row_count, (SELECT count(*) FROM orders WHERE {EARLY}) AS reference_row_count,
+       round(median(o_totalprice), 4) AS current_price_median, 100.0::DOUBLE AS reference_price_median,
+       (SELECT strftime(max(o_orderdate), '%Y-%m-%d') FROM orders WHERE {EARLY}) AS reference_snapshot_date,
+       strftime(max(o_orderdate), '%Y-%m-%d') AS current_snapshot_date,
+       '{drift.NOT_COMPUTED}' AS reason FROM orders WHERE {LATE}""",
+    "psi_guards": f"""SELECT unnest(['constant', 'few']) AS case_name, NULL::DOUBLE AS psi, count(*) AS reference_rows
+FROM orders WHERE {EARLY}""",
+    "snapshot_replaced": SNAPSHOT,
     "impute_median": f"""WITH {FILLED} SELECT property_id,
   {", ".join(f"round({c}, 6) AS {c}" for c in NUMERIC_FEATURES)} FROM filled""",
     "standard_scale": f"WITH {FILLED} SELECT property_id, {SCALED} FROM filled, spread",

@@ -334,6 +334,39 @@ def refresh_job(spark, folder):
     return _verdict(jobs.refresh_job(spark, current, path))
 
 
+def verdict_no_reference(spark, folder):
+    """The verdict of a first run."""
+    return _verdict(drift.drift_verdict(_by_date(spark, folder)[1], None))
+
+
+def verdict_unknown(spark, folder):
+    """The verdict against a snapshot of one price, which has no usable edges."""
+    reference, current = _by_date(spark, folder)
+    flat = drift.take_snapshot(reference.withColumn("price", F.lit(100.0)))
+    return _verdict(drift.drift_verdict(current, flat))
+
+
+def psi_guards(spark, folder):
+    """No psi for a constant reference, nor for fewer than ten values on a side."""
+    reference, current = _by_date(spark, folder)
+    few = current.filter("property_id < 20").limit(9)
+    cases = [
+        ("constant", drift.psi(reference.withColumn("price", F.lit(1.0)), current, F.col("price"))),
+        ("few", drift.psi(reference, few, F.col("price"))),
+    ]
+    found = [df.select(F.lit(name).alias("case_name"), "psi", "reference_rows") for name, df in cases]
+    return found[0].unionByName(found[1])
+
+
+def snapshot_replaced(spark, folder):
+    """The snapshot that a refresh leaves after prices far from the stored ones asked for retraining."""
+    reference, current = _by_date(spark, folder)
+    path = new_shared_path(spark, "snapshots")
+    snapshots.save_snapshot(spark, path, drift.take_snapshot(current.withColumn("price", F.col("price") * 3)))
+    jobs.refresh_job(spark, reference, path)
+    return _snapshot_rows(drift.snapshot_frame(spark, snapshots.load_snapshot(spark, path)))
+
+
 # Features
 
 
@@ -629,7 +662,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         price_summary, quantiles, quantiles_by_cuts, histogram, order_stat_higher,
         regression_metrics, regression_metrics_missing, cheap_segment_mae,
         psi, price_psi, price_psi_by_cuts, drift_snapshot, snapshot_roundtrip, psi_vs_snapshot,
-        drift_verdict, refresh_job,
+        drift_verdict, refresh_job, verdict_no_reference, verdict_unknown, psi_guards, snapshot_replaced,
         impute_median, standard_scale, impute_mode, one_hot, one_hot_unseen, one_hot_index, scale_constant, preprocess,
         target_transform, calibrate_interval, calibrate_interval_by_cuts, apply_interval,
         apply_interval_legacy, interval_margin, train_ridge_one_feature, score_table, score_job_csv,

@@ -34,11 +34,13 @@ def load_snapshot(spark: SparkSession, path: str) -> dict | None:
 def read_snapshot_document(spark: SparkSession, path: str) -> dict | None:
     """A snapshot kept as one JSON document in a file of its own, or None if absent."""
     try:
-        found = spark.read.schema(SNAPSHOT_SCHEMA).option("multiLine", "true").json(path).limit(1).collect()
+        found = spark.read.schema(SNAPSHOT_SCHEMA).option("multiLine", "true").json(path).limit(2).collect()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
+    if len(found) > 1:
+        raise ValueError(f"{path} holds several snapshots; name the file of one")
     return found[0].asDict() if found else None
 
 
