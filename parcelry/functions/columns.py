@@ -1,4 +1,4 @@
-"""Column expressions shared by the operators. All stay in generated JVM code."""
+"""Column expressions shared by the operators. All run in the JVM; Bucketizer's lookup is a function per row."""
 
 from __future__ import annotations
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -22,6 +23,8 @@ from parcelry.contract import (
 )
 from parcelry.functions.columns import is_present, named
 
+log = logging.getLogger(__name__)
+
 
 def latest_per_key(
     df: DataFrame, key: str = "property_id", date: str = "snapshot_date", tiebreak: Sequence[str] = ()
@@ -77,8 +80,9 @@ def remove_outliers(df: DataFrame, options: TrainingOptions, seen: Observation |
     if not options.handle_outliers:
         return df
     if options.target not in df.columns:
-        raise ValueError(f"Target column '{options.target}' is missing from dataset.")
+        raise ValueError(f"remove_outliers needs the price column '{options.target}', which the table lacks")
     if "living_area" not in df.columns:
+        log.warning("living_area is absent; no outliers are removed")
         return df
     keep = outlier_condition(options)
     if seen is not None:
@@ -94,8 +98,11 @@ def select_training_columns(df: DataFrame, target: str = TARGET, extra: Sequence
 
 
 def clean(df: DataFrame, options: TrainingOptions, keep: Sequence[str] = ()) -> DataFrame:
-    """Deduplicate raw rows, drop non-model columns, exclude types, cast numerics."""
-    rows = drop_non_model_columns(drop_duplicate_rows(df), keep)
+    """Deduplicate raw rows, drop non-model columns, exclude types, cast numerics.
+
+    With dedup_columns in the options only those are read and compared; name every column training needs.
+    """
+    rows = drop_non_model_columns(drop_duplicate_rows(df, options.dedup_columns or None), keep)
     return cast_numeric(exclude_types(rows, options.exclude_property_types))
 
 

@@ -161,7 +161,7 @@ def _log1p(spark: SparkSession, values: list[float]) -> list[float]:
 def take_snapshot(df: DataFrame, bins: int = BINS) -> dict:
     """Summary of the prices that later checks compare against."""
     if TARGET not in df.columns:
-        raise ValueError(f"Column '{TARGET}' not found. Available columns: {df.columns}")
+        raise ValueError(f"The drift check needs the column '{TARGET}'; the table has {df.columns}")
     price = without_nan(F.col(TARGET).cast("double"))
     wanted = Wanted(price, linear_grid(bins) + (0.5,))
     stats = order_statistics(
@@ -174,7 +174,7 @@ def take_snapshot(df: DataFrame, bins: int = BINS) -> dict:
     if lowest is not None and lowest <= -1:
         raise ValueError(f"A price of {lowest} has no log1p; take_snapshot needs prices above -1, so drop such rows first")
     if not n:
-        raise ValueError(f"Column '{TARGET}' has no values to build a snapshot from.")
+        raise ValueError(f"take_snapshot found no value in '{TARGET}'; pass rows with prices")
     *raw, median = stats.values["price"]
     log_by_rank = dict(zip(by_rank, _log1p(df.sparkSession, list(by_rank.values()))))
     edges = distinct_edges([wanted.value(n, q, log_by_rank) for q in linear_grid(bins)])
@@ -229,7 +229,7 @@ def drift_verdict(df: DataFrame, snapshot: dict | None, threshold: float = MODER
     Retraining needs a high or moderate level as well as psi at or above the threshold.
     """
     if TARGET not in df.columns:
-        raise ValueError(f"Column '{TARGET}' not found. Available columns: {df.columns}")
+        raise ValueError(f"The drift check needs the column '{TARGET}'; the table has {df.columns}")
     spark = df.sparkSession
     facts = order_statistics(
         df,

@@ -253,5 +253,5 @@ class Preprocessor:
 
     def _ready(self, step: str) -> FittedPreprocessor:
         if self.fitted is None:
-            raise RuntimeError(f"Preprocessor must be fitted before {step}.")
+            raise RuntimeError(f"Call fit first: {step} needs a fitted preprocessor")
         return self.fitted

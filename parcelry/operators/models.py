@@ -85,7 +85,7 @@ _CLASSES = {
 
 def model_family(model_type: str) -> str:
     if model_type not in MODEL_TYPES:
-        raise ValueError(f"Unsupported model_type '{model_type}'.")
+        raise ValueError(f"model_type '{model_type}' is unknown; choose one of {sorted(MODEL_TYPES)}")
     return MODEL_TYPES[model_type]
 
 
@@ -196,7 +196,7 @@ def feature_importance(spark: SparkSession, model: PipelineModel, names: list[st
     """Most important features first; a tie goes by name. Linear models have none."""
     inner = inner_model(model)
     if not hasattr(inner, "featureImportances"):
-        raise ValueError("Model does not support feature importances.")
+        raise ValueError("importances are kept by tree models only; this one has none")
     rows = list(zip(names, [float(v) for v in inner.featureImportances.toArray()]))
     table = spark.createDataFrame(rows, "feature string, importance double")
     return table.orderBy(F.desc("importance"), "feature").limit(top)

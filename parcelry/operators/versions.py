@@ -43,8 +43,8 @@ def resolve_version(
         return int(version)
     found = latest_versions(versions.filter(F.col("model_name") == model_name), stage).first()
     if found is None:
-        at = f" at stage '{stage}'." if stage else "."
-        raise ValueError(f"No versions found for model '{model_name}'{at}")
+        at = f" in stage '{stage}'" if stage else ""
+        raise ValueError(f"Model '{model_name}' has no version{at}; register one or name the version wanted")
     return found["version"]
 
 

@@ -39,7 +39,7 @@ def refresh_job(
     properties: DataFrame,
     snapshot_path: str,
     extract_path: str | None = None,
-    extract_format: str = "csv",
+    extract_format: str = "parquet",
     threshold: float = MODERATE,
     bins: int = BINS,
 ) -> DataFrame:

@@ -47,10 +47,10 @@ def save_model(spark: SparkSession, trained: TrainedModel, path: str) -> str:
 def load_model(spark: SparkSession, path: str) -> TrainedModel:
     """Load a saved model. Only the metadata may be absent."""
     if _read_text(spark, f"{path}/model/metadata") is None:
-        raise FileNotFoundError(f"Model not found: {path}/model")
+        raise FileNotFoundError(f"No saved model at {path}/model; save_model writes one")
     constants = _read_text(spark, f"{path}/preprocessor")
     if constants is None:
-        raise FileNotFoundError(f"Preprocessor not found: {path}/preprocessor")
+        raise FileNotFoundError(f"No saved preprocessor at {path}/preprocessor; save_model writes one")
     metadata = _read_text(spark, f"{path}/metadata")
     if metadata is None:
         log.warning("No metadata at %s; continuing without.", path)
