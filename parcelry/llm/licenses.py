@@ -9,10 +9,10 @@ share of their distinct shingles that the window has must reach NEAR.
 
 A band can only be shared over a template's shingle, so texts and windows without any are passed over before
 signing. Templates are a query set and go into the plan in blocks of at most BLOCK_SHINGLES shingles; each block scans
-the texts once, and nothing but the few candidates is shuffled.
+the texts once, keeps those with any of its shingles in the shared folder, and shuffles nothing but the few candidates.
 
 Defined cases: null texts and templates hold nothing; fewer words than five are one shingle of all of them and
-match only a text of these words; repeated templates each report; repeated rows are reported once each with the best window;
+match only a text of these words; templates of one name report once, by the best; repeated rows are reported once each with the best window;
 whole texts are read; other columns are ignored.
 """
 
@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelry.llm.common import NEAR, SHINGLE_WORDS
+from parcelry.llm.common import NEAR, SHINGLE_WORDS, stored
 
 LEAST_WORDS = 8
 MISS = 1e-7
@@ -94,12 +94,13 @@ def scan(docs: DataFrame, known: DataFrame, key: str = "doc_id", name: str = "te
     rows = listed.where(F.size("grams") > 0).orderBy(name).collect()
     if not rows:
         return docs.limit(0).select(key, F.lit(None).cast(known.schema[name].dataType).alias(name), F.lit(None).cast("double").alias("containment"))
-    numbered = F.monotonically_increasing_id()
+    numbered = F.monotonically_increasing_id()  # stands in the kept table of a block
     texts = docs.where(F.col("text").isNotNull()).select(F.col(key).alias("key"), numbered.alias("row"), "text")
     found = None
     for block in _blocks(rows):
         every = F.lit([int(g) for g in sorted({g for r in block for g in r["grams"]})]).cast("array<bigint>")
-        grams = texts.select("key", "row", shingles(F.col("text")).alias("grams")).where(F.arrays_overlap("grams", every))
+        # the few texts with any shingle of the block, kept so that the classes do not scan all texts again
+        grams = stored(texts.select("key", "row", shingles(F.col("text")).alias("grams")).where(F.arrays_overlap("grams", every)), "licensed")
         by_class: dict[int, list] = {}
         for r in block:
             by_class.setdefault(LEAST_WORDS << max(0, math.ceil(math.log2(r["n"] / LEAST_WORDS))), []).append(r)
