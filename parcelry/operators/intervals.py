@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelry.functions.columns import is_present, pick_by_edges, sorted_array_quantile
+from parcelry.operators.metrics import CHEAP, metric_columns
 from parcelry.operators.order_stats import GAP_ROWS, Wanted, linear_grid, order_statistics
 
 log = logging.getLogger(__name__)
@@ -49,9 +50,26 @@ def calibrate_interval(
     gap_rows: int = GAP_ROWS,
 ) -> dict:
     """Error quantile of each predicted-value segment; small segments use the overall one."""
+    return evaluate_and_calibrate(df, actual, predicted, segments, alpha, min_rows, gap_rows)[1]
+
+
+def evaluate_and_calibrate(
+    df: DataFrame,
+    actual: str,
+    predicted: str,
+    segments: int = SEGMENTS,
+    alpha: float = ALPHA,
+    min_rows: int = MIN_SEGMENT_ROWS,
+    gap_rows: int = GAP_ROWS,
+) -> tuple[dict, dict]:
+    """The evaluation metrics and the interval of the rows that have both values.
+
+    The metrics are aggregated in the first pass of the rank search, which also finds the cheap segment's
+    cutoff; its mean error comes with the first pass of the segments' search.
+    """
     y, p = F.col(actual).cast("double"), F.col(predicted).cast("double")
     pairs = df.filter(is_present(y) & is_present(p)).select(
-        non_negative(p).alias("p"), relative_error(y, p).alias("error")
+        y.alias("y"), p.alias("raw"), non_negative(p).alias("p"), relative_error(y, p).alias("error")
     )
     coverage = 1 - alpha
     overall = order_statistics(
@@ -59,24 +77,27 @@ def calibrate_interval(
         {
             "edges": Wanted(F.col("p"), linear_grid(segments)[1:-1]),
             "error": Wanted(F.col("error"), (coverage,), "higher"),
+            "cheap": Wanted(F.col("y"), (CHEAP,)),
         },
+        metric_columns(F.col("y"), F.col("raw")),
         gap_rows=gap_rows,
     )
     if not overall.counts["error"]:
-        raise ValueError("No rows to calibrate an interval on.")
+        raise ValueError("Nothing to calibrate on: an interval needs rows with both a price and a prediction")
     edges = list(accumulate(overall.values["edges"], max))
-    everywhere = overall.values["error"][0]
+    everywhere, cutoff = overall.values["error"][0], overall.values["cheap"][0]
     segment = pick_by_edges(F.col("p"), edges, list(range(segments)))
-    placed = pairs.select(segment.alias("segment"), "error")
     each = order_statistics(
-        placed,
+        pairs.select(segment.alias("segment"), "error", "y", "raw"),
         {
             f"segment {i}": Wanted(F.when(F.col("segment") == i, F.col("error")), (coverage,), "higher")
             for i in range(segments)
         },
+        {"cheap_segment_mae": F.avg(F.when(F.col("y") <= F.lit(cutoff), F.abs(F.col("y") - F.col("raw"))))},
         gap_rows=gap_rows,
     )
-    return {
+    metrics = {**overall.also, "cheap_segment_mae": each.also["cheap_segment_mae"], "cheap_segment_cutoff_p25": cutoff}
+    return metrics, {
         "method": METHOD,
         "alpha": alpha,
         "coverage": coverage,

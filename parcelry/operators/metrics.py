@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from parcelry.operators.order_stats import Wanted, order_statistics
 
+# Fixed value: the quantile of the price up to which rows count as cheap.
+CHEAP = 0.25
+
 
 def metric_columns(y: Column, p: Column) -> dict[str, Column]:
     """r2, rmse, mae and mse over the rows that have both values. r2 compares squared error with the spread of y."""
@@ -31,7 +34,7 @@ def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 def evaluation_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """Regression metrics plus the mean error over rows priced at or below the 25th percentile."""
     y, p = F.col(actual).cast("double"), F.col(predicted).cast("double")
-    cutoff = order_statistics(df, {"y": Wanted(y, (0.25,))}).values["y"]
+    cutoff = order_statistics(df, {"y": Wanted(y, (CHEAP,))}).values["y"]
     columns = metric_columns(y, p)
     if cutoff:
         columns["cheap_segment_mae"] = F.avg(F.when(y <= F.lit(cutoff[0]), F.abs(y - p)))

@@ -13,8 +13,7 @@ from parcelry.functions.columns import nan_to_null
 from parcelry.operators.cleaning import clean, remove_outliers, select_training_columns
 from parcelry.operators.drift import BINS, MODERATE, drift_verdict, take_snapshot
 from parcelry.operators.features import Preprocessor
-from parcelry.operators.intervals import calibrate_interval
-from parcelry.operators.metrics import evaluation_metrics
+from parcelry.operators.intervals import evaluate_and_calibrate
 from parcelry.operators.models import fit_model, inner_model
 from parcelry.operators.scoring import score_table
 from parcelry.operators.splitting import exact_split, with_split_hash
@@ -30,7 +29,7 @@ from parcelry.operators.versions import (
 )
 from parcelry.sources.models import TrainedModel
 from parcelry.sources.snapshots import load_snapshot, save_snapshot
-from parcelry.session import held, use_checkpoints
+from parcelry.session import held, new_shared_path, use_checkpoints
 from parcelry.sources.tables import scan_priced, store_extract, write_csv
 
 
@@ -79,33 +78,36 @@ def training_rows(properties: DataFrame, options: TrainingOptions) -> DataFrame:
 
 
 def train_job(spark: SparkSession, properties: DataFrame, options: TrainingOptions = TrainingOptions()) -> TrainingResult:
-    """Clean, split, fit, evaluate and calibrate one candidate model."""
+    """Clean, split, fit, evaluate and calibrate one candidate model.
+
+    The cleaned rows are written once to the shared folder: every pass reads single columns of them, and
+    a lost executor does not bring the deduplication back.
+    """
     cleaned = training_rows(scan_priced(properties, options.target), options)
-    with held(with_split_hash(cleaned, options.split_key, options.seed)) as rows:
-        train, test = exact_split(rows, options.split_key, options.test_size, options.seed)
-        preprocessor = Preprocessor().fit(train, hold=False)
-        model = fit_model(
-            spark, train, preprocessor, options.target, options.model_type,
-            options.hyperparameters, options.seed, options.target_transform,
-        )
-        outcome = model.transform(test).select(F.col(options.target).alias("actual"), "prediction")
-        with held(outcome) as scored:
-            metrics = evaluation_metrics(scored, "actual", "prediction").first().asDict()
-            interval = calibrate_interval(scored, "actual", "prediction")
-            test_size = scored.count()
-        metadata = {
-            "model_type": type(inner_model(model)).__name__,
-            "model_key": options.model_type,
-            "target_transform": options.target_transform,
-            "hyperparameters": dict(options.hyperparameters),
-            "test_metrics": metrics,
-            "val_metrics": None,
-            "feature_names": preprocessor.feature_names,
-            "prediction_interval": interval,
-            "train_size": rows.count() - test_size,
-            "val_size": 0,
-            "test_size": test_size,
-        }
+    rows = store_extract(with_split_hash(cleaned, options.split_key, options.seed), new_shared_path(spark, "training"))
+    train, test = exact_split(rows, options.split_key, options.test_size, options.seed)
+    preprocessor = Preprocessor().fit(train, hold=False)
+    model = fit_model(
+        spark, train, preprocessor, options.target, options.model_type,
+        options.hyperparameters, options.seed, options.target_transform,
+    )
+    outcome = model.transform(test).select(F.col(options.target).alias("actual"), "prediction")
+    with held(outcome) as scored:
+        metrics, interval = evaluate_and_calibrate(scored, "actual", "prediction")
+    test_size = interval["calibration_size"]
+    metadata = {
+        "model_type": type(inner_model(model)).__name__,
+        "model_key": options.model_type,
+        "target_transform": options.target_transform,
+        "hyperparameters": dict(options.hyperparameters),
+        "test_metrics": metrics,
+        "val_metrics": None,
+        "feature_names": preprocessor.feature_names,
+        "prediction_interval": interval,
+        "train_size": rows.count() - test_size,
+        "val_size": 0,
+        "test_size": test_size,
+    }
     return TrainingResult(TrainedModel(model, preprocessor, metadata), metrics, uuid.uuid4().hex)
 
 

@@ -118,3 +118,13 @@ def test_r2_is_not_squared_correlation(spark):
     df = spark.createDataFrame([(float(a), float(2 * a + 1)) for a in y], "y double, p double")
     expected = 1 - ((y + 1) ** 2).sum() / ((y - y.mean()) ** 2).sum()
     assert metrics.regression_metrics(df, "y", "p").first()["r2"] == pytest.approx(expected)
+
+
+def test_metrics_and_interval_of_one_search_equal_those_apart(spark):
+    df = spark.range(1, 200).select(
+        F.when(F.col("id") % 17 != 0, F.col("id") * 1000.0).alias("y"), (F.col("id") * (700.0 + F.col("id") % 7 * 100)).alias("p")
+    )
+    together, interval = intervals.evaluate_and_calibrate(df, "y", "p")
+    apart = metrics.evaluation_metrics(df, "y", "p").first().asDict()
+    assert {k: pytest.approx(v, rel=1e-12) for k, v in apart.items()} == together
+    assert interval == intervals.calibrate_interval(df, "y", "p")
