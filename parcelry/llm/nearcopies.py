@@ -7,9 +7,10 @@ texts keep the same one with the probability of their weighted Jaccard likeness.
 DARTS / weight are thrown, farther ones only for texts that have left a coordinate empty.
 
 Texts that agree on a band of ROWS coordinates share a bucket and are candidates. Equal texts are first
-collapsed. In each bucket texts are held against a few leaders, drawn by hash anew for each bucket and
-round; the links found join texts to components, and a later round looks only at buckets that still span
-several. After ROUNDS rounds the texts of different components in a bucket, few by then, are paired. Pairs whose
+collapsed. In each bucket texts are held against a few leaders, the one that meets most others and some drawn by
+hash; the links found join texts to components, and what follows looks only at buckets that still span
+several. After ROUNDS rounds the texts outside a bucket's largest component, few by then, are paired with the
+bucket's others. Pairs whose
 sketches (8 bits of each coordinate) can't belong to near texts are passed over; every other one is verified by
 the exact likeness of the weighted sets. A group is a connected component of links.
 
@@ -24,7 +25,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,10 +37,10 @@ BANDS = 25
 ROWS = 5
 COORDINATES = BANDS * ROWS
 DARTS = math.ceil(COORDINATES * math.log(COORDINATES) + 2 * COORDINATES)
-LEADERS = 3
-ROUNDS = 3
-#: Equal coordinates that a pair of likeness NEAR has but with a chance of 1e-9: six deviations below the mean.
-LEAST_EQUAL = math.floor(COORDINATES * NEAR - 6 * math.sqrt(COORDINATES * NEAR * (1 - NEAR)))
+LEADERS = 4
+ROUNDS = 1
+#: Equal coordinates that a pair of likeness NEAR has but with a chance of 4e-6: four and a half deviations below the mean.
+LEAST_EQUAL = math.floor(COORDINATES * NEAR - 4.5 * math.sqrt(COORDINATES * NEAR * (1 - NEAR)))
 _OWNER = 52
 _SKETCH = -(-COORDINATES // 8)  # 64-bit numbers of a sketch
 
@@ -169,34 +170,52 @@ def _verified(pairs: DataFrame, sets: DataFrame, near: float) -> DataFrame:
 
 
 def _spanning(shared: DataFrame, joined: DataFrame) -> DataFrame:
-    """(bucket, text_id, component) of the buckets that hold texts of different components."""
+    """shared with `component`, in the buckets that hold texts of different components."""
     inside = shared.join(joined.withColumnRenamed("id", "text_id"), "text_id", "left")
     inside = inside.withColumn("component", F.coalesce("component", "text_id"))
     spans = inside.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     return inside.join(spans.where("low <> high").select("bucket"), "bucket")
 
 
-def _led(inside: DataFrame, turn: int) -> DataFrame:
-    """Pairs of each text with its bucket's leaders, but for those of its own component."""
-    order = [F.struct(F.xxhash64("text_id", "bucket", F.lit(turn * LEADERS + k)).alias("o"), "text_id", "component") for k in range(LEADERS)]
-    leaders = inside.groupBy("bucket").agg(*[F.min(o).alias(f"l{k}") for k, o in enumerate(order)])
-    led = inside.join(leaders, "bucket").select("text_id", "component", F.explode(F.array(*[f"l{k}" for k in range(LEADERS)])).alias("l"))
-    led = led.where(F.col("component") != F.col("l.component"))
-    return led.select(F.least("text_id", "l.text_id").alias("a"), F.greatest("text_id", "l.text_id").alias("b")).distinct()
+def _led(inside: DataFrame, turn: int, near: float) -> DataFrame:
+    """Likely pairs of each text with its bucket's leaders, but for those of its own component.
 
+    The first leader is the text that meets most others, as a base meets its edited copies; the rest are drawn by hash.
+    """
+    about = ("text_id", "component", "size", "sketch")
+    drawn = [F.xxhash64("text_id", "bucket", F.lit(turn * LEADERS + k)) for k in range(1, LEADERS)]
+    order = [F.struct(o.alias("o"), *about) for o in (-F.col("met"), *drawn)]
+    leaders = inside.groupBy("bucket").agg(*[F.min(o).alias(f"l{k}") for k, o in enumerate(order)])
+    led = inside.join(leaders, "bucket").select(*[F.col(c).alias(f"{c}_a") for c in about], F.explode(F.array(*[f"l{k}" for k in range(LEADERS)])).alias("l"))
+    return _likely(led.select(*[f"{c}_a" for c in about], *[F.col("l")[c].alias(f"{c}_b") for c in about]), near)
 
-def _across(inside: DataFrame, texts: DataFrame, near: float) -> DataFrame:
-    """Pairs of texts of one bucket and different components."""
-    known = inside.join(texts.select("text_id", "size", "sketch"), "text_id")
-    left, right = (known.select("bucket", *[F.col(c).alias(f"{c}_{s}") for c in ("text_id", "component", "size", "sketch")]) for s in "ab")
-    met = left.join(right, "bucket").where("text_id_a < text_id_b and component_a <> component_b").where(_may_be_near(near))
-    return met.select(F.col("text_id_a").alias("a"), F.col("text_id_b").alias("b")).distinct()
 
+def _across(inside: DataFrame, sets: DataFrame, near: float) -> DataFrame:
+    """Likely pairs of texts of one bucket and different components.
 
-def _likely(pairs: DataFrame, texts: DataFrame, near: float) -> DataFrame:
-    """The pairs (a, b) whose sizes and sketches do not rule them out."""
-    left, right = (texts.select(F.col("text_id").alias(s), F.col("size").alias(f"size_{s}"), F.col("sketch").alias(f"sketch_{s}")) for s in "ab")
-    return pairs.join(left, "a").join(right, "b").where(_may_be_near(near)).select("a", "b")
+    One side are the texts outside the bucket's largest component, so that a large group which hangs together
+    is not paired with itself. Units that only one of the texts left has cannot be shared, which bounds the likeness of
+    a pair from above: edits that are a text's own rule out most pairs of a group whose texts have drifted apart.
+    """
+    left = sets.join(inside.select(F.col("text_id").alias("id")).distinct(), "id").select("id", F.explode("units").alias("unit"))
+    several = left.groupBy("unit").agg(F.count("*").alias("n")).where("n > 1").select("unit")
+    common = left.join(several, "unit").groupBy(F.col("id").alias("text_id")).agg(F.count("*").alias("common"))
+    inside = inside.join(common, "text_id")
+    counted = inside.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    main = counted.groupBy("bucket").agg(F.max(F.struct("n", "component"))["component"].alias("main"))
+    about = ("text_id", "component", "size", "sketch", "common")
+    one, other = (inside.select("bucket", *[F.col(c).alias(f"{c}_{s}") for c in about]) for s in "ab")
+    one = one.join(main, "bucket").where("component_a <> main").drop("main")
+    shared = F.least("common_a", "common_b")
+    # the counts come first in the join's condition, as they rule out most
+    met = one.join(other, "bucket").where("component_a <> component_b").where(shared >= F.lit(near) * (F.col("size_a") + F.col("size_b") - shared))
+    return _likely(met, near)
+
+
+def _likely(pairs: DataFrame, near: float) -> DataFrame:
+    """(a, b) of the pairs across components whose sizes and sketches do not rule them out, each once."""
+    met = pairs.where("component_a <> component_b").where(_may_be_near(near))
+    return met.select(F.least("text_id_a", "text_id_b").alias("a"), F.greatest("text_id_a", "text_id_b").alias("b")).distinct()
 
 
 def _may_be_near(near: float) -> Column:
@@ -226,8 +245,11 @@ def _classes(docs: DataFrame, key: str, near: float) -> tuple[DataFrame, DataFra
     texts = stored(once.drop("bands"), "texts")
     member = once.where("size > 0").select("text_id", F.posexplode("bands").alias("band", "value"))
     member = member.select("text_id", F.xxhash64("band", "value").alias("bucket"))
-    full = member.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    shared = stored(member.join(full, "bucket"), "buckets")
+    full = member.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    # the text that meets most others over all its buckets stands in the middle of its group
+    met = F.sum("n").over(Window.partitionBy("text_id")).alias("met")
+    shared = member.join(full, "bucket").select("text_id", "bucket", met).join(texts.select("text_id", "size", "sketch"), "text_id")
+    shared = stored(shared, "buckets")
     wanted = shared.select("text_id").distinct().join(texts.select("text_id", "least"), "text_id")
     sets = stored(_sets(docs, wanted, key), "sets")
     links = shared.select(F.col("text_id").alias("a"), F.col("text_id").alias("b")).limit(0)
@@ -235,8 +257,8 @@ def _classes(docs: DataFrame, key: str, near: float) -> tuple[DataFrame, DataFra
     kept = []
     for turn in range(ROUNDS + 1):
         inside = _spanning(shared, joined)
-        pairs = _led(inside, turn) if turn < ROUNDS else _across(inside, texts, near)
-        found = stored(_verified(_likely(pairs, texts, near), sets, near), "links")
+        pairs = _led(inside, turn, near) if turn < ROUNDS else _across(inside, sets, near)
+        found = stored(_verified(pairs, sets, near), "links")
         kept.append(found)
         if not found.isEmpty():
             links = links.unionByName(found)

@@ -65,7 +65,7 @@ def test_groups_against_brute_force(make_docs, seed):
 
 
 def test_one_leader_still_finds_all_links(make_docs, monkeypatch):
-    monkeypatch.setattr(nearcopies, "LEADERS", 1)
+    monkeypatch.setattr(nearcopies, "LEADERS", 2)
     draw = random.Random(4)
     base = " ".join(f"v{i}" for i in range(60))
     # copies of a base that are near the base but hardly near each other, and a chain
