@@ -1,15 +1,13 @@
 """Benchmark decontamination: size-partitioned MinHash containment search, verified by shingles.
 
 Items are partitioned by their number of words; class c holds items of up to LEAST_WORDS * 2**c words, the
-bound. Documents are cut, for each class, into windows of one and a half times the bound that start every
-half bound, so that any run of `bound` words lies whole in some window, and the likeness of an item to the window that
-holds it is bounded below by the class. Each class has bands of one row, as many as make a miss of a
-window that contains NEAR of an item less likely than MISS. Items that share a band with a window are
-verified by exact containment: the share of the item's distinct shingles (five words, lower-cased) that the window
-has. A document holds an item if a window of its class contains NEAR of it or more.
+bound. Each class has bands of one row; a row's minimum is the least of an item's distinct shingles (five words,
+lower-cased) by the row's hash. A document shares the band if it has this shingle anywhere, which is as likely as the
+share of the item it holds, however long it is and wherever the parts stand. A class has as many bands as make a miss of
+a document with NEAR of an item less likely than MISS. Items that share a band are verified by exact
+containment: the share of the item's distinct shingles that the whole document has.
 
-A window can only share a row's minimum with an item if that minimum is one of the item's shingles, so
-windows without any item shingle are passed over before signing.
+A document holds an item if it contains NEAR of it or more, in one piece or with other words in between.
 
 Items are a query set, sent to the tasks in blocks of at most BLOCK_SHINGLES shingles; every block
 scans all documents.
@@ -37,12 +35,9 @@ BLOCK_SHINGLES = 1 << 20
 
 
 def bands(bound: int, near: float = NEAR) -> int:
-    """Rows, each a band, that find an item of the class in the window that holds it but for MISS."""
-    least = 1 if bound == LEAST_WORDS else bound // 2 + 1 - SHINGLE_WORDS + 1  # shingles of the shortest item
-    window = bound + bound // 2 - SHINGLE_WORDS + 1
-    shared = math.ceil(near * least)
-    likeness = shared / (window + least - shared)
-    return math.ceil(math.log(MISS) / math.log(1 - likeness))
+    """Rows, each a band, that find an item of the class in a document that holds it but for MISS."""
+    share = min(math.ceil(near * n) / n for n in range(1, bound - SHINGLE_WORDS + 2))
+    return 1 if share == 1 else math.ceil(math.log(MISS) / math.log(1 - share))
 
 
 def size_class(words: np.ndarray) -> np.ndarray:
@@ -50,59 +45,54 @@ def size_class(words: np.ndarray) -> np.ndarray:
 
 
 class Block:
-    """Items to look for: their shingles, and for each size class the band tables."""
+    """Items to look for: their shingles, and which items' bands hold a shingle."""
 
     def __init__(self, ids: list, texts: list[str]):
         words = Words(pa.array(texts, pa.string()), lower=True)
         grams, bounds = shingles(words.hashes(), words.bounds)
         kinds = size_class(np.diff(words.bounds))
         self.ids = np.array(ids)
-        self.sets = [np.unique(grams[a:b]) for a, b in zip(bounds, bounds[1:])]
-        self.all = np.unique(grams)
+        self.all, number = np.unique(grams, return_inverse=True)
+        self.sets = [np.unique(number[a:b]) for a, b in zip(bounds, bounds[1:])]
+        self.held = np.zeros(len(self.all), bool)
         self.sieve = np.zeros(1 << 24, bool)
         self.sieve[self.all >> np.uint64(40)] = True
-        self.classes = {}
+        least, whose = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for kind in np.unique(kinds).tolist():
-            bound = LEAST_WORDS << kind
-            salts = salted(kind + 1, bands(bound))
             members = np.array([i for i in np.flatnonzero(kinds == kind) if len(self.sets[i])], np.int64)
-            rows = np.array([[mix(self.sets[i] ^ s).min() for s in salts] for i in members], np.uint64).reshape(len(members), len(salts))
-            order = np.argsort(rows, axis=0, kind="stable")
-            self.classes[kind] = (bound, salts, members, order, np.take_along_axis(rows, order, 0))
-
-    def hits(self, grams: np.ndarray) -> np.ndarray:
-        """Places of the shingles that belong to any item."""
+            if not len(members):
+                continue
+            sizes = np.array([len(self.sets[i]) for i in members])
+            own = np.concatenate([self.sets[i] for i in members])
+            for salt in salted(kind + 1, bands(LEAST_WORDS << kind)):
+                row = mix(self.all[own] ^ salt)
+                low = np.minimum.reduceat(row, np.cumsum(sizes) - sizes)
+                least.append(own[row == np.repeat(low, sizes)])  # one an item, its shingles being distinct
+                whose.append(members)
+        least, whose = np.concatenate(least), np.concatenate(whose)
+        order = np.argsort(least, kind="stable")
+        self.members = whose[order]
+        self.bounds = np.searchsorted(least[order], np.arange(len(self.all) + 1))
+
+    def hits(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the shingles that belong to any item, and their numbers in `all`."""
         at = np.flatnonzero(self.sieve[grams >> np.uint64(40)])
         if not len(self.all):
-            return at[:0]
-        found = np.searchsorted(self.all, grams[at])
-        return at[self.all[np.minimum(found, len(self.all) - 1)] == grams[at]]
-
-    def find(self, grams: np.ndarray, hits: np.ndarray) -> Iterator[tuple[int, float]]:
-        """(item's place, largest containment in a window) of one document; hits: places in grams."""
-        best: dict[int, float] = {}
-        for bound, salts, members, order, rows in self.classes.values():
-            size, step = bound + bound // 2, bound // 2
-            last = max(len(grams) + SHINGLE_WORDS - 1 - size + step - 1, 0) // step
-            # windows that hold a hit: number n covers the shingles n * step to n * step + size - SHINGLE_WORDS
-            low = np.maximum(-((size - SHINGLE_WORDS - hits) // step), 0)
-            numbers = np.unique(np.concatenate([np.minimum(low + k, last) for k in range(size // step + 1)]))
-            for n in numbers.tolist():
-                a, b = np.searchsorted(hits, (n * step, n * step + size - SHINGLE_WORDS + 1))
-                if a == b:
-                    continue
-                window = np.unique(grams[n * step : n * step + size - SHINGLE_WORDS + 1])
-                lows = np.array([mix(window ^ s).min() for s in salts])
-                found: set[int] = set()
-                for k, low_k in enumerate(lows):
-                    x, y = np.searchsorted(rows[:, k], low_k), np.searchsorted(rows[:, k], low_k, "right")
-                    found.update(order[x:y, k].tolist())
-                for i in found:
-                    item = int(members[i])
-                    share = np.isin(self.sets[item], window, assume_unique=True).mean()
-                    if share >= NEAR and share > best.get(item, 0):
-                        best[item] = float(share)
-        return iter(best.items())
+            return at[:0], at[:0]
+        found = np.minimum(np.searchsorted(self.all, grams[at]), len(self.all) - 1)
+        same = self.all[found] == grams[at]
+        return at[same], found[same]
+
+    def find(self, numbers: np.ndarray) -> Iterator[tuple[int, float]]:
+        """(item's place, containment) of one document; numbers: the shingles it has."""
+        numbers = np.unique(numbers)
+        members = [self.members[a:b] for a, b in zip(self.bounds[numbers], self.bounds[numbers + 1]) if a < b]
+        if not members:
+            return
+        self.held[numbers] = True
+        shares = [(item, float(self.held[self.sets[item]].mean())) for item in np.unique(np.concatenate(members)).tolist()]
+        self.held[numbers] = False
+        yield from ((item, share) for item, share in shares if share >= NEAR)
 
 
 def _blocks(items: DataFrame, item_key: str) -> Iterator[list]:
@@ -138,11 +128,10 @@ def _held(block: Block, texts: pa.Array) -> Iterator[tuple[int, int, float]]:
     for a, b in pieces(texts):
         words = Words(texts[a:b], lower=True)
         grams, bounds = shingles(words.hashes(), words.bounds)
-        hits = block.hits(grams)
+        hits, numbers = block.hits(grams)
         cuts = np.searchsorted(hits, bounds)
         for i in np.flatnonzero(np.diff(cuts)).tolist():
-            own = hits[cuts[i] : cuts[i + 1]] - bounds[i]
-            for item, share in block.find(grams[bounds[i] : bounds[i + 1]], own):
+            for item, share in block.find(numbers[cuts[i] : cuts[i + 1]]):
                 yield a + i, item, share
 
 

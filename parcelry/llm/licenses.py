@@ -1,18 +1,17 @@
-"""License scan in DataFrame functions: MinHash bands over text windows, verified by shingles.
+"""License scan in DataFrame functions: MinHash bands over whole texts, verified by shingles.
 
 Words are lower-cased runs of letters and digits, a shingle is the hash of five in a row. Templates are
-partitioned by their words into classes, bound LEAST_WORDS * 2**c; for each class a text is cut into windows of one and a
-half bounds that start every half bound, so that each run of `bound` words lies whole in a window. A window has one minimum
-a band; the number of bands of a class follows from the least likeness of a template to the window
-that contains NEAR of it, so that a miss is less likely than MISS. Templates that share a band with a window are verified: the
-share of their distinct shingles that the window has must reach NEAR.
+partitioned by their words into classes, bound LEAST_WORDS * 2**c. A band is one row, whose minimum is the least of a
+template's distinct shingles by the row's hash; a text shares the band if it has this shingle anywhere, which is as likely as
+the share of the template it holds. A class has as many bands as make a miss of a text with NEAR of a template less
+likely than MISS. Templates that share a band with a text are verified: the share of their distinct shingles that the
+whole text has must reach NEAR, in one piece or with other words in between.
 
-A band can only be shared over a template's shingle, so texts and windows without any are passed over before
-signing. Templates are a query set and go into the plan in blocks of at most BLOCK_SHINGLES shingles; each block scans
-the texts once, keeps those with any of its shingles in the shared folder, and shuffles nothing but the few candidates.
+Templates are a query set and go into the plan in blocks of at most BLOCK_SHINGLES shingles; each block scans
+the texts once, keeps the shared shingles of those with any in the shared folder, and shuffles nothing but the few candidates.
 
 Defined cases: null texts and templates hold nothing; fewer words than five are one shingle of all of them and
-match only a text of these words; templates of one name report once, by the best; repeated rows are reported once each with the best window;
+match only a text of these words; templates of one name report once, by the best; repeated rows are reported once each;
 whole texts are read; other columns are ignored.
 """
 
@@ -64,16 +63,15 @@ def shingles(text: Column) -> Column:
 
 
 def bands(bound: int, near: float = NEAR) -> int:
-    """Bands that find a template of the class in the window that has it, but for MISS."""
-    least = 1 if bound == LEAST_WORDS else bound // 2 + 1 - SHINGLE_WORDS + 1
-    window = bound + bound // 2 - SHINGLE_WORDS + 1
-    shared = math.ceil(near * least)
-    return math.ceil(math.log(MISS) / math.log(1 - shared / (window + least - shared)))
+    """Bands that find a template of the class in a text that has it, but for MISS."""
+    share = min(math.ceil(near * n) / n for n in range(1, bound - SHINGLE_WORDS + 2))
+    return 1 if share == 1 else math.ceil(math.log(MISS) / math.log(1 - share))
 
 
-def _minima(grams: Column, count: int) -> Column:
-    salts = F.sequence(F.lit(1), F.lit(count))
-    return F.transform(salts, lambda salt: F.array_min(F.transform(grams, lambda g: F.xxhash64(g, salt))))
+def _least(grams: Column, count: Column) -> Column:
+    """The shingle with the least hash of each band, each once."""
+    salts = F.sequence(F.lit(1), count)
+    return F.array_distinct(F.transform(salts, lambda salt: F.array_min(F.transform(grams, lambda g: F.struct(F.xxhash64(g, salt).alias("hash"), g.alias("gram"))))["gram"]))
 
 
 def _blocks(rows: list) -> list[list]:
@@ -88,7 +86,7 @@ def _blocks(rows: list) -> list[list]:
 
 
 def scan(docs: DataFrame, known: DataFrame, key: str = "doc_id", name: str = "template") -> DataFrame:
-    """(key, name, containment) of each text that holds NEAR or more of a template, in its best window."""
+    """(key, name, containment) of each text that holds NEAR or more of a template."""
     spark = docs.sparkSession
     listed = known.where(F.col("text").isNotNull()).select(name, F.size(words(F.col("text"))).alias("n"), F.array_distinct(shingles(F.col("text"))).alias("grams"))
     rows = listed.where(F.size("grams") > 0).orderBy(name).collect()
@@ -99,25 +97,15 @@ def scan(docs: DataFrame, known: DataFrame, key: str = "doc_id", name: str = "te
     found = None
     for block in _blocks(rows):
         every = F.lit([int(g) for g in sorted({g for r in block for g in r["grams"]})]).cast("array<bigint>")
-        # the few texts with any shingle of the block, kept so that the classes do not scan all texts again
-        grams = stored(texts.select("key", "row", shingles(F.col("text")).alias("grams")).where(F.arrays_overlap("grams", every)), "licensed")
-        by_class: dict[int, list] = {}
-        for r in block:
-            by_class.setdefault(LEAST_WORDS << max(0, math.ceil(math.log2(r["n"] / LEAST_WORDS))), []).append(r)
-        per_class = None
-        for bound, members in sorted(by_class.items()):
-            own = F.lit([int(g) for g in sorted({g for r in members for g in r["grams"]})]).cast("array<bigint>")
-            step, size = bound // 2, bound + bound // 2 - SHINGLE_WORDS + 1
-            last = F.greatest(F.ceil((F.size("grams") - size) / F.lit(step)), F.lit(0))
-            window = grams.select("key", "row", "grams", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("n"))
-            window = window.select("key", "row", F.slice("grams", (F.col("n") * step + 1).cast("int"), size).alias("grams")).where(F.arrays_overlap("grams", own))
-            signed = window.select("key", "row", "grams", F.posexplode(_minima(F.col("grams"), bands(bound))).alias("band", "value"))
-            table = spark.createDataFrame([(r[name], r["grams"]) for r in members], f"{name} {known.schema[name].dataType.simpleString()}, template_grams array<bigint>")
-            table = table.select(name, "template_grams", F.posexplode(_minima(F.col("template_grams"), bands(bound))).alias("band", "value"))
-            met = signed.join(table, ["band", "value"])
-            share = F.size(F.array_intersect("grams", "template_grams")) / F.size("template_grams")
-            part = met.select("key", "row", name, share.alias("containment")).where(F.col("containment") >= NEAR)
-            per_class = part if per_class is None else per_class.unionByName(part)
-        found = per_class if found is None else found.unionByName(per_class)
+        # what the few texts with any shingle of the block share with it, kept so that texts are not scanned again
+        grams = texts.select("key", "row", shingles(F.col("text")).alias("grams")).where(F.arrays_overlap("grams", every))
+        held = stored(grams.select("key", "row", F.array_intersect("grams", every).alias("held")), "licensed")
+        members = [(r[name], r["grams"], bands(LEAST_WORDS << max(0, math.ceil(math.log2(r["n"] / LEAST_WORDS))))) for r in block]
+        table = spark.createDataFrame(members, f"{name} {known.schema[name].dataType.simpleString()}, template_grams array<bigint>, bands int")
+        table = table.select(name, "template_grams", F.explode(_least(F.col("template_grams"), F.col("bands"))).alias("gram"))
+        met = held.select("key", "row", "held", F.explode("held").alias("gram")).join(F.broadcast(table), "gram")
+        share = F.size(F.array_intersect("held", "template_grams")) / F.size("template_grams")
+        part = met.select("key", "row", name, share.alias("containment")).where(F.col("containment") >= NEAR)
+        found = part if found is None else found.unionByName(part)
     best = found.groupBy("row", name).agg(F.first("key").alias(key), F.max("containment").alias("containment"))
     return best.select(key, name, "containment")

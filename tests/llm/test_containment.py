@@ -89,3 +89,30 @@ def test_odd_rows(spark, odd_docs, no_docs):
 def test_no_python_on_the_native_path(spark, odd_docs):
     plan = licenses.scan(odd_docs, licenses.templates(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def interrupted():
+    """Texts that hold most of an item with other words in between, at every offset; the items; and what each text holds."""
+    items = [(n, " ".join(f"i{n}w{k}" for k in range(n))) for n in (32, 59)]
+    docs = []
+    for (n, item), between in ((items[0], 10), (items[0], 20), (items[1], 40), (items[1], 4000)):
+        words = item.split()
+        for offset in range(0, 32, 3):
+            docs.append((n, " ".join([f"a{k}" for k in range(offset)] + words[: n // 2] + [f"b{k}" for k in range(between)] + words[n // 2 :] + ["c"] * 90)))
+    expected = {(d, n): round((n - 8) / (n - 4), 9) for d, (n, _) in enumerate(docs)}
+    return [text for _, text in docs], items, expected
+
+
+def test_interrupted_items_are_found_anywhere(spark):
+    docs, items, expected = interrupted()
+    table = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    asked = spark.createDataFrame(items, "item_id long, text string")
+    assert {(r.doc_id, r.item_id): round(r.containment, 9) for r in decontaminate.contained(table, asked).collect()} == expected
+    assert decontaminate.clean(table, asked).collect() == []
+
+
+def test_interrupted_licenses_are_found_anywhere(spark):
+    docs, items, expected = interrupted()
+    table = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    known = spark.createDataFrame(items, "template long, text string")
+    assert {(r.doc_id, r.template): round(r.containment, 9) for r in licenses.scan(table, known).collect()} == expected
