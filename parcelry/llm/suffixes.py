@@ -6,7 +6,9 @@ quicksort orders them to SHALLOW bytes, a character of eight bytes in each pass;
 long common prefix, and each is ordered by a blind trie: a suffix is led down by single bytes without
 comparing, compared once with the leaf where it ends, and put in where the two part. Suffixes that meet
 in a leaf are equal over the whole window. Buckets of more than CROWD superstrings, as a line in a third of all
-documents makes, are split by a second minimizer of the window.
+documents makes, are split by the content of each window: windows are named by the hash of all their bytes, a name that
+stands once in the corpus is passed over, and the others are sorted in buckets of their own, so that only windows that may be
+equal meet. Equal windows of a batch send one row.
 
 Every byte goes that is covered by a `window`-byte string which also starts anywhere else, in the same text
 included; overlaps count, and strings are judged on the input.
@@ -21,7 +23,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,7 +37,6 @@ PIECE = 1 << 19
 #: Bytes of suffix text that are sorted at once; a larger bucket is sorted alone.
 SORTED_BYTES = 1 << 21
 _SYMBOLS = salted(101, 256)
-_OTHER = salted(202, 256)
 
 
 def _symbols(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -133,7 +134,52 @@ def repeated(data: bytes, group: np.ndarray, at: np.ndarray, window: int) -> np.
     return out
 
 
-def _contexts(texts: DataFrame, opened: DataFrame, window: int, gram: int) -> DataFrame:
+def _named(texts: DataFrame, crowded: DataFrame, window: int) -> DataFrame:
+    """(name, key, place, kind) of every window of the crowded superstrings; the name is a hash of its bytes.
+
+    Of equal windows of a batch the first stands for all (REPEATED); the later ones are LATER and nameless.
+    """
+
+    def run(batches):
+        for batch in batches:
+            texts = superstrings.unpacked(batch.column("packed"))
+            for a, b in pieces(texts, PIECE):
+                yield one(batch.slice(a, b - a), texts[a:b])
+
+    def one(rows, texts):
+        symbols, bounds = _symbols(texts)
+        data = utf8(texts)[0]
+        text, span = superstrings.span_arrays(rows.column("spans"))
+        start, number, minimizer = span["start"].astype(np.int64), span["windows"].astype(np.int64), span["minimizer"]
+        which, offset, content = superstrings.windows(symbols, bounds[text] + start, number, window)
+        name = mix(content ^ minimizer[which].view(np.uint64))
+        at = bounds[text[which]] + start[which] + offset
+        _, first, back, times = np.unique(name, return_index=True, return_inverse=True, return_counts=True)
+        later = np.flatnonzero(first[back] != np.arange(len(name)))
+        every = np.arange(window)
+        step = max(SORTED_BYTES // window, 1)
+        same = [(data[at[x][:, None] + every] == data[at[first[back[x]]][:, None] + every]).all(1) for x in (later[i : i + step] for i in range(0, len(later), step))]
+        later = later[np.concatenate(same)] if same else later
+        kind = np.full(len(name), superstrings.FIRST, np.int8)
+        kind[first[back[later]]] = superstrings.REPEATED
+        kind[later] = superstrings.LATER
+        place = (start[which] + offset) << superstrings.TAG_BITS | rows.column("tag").to_numpy()[text[which]]
+        with np.errstate(over="ignore"):
+            name[later] = mix(name[later] + later.astype(np.uint64) + mix(place[later].astype(np.uint64)))
+        return pa.record_batch([pa.array(name.view(np.int64)), rows.column("key").take(pa.array(text[which])), pa.array(place), pa.array(kind)], names=schema.names)
+
+    schema = T.StructType(
+        [
+            T.StructField("name", T.LongType()),
+            crowded.schema["key"],
+            T.StructField("place", T.LongType()),
+            T.StructField("kind", T.ByteType()),
+        ]
+    )
+    return superstrings.beside(texts, crowded, "inner").mapInArrow(run, schema)
+
+
+def _contexts(texts: DataFrame, opened: DataFrame, window: int) -> DataFrame:
     """(bucket, key, place, windows, context) of the open superstrings, context being their bytes."""
 
     def run(batches):
@@ -145,18 +191,7 @@ def _contexts(texts: DataFrame, opened: DataFrame, window: int, gram: int) -> Da
     def one(rows, texts):
         data, bounds = utf8(texts)
         text, span = superstrings.span_arrays(rows.column("spans"))
-        start, number, bucket, crowded = span["start"].astype(np.int64), span["windows"].astype(np.int64), span["minimizer"], span["crowded"].astype(bool)
-        if crowded.any():
-            # the same windows, cut where a second minimizer changes
-            size = (number + window - 1)[crowded]
-            ends = np.cumsum(size)
-            at = np.repeat((bounds[text] + start)[crowded] - (ends - size), size) + np.arange(int(ends[-1]))
-            which, first, count, second, _ = superstrings.superstrings(_OTHER[data[at]], np.append(0, ends), window, gram)
-            with np.errstate(over="ignore"):
-                split = mix(bucket[crowded][which].view(np.uint64) ^ mix(second)).view(np.int64)
-            text = np.concatenate([text[~crowded], text[crowded][which]])
-            start = np.concatenate([start[~crowded], start[crowded][which] + first])
-            number, bucket = np.concatenate([number[~crowded], count]), np.concatenate([bucket[~crowded], split])
+        start, number, bucket = span["start"].astype(np.int64), span["windows"].astype(np.int64), span["minimizer"]
         size = number + window - 1
         ends = np.cumsum(size)
         at = np.repeat(bounds[text] + start - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)
@@ -185,18 +220,24 @@ def _sorted(contexts: DataFrame, window: int) -> DataFrame:
     def run(batches):
         held, size = [], 0
         for batch in batches:
-            held.append(batch)
+            if not batch.num_rows:
+                continue
+            held.append(batch.set_column(4, "context", batch.column("context").cast(pa.large_binary())))
             size += batch.column("context").nbytes
-            if size >= SORTED_BYTES:
-                rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            # rows of one bucket only are not joined before it ends
+            if size >= SORTED_BYTES and held[0].column("bucket")[0] != batch.column("bucket")[-1]:
+                rows = joined(held)
                 buckets = rows.column("bucket").to_numpy()
                 whole = int(np.searchsorted(buckets, buckets[-1]))  # the last bucket may go on
-                if whole:
-                    yield from parts(rows.slice(0, whole))
-                    held, size = [rows.slice(whole)], 0
+                yield from parts(rows.slice(0, whole))
+                held = [rows.slice(whole)]
+                size = held[0].column("context").nbytes
         if held:
-            for rows in pa.Table.from_batches(held).combine_chunks().to_batches():
-                yield from parts(rows)
+            yield from parts(joined(held))
+
+    def joined(held):
+        """One batch; contexts are large binaries, which stay in one chunk beyond 2 GB."""
+        return pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
     def parts(rows):
         """Whole buckets of about SORTED_BYTES together."""
@@ -239,8 +280,16 @@ def repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, gram: in
     judged = stored(superstrings.judged(strings, every=True), "strings")
     gone = judged.where("gone").select("key", "place", F.col("windows").cast("int").alias("windows"))
     opened = judged.where("open").select("key", "place", "windows", "minimizer", "crowded")
-    found = stored(gone.unionByName(_sorted(_contexts(superstrings.packed(docs, key), opened, window, gram), window)), "spans")
-    removed(judged)
+    texts = superstrings.packed(docs, key)
+    # a name by itself is no repeat; the few that stand twice or more are compared by their bytes
+    times = F.count(F.lit(1)).over(Window.partitionBy("name"))
+    named = _named(texts, opened.where("crowded").drop("crowded"), window).withColumn("times", times)
+    named = stored(named.where(f"times > 1 or kind <> {superstrings.FIRST}"), "names")
+    alone = named.where(f"kind <> {superstrings.FIRST}").select("key", "place", F.lit(1).alias("windows"))
+    again = named.where("times > 1").select("key", "place", F.lit(1).cast("short").alias("windows"), F.col("name").alias("minimizer"))
+    opened = opened.where("not crowded").drop("crowded").unionByName(again)
+    found = stored(gone.unionByName(alone).unionByName(_sorted(_contexts(texts, opened, window), window)), "spans")
+    removed(judged, named)
     return found
 
 

@@ -63,6 +63,26 @@ def test_crowded_buckets_are_split(make_docs, monkeypatch):
     assert [(r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found] == brute_bytes(texts, 48)
 
 
+def test_a_line_amid_own_bytes_fills_no_bucket(make_docs, monkeypatch):
+    """A line shorter than the window in every text: its windows all differ, but for those of two texts that are nearly equal."""
+    monkeypatch.setattr(superstrings, "CROWD", 5)
+    draw = random.Random(9)
+    own = lambda n: "".join(draw.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    line = own(150)
+    texts = [own(250) + line + own(250) for _ in range(120)]
+    texts += [texts[0][:-200] + own(200), texts[1][200:]]
+    largest, sort = [], suffixes._sorted
+
+    def watched(contexts, window):
+        largest.append(max((r["count"] for r in contexts.groupBy("bucket").count().collect()), default=0))
+        return sort(contexts, window)
+
+    monkeypatch.setattr(suffixes, "_sorted", watched)
+    found = sorted(suffixes.without_repeats(make_docs(texts)).collect())
+    assert [(r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found] == brute_bytes(texts, 200)
+    assert largest[0] <= superstrings.CROWD
+
+
 def test_long_texts_are_taken_in_parts(monkeypatch):
     symbols = np.random.default_rng(1).integers(0, 2**63, 500).astype(np.uint64)
     symbols[300:400] = symbols[50:150]
