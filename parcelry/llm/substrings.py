@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelry.llm import superstrings
-from parcelry.llm.common import Words, pieces, removed, stored
+from parcelry.llm.common import Words, pieces, removed, stored, utf8
 
 WINDOW = 20
 GRAM = 5
@@ -87,10 +87,37 @@ def repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, gram: in
     return found
 
 
+def _joined(words: Words, gone: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and bounds of the words left, joined by a blank; left: how many words are left before each text."""
+    starts, sizes = words.starts[~gone], (words.ends - words.starts)[~gone]
+    # each kept word with a blank before it, but for the first of a text
+    ahead = np.ones(len(starts), np.int64)
+    ahead[left[:-1][np.diff(left) > 0]] = 0
+    ends = np.cumsum(sizes + ahead)
+    begin = ends - sizes
+    out = np.full(int(ends[-1]) if len(ends) else 0, 32, np.uint8)
+    step = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    out[np.repeat(begin, sizes) + step] = words.data[np.repeat(starts, sizes) + step]
+    return out, np.concatenate([[0], ends])[left]
+
+
+def _own_bytes(texts: pa.Array, words: Words, gone: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and bounds of the texts without the words that go, each with the white space after it."""
+    data, bounds = utf8(texts)
+    change = np.zeros(len(data) + 1, np.int64)
+    text_end = np.repeat(bounds[1:], np.diff(words.bounds))
+    stop = np.minimum(np.append(words.starts[1:], len(data))[: len(gone)], text_end)
+    np.add.at(change, words.starts[gone], 1)
+    np.add.at(change, stop[gone], -1)
+    keep = np.cumsum(change[:-1]) == 0
+    return data[keep], np.append(0, np.cumsum(keep))[bounds]
+
+
 def without_repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, gram: int = GRAM, carry: bool = False) -> DataFrame:
     """(key, n_words, n_removed, kept) of every row; kept: the words left, joined by a blank.
 
-    `carry` adds the row's columns besides the text, as a struct `rest`.
+    `carry` adds the row's columns besides the text, as a struct `rest`, and keeps the text's own white space: a
+    removed word goes with the white space after it.
     """
 
     def run(batches):
@@ -105,16 +132,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW,
         gone = superstrings.covered(words.bounds, text, span["start"], span["windows"], window) if len(text) else np.zeros(len(words.starts), bool)
         total = np.diff(words.bounds)
         left = np.concatenate([[0], np.cumsum(~gone)])[words.bounds]
-        starts, sizes = words.starts[~gone], (words.ends - words.starts)[~gone]
-        # each kept word with a blank before it, but for the first of a text
-        ahead = np.ones(len(starts), np.int64)
-        ahead[left[:-1][np.diff(left) > 0]] = 0
-        ends = np.cumsum(sizes + ahead)
-        begin = ends - sizes
-        out = np.full(int(ends[-1]) if len(ends) else 0, 32, np.uint8)
-        step = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        out[np.repeat(begin, sizes) + step] = words.data[np.repeat(starts, sizes) + step]
-        bounds = np.concatenate([[0], ends])[left]
+        out, bounds = _own_bytes(texts, words, gone) if carry else _joined(words, gone, left)
         kept = pa.LargeStringArray.from_buffers(len(total), pa.py_buffer(bounds.astype(np.int64).tobytes()), pa.py_buffer(out.tobytes()))
         kept = kept if not texts.null_count else pc.if_else(texts.is_valid(), kept, pa.scalar(None, pa.large_string()))
         return pa.record_batch([rows.column("key"), pa.array(total), pa.array(total - np.diff(left)), kept.cast(pa.string()), *(rows.column(c) for c in rest)], names=schema.names)
@@ -136,7 +154,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW,
 def cut(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """docs with what repeats taken out of `text`, and `n_chars`, where there is one, counted anew.
 
-    A text that loses nothing stays as it is, but for white space: its words are joined by a blank.
+    A text that loses nothing stays as it is; of the others only the removed words and the white space after them go.
     """
     found = without_repeats(docs, key, carry=True)
     out = [F.col("kept").alias("text") if c == "text" else F.col("rest")[c].alias(c) for c in docs.columns]

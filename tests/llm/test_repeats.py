@@ -153,3 +153,15 @@ def test_places_of_equal_rows():
     keys = pa.array([1, None, 1])
     same = superstrings.at_same_place(keys, np.array([0, 1, 2]), np.array([5, 5, 5]), np.array([0, 0, 0]))
     assert same.tolist() == [True, False, True]
+
+
+def test_cut_keeps_white_space(spark):
+    run = [f"v{i}" for i in range(25)]
+    texts = [
+        "  eins\t" + "\n".join(run) + "\r\n", "def f():\n\treturn  1\n\n", "vor\n\n" + "  ".join(run) + "\tnach é\n", " \t\n",
+        "\n" + " ".join(run) + "\n", "a\n\n" + " ".join(run), None, "",
+    ]
+    docs = spark.createDataFrame([(i, t, len(t or "")) for i, t in enumerate(texts)], "doc_id long, text string, n_chars int")
+    found = {r.doc_id: r for r in substrings.cut(docs.coalesce(1)).collect()}
+    assert [found[i].text for i in range(len(texts))] == [texts[0], texts[1], "vor\n\nnach é\n", texts[3], "\n", "a\n\n", None, ""]
+    assert all(r.n_chars == len(r.text) for r in found.values() if r.text is not None)
