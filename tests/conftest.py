@@ -72,7 +72,3 @@ def raw_training(spark):
         F.lit("FOR_SALE").alias("listing_status"),
         (price / area).alias("price_per_sqft"),
     )
-
-
-def plan_of(df):
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from plan_text import plan_of
 from parcelry.operators import joins, location, splitting
 
 

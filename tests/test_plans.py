@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as registry
 from checks.oracle import ORACLE
-from conftest import plan_of
+from plan_text import plan_of
 
 FOLDER = "/root/testdata/sf0.001"
 SQL = ORACLE

@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from plan_text import plan_of
 from parcelry.functions.columns import nan_to_null
 from parcelry.sources import tables
 
