@@ -7,8 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelry.llm import decontaminate, language, licenses, nearcopies, parsing, pieces, quality, substrings, suffixes, toxicity
+from parcelry.llm import (
+    decontaminate,
+    infill,
+    language,
+    licenses,
+    nearcopies,
+    parsing,
+    pieces,
+    prefix_trie,
+    quality,
+    secrets,
+    substrings,
+    suffixes,
+    toxicity,
+)
 from parcelry.llm.common import crc_mod, table
+from parcelry.llm.oracles import INFILL_SQL, SECRETS_SQL, TRIE_SQL
 
 
 def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
@@ -80,6 +95,32 @@ def op10_pieces(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations."""
+    return prefix_trie.trie(table(spark, folder, "conversations"))
+
+
+def op12_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Number, digest and list of each document's secrets."""
+    found = secrets.find(table(spark, folder, "documents").select("doc_id", "text"))
+    base = [r.kind for r in secrets.BASE]
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def of(kinds):
+        return F.filter("secrets", lambda s: s["kind"].isin(kinds))
+
+    counts = [F.size(of([kind])).cast("long").alias(f"n_{kind}") for kind in base]
+    return found.select("doc_id", *counts, F.sha2(listed(of(base)), 256).alias("base_sha256"), listed(F.col("secrets")).alias("spans"))
+
+
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Form, cuts and digests of each document's fill-in-the-middle form and of the text restored from it."""
+    found = infill.digests(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -93,6 +134,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_near_copies,
         op9_toxicity,
         op10_pieces,
+        op11_prefix_trie,
+        op12_secrets,
+        op13_fill_in_middle,
     )
 }
 #: Words, shingles of five, and windows of an item's class that hold a shared shingle.
@@ -133,4 +177,10 @@ LICENSES_SQL = _CONTAINMENT_SQL.format(
     words=r"list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')",
 )
 
-ORACLE: dict[str, str] = {"op5_licenses": LICENSES_SQL, "op7_decontamination": DECONTAMINATION_SQL}
+ORACLE: dict[str, str] = {
+    "op5_licenses": LICENSES_SQL,
+    "op7_decontamination": DECONTAMINATION_SQL,
+    "op11_prefix_trie": TRIE_SQL,
+    "op12_secrets": SECRETS_SQL,
+    "op13_fill_in_middle": INFILL_SQL,
+}
