@@ -188,14 +188,19 @@ class FittedPreprocessor:
         made = [F.expr(text).alias(name) for text, name in zip(self.expressions(), self.feature_names)]
         return df.select(*keep, *made)
 
+    @property
+    def binned_columns(self) -> tuple[list[str], list[str]]:
+        """Columns that `stages` adds before the vector: the scaled numbers, and each category's place."""
+        return [f"__f{i}" for i in range(len(self.numeric))], [f"__fi{i}" for i in range(len(self.categorical))]
+
     def stages(self, spark: SparkSession) -> list:
         """ML stages that add one feature vector column, in the order of feature_names.
 
         A category is looked up by hash and becomes one place of a sparse vector, so that the cost of a row
         does not grow with the number of categories.
         """
-        numbers = [f"__f{i}" for i in range(len(self.numeric))]
-        values, places, vectors = ([f"__{kind}{i}" for i in range(len(self.categorical))] for kind in ("fk", "fi", "fv"))
+        numbers, places = self.binned_columns
+        values, vectors = ([f"__{kind}{i}" for i in range(len(self.categorical))] for kind in ("fk", "fv"))
         filled = [f"coalesce(cast({_quoted(f.name)} as string), {sql_string(f.fill)})" for f in self.categorical]
         made = [f"{text} AS {name}" for text, name in zip([*self.expressions()[: len(numbers)], *filled], numbers + values)]
         stages = [SQLTransformer(statement=f"SELECT *, {', '.join(made)} FROM __THIS__")]

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import logging
-import math
 from collections.abc import Mapping
 
 from pyspark.ml import PipelineModel
@@ -13,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelry.operators.features import ASSEMBLED, FittedPreprocessor
+from parcelry.operators.leafwise import LeafwiseOptions, fit_leafwise
 from parcelry.session import use_checkpoints
 
 log = logging.getLogger(__name__)
@@ -21,6 +21,8 @@ LABEL, RAW, LEAF = "__label", "__raw_prediction", "__leaf"
 
 #: Spark's own limit, which stands for "unlimited".
 DEEPEST = 30
+#: Columns up to which ridge is solved by its normal equation; Spark's own limit.
+NORMAL_COLUMNS = 4096
 #: Candidate splits of a numeric feature for the families that would try every value.
 BINS = 256
 
@@ -44,8 +46,12 @@ PARAMETERS = {
         "min_samples_leaf": "minInstancesPerNode",
         "max_depth": "maxDepth",
         "max_bins": "maxBins",
-        "max_leaf_nodes": "maxDepth",
-        "max_features": "featureSubsetStrategy",
+        "max_leaf_nodes": "maxLeafNodes",
+        "l2_regularization": "l2",
+        "early_stopping": "earlyStopping",
+        "validation_fraction": "validationFraction",
+        "n_iter_no_change": "noChange",
+        "tol": "tol",
     },
     "gradient_boosting": {
         "learning_rate": "stepSize",
@@ -69,14 +75,28 @@ PARAMETERS = {
 }
 DEFAULTS = {
     "hist_gradient_boosting": {
-        "stepSize": 0.1, "maxIter": 100, "minInstancesPerNode": 20, "maxDepth": 5, "maxBins": 255,
+        "stepSize": 0.1, "maxIter": 100, "minInstancesPerNode": 20, "maxDepth": None, "maxBins": 255, "maxLeafNodes": 31,
     },
     "gradient_boosting": {"stepSize": 0.1, "maxIter": 100, "minInstancesPerNode": 1, "maxDepth": 3, "maxBins": BINS},
     "random_forest": {"numTrees": 100, "minInstancesPerNode": 1, "maxDepth": DEEPEST, "maxBins": BINS, "featureSubsetStrategy": "all"},
     "ridge": {"alpha": 1.0},
 }
+#: What the options of leaf-wise boosting are called among the parameters.
+_LEAFWISE = {
+    "stepSize": "learning_rate",
+    "maxIter": "max_iter",
+    "minInstancesPerNode": "min_samples_leaf",
+    "maxDepth": "max_depth",
+    "maxBins": "max_bins",
+    "maxLeafNodes": "max_leaf_nodes",
+    "l2": "l2_regularization",
+    "earlyStopping": "early_stopping",
+    "validationFraction": "validation_fraction",
+    "noChange": "n_iter_no_change",
+    "tol": "tol",
+    "seed": "seed",
+}
 _CLASSES = {
-    "hist_gradient_boosting": GBTRegressor,
     "gradient_boosting": GBTRegressor,
     "random_forest": RandomForestRegressor,
     "ridge": LinearRegression,
@@ -91,8 +111,6 @@ def model_family(model_type: str) -> str:
 
 def _spark_value(name: str, value):
     """A hyperparameter's value as its Spark parameter takes it."""
-    if name == "max_leaf_nodes":
-        return max(1, math.ceil(math.log2(value)))
     if name == "max_features":
         return "all" if value == 1.0 and isinstance(value, float) else str(value)
     if name == "max_samples":
@@ -103,8 +121,8 @@ def _spark_value(name: str, value):
 def model_parameters(model_type: str, hyperparameters: Mapping | None, seed: int) -> dict:
     """Spark parameters for the accepted hyperparameters; the others are logged as warnings and left out.
 
-    An unlimited depth, an explicit None or a forest's default, becomes Spark's limit of 30, which is logged.
-    A bound on the leaves becomes the depth that holds as many; histogram boosting starts from 31 leaves.
+    An unlimited depth, an explicit None or a forest's default, becomes Spark's limit of 30, which is logged; histogram
+    boosting grows leaf by leaf up to max_leaf_nodes, 31 by default and unlimited if None, at any depth.
     """
     family = model_family(model_type)
     accepted = PARAMETERS[family]
@@ -115,14 +133,11 @@ def model_parameters(model_type: str, hyperparameters: Mapping | None, seed: int
     if ignored:
         log.warning("%s has no counterpart for these hyperparameters, left out: %s", model_type, ignored)
     chosen = {**DEFAULTS[family]}
-    if family != "ridge" and "max_depth" in given and given["max_depth"] is None and given.get("max_leaf_nodes") is None:
-        chosen["maxDepth"] = DEEPEST if family != "hist_gradient_boosting" else chosen["maxDepth"]
-    # a depth given besides a number of leaves is the stricter bound where it is smaller
-    named = [(accepted[k], _spark_value(k, v)) for k, v in given.items() if k in accepted and v is not None]
-    depths = [v for k, v in named if k == "maxDepth"]
-    chosen.update(named)
-    if depths:
-        chosen["maxDepth"] = min(depths)
+    if family in ("gradient_boosting", "random_forest") and "max_depth" in given and given["max_depth"] is None:
+        chosen["maxDepth"] = DEEPEST
+    if "max_leaf_nodes" in accepted and "max_leaf_nodes" in given:
+        chosen["maxLeafNodes"] = given["max_leaf_nodes"]
+    chosen.update((accepted[k], _spark_value(k, v)) for k, v in given.items() if k in accepted and v is not None)
     if chosen.get("maxDepth") == DEEPEST:
         log.warning("%s is unlimited in depth; trees stop at Spark's limit of %d", model_type, DEEPEST)
     if family != "ridge":
@@ -133,26 +148,35 @@ def model_parameters(model_type: str, hyperparameters: Mapping | None, seed: int
 def make_estimator(
     model_type: str, hyperparameters: Mapping | None, seed: int, labelled: DataFrame | None = None
 ):
-    """Unfitted Spark estimator.
+    """Unfitted Spark estimator. Histogram boosting has none of Spark's; leafwise_options are what it is fitted with.
 
     Ridge needs the labelled rows: Spark scales its penalty by the label deviation and the
-    row count, so those two turn alpha into the matching regParam.
+    row count, so those two turn alpha into the matching regParam. Up to NORMAL_COLUMNS columns it is solved by the normal
+    equation, beyond by L-BFGS with the same penalty, whose passes add up one vector a task; neither penalises the
+    intercept, and both end at the same coefficients.
     """
     family = model_family(model_type)
+    if family == "hist_gradient_boosting":
+        raise ValueError("histogram boosting is fitted by fit_model")
     chosen = model_parameters(model_type, hyperparameters, seed)
     shared = {"featuresCol": ASSEMBLED, "labelCol": LABEL, "predictionCol": RAW}
     if family == "ridge":
         alpha = float(chosen.pop("alpha"))
         size = labelled.agg(F.stddev_pop(LABEL).alias("spread"), F.count(LABEL).alias("rows")).first()
         penalty = alpha * (size["spread"] or 0.0) / size["rows"]
-        return LinearRegression(
-            regParam=penalty, elasticNetParam=0.0, standardization=False, solver="normal", **shared, **chosen
-        )
+        wide = labelled.schema[ASSEMBLED].metadata["ml_attr"]["num_attrs"] > NORMAL_COLUMNS
+        solver = {"solver": "l-bfgs", "tol": 1e-12, "maxIter": 1000, **chosen} if wide else {"solver": "normal", **chosen}
+        return LinearRegression(regParam=penalty, elasticNetParam=0.0, standardization=False, **shared, **solver)
     if family == "random_forest":
         shared["leafCol"] = LEAF
     return _CLASSES[family](**shared, **chosen)
 
 
+def leafwise_options(hyperparameters: Mapping | None, seed: int) -> LeafwiseOptions:
+    chosen = model_parameters("hist_gradient_boosting", hyperparameters, seed)
+    return LeafwiseOptions(**{_LEAFWISE[k]: v for k, v in chosen.items()})
+
+
 def transform_target(y: Column, target_transform: str) -> Column:
     return F.log1p(y) if target_transform == "log1p" else y
 
@@ -180,8 +204,14 @@ def fit_model(
     stages = preprocessor.stages(spark)
     for stage in stages:
         rows = stage.transform(rows)
-    ready = rows.select(ASSEMBLED, LABEL)
-    fitted = make_estimator(model_type, hyperparameters, seed, ready).fit(ready)
+    if model_family(model_type) == "hist_gradient_boosting":
+        numbers, places = preprocessor.binned_columns
+        sizes = [len(f.categories) for f in preprocessor.categorical]
+        columns = {"featuresCol": ASSEMBLED, "labelCol": LABEL, "predictionCol": RAW}
+        fitted = fit_leafwise(rows, numbers, places, sizes, LABEL, leafwise_options(hyperparameters, seed), **columns)
+    else:
+        ready = rows.select(ASSEMBLED, LABEL)
+        fitted = make_estimator(model_type, hyperparameters, seed, ready).fit(ready)
     back = f"expm1({RAW})" if target_transform == "log1p" else RAW
     inverse = SQLTransformer(statement=f"SELECT *, {back} AS prediction FROM __THIS__")
     return PipelineModel([*stages, fitted, inverse])

@@ -171,9 +171,6 @@ def test_scoring_keeps_original_columns_and_fills_only_for_the_model(spark, tmp_
         ("random_forest", {"max_features": 0.5}, {"featureSubsetStrategy": "0.5"}),
         ("random_forest", {"max_features": 1.0}, {"featureSubsetStrategy": "all"}),
         ("gradient_boosting", {"max_depth": None, "max_features": 3}, {"maxDepth": 30, "featureSubsetStrategy": "3", "maxBins": 256}),
-        ("hist_gradient_boosting", {"max_leaf_nodes": 63}, {"maxDepth": 6}),
-        ("hist_gradient_boosting", {"max_leaf_nodes": 63, "max_depth": 4}, {"maxDepth": 4}),
-        ("hist_gradient_boosting", {"max_depth": None}, {"maxDepth": 5}),
     ],
 )
 def test_hyperparameters_reach_spark(family, given, expected):
@@ -184,6 +181,41 @@ def test_hyperparameters_reach_spark(family, given, expected):
 
 def test_what_has_no_counterpart_is_warned_about(caplog):
     with caplog.at_level("WARNING"):
-        chosen = models.model_parameters("hist_gradient_boosting", {"l2_regularization": 0.1}, 42)
+        chosen = models.model_parameters("hist_gradient_boosting", {"max_features": 0.1}, 42)
         models.model_parameters("random_forest", {"max_samples": 50}, 42)
-    assert "l2_regularization" in caplog.text and "max_samples" in caplog.text and "l2_regularization" not in chosen
+    assert "max_features" in caplog.text and "max_samples" in caplog.text and "max_features" not in chosen
+
+
+def test_leafwise_options():
+    plain = models.leafwise_options({}, 42)
+    assert (plain.max_leaf_nodes, plain.max_depth, plain.min_samples_leaf, plain.max_bins, plain.l2_regularization) == (31, None, 20, 255, 0.0)
+    given = models.leafwise_options({"max_leaf_nodes": None, "max_depth": 4, "l2_regularization": 2.0, "early_stopping": False}, 7)
+    assert (given.max_leaf_nodes, given.max_depth, given.l2_regularization, given.early_stopping, given.seed) == (None, 4, 2.0, False, 7)
+    with pytest.raises(ValueError, match="fit_model"):
+        models.make_estimator("hist_gradient_boosting", {}, 42)
+
+
+def test_ridge_of_ten_thousand_categories(spark):
+    """One encoded column has a closed form: shrunken means around an intercept that is not penalised."""
+    n, wide, alpha = 30_000, 10_000, 1.0
+    i = F.col("id")
+    df = spark.range(n).select((i * 7919 % wide).cast("string").alias("vegas_district"), (i % 97 + i * 7919 % wide % 13 * 5).cast("double").alias("price"))
+    fitted = features.FittedPreprocessor((), tuple(features.fit_categorical(df, ["vegas_district"])))
+    model = models.fit_model(spark, df, fitted, "price", "ridge", {"alpha": alpha}, target_transform="none")
+    assert len(models.inner_model(model).coefficients) == wide
+    by = df.groupBy("vegas_district").agg(F.count("*").alias("n"), F.avg("price").alias("y")).toPandas()
+    weight = by["n"] * alpha / (by["n"] + alpha)
+    start = (weight * by["y"]).sum() / weight.sum()
+    expected = dict(zip(by["vegas_district"], start + by["n"] * (by["y"] - start) / (by["n"] + alpha)))
+    found = model.transform(df.dropDuplicates(["vegas_district"])).select("vegas_district", "prediction").collect()
+    assert max(abs(r["prediction"] - expected[r["vegas_district"]]) for r in found) < 1e-4
+
+
+def test_both_ridge_solvers_agree(spark, monkeypatch):
+    df = rows(spark)
+    normal = fit(spark, df, "ridge", {"alpha": 2.0})
+    monkeypatch.setattr(models, "NORMAL_COLUMNS", 0)
+    wide = fit(spark, df, "ridge", {"alpha": 2.0})
+    one, other = (models.inner_model(t.model) for t in (normal, wide))
+    assert other.coefficients.toArray() == pytest.approx(one.coefficients.toArray(), abs=1e-6)
+    assert other.intercept == pytest.approx(one.intercept, abs=1e-6)
