@@ -277,6 +277,36 @@ cuts AS (SELECT c.bedrooms AS cut, avg(price) FILTER (WHERE t.bedrooms <= c.bedr
 best AS (SELECT * FROM cuts WHERE n_high > 0 ORDER BY n_low * low * low + n_high * high * high DESC LIMIT 1)
 SELECT property_id, round(CASE WHEN bedrooms <= cut THEN low ELSE high END, 3) AS prediction FROM t, best"""
 
+def _leafwise() -> str:
+    """A tree grown by three best splits, each over all leaves, columns and values at once."""
+    steps = ["""t AS (
+  SELECT property_id, bedrooms, bathrooms, property_type, price - avg(price) OVER () AS r, avg(price) OVER () AS mean FROM listings
+  WHERE bedrooms IS NOT NULL AND bathrooms IS NOT NULL AND property_type IS NOT NULL AND price IS NOT NULL
+), kinds AS (SELECT property_type AS kind, 1 + row_number() OVER (ORDER BY property_type) AS f FROM (SELECT DISTINCT property_type FROM t)
+), l AS (
+  SELECT property_id, 0 AS f, bedrooms AS v FROM t UNION ALL SELECT property_id, 1, bathrooms FROM t
+  UNION ALL SELECT property_id, f, (property_type = kind)::INT::DOUBLE FROM t, kinds
+), a0 AS (SELECT property_id, r, 0 AS leaf FROM t)"""]
+    for k in (1, 2, 3):
+        steps.append(f"""s{k} AS (SELECT leaf, f, v, count(*) AS n, sum(r) AS g FROM a{k - 1} JOIN l USING (property_id) GROUP BY ALL),
+w{k} AS (SELECT leaf, f, v AS cut, sum(n) OVER run AS nl, sum(g) OVER run AS gl, sum(n) OVER whole AS nn, sum(g) OVER whole AS gg FROM s{k}
+  WINDOW run AS (PARTITION BY leaf, f ORDER BY v), whole AS (PARTITION BY leaf, f)),
+b{k} AS (SELECT *, gl * gl / (nl + 5) + (gg - gl) * (gg - gl) / (nn - nl + 5) - gg * gg / (nn + 5) AS gain FROM w{k}
+  WHERE nl >= 20 AND nn - nl >= 20 ORDER BY gain DESC, f, cut LIMIT 1),
+a{k} AS (SELECT a.property_id, r, CASE WHEN a.leaf = b.leaf AND l.v > b.cut THEN {k} ELSE a.leaf END AS leaf
+  FROM a{k - 1} a, b{k} b, l WHERE l.property_id = a.property_id AND l.f = b.f)""")
+    return f"WITH {LISTINGS}, " + ",\n".join(steps)
+
+
+LEAFWISE = _leafwise()
+LEAFWISE_TREE = f"""{LEAFWISE}
+SELECT property_id, round(mean + g, 3) AS prediction
+FROM (SELECT property_id, sum(r) OVER (PARTITION BY leaf) / (count(*) OVER (PARTITION BY leaf) + 5) AS g FROM a3) JOIN t USING (property_id)"""
+LEAFWISE_IMPORTANCE = f"""{LEAFWISE}, gains AS (SELECT f, gain FROM b1 UNION ALL SELECT f, gain FROM b2 UNION ALL SELECT f, gain FROM b3),
+named AS (SELECT 0 AS f, 'bedrooms' AS feature UNION ALL SELECT 1, 'bathrooms' UNION ALL SELECT f, 'property_type_' || kind FROM kinds)
+SELECT feature, round(coalesce(sum(gain), 0) / (SELECT sum(gain) FROM gains), 9) AS importance
+FROM named LEFT JOIN gains USING (f) GROUP BY feature ORDER BY importance DESC, feature LIMIT 5"""
+
 SEVERAL = f"""WITH {VERSIONS}, after AS (
   SELECT g.model_name, p.model_name IS NOT NULL OR g.passed AS held,
          CASE WHEN g.passed THEN g.candidate_metric ELSE g.production_metric END AS production_metric
@@ -448,6 +478,8 @@ SELECT property_id, dense_rank() OVER (ORDER BY customer) - 1 AS index FROM o"""
   CASE WHEN property_id % 3 <> 0 THEN round((property_id % 5)::DOUBLE, 6) ELSE 0.0::DOUBLE END AS latitude FROM priced""",
     "forest_stump": STUMP,
     "boosted_stump": STUMP,
+    "leafwise_tree": LEAFWISE_TREE,
+    "leafwise_importance": LEAFWISE_IMPORTANCE,
     "stump_importance": "SELECT 'bedrooms' AS feature, 1.0::DOUBLE AS importance",
     "train_ridge_one_feature": f"""WITH {FILLED}, {RIDGE}
 SELECT property_id, round(exp(my + slope * (x - mx)) - 1, 2) AS prediction FROM fit""",

@@ -531,6 +531,32 @@ def stump_importance(spark, folder):
     return models.feature_importance(spark, trained.model, trained.preprocessor.feature_names)
 
 
+#: One tree of four leaves over two numbers and the categories of a third column.
+LEAFWISE = {"learning_rate": 1.0, "max_iter": 1, "max_leaf_nodes": 4, "l2_regularization": 5.0, "early_stopping": False}
+
+
+def _leafwise(spark, folder):
+    rows = listings(spark, folder).select("property_id", "bedrooms", "bathrooms", "property_type", "price")
+    rows = rows.filter("bedrooms IS NOT NULL AND bathrooms IS NOT NULL AND property_type IS NOT NULL AND price IS NOT NULL")
+    with held(rows) as kept:
+        numbers = tuple(features.NumericFit(c, 0.0, 0.0, 1.0) for c in ("bedrooms", "bathrooms"))
+        fitted = features.FittedPreprocessor(numbers, tuple(features.fit_categorical(kept, ["property_type"])))
+        model = models.fit_model(spark, kept, fitted, "price", "hist_gradient_boosting", LEAFWISE, target_transform="none")
+    return rows, model_store.TrainedModel(model, fitted, {"target_transform": "none"})
+
+
+def leafwise_tree(spark, folder):
+    rows, trained = _leafwise(spark, folder)
+    return rounded(scoring.predict(rows, trained).select("property_id", "prediction"), 3, "prediction")
+
+
+def leafwise_importance(spark, folder):
+    """The five most important features of that tree; those it does not split on tie."""
+    _, trained = _leafwise(spark, folder)
+    found = models.feature_importance(spark, trained.model, trained.preprocessor.feature_names, 5)
+    return rounded(found, 9, "importance")
+
+
 def _train(spark, folder, model_type, hyperparameters):
     options = replace(OPTIONS, model_type=model_type, hyperparameters=hyperparameters)
     return jobs.train_job(spark, listings(spark, folder), options)
@@ -666,7 +692,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         impute_median, standard_scale, impute_mode, one_hot, one_hot_unseen, one_hot_index, scale_constant, preprocess,
         target_transform, calibrate_interval, calibrate_interval_by_cuts, apply_interval,
         apply_interval_legacy, interval_margin, train_ridge_one_feature, score_table, score_job_csv,
-        forest_stump, boosted_stump, stump_importance,
+        forest_stump, boosted_stump, stump_importance, leafwise_tree, leafwise_importance,
         train_ridge, train_gradient_boosting, train_hist_gradient_boosting, train_random_forest,
         batch_score, forest_interval, feature_importance, model_roundtrip,
         list_versions, resolve_version, production_metric, promotion_gate, register_versions,
