@@ -27,6 +27,7 @@ from parcelry.operators.versions import (
     register_versions,
     run_metric,
 )
+from parcelry.sources.commits import update_table
 from parcelry.sources.models import TrainedModel
 from parcelry.sources.snapshots import load_snapshot, save_snapshot
 from parcelry.session import held, new_shared_path, use_checkpoints
@@ -130,8 +131,8 @@ def promote_job(
     """Gate candidates (model_name, run_id[, position]), register and promote those that pass.
 
     Candidates of one model go one after another, each against the production just set; the last that
-    passes ends in the stage. Returns the verdicts and the version table to store next. Write it to a new
-    path: it reads the table it replaces. The verdicts and the new versions, a row per candidate each,
+    passes ends in the stage. Returns the verdicts and the version table to store next; promote_in_store
+    commits it. The verdicts and the new versions, a row per candidate each,
     are checkpointed, since several steps read them.
     """
     metric = run_metric(runs, metric_name).withColumnRenamed("metric_value", "candidate_metric")
@@ -146,6 +147,33 @@ def promote_job(
     return verdicts, after
 
 
+def promote_in_store(
+    spark: SparkSession,
+    path: str,
+    runs: DataFrame,
+    candidates: DataFrame,
+    stage: str = PRODUCTION,
+    metric_name: str = METRIC,
+    threshold: float = IMPROVEMENT,
+) -> tuple[DataFrame, int]:
+    """promote_job on a stored version table: gate, register and promote as one commit. Returns the verdicts and its number.
+
+    Where another writer commits first, the candidates are gated anew against the table it has left. A store without a
+    version starts from an empty table.
+    """
+    verdicts = []
+
+    def change(versions: DataFrame | None) -> DataFrame:
+        if versions is None:
+            versions = spark.createDataFrame([], "model_name string, version bigint, run_id string, stage string")
+        found, after = promote_job(versions, runs, candidates, stage, metric_name, threshold)
+        verdicts[:] = [found]
+        return after
+
+    number = update_table(spark, path, change)
+    return verdicts[0], number
+
+
 def score_job(
     requests: DataFrame,
     trained: TrainedModel,

@@ -1,4 +1,8 @@
-"""Saved models: the fitted chain, the preprocessor constants and the run metadata."""
+"""Saved models: the fitted chain, the preprocessor constants and the run metadata.
+
+The three parts of a model are written into a folder of their own, and a manifest that names it is committed last. A reader
+goes by the newest manifest, so it never sees parts of two models, and a save that ends half-way changes nothing.
+"""
 
 from __future__ import annotations
 
@@ -11,6 +15,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 
 from parcelry.operators.features import FittedPreprocessor
+from parcelry.sources import commits
 
 log = logging.getLogger(__name__)
 
@@ -38,14 +43,23 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
 
 
 def save_model(spark: SparkSession, trained: TrainedModel, path: str) -> str:
-    trained.model.write().overwrite().save(f"{path}/model")
-    _write_text(spark, f"{path}/preprocessor", trained.preprocessor.to_json())
-    _write_text(spark, f"{path}/metadata", json.dumps(trained.metadata))
+    """Save as the next version below path; earlier versions stay."""
+    folder = commits.new_folder(path, "artifact")
+    trained.model.save(f"{folder}/model")
+    _write_text(spark, f"{folder}/preprocessor", trained.preprocessor.to_json())
+    _write_text(spark, f"{folder}/metadata", json.dumps(trained.metadata))
+    commits.append(spark, path, lambda number, before: {"data": folder[len(path) + 1 :]})
     return path
 
 
-def load_model(spark: SparkSession, path: str) -> TrainedModel:
-    """Load a saved model. Only the metadata may be absent."""
+def load_model(spark: SparkSession, path: str, version: int | None = None) -> TrainedModel:
+    """Load the newest saved model, or a given version. Only the metadata may be absent.
+
+    A folder without a manifest is taken as one model's three parts themselves.
+    """
+    manifest = commits.latest(spark, path)[1] if version is None else commits.read(spark, path, version)
+    if manifest is not None:
+        path = f"{path}/{manifest['data']}"
     if _read_text(spark, f"{path}/model/metadata") is None:
         raise FileNotFoundError(f"No saved model at {path}/model; save_model writes one")
     constants = _read_text(spark, f"{path}/preprocessor")

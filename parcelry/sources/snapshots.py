@@ -1,34 +1,17 @@
-"""Versioned store of drift snapshots: one appended JSON row per version."""
+"""Versioned store of drift snapshots: one commit per version, whole or not at all."""
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 from parcelry.operators.drift import SNAPSHOT_SCHEMA, snapshot_frame
-
-_STORED = f"version bigint, {SNAPSHOT_SCHEMA}"
-
-
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(_STORED).json(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+from parcelry.sources import commits
 
 
 def load_snapshot(spark: SparkSession, path: str) -> dict | None:
     """Newest snapshot, or None before the first one."""
-    stored = _stored(spark, path)
-    newest = stored.orderBy(F.desc("version")).limit(1).collect() if stored is not None else []
-    if not newest:
-        return None
-    row = newest[0].asDict()
-    row.pop("version")
-    return row
+    return commits.latest(spark, path)[1]
 
 
 def read_snapshot_document(spark: SparkSession, path: str) -> dict | None:
@@ -45,10 +28,6 @@ def read_snapshot_document(spark: SparkSession, path: str) -> dict | None:
 
 
 def save_snapshot(spark: SparkSession, path: str, snapshot: dict) -> int:
-    """Append as the next version. Nothing already stored is rewritten. One writer at a time."""
-    stored = _stored(spark, path)
-    last = stored.agg(F.max("version")).first()[0] if stored is not None else None
-    version = (last or 0) + 1
-    frame = snapshot_frame(spark, snapshot).select(F.lit(version).cast("bigint").alias("version"), "*")
-    frame.write.mode("append").json(path)
-    return version
+    """Commit as the next version. Nothing already stored is rewritten, and no other writer's version is lost."""
+    row = snapshot_frame(spark, snapshot).first().asDict()
+    return commits.append(spark, path, lambda number, before: row)
