@@ -520,3 +520,5 @@ grown AS (SELECT * FROM versions UNION ALL SELECT * FROM registered)
 ORACLE["score_job_csv"] = ORACLE["score_table"].replace("coalesce(r.livingarea, r.living_area, m_living_area)", "coalesce(r.livingarea, m_living_area)").replace(
     "SELECT property_id, livingarea, living_area, latitude, round", "SELECT property_id, round"
 )
+ORACLE["promote_in_store"] = ORACLE["promote_job"]
+ORACLE["model_roundtrip_one_feature"] = ORACLE["train_ridge_one_feature"]

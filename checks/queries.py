@@ -17,6 +17,7 @@ from parcelry.operators.order_stats import Wanted, linear_grid, order_statistics
 from parcelry.plans import jobs, listings as shapes
 from parcelry.plans.listings import OPTIONS, listings, priced_orders, table
 from parcelry.session import held, new_shared_path
+from parcelry.sources import commits
 from parcelry.sources import models as model_store
 from parcelry.sources import snapshots, tables
 
@@ -612,6 +613,15 @@ def model_roundtrip(spark, folder):
     return scoring.score_table(listings(spark, folder), loaded).select("property_id", *scoring.OUTPUTS)
 
 
+def model_roundtrip_one_feature(spark, folder):
+    """The second of two saved versions, loaded and applied."""
+    path, trained = new_shared_path(spark, "model"), _ridge_one_feature(spark, folder)
+    for _ in range(2):
+        model_store.save_model(spark, trained, path)
+    scored = scoring.predict(listings(spark, folder), model_store.load_model(spark, path, 2))
+    return rounded(scored.select("property_id", "prediction"), 2, "prediction")
+
+
 # Version tables
 
 
@@ -662,6 +672,14 @@ def promote_job(spark, folder):
     )[1]
 
 
+def promote_in_store(spark, folder):
+    """The committed version table after the same promotion."""
+    path = new_shared_path(spark, "versions")
+    commits.update_table(spark, path, lambda before: shapes.model_versions(spark, folder))
+    jobs.promote_in_store(spark, path, shapes.model_runs(spark, folder), shapes.candidate_runs(spark, folder))
+    return commits.read_table(spark, path)
+
+
 def promote_several_candidates(spark, folder):
     """Two candidates per model, the second against what the first has left; verdicts and new versions."""
     first, (second, metrics) = shapes.candidate_runs(spark, folder), shapes.second_candidates(spark, folder)
@@ -694,9 +712,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         apply_interval_legacy, interval_margin, train_ridge_one_feature, score_table, score_job_csv,
         forest_stump, boosted_stump, stump_importance, leafwise_tree, leafwise_importance,
         train_ridge, train_gradient_boosting, train_hist_gradient_boosting, train_random_forest,
-        batch_score, forest_interval, feature_importance, model_roundtrip,
+        batch_score, forest_interval, feature_importance, model_roundtrip, model_roundtrip_one_feature,
         list_versions, resolve_version, production_metric, promotion_gate, register_versions,
-        promote_version, promote_missing_target, promote_job,
+        promote_version, promote_missing_target, promote_job, promote_in_store,
         promote_several_candidates, promote_several_stages,
     )
 }
