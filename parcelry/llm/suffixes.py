@@ -6,9 +6,9 @@ quicksort orders them to SHALLOW bytes, a character of eight bytes in each pass;
 long common prefix, and each is ordered by a blind trie: a suffix is led down by single bytes without
 comparing, compared once with the leaf where it ends, and put in where the two part. Suffixes that meet
 in a leaf are equal over the whole window. Buckets of more than CROWD superstrings, as a line in a third of all
-documents makes, are split by the content of each window: windows are named by the hash of all their bytes, a name that
-stands once in the corpus is passed over, and the others are sorted in buckets of their own, so that only windows that may be
-equal meet. Equal windows of a batch send one row.
+documents makes, are halved (see _halved): a superstring becomes two, of the windows that begin far before the minimizer and of those
+that begin near it, each in the bucket of the bytes around the minimizer which all its windows share, and so on while a bucket
+is crowded. A superstring has two rows a round, not one a window; a bucket with one content is passed over.
 
 Every byte goes that is covered by a `window`-byte string which also starts anywhere else, in the same text
 included; overlaps count, and strings are judged on the input.
@@ -20,15 +20,19 @@ are ignored. What is left need not be valid UTF-8 and is returned as bytes.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from parcelry.llm import superstrings
-from parcelry.llm.common import mix, pieces, removed, salted, stored, utf8
+from parcelry.llm.common import mix, pieces, powers, prefix_sums, removed, salted, stored, utf8
 
 WINDOW = 200
 GRAM = 64
@@ -134,53 +138,8 @@ def repeated(data: bytes, group: np.ndarray, at: np.ndarray, window: int) -> np.
     return out
 
 
-def _named(texts: DataFrame, crowded: DataFrame, window: int) -> DataFrame:
-    """(name, key, place, kind) of every window of the crowded superstrings; the name is a hash of its bytes.
-
-    Of equal windows of a batch the first stands for all (REPEATED); the later ones are LATER and nameless.
-    """
-
-    def run(batches):
-        for batch in batches:
-            texts = superstrings.unpacked(batch.column("packed"))
-            for a, b in pieces(texts, PIECE):
-                yield one(batch.slice(a, b - a), texts[a:b])
-
-    def one(rows, texts):
-        symbols, bounds = _symbols(texts)
-        data = utf8(texts)[0]
-        text, span = superstrings.span_arrays(rows.column("spans"))
-        start, number, minimizer = span["start"].astype(np.int64), span["windows"].astype(np.int64), span["minimizer"]
-        which, offset, content = superstrings.windows(symbols, bounds[text] + start, number, window)
-        name = mix(content ^ minimizer[which].view(np.uint64))
-        at = bounds[text[which]] + start[which] + offset
-        _, first, back, times = np.unique(name, return_index=True, return_inverse=True, return_counts=True)
-        later = np.flatnonzero(first[back] != np.arange(len(name)))
-        every = np.arange(window)
-        step = max(SORTED_BYTES // window, 1)
-        same = [(data[at[x][:, None] + every] == data[at[first[back[x]]][:, None] + every]).all(1) for x in (later[i : i + step] for i in range(0, len(later), step))]
-        later = later[np.concatenate(same)] if same else later
-        kind = np.full(len(name), superstrings.FIRST, np.int8)
-        kind[first[back[later]]] = superstrings.REPEATED
-        kind[later] = superstrings.LATER
-        place = (start[which] + offset) << superstrings.TAG_BITS | rows.column("tag").to_numpy()[text[which]]
-        with np.errstate(over="ignore"):
-            name[later] = mix(name[later] + later.astype(np.uint64) + mix(place[later].astype(np.uint64)))
-        return pa.record_batch([pa.array(name.view(np.int64)), rows.column("key").take(pa.array(text[which])), pa.array(place), pa.array(kind)], names=schema.names)
-
-    schema = T.StructType(
-        [
-            T.StructField("name", T.LongType()),
-            crowded.schema["key"],
-            T.StructField("place", T.LongType()),
-            T.StructField("kind", T.ByteType()),
-        ]
-    )
-    return superstrings.beside(texts, crowded, "inner").mapInArrow(run, schema)
-
-
-def _contexts(texts: DataFrame, opened: DataFrame, window: int) -> DataFrame:
-    """(bucket, key, place, windows, context) of the open superstrings, context being their bytes."""
+def _contexts(texts: DataFrame, opened: DataFrame, window: int, gram: int) -> DataFrame:
+    """(bucket, key, place, windows, at, crowded, context) of the open superstrings: their bytes, and the minimizer's place in them."""
 
     def run(batches):
         for batch in batches:
@@ -195,23 +154,105 @@ def _contexts(texts: DataFrame, opened: DataFrame, window: int) -> DataFrame:
         size = number + window - 1
         ends = np.cumsum(size)
         at = np.repeat(bounds[text] + start - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)
+        found = _minimizer_places(data, bounds[text] + start, number, bucket.view(np.uint64), window, gram)
         context = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(np.append(0, ends).astype(np.int64).tobytes()), pa.py_buffer(data[at].tobytes())])
         place = start << superstrings.TAG_BITS | rows.column("tag").to_numpy()[text]
         return pa.record_batch(
-            [pa.array(bucket), rows.column("key").take(pa.array(text)), pa.array(place), pa.array(number.astype(np.int32)), context.cast(pa.binary())],
+            [pa.array(bucket), rows.column("key").take(pa.array(text)), pa.array(place), pa.array(number.astype(np.int32)), pa.array(found.astype(np.int32)), pa.array(span["crowded"]), context.cast(pa.binary())],
             names=schema.names,
         )
 
-    schema = T.StructType(
+    schema = _context_schema(opened.schema["key"], T.StructField("crowded", T.BooleanType()))
+    return superstrings.beside(texts, opened, "inner").mapInArrow(run, schema)
+
+
+def _context_schema(key: T.StructField, *more: T.StructField) -> T.StructType:
+    return T.StructType(
         [
             T.StructField("bucket", T.LongType()),
-            opened.schema["key"],
+            key,
             T.StructField("place", T.LongType()),
             T.StructField("windows", T.IntegerType()),
+            T.StructField("at", T.IntegerType()),
+            *more,
             T.StructField("context", T.BinaryType()),
         ]
     )
-    return superstrings.beside(texts, opened, "inner").mapInArrow(run, schema)
+
+
+def _minimizer_places(data: np.ndarray, start: np.ndarray, number: np.ndarray, minimizer: np.ndarray, window: int, gram: int) -> np.ndarray:
+    """Where in each superstring its minimizer begins: the first gram of that hash which stands in all of its windows."""
+    if not len(start):
+        return np.zeros(0, np.int64)
+    with np.errstate(over="ignore"):
+        sums, inverse = prefix_sums(_SYMBOLS[data]), powers(len(data) + 1)[1]
+        first = number - 1  # the last window begins there; the first one holds no gram beyond window - gram
+        count = window - gram + 1 - first
+        which = np.repeat(np.arange(len(start)), count)
+        place = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count) + first[which]
+        at = start[which] + place
+        same = np.flatnonzero(mix((sums[at + gram] - sums[at]) * inverse[at]) == minimizer[which])
+    _, one = np.unique(which[same], return_index=True)
+    return place[same[one]]
+
+
+def _halved(crowded: DataFrame, window: int, gram: int) -> DataFrame:
+    """The windows of crowded superstrings in halves of a range, each named by the bytes that all windows of the half share.
+
+    A range (low, high) holds the windows with low to high bytes before the minimizer, and so window - gram less as many after it.
+    All windows of a range share the low bytes before it, the minimizer, and the bytes after it that the last of
+    them has; equal windows are in the same range under the same name. A range of one place is named by whole windows.
+    """
+
+    def run(batches):
+        for batch in batches:
+            yield one(batch.to_pydict())
+
+    def one(rows):
+        out = {name: [] for name in schema.names}
+        for bucket, key, place, windows, at, low, high, context in zip(*(rows[n] for n in ("bucket", "key", "place", "windows", "at", "low", "high", "context"))):
+            middle = (low + high) // 2
+            for a, b in ((low, middle), (middle + 1, high)) if low < high else ():
+                first, last = at - min(b, at), at - max(a, at - windows + 1)  # offsets of the windows of this half
+                if first > last:
+                    continue
+                shared = context[at - a : at + window - b]
+                name = xxhash.xxh3_64_intdigest(shared, seed=a << 16 | b) ^ bucket & (1 << 64) - 1
+                part = (name - (1 << 64) if name >> 63 else name, key, place + (first << superstrings.TAG_BITS), last - first + 1, at - first, a, b, context[first : last + window])
+                for column, value in zip(out.values(), part):
+                    column.append(value)
+        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds)], names=schema.names)
+
+    key = crowded.schema["key"]
+    schema = _context_schema(key, T.StructField("low", T.IntegerType()), T.StructField("high", T.IntegerType()))
+    kinds = [pa.int64(), to_arrow_type(key.dataType), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+    return crowded.select(*schema.names).mapInArrow(run, schema)
+
+
+def _uncrowded(contexts: DataFrame, window: int, gram: int, crowd: int) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """Contexts in buckets of at most `crowd` different ones, spans (key, place, windows) that repeat already, and stored tables.
+
+    Crowded buckets are halved until they are not. Equal contexts of a bucket repeat as a whole; one of them stays to be
+    compared. A bucket with one context has nothing to compare it with.
+    """
+    whole = [F.lit(0).alias("low"), F.lit(window - gram).alias("high")]
+    state, fits, again, kept = contexts.select("*", *whole), [], [], []
+    while True:
+        halves = stored(_halved(state, window, gram), "halves")
+        same = halves.groupBy("bucket", "context").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "place", "windows", "at", "low", "high")).alias("one"))
+        same = stored(same, "contents")
+        kept += [halves, same]
+        several = same.where("n > 1").select("bucket", "context")
+        again.append(halves.join(several, ["bucket", "context"], "left_semi").select("key", "place", "windows"))
+        sizes = same.groupBy("bucket").agg(F.count(F.lit(1)).alias("contents")).where("contents > 1")
+        left = same.join(sizes, "bucket").select("bucket", "one.*", "context", "contents")
+        fits.append(left.where(F.col("contents") <= crowd).select("bucket", "key", "place", "windows", "context"))
+        state = left.where(F.col("contents") > crowd).where("low < high")
+        if state.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, fits), reduce(DataFrame.unionByName, again), kept
+
+
 
 
 def _sorted(contexts: DataFrame, window: int) -> DataFrame:
@@ -280,16 +321,12 @@ def repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, gram: in
     judged = stored(superstrings.judged(strings, every=True), "strings")
     gone = judged.where("gone").select("key", "place", F.col("windows").cast("int").alias("windows"))
     opened = judged.where("open").select("key", "place", "windows", "minimizer", "crowded")
-    texts = superstrings.packed(docs, key)
-    # a name by itself is no repeat; the few that stand twice or more are compared by their bytes
-    times = F.count(F.lit(1)).over(Window.partitionBy("name"))
-    named = _named(texts, opened.where("crowded").drop("crowded"), window).withColumn("times", times)
-    named = stored(named.where(f"times > 1 or kind <> {superstrings.FIRST}"), "names")
-    alone = named.where(f"kind <> {superstrings.FIRST}").select("key", "place", F.lit(1).alias("windows"))
-    again = named.where("times > 1").select("key", "place", F.lit(1).cast("short").alias("windows"), F.col("name").alias("minimizer"))
-    opened = opened.where("not crowded").drop("crowded").unionByName(again)
-    found = stored(gone.unionByName(alone).unionByName(_sorted(_contexts(texts, opened, window), window)), "spans")
-    removed(judged, named)
+    contexts = stored(_contexts(superstrings.packed(docs, key), opened, window, gram), "contexts")
+    columns = ["bucket", "key", "place", "windows", "context"]
+    fits, again, kept = _uncrowded(contexts.where("crowded").drop("crowded"), window, gram, superstrings.CROWD)
+    compared = contexts.where("not crowded").select(*columns).unionByName(fits.select(*columns))
+    found = stored(gone.unionByName(again).unionByName(_sorted(compared, window)), "spans")
+    removed(judged, contexts, *kept)
     return found
 
 
