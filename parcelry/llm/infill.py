@@ -9,7 +9,7 @@ The cuts and the form are drawn from a digest of seed and key alone, so they do
 
 Defined cases: a null text is empty; an empty text and one that holds a sentinel stay plain; a null key is drawn for like the
 empty text; rows of equal key and text get equal forms; texts of any length are taken whole; all other columns are
-kept, whatever their names.
+kept, whatever their names, but those with the name of a result, which it replaces.
 """
 
 from __future__ import annotations
@@ -162,9 +162,7 @@ class Documents:
 def _each(docs: DataFrame, key: str, options: Options, outputs: list[T.StructField], row):
     """docs with further columns, whose values row(documents, i) gives for text i of a batch."""
     names = [f.name for f in outputs]
-    clash = sorted(set(names) & set(docs.columns))
-    if clash:
-        raise ValueError(f"docs has columns {clash} already; rename them")
+    docs = docs.drop(*names)
     columns, text = docs.columns, docs.columns.index("text")
     kinds = [T.StructType([f]) for f in outputs]
     drawn_by = F.coalesce(F.col(key).cast("string"), F.lit(""))
@@ -201,6 +199,7 @@ def transform(docs: DataFrame, key: str = "doc_id", options: Options = Options()
 
 def restore(transformed: DataFrame) -> DataFrame:
     """transformed with `restored`, the text rebuilt from `output` and `form` alone."""
+    transformed = transformed.drop("restored")
     columns = transformed.columns
 
     def run(batches):

@@ -9,10 +9,10 @@ DARTS / weight are thrown, farther ones only for texts that have left a coordina
 Texts that agree on a band of ROWS coordinates share a bucket and are candidates. Equal texts are first
 collapsed. In each bucket texts are held against a few leaders, the one that meets most others and some drawn by
 hash; the links found join texts to components, and what follows looks only at buckets that still span
-several. After ROUNDS rounds the texts outside a bucket's largest component, few by then, are paired with the
-bucket's others. Pairs whose
-sketches (8 bits of each coordinate) can't belong to near texts are passed over; every other one is verified by
-the exact likeness of the weighted sets. A group is a connected component of links.
+several. Pairs with a leader whose sketches (8 bits of each coordinate) can't belong to near texts are passed over; every other
+one is verified by the exact likeness of the weighted sets. After ROUNDS rounds the texts outside a bucket's largest component,
+few by then, are compared exactly with the bucket's others, block by block, and only links leave a task. A group is a connected
+component of links.
 
 Defined cases: a null text is its own group; equal texts, empty ones included, are one group; texts without
 words are near no other text; shorter texts than a shingle are one shingle; equal keys take part once per row
@@ -25,6 +25,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +40,10 @@ COORDINATES = BANDS * ROWS
 DARTS = math.ceil(COORDINATES * math.log(COORDINATES) + 2 * COORDINATES)
 LEADERS = 4
 ROUNDS = 1
+#: Texts and units that a block of a bucket holds, about, and units that are multiplied at once.
+BLOCK = 1024
+BLOCK_UNITS = 1 << 21
+SLICE = 1 << 12
 #: Equal coordinates that a pair of likeness NEAR has but with a chance of 4e-6: four and a half deviations below the mean.
 LEAST_EQUAL = math.floor(COORDINATES * NEAR - 4.5 * math.sqrt(COORDINATES * NEAR * (1 - NEAR)))
 _OWNER = 52
@@ -191,25 +196,105 @@ def _led(inside: DataFrame, turn: int, near: float) -> DataFrame:
 
 
 def _across(inside: DataFrame, sets: DataFrame, near: float) -> DataFrame:
-    """Likely pairs of texts of one bucket and different components.
+    """The pairs (a, b) of texts of one bucket and different components that are that near.
 
-    One side are the texts outside the bucket's largest component, so that a large group which hangs together
-    is not paired with itself. Units that only one of the texts left has cannot be shared, which bounds the likeness of
-    a pair from above: edits that are a text's own rule out most pairs of a group whose texts have drifted apart.
+    A bucket's texts are dealt to blocks of about BLOCK texts and BLOCK_UNITS units; a task holds two blocks, counts the units
+    that each two texts share, and gives out links alone. A text is sent once for each block of its bucket, not for each partner. Two
+    texts of the bucket's largest component are not compared, so that a large group which hangs together costs nothing.
     """
-    left = sets.join(inside.select(F.col("text_id").alias("id")).distinct(), "id").select("id", F.explode("units").alias("unit"))
-    several = left.groupBy("unit").agg(F.count("*").alias("n")).where("n > 1").select("unit")
-    common = left.join(several, "unit").groupBy(F.col("id").alias("text_id")).agg(F.count("*").alias("common"))
-    inside = inside.join(common, "text_id")
-    counted = inside.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    main = counted.groupBy("bucket").agg(F.max(F.struct("n", "component"))["component"].alias("main"))
-    about = ("text_id", "component", "size", "sketch", "common")
-    one, other = (inside.select("bucket", *[F.col(c).alias(f"{c}_{s}") for c in about]) for s in "ab")
-    one = one.join(main, "bucket").where("component_a <> main").drop("main")
-    shared = F.least("common_a", "common_b")
-    # the counts come first in the join's condition, as they rule out most
-    met = one.join(other, "bucket").where("component_a <> component_b").where(shared >= F.lit(near) * (F.col("size_a") + F.col("size_b") - shared))
-    return _likely(met, near)
+    counted = inside.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum("size").alias("units"))
+    blocks = F.greatest(F.ceil(F.sum("n") / BLOCK), F.ceil(F.sum("units") / BLOCK_UNITS))
+    about = counted.groupBy("bucket").agg(F.max(F.struct("n", "component"))["component"].alias("main"), blocks.alias("blocks"))
+    own = F.pmod(F.xxhash64("text_id", "bucket"), F.col("blocks"))
+    rows = inside.join(about, "bucket").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = rows.select(
+        "bucket",
+        F.least("own", "other").alias("one"),
+        F.greatest("own", "other").alias("two"),
+        "own",
+        F.col("text_id").alias("id"),
+        F.xxhash64("component").alias("component"),
+        (F.col("component") == F.col("main")).alias("main"),
+    )
+    group = ["bucket", "one", "two"]
+    rows = rows.join(sets, "id").repartition(*group).sortWithinPartitions(*group)
+    return rows.mapInArrow(_links_of_blocks(near), "a binary, b binary").distinct()
+
+
+def _links_of_blocks(near: float):
+    """Links among the rows of each (bucket, one, two), which come in a row."""
+
+    def run(batches):
+        held = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            starts = _starts(rows)
+            for a, b in zip(starts, starts[1:]):
+                yield from links(rows.slice(a, b - a))
+            held = [rows.slice(starts[-1])]  # the last group may go on
+        if held:
+            yield from links(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+
+    def links(rows):
+        if rows.num_rows < 2 or pc.all(rows.column("main")).as_py():
+            return
+        own, component, main = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("own", "component", "main"))
+        sizes = rows.column("units").value_lengths().to_numpy()
+        ends = np.append(0, np.cumsum(sizes))
+        units = rows.column("units").flatten().to_numpy()
+        first = own == rows.column("one")[0].as_py()
+        left, right = np.flatnonzero(first), np.flatnonzero(~first)
+        if not len(right):
+            left = right = np.arange(len(own))  # a block with itself, or all that the group holds
+        shared = _shared([units[ends[i] : ends[i + 1]] for i in left], [units[ends[i] : ends[i + 1]] for i in right])
+        whole = sizes[left][:, None] + sizes[right][None, :] - shared
+        met = (shared >= near * whole) & (component[left][:, None] != component[right][None, :]) & ~(main[left][:, None] & main[right][None, :])
+        x, y = np.nonzero(met)
+        pairs = [sorted(p) for p in zip(rows.column("id").take(pa.array(left[x])).to_pylist(), rows.column("id").take(pa.array(right[y])).to_pylist())]
+        if pairs:
+            yield pa.record_batch([pa.array(c, pa.binary()) for c in zip(*pairs)], names=["a", "b"])
+
+    return run
+
+
+def _starts(rows: pa.RecordBatch) -> list[int]:
+    """First rows of the groups of a batch."""
+    new = np.zeros(rows.num_rows, bool)
+    new[0] = True
+    for c in ("bucket", "one", "two"):
+        values = rows.column(c).to_numpy()
+        new[1:] |= values[1:] != values[:-1]
+    return np.flatnonzero(new).tolist()
+
+
+def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many units each left and each right set share: 0/1 tables over the units of both, multiplied slice by slice."""
+    sides = []
+    for sets in (left, right):
+        owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        sides.append((np.concatenate(sets) if sets else np.zeros(0, np.int64), owner))
+    both = np.intersect1d(np.unique(sides[0][0]), np.unique(sides[1][0]), assume_unique=True)
+    out = np.zeros((len(left), len(right)), np.float32)
+    placed = []
+    for units, owner in sides:
+        at = np.searchsorted(both, units)
+        known = at < len(both)
+        known[known] = both[at[known]] == units[known]
+        order = np.argsort(at[known], kind="stable")
+        placed.append((at[known][order], owner[known][order]))
+    for a in range(0, len(both), SLICE):
+        b = min(a + SLICE, len(both))
+        tables = []
+        for (at, owner), n in zip(placed, out.shape):
+            low, high = np.searchsorted(at, [a, b])
+            one = np.zeros((n, b - a), np.float32)
+            one[owner[low:high], at[low:high] - a] = 1
+            tables.append(one)
+        out += tables[0] @ tables[1].T
+    return out
 
 
 def _likely(pairs: DataFrame, near: float) -> DataFrame:
@@ -257,8 +342,8 @@ def _classes(docs: DataFrame, key: str, near: float) -> tuple[DataFrame, DataFra
     kept = []
     for turn in range(ROUNDS + 1):
         inside = _spanning(shared, joined)
-        pairs = _led(inside, turn, near) if turn < ROUNDS else _across(inside, sets, near)
-        found = stored(_verified(pairs, sets, near), "links")
+        found = _verified(_led(inside, turn, near), sets, near) if turn < ROUNDS else _across(inside, sets, near)
+        found = stored(found, "links")
         kept.append(found)
         if not found.isEmpty():
             links = links.unionByName(found)

@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -234,30 +235,74 @@ class Sampler:
         return first, np.minimum(share, 1.0), before, piece
 
 
+class Speller:
+    """Texts that pieces spell."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.sizes = np.array([len(t) for t in vocabulary.texts])
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        self.letters = np.frombuffer(b"".join(vocabulary.texts), np.uint8)
+
+    def spell(self, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+        """The texts of the ids of several texts in a row, counts[i] of text i."""
+        length = self.sizes[ids]
+        ends = np.cumsum(length)
+        spelled = self.letters[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.begins[ids] - (ends - length), length)]
+        text_ends = np.append(0, ends)[np.append(0, np.cumsum(counts))]
+        keep = np.ones(len(spelled), bool)
+        keep[text_ends[:-1][counts > 0]] = False  # the blank that encoding puts before a text
+        bounds = text_ends - np.append(0, np.cumsum(counts > 0))
+        return pa.LargeStringArray.from_buffers(len(counts), pa.py_buffer(bounds.astype(np.int64).tobytes()), pa.py_buffer(spelled[keep].tobytes()))
+
+
+def _seeded(docs: DataFrame, key: str, seed: int) -> DataFrame:
+    """docs with the row's seed after its columns, under a name that none of them has."""
+    return docs.withColumn("_".join(["seed", *docs.columns]), F.xxhash64(F.col(key).cast("string"), F.lit(seed)))
+
+
 def encode(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", seed: int = 0, theta: float = THETA) -> DataFrame:
-    """docs with a column `piece_ids`, the sampled pieces of `text`."""
+    """docs with a column `piece_ids`, the sampled pieces of `text`; a column of that name is replaced."""
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    docs = docs.drop("piece_ids")
     columns = docs.columns
 
     def run(batches):
         sampler = Sampler(sent.value, theta)
         for batch in batches:
-            seeds = batch.column("_seed").to_numpy().view(np.uint64)
-            for a, b in pieces(batch.column("text"), _BATCH):
-                ids, bounds = sampler.segment(batch.column("text")[a:b], seeds[a:b])
+            seeds = batch.column(len(columns)).to_numpy().view(np.uint64)
+            texts = batch.column(columns.index("text"))
+            for a, b in pieces(texts, _BATCH):
+                ids, bounds = sampler.segment(texts[a:b], seeds[a:b])
                 found = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids, pa.int32()))
-                yield pa.record_batch([*(batch.column(c)[a:b] for c in columns), found], names=[*columns, "piece_ids"])
+                yield pa.record_batch([*batch.slice(a, b - a).columns[: len(columns)], found], names=[*columns, "piece_ids"])
+
+    return _seeded(docs, key, seed).mapInArrow(run, T.StructType([*docs.schema, T.StructField("piece_ids", T.ArrayType(T.IntegerType()))]))
 
-    seeded = docs.withColumn("_seed", F.xxhash64(F.col(key).cast("string"), F.lit(seed)))
-    return seeded.mapInArrow(run, T.StructType([*docs.schema, T.StructField("piece_ids", T.ArrayType(T.IntegerType()))]))
+
+def roundtrip(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", seed: int = 0, theta: float = THETA) -> DataFrame:
+    """(key, piece_ids, lossless): what encode gives, decoded in the same pass and compared with the text; texts do not come back."""
+    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def run(batches):
+        sampler, speller = Sampler(sent.value, theta), Speller(sent.value)
+        for batch in batches:
+            seeds = batch.column(2).to_numpy().view(np.uint64)
+            for a, b in pieces(batch.column(1), _BATCH):
+                texts = pc.fill_null(batch.column(1)[a:b].cast(pa.large_string()), "")
+                ids, bounds = sampler.segment(texts, seeds[a:b])
+                lossless = pc.equal(speller.spell(ids, np.diff(bounds)), texts)
+                found = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids, pa.int32()))
+                yield pa.record_batch([batch.column(0)[a:b], found, lossless], names=schema.names)
+
+    schema = T.StructType([docs.schema[key], T.StructField("piece_ids", T.ArrayType(T.IntegerType())), T.StructField("lossless", T.BooleanType())])
+    return _seeded(docs.select(key, "text"), key, seed).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """encoded with a column `decoded`, the text that `piece_ids` spell."""
+    """encoded with a column `decoded`, the text that `piece_ids` spell; a column of that name is replaced."""
+    encoded = encoded.drop("decoded")
     columns = encoded.columns
-    sizes = np.array([len(t) for t in vocabulary.texts])
-    begins = np.cumsum(sizes) - sizes
-    letters = np.frombuffer(b"".join(vocabulary.texts), np.uint8)
+    speller = Speller(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -266,19 +311,9 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             a = 0
             while a < len(counts):
                 b = max(int(np.searchsorted(total, total[a] + _DECODED, "right")) - 1, a + 1)
-                yield spell(batch.slice(a, b - a), counts[a:b])
+                part = batch.slice(a, b - a)
+                text = speller.spell(part.column("piece_ids").flatten().to_numpy(), counts[a:b])
+                yield pa.record_batch([*part.columns, text.cast(pa.string())], names=[*columns, "decoded"])
                 a = b
 
-    def spell(batch, counts):
-        ids = batch.column("piece_ids").flatten().to_numpy()
-        length = sizes[ids]
-        ends = np.cumsum(length)
-        spelled = letters[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(begins[ids] - (ends - length), length)]
-        text_ends = np.append(0, ends)[np.append(0, np.cumsum(counts))]
-        keep = np.ones(len(spelled), bool)
-        keep[text_ends[:-1][counts > 0]] = False  # the blank that encoding puts before a text
-        bounds = text_ends - np.append(0, np.cumsum(counts > 0))
-        text = pa.LargeStringArray.from_buffers(len(counts), pa.py_buffer(bounds.astype(np.int64).tobytes()), pa.py_buffer(spelled[keep].tobytes()))
-        return pa.record_batch([*(batch.column(c) for c in columns), text.cast(pa.string())], names=[*columns, "decoded"])
-
     return encoded.mapInArrow(run, T.StructType([*encoded.schema, T.StructField("decoded", T.StringType())]))

@@ -10,7 +10,7 @@ Besides the three kinds asked for, further rules find tokens of known forms and
 take none away.
 
 Defined cases: a null or empty text has no secrets; a text of any length is read whole; equal rows have equal results; all other
-columns are kept, whatever their names.
+columns are kept, whatever their names, but one with the name of the result, which it replaces.
 """
 
 from __future__ import annotations
@@ -176,8 +176,7 @@ def find(docs: DataFrame, rules: list[Rule] = RULES, column: str = "secrets") ->
 
     Places are code points, ends exclusive. The automata, about a thousand states, are sent to the tasks.
     """
-    if column in docs.columns:
-        raise ValueError(f"docs has a column '{column}' already; name another")
+    docs = docs.drop(column)
     sent = docs.sparkSession.sparkContext.broadcast(Scanner(rules))
     columns = docs.columns
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))

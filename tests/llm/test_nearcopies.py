@@ -112,3 +112,23 @@ def test_odd_rows(odd_docs, no_docs):
     # of the empty and the long texts and the repeated row one each goes
     assert kept.count() == odd_docs.count() - 3
     assert nearcopies.keep_one(no_docs).collect() == []
+
+
+@pytest.mark.parametrize("block", [2, 1024])
+def test_blocks_find_all_links_without_leaders(make_docs, monkeypatch, block):
+    """One large group of texts that have drifted apart, and links only between some of them."""
+    monkeypatch.setattr(nearcopies, "ROUNDS", 0)
+    monkeypatch.setattr(nearcopies, "BLOCK", block)
+    draw = random.Random(7)
+    base = " ".join(f"b{draw.randrange(500)}" for _ in range(90))
+    texts = [base, *[changed(base, draw.randint(0, 8), draw) for _ in range(40)]]
+    found = {r.doc_id: r.class_id for r in nearcopies.groups(make_docs(texts)).collect()}
+    assert [found[i] for i in range(len(texts))] == brute(texts)
+
+
+def test_shared_units_slice_by_slice(monkeypatch):
+    monkeypatch.setattr(nearcopies, "SLICE", 3)
+    draw = np.random.default_rng(5)
+    left, right = ([np.unique(draw.integers(0, 40, n)) for n in sizes] for sizes in ([5, 0, 30, 12], [9, 25, 1]))
+    expected = [[len(set(a) & set(b)) for b in right] for a in left]
+    assert nearcopies._shared(left, right).astype(int).tolist() == expected

@@ -57,3 +57,14 @@ def test_round_trip_and_seeds(spark, odd_docs, no_docs, vocabulary):
     first, other = (sorted(pieces.encode(equal, vocabulary, seed=s).collect()) for s in (0, 1))
     assert len({tuple(r.piece_ids) for r in [*first, *other]}) == 6  # equal texts, other keys or seeds
     assert pieces.decode(pieces.encode(no_docs, vocabulary), vocabulary).collect() == []
+
+
+def test_round_trip_in_one_pass(odd_docs, no_docs, vocabulary):
+    docs = odd_docs.withColumnsRenamed({"row": "seed", "tag": "piece_ids", "key": "decoded"})
+    decoded = pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
+    assert sorted(decoded.columns) == sorted(docs.columns) and {r.seed for r in decoded.collect()} == {"row"}
+    found = pieces.roundtrip(docs, vocabulary).collect()
+    assert len(found) == docs.count() and all(r.lossless for r in found)
+    order = lambda rows: sorted((str(r.doc_id), list(r.piece_ids)) for r in rows)
+    assert order(found) == order(decoded.collect())
+    assert pieces.roundtrip(no_docs, vocabulary).collect() == []
