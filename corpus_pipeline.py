@@ -35,10 +35,8 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def as_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_pieces, piece_ids, lossless) of each document left."""
-    vocabulary = pieces.read_vocabulary(pieces.MODEL)
-    decoded = pieces.decode(pieces.encode(docs.select("doc_id", "text"), vocabulary), vocabulary)
-    lossless = (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless")
-    return decoded.select("doc_id", F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids", lossless)
+    found = pieces.roundtrip(docs, pieces.read_vocabulary(pieces.MODEL))
+    return found.select("doc_id", F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids", "lossless")
 
 
 STAGES = [
