@@ -39,6 +39,8 @@ ROWS = 5
 COORDINATES = BANDS * ROWS
 DARTS = math.ceil(COORDINATES * math.log(COORDINATES) + 2 * COORDINATES)
 LEADERS = 4
+#: Leaders that a text is verified against.
+PARTNERS = 3
 ROUNDS = 1
 #: Texts and units that a block of a bucket holds, about, and units that are multiplied at once.
 BLOCK = 1024
@@ -183,16 +185,23 @@ def _spanning(shared: DataFrame, joined: DataFrame) -> DataFrame:
 
 
 def _led(inside: DataFrame, turn: int, near: float) -> DataFrame:
-    """Likely pairs of each text with its bucket's leaders, but for those of its own component.
+    """Likely pairs (a, b) of each text with leaders of its buckets, but for those of its own component.
 
     The first leader is the text that meets most others, as a base meets its edited copies; the rest are drawn by hash.
+    A text of 25 buckets meets up to a hundred leaders; the PARTNERS whose sketches agree most are verified. The others are
+    not lost: what a text does not join here is compared in _across.
     """
     about = ("text_id", "component", "size", "sketch")
     drawn = [F.xxhash64("text_id", "bucket", F.lit(turn * LEADERS + k)) for k in range(1, LEADERS)]
     order = [F.struct(o.alias("o"), *about) for o in (-F.col("met"), *drawn)]
     leaders = inside.groupBy("bucket").agg(*[F.min(o).alias(f"l{k}") for k, o in enumerate(order)])
     led = inside.join(leaders, "bucket").select(*[F.col(c).alias(f"{c}_a") for c in about], F.explode(F.array(*[f"l{k}" for k in range(LEADERS)])).alias("l"))
-    return _likely(led.select(*[f"{c}_a" for c in about], *[F.col("l")[c].alias(f"{c}_b") for c in about]), near)
+    led = led.select(*[f"{c}_a" for c in about], *[F.col("l")[c].alias(f"{c}_b") for c in about])
+    likely = led.where("component_a <> component_b").where(_may_be_near(near))
+    likely = likely.select("text_id_a", F.struct(_equal("sketch_a", "sketch_b").alias("equal"), "text_id_b").alias("met"))
+    best = likely.groupBy("text_id_a").agg(F.slice(F.sort_array(F.collect_set("met"), asc=False), 1, PARTNERS).alias("met"))
+    best = best.select("text_id_a", F.explode("met.text_id_b").alias("text_id_b"))
+    return best.select(F.least("text_id_a", "text_id_b").alias("a"), F.greatest("text_id_a", "text_id_b").alias("b")).distinct()
 
 
 def _across(inside: DataFrame, sets: DataFrame, near: float) -> DataFrame:
@@ -297,12 +306,6 @@ def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _likely(pairs: DataFrame, near: float) -> DataFrame:
-    """(a, b) of the pairs across components whose sizes and sketches do not rule them out, each once."""
-    met = pairs.where("component_a <> component_b").where(_may_be_near(near))
-    return met.select(F.least("text_id_a", "text_id_b").alias("a"), F.greatest("text_id_a", "text_id_b").alias("b")).distinct()
-
-
 def _may_be_near(near: float) -> Column:
     fits = F.least("size_a", "size_b") >= F.lit(near) * F.greatest("size_a", "size_b")
     return fits & (_equal("sketch_a", "sketch_b") >= LEAST_EQUAL)
