@@ -162,9 +162,11 @@ def make_estimator(
     shared = {"featuresCol": ASSEMBLED, "labelCol": LABEL, "predictionCol": RAW}
     if family == "ridge":
         alpha = float(chosen.pop("alpha"))
-        size = labelled.agg(F.stddev_pop(LABEL).alias("spread"), F.count(LABEL).alias("rows")).first()
-        penalty = alpha * (size["spread"] or 0.0) / size["rows"]
         wide = labelled.schema[ASSEMBLED].metadata["ml_attr"]["num_attrs"] > NORMAL_COLUMNS
+        # the normal equation scales the penalty by the deviation over n, L-BFGS by that over n - 1
+        spread = F.stddev_samp(LABEL) if wide else F.stddev_pop(LABEL)
+        size = labelled.agg(spread.alias("spread"), F.count(LABEL).alias("rows")).first()
+        penalty = alpha * (size["spread"] or 0.0) / size["rows"]
         solver = {"solver": "l-bfgs", "tol": 1e-12, "maxIter": 1000, **chosen} if wide else {"solver": "normal", **chosen}
         return LinearRegression(regParam=penalty, elasticNetParam=0.0, standardization=False, **shared, **solver)
     if family == "random_forest":
