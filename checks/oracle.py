@@ -388,6 +388,16 @@ SELECT s.b::INTEGER AS bucket, coalesce(n, 0) AS rows
 FROM (SELECT unnest(range({len(q.HISTOGRAM_EDGES) - 1})) AS b) s LEFT JOIN found USING (b)""",
     "order_stat_higher": f"""WITH {PAIRS} SELECT {QUANTILE_ROWS.format(digits=9)} FROM (SELECT [
   {higher('error', '0.05', 'errors')}, {higher('error', '0.5', 'errors')}, {higher('error', '0.95', 'errors')}] AS v)""",
+    "order_stat_by_customer": """WITH r AS (
+  SELECT o_custkey, o_totalprice, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice) - 1 AS place,
+         (count(*) OVER (PARTITION BY o_custkey) - 1)::DOUBLE AS last FROM orders)
+SELECT o_custkey, count(*) AS orders_held,
+  round(max(o_totalprice) FILTER (WHERE place = ceil(last * 0.05::DOUBLE)), 4) AS value_0,
+  round(max(o_totalprice) FILTER (WHERE place = ceil(last * 0.5::DOUBLE)), 4) AS value_1,
+  round(max(o_totalprice) FILTER (WHERE place = ceil(last * 0.95::DOUBLE)), 4) AS value_2 FROM r GROUP BY o_custkey""",
+    "order_stat_by_status_by_cuts": """SELECT o_orderstatus, count(*) AS orders_held,
+  round(quantile_cont(o_totalprice, 0.1), 4) AS value_0, round(quantile_cont(o_totalprice, 0.5), 4) AS value_1,
+  round(quantile_cont(o_totalprice, 0.9), 4) AS value_2 FROM orders GROUP BY o_orderstatus""",
     "regression_metrics": f"""WITH {PAIRS} SELECT
   round(1 - sum((actual - prediction) * (actual - prediction))
         / (SELECT sum((actual - m) * (actual - m)) FROM pairs, (SELECT avg(actual) AS m FROM pairs)), 9) AS r2,
@@ -402,8 +412,11 @@ SELECT round(avg(abs(actual - prediction)) FILTER (WHERE actual <= cut), 4) AS c
     "price_psi_by_cuts": PRICE_PSI,
     "drift_snapshot": SNAPSHOT,
     "snapshot_roundtrip": SNAPSHOT,
-    "psi_vs_snapshot": f"""WITH {early_late('ln(1 + o_totalprice)', True)}
+    **dict.fromkeys(
+        ("psi_vs_snapshot", "psi_of_batches"),
+        f"""WITH {early_late('ln(1 + o_totalprice)', True)}
 SELECT psi, current_rows FROM scored""",
+    ),
     "drift_verdict": verdict(f" * {q.RAISED}::DOUBLE"),
     "refresh_job": verdict(""),
     "verdict_no_reference": f"""SELECT false AS should_retrain, NULL::DOUBLE AS psi, 0.01::DOUBLE AS psi_threshold,
@@ -473,6 +486,8 @@ SELECT property_id, array_to_string(list_filter([
   round(avg(abs(actual - prediction)), 3) AS mae,
   round(avg((actual - prediction) * (actual - prediction)), 3) AS mse FROM complete""",
     "one_hot_index": """WITH o AS (SELECT o_orderkey AS property_id, o_custkey::VARCHAR AS customer FROM orders)
+SELECT property_id, dense_rank() OVER (ORDER BY customer) - 1 AS index FROM o""",
+    "one_hot_index_prefixed": """WITH o AS (SELECT o_orderkey AS property_id, printf('Customer#%09d', o_custkey) AS customer FROM orders)
 SELECT property_id, dense_rank() OVER (ORDER BY customer) - 1 AS index FROM o""",
     "scale_constant": f"""WITH {PRICED} SELECT property_id,
   CASE WHEN property_id % 3 <> 0 THEN round((property_id % 5)::DOUBLE, 6) ELSE 0.0::DOUBLE END AS latitude FROM priced""",
@@ -500,6 +515,19 @@ SELECT property_id, livingarea, living_area, latitude, round(prediction, 2) AS p
 WHERE stage = 'Production' GROUP BY model_name""",
     "production_metric": f"WITH {VERSIONS} SELECT * FROM production",
     "promotion_gate": f"WITH {VERSIONS} SELECT * FROM gated",
+    "gate_one_model": """WITH RECURSIVE c AS (
+  SELECT o_orderkey AS position, 'run_' || o_orderkey AS run_id, (o_orderkey * 7919) % 100003 / 100003.0::DOUBLE AS metric FROM orders),
+passes AS (
+  SELECT min(position) AS position, arg_min(metric, position) AS metric FROM c
+  UNION ALL
+  SELECT min(c.position), arg_min(c.metric, c.position) FROM c, passes p
+  WHERE c.position > p.position AND c.metric - p.metric > 0.02::DOUBLE HAVING count(*) > 0),
+met AS (
+  SELECT c.*, p.metric AS held FROM c ASOF LEFT JOIN passes p ON c.position > p.position)
+SELECT 'price' AS model_name, run_id, metric AS candidate_metric, held AS production_metric,
+  held IS NULL OR metric - held > 0.02::DOUBLE AS passed,
+  CASE WHEN held IS NULL THEN 'no production version' WHEN metric - held > 0.02::DOUBLE THEN 'gain above the threshold'
+       ELSE 'gain not above the threshold' END AS reason FROM met""",
     "register_versions": f"""WITH {VERSIONS} SELECT g.model_name, coalesce(last.version, 0) + 1 AS version, g.run_id,
   'Staging' AS stage FROM gated g LEFT JOIN last USING (model_name) WHERE passed""",
     "promote_version": PROMOTED,

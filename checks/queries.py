@@ -13,6 +13,7 @@ from parcelry.contract import CATEGORICAL_FEATURES, NUMERIC_FEATURES, OPTIONAL_D
 from parcelry.functions.columns import named
 from parcelry.operators import cleaning, drift, features, intervals, location, metrics, models, scoring
 from parcelry.operators import splitting, versions
+from parcelry.operators.grouped_stats import grouped_order_statistics
 from parcelry.operators.order_stats import Wanted, linear_grid, order_statistics
 from parcelry.plans import jobs, listings as shapes
 from parcelry.plans.listings import OPTIONS, listings, priced_orders, table
@@ -237,6 +238,21 @@ def order_stat_higher(spark, folder):
     return rounded(_steps(spark, stats.values["x"]), 9, "value")
 
 
+def _grouped(spark, folder, key, wanted, **options):
+    found = grouped_order_statistics(table(spark, folder, "orders"), [key], wanted, **options)
+    columns = [F.round(F.col("values")[i], 4).alias(f"value_{i}") for i in range(len(wanted.quantiles))]
+    return found.select(key, F.col("rows").alias("orders_held"), *columns)
+
+
+def order_stat_by_customer(spark, folder):
+    return _grouped(spark, folder, "o_custkey", Wanted(F.col("o_totalprice"), (0.05, 0.5, 0.95), "higher"))
+
+
+def order_stat_by_status_by_cuts(spark, folder):
+    """A few large groups along the path of a very large table."""
+    return _grouped(spark, folder, "o_orderstatus", Wanted(F.col("o_totalprice"), (0.1, 0.5, 0.9)), gap_rows=200)
+
+
 def regression_metrics(spark, folder):
     found = metrics.regression_metrics(shapes.fixed_predictions(spark, folder), "actual", "prediction")
     return rounded(rounded(found, 9, "r2"), 3, "rmse", "mae", "mse")
@@ -318,6 +334,16 @@ def psi_vs_snapshot(spark, folder):
     return rounded(drift.psi_vs_snapshot(current, drift.take_snapshot(reference)), 9, "psi")
 
 
+def psi_of_batches(spark, folder):
+    """The check of psi_vs_snapshot from counts of one batch after another, one of them submitted twice."""
+    reference, current = _by_date(spark, folder)
+    path = new_shared_path(spark, "snapshots")
+    snapshots.save_snapshot(spark, path, drift.take_snapshot(reference))
+    for batch in (0, 1, 2, 1):
+        snapshots.count_batch(spark, path, f"batch {batch}", current.where(F.col("property_id") % 3 == batch))
+    return rounded(snapshots.psi_of_batches(spark, path), 9, "psi")
+
+
 def _verdict(found):
     return rounded(rounded(found, 9, "psi"), 4, "current_price_median", "reference_price_median")
 
@@ -410,6 +436,13 @@ def one_hot_index(spark, folder):
     return features.encode_index(rows, "customer", features.category_index(rows, ["customer"])).select("property_id", "index")
 
 
+def one_hot_index_prefixed(spark, folder):
+    """The same with values that all begin alike."""
+    customer = F.format_string("Customer#%09d", F.col("o_custkey"))
+    rows = shapes.table(spark, folder, "orders").select(F.col("o_orderkey").alias("property_id"), customer.alias("customer"))
+    return features.encode_index(rows, "customer", features.category_index(rows, ["customer"])).select("property_id", "index")
+
+
 def scale_constant(spark, folder):
     """A feature that was constant, with gaps, when fitted: other values are centred and scaled by 1."""
     key = F.col("property_id")
@@ -647,6 +680,19 @@ def promotion_gate(spark, folder):
     return _gated(spark, folder)
 
 
+def gate_one_model(spark, folder):
+    """Every order is a candidate of one model that has no production version yet."""
+    key = F.col("o_orderkey")
+    candidates = table(spark, folder, "orders").select(
+        F.lit("price").alias("model_name"),
+        F.concat(F.lit("run_"), key.cast("string")).alias("run_id"),
+        ((key * 7919) % 100003 / F.lit(100003.0)).alias("candidate_metric"),
+        key.alias("position"),
+    )
+    none_held = spark.createDataFrame([], "model_name string, production_metric double")
+    return versions.promotion_gate(candidates, none_held)
+
+
 def register_versions(spark, folder):
     return versions.register_versions(shapes.model_versions(spark, folder), _gated(spark, folder), "Staging")
 
@@ -703,17 +749,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         drop_columns, cast_numeric, exclude_types, outlier_filter, select_contract, clean_rows,
         alias_rename, validate_rows, validate_text_rows, reject_summary, fill_optional, unseen_categories,
         dedup_rows, hash_split, exact_split, centroid_backfill, missing_location,
-        price_summary, quantiles, quantiles_by_cuts, histogram, order_stat_higher,
+        price_summary, quantiles, quantiles_by_cuts, histogram, order_stat_higher, order_stat_by_customer,
+        order_stat_by_status_by_cuts,
         regression_metrics, regression_metrics_missing, cheap_segment_mae,
-        psi, price_psi, price_psi_by_cuts, drift_snapshot, snapshot_roundtrip, psi_vs_snapshot,
+        psi, price_psi, price_psi_by_cuts, drift_snapshot, snapshot_roundtrip, psi_vs_snapshot, psi_of_batches,
         drift_verdict, refresh_job, verdict_no_reference, verdict_unknown, psi_guards, snapshot_replaced,
-        impute_median, standard_scale, impute_mode, one_hot, one_hot_unseen, one_hot_index, scale_constant, preprocess,
+        impute_median, standard_scale, impute_mode, one_hot, one_hot_unseen, one_hot_index, one_hot_index_prefixed, scale_constant, preprocess,
         target_transform, calibrate_interval, calibrate_interval_by_cuts, apply_interval,
         apply_interval_legacy, interval_margin, train_ridge_one_feature, score_table, score_job_csv,
         forest_stump, boosted_stump, stump_importance, leafwise_tree, leafwise_importance,
         train_ridge, train_gradient_boosting, train_hist_gradient_boosting, train_random_forest,
         batch_score, forest_interval, feature_importance, model_roundtrip, model_roundtrip_one_feature,
-        list_versions, resolve_version, production_metric, promotion_gate, register_versions,
+        list_versions, resolve_version, production_metric, promotion_gate, gate_one_model, register_versions,
         promote_version, promote_missing_target, promote_job, promote_in_store,
         promote_several_candidates, promote_several_stages,
     )

@@ -223,6 +223,34 @@ def psi_vs_snapshot(df: DataFrame, snapshot: dict) -> DataFrame:
     )
 
 
+def snapshot_counts(df: DataFrame, snapshot: dict) -> dict:
+    """What a later check needs of these rows: their number with a price, and per bucket of the snapshot's edges.
+
+    Counts over the same edges add up, so batches counted one by one give what a scan of all would.
+    """
+    edges = snapshot.get("price_log_bin_edges") or []
+    price = without_nan(F.col(TARGET).cast("double"))
+    if len(edges) < 3:
+        return {"rows": df.agg(F.count(price)).first()[0], "buckets": []}
+    clipped = df.select(clip(F.log1p(price), edges[0], edges[-1]).alias("x"), F.lit(False).alias("is_reference"))
+    found = _bucket_counts(clipped, edges).first()
+    return {"rows": found["current_rows"], "buckets": list(found["current"])}
+
+
+def add_counts(one: dict, other: dict) -> dict:
+    return {"rows": one["rows"] + other["rows"], "buckets": [a + b for a, b in zip(one["buckets"], other["buckets"], strict=True)]}
+
+
+def psi_of_counts(spark: SparkSession, counts: dict, snapshot: dict) -> DataFrame:
+    """psi_vs_snapshot of the rows counted by snapshot_counts, without reading them."""
+    shares, rows = snapshot.get("price_log_ref_pct"), F.lit(counts["rows"]).cast("bigint").alias("current_rows")
+    if not counts["buckets"] or not shares:
+        return spark.range(1).select(F.lit(None).cast("double").alias("psi"), rows)
+    stored = F.array(*[F.lit(EMPTY_SHARE if s == 0 else s) for s in shares])
+    current = F.array(*[F.lit(c).cast("bigint") for c in counts["buckets"]])
+    return spark.range(1).select(_psi(stored, _shares(current)).alias("psi"), rows)
+
+
 def drift_verdict(df: DataFrame, snapshot: dict | None, threshold: float = MODERATE) -> DataFrame:
     """One row saying how far the prices drifted from the snapshot and whether to retrain.
 

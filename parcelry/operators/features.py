@@ -17,9 +17,8 @@ from parcelry.contract import CATEGORICAL_FEATURES, NUMERIC_FEATURES, require_co
 from parcelry.functions.columns import named, sql_double, sql_string, without_nan
 from parcelry.operators.joins import lookup_join
 from parcelry.operators.order_stats import Wanted, order_statistics
-from parcelry.session import held
+from parcelry.session import held, new_shared_path
 
-PREFIX = 3
 ASSEMBLED = "features"
 
 
@@ -106,19 +105,31 @@ def fit_categorical(df: DataFrame, names: Sequence[str]) -> list[CategoryFit]:
     return fits
 
 
+def placed_values(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(feature, value, part, at): the distinct values in sorted order over the parts of a range partitioning.
+
+    Written before it is read, so that the places stay as they are however often they are used.
+    """
+    found = category_counts(df, names).select("feature", "value")
+    ordered = found.repartitionByRange("feature", "value").sortWithinPartitions("feature", "value")
+    path = new_shared_path(df.sparkSession, "numbered-values")
+    ordered.withColumn("at", F.monotonically_increasing_id()).write.parquet(path)
+    part = F.shiftright("at", 33).alias("part")  # the id holds the partition, then 33 bits of the place in it
+    return df.sparkSession.read.parquet(path).select("feature", "value", part, "at")
+
+
 def category_index(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """(feature, value, index): the place of each value among its column's sorted values, from 0.
 
-    Values are numbered within groups of equal first letters, and only the sizes of the groups are added
-    up in one task.
+    A number is the value's place in its own part after the rows of the parts before. No task holds more than
+    a part, whatever the values share, and only the sizes of the parts are added up in one.
     """
-    found = category_counts(df, names).select("feature", "value", F.substring("value", 1, PREFIX).alias("head"))
-    group = Window.partitionBy("feature", "head").orderBy("value")
-    before = Window.partitionBy("feature").orderBy("head").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = found.groupBy("feature", "head").agg(F.count(F.lit(1)).alias("size"))
-    sizes = sizes.select("feature", "head", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
-    numbered = found.withColumn("place", F.row_number().over(group) - 1)
-    return numbered.join(sizes, ["feature", "head"]).select("feature", "value", (F.col("start") + F.col("place")).alias("index"))
+    placed = placed_values(df, names)
+    before = Window.partitionBy("feature").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = placed.groupBy("feature", "part").agg(F.count(F.lit(1)).alias("size"), F.min("at").alias("first"))
+    start = F.coalesce(F.sum("size").over(before), F.lit(0)) - F.col("first")
+    parts = parts.select("feature", "part", start.alias("start"))
+    return placed.join(parts, ["feature", "part"]).select("feature", "value", (F.col("at") + F.col("start")).alias("index"))
 
 
 def encode_index(df: DataFrame, column: str, index: DataFrame) -> DataFrame:

@@ -7,9 +7,14 @@ metric the latest step counts, the largest where steps are equal or not given.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import partial
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parcelry.functions.columns import without_nan
 from parcelry.operators.joins import lookup_join
 
 # Stages, the gate's metric and its threshold.
@@ -78,48 +83,49 @@ def promotion_gate(
     any candidate that has it. `reason` says which case applied. production has one row per
     Production version held, as production_metric gives it.
 
-    The candidates of one model are folded as one array: a batch submits a few per model.
+    A NaN metric counts as missing. The candidates of a model stream through one task in sorted order; it holds
+    the current metric alone, however many there are.
     """
-    held = production.select("model_name", "production_metric", F.lit(True).alias("held"))
     place = F.col("position") if "position" in candidates.columns else F.lit(0)
-    offered = F.struct(place.alias("position"), "run_id", "candidate_metric")
-    queue = candidates.groupBy("model_name").agg(F.sort_array(F.collect_list(offered)).alias("queue"))
-    queue = lookup_join(queue, held, "model_name", known_unique=True)
-    verdict = "struct<run_id:string,candidate_metric:double,production_metric:double,held:boolean,passed:boolean>"
-    start = F.struct(
-        F.col("production_metric").cast("double").alias("metric"),
-        F.coalesce("held", F.lit(False)).alias("held"),
-        F.array().cast(f"array<{verdict}>").alias("done"),
-    )
-
-    def gate(state, offer):
-        gain = offer["candidate_metric"] - state["metric"]
-        better = state["metric"].isNull() | (gain > F.lit(threshold))
-        passed = ~state["held"] | (offer["candidate_metric"].isNotNull() & F.coalesce(better, F.lit(False)))
-        row = F.struct(
-            offer["run_id"].cast("string").alias("run_id"),
-            offer["candidate_metric"].cast("double").alias("candidate_metric"),
-            state["metric"].alias("production_metric"),
-            state["held"].alias("held"),
-            passed.alias("passed"),
-        )
-        return F.struct(
-            F.when(passed, offer["candidate_metric"].cast("double")).otherwise(state["metric"]).alias("metric"),
-            (state["held"] | passed).alias("held"),
-            F.concat(state["done"], F.array(row)).alias("done"),
-        )
-
-    gated = queue.select("model_name", F.explode(F.aggregate("queue", start, gate, lambda state: state["done"])).alias("v"))
+    offered = candidates.select(
+        "model_name", place.alias("position"), F.col("run_id").cast("string").alias("run_id"),
+        without_nan(F.col("candidate_metric").cast("double")).alias("candidate_metric"),
+    )
+    known = without_nan(F.col("production_metric").cast("double")).alias("production_metric")
+    queue = lookup_join(offered, production.select("model_name", known, F.lit(True).alias("held")), "model_name", known_unique=True)
+    queue = queue.repartition("model_name").sortWithinPartitions("model_name", "position", "run_id", "candidate_metric")
+    named_type = candidates.schema["model_name"].dataType.simpleString()
+    schema = f"model_name {named_type}, run_id string, candidate_metric double, production_metric double, held boolean, passed boolean"
+    gated = queue.drop("position").mapInArrow(partial(_gate, threshold=threshold), schema)
     reason = (
-        F.when(~F.col("v.held"), "no production version")
-        .when(F.col("v.candidate_metric").isNull(), "candidate lacks the metric")
-        .when(F.col("v.production_metric").isNull(), "production lacks the metric")
-        .when(F.col("v.passed"), "gain above the threshold")
+        F.when(~F.col("held"), "no production version")
+        .when(F.col("candidate_metric").isNull(), "candidate lacks the metric")
+        .when(F.col("production_metric").isNull(), "production lacks the metric")
+        .when(F.col("passed"), "gain above the threshold")
         .otherwise("gain not above the threshold")
     )
-    return gated.select(
-        "model_name", "v.run_id", "v.candidate_metric", "v.production_metric", "v.passed", reason.alias("reason")
-    )
+    return gated.select("model_name", "run_id", "candidate_metric", "production_metric", "passed", reason.alias("reason"))
+
+
+def _gate(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    """Each row with the production metric it met; rows of a model come one after another."""
+    model, metric, held, begun = None, None, False, False
+    for batch in batches:
+        rows = zip(*[batch.column(c).to_pylist() for c in ("model_name", "candidate_metric", "production_metric", "held")])
+        met, was_held, passes = [], [], []
+        for name, offer, given, there in rows:
+            if not begun or name != model:
+                begun, model, metric, held = True, name, given, bool(there)
+            gains = offer is not None and (metric is None or offer - metric > threshold)
+            passed = gains or not held
+            met.append(metric)
+            was_held.append(held)
+            passes.append(passed)
+            if passed:
+                metric, held = offer, True
+        columns = [batch.column(c) for c in ("model_name", "run_id", "candidate_metric")]
+        columns += [pa.array(met, pa.float64()), pa.array(was_held, pa.bool_()), pa.array(passes, pa.bool_())]
+        yield pa.record_batch(columns, names=["model_name", "run_id", "candidate_metric", "production_metric", "held", "passed"])
 
 
 def register_versions(versions: DataFrame, gated: DataFrame, stage: str | None = None) -> DataFrame:

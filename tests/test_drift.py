@@ -157,3 +157,33 @@ def test_refresh_replaces_the_snapshot_only_on_retraining(spark, tmp_path):
     assert snapshots.load_snapshot(spark, path)["price_median"] == 3499.5
     with pytest.raises(Exception, match="price"):
         jobs.refresh_job(spark, steady.withColumnRenamed("price", "cost"), path)
+
+
+def test_counts_of_batches_add_up_to_a_scan_of_all(spark, tmp_path):
+    path = str(tmp_path / "snapshots")
+    prices = spark.range(3000).select((F.col("id") * 37 % 1009 + 100.0).alias("price"))
+    current = spark.range(900).select(
+        F.when(F.col("id") % 50 == 0, F.lit(float("nan"))).otherwise(F.col("id") * 11 % 1500 + 1.0).alias("price"), (F.col("id") % 3).alias("batch")
+    )
+    snapshot = drift.take_snapshot(prices)
+    with pytest.raises(ValueError, match="no snapshot"):
+        snapshots.count_batch(spark, path, "a", current)
+    snapshots.save_snapshot(spark, path, snapshot)
+    for batch in (0, 1, 2, 1):
+        counts = snapshots.count_batch(spark, path, str(batch), current.where(F.col("batch") == batch))
+    assert counts["batches"] == ["0", "1", "2"]
+    expected = drift.psi_vs_snapshot(current, snapshot).first()
+    assert snapshots.psi_of_batches(spark, path).first() == expected
+    empty = snapshots.count_batch(spark, path, "none", current.limit(0))
+    assert empty["rows"] == expected["current_rows"] == 882
+    snapshots.save_snapshot(spark, path, drift.take_snapshot(current))
+    assert snapshots.count_batch(spark, path, "3", prices)["batches"] == ["3"]
+    assert snapshots.psi_of_batches(spark, path).first()["current_rows"] == 3000
+
+
+def test_counts_against_a_constant_reference_give_no_psi(spark, tmp_path):
+    path = str(tmp_path / "snapshots")
+    rows = spark.range(20).select(F.lit(5.0).alias("price"))
+    snapshots.save_snapshot(spark, path, drift.take_snapshot(rows))
+    snapshots.count_batch(spark, path, "a", rows)
+    assert tuple(snapshots.psi_of_batches(spark, path).first()) == (None, 20)

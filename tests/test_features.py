@@ -99,3 +99,21 @@ def test_index_is_the_place_among_sorted_values(spark):
     assert {r["value"]: r["index"] for r in index.collect()} == {v: i for i, v in enumerate(order)}
     found = {r["id"]: r["index"] for r in features.encode_index(df, "k", index).collect()}
     assert found == {i: None if v is None else order.index(v) for i, v in enumerate(values)}
+
+
+def test_numbering_is_spread_over_partitions_whatever_the_values_share(spark):
+    values = [f"Customer#{i:06d}" for i in range(5000)]
+    rows = spark.createDataFrame([(v, v[-1] if i % 7 else None) for i, v in enumerate(values)] * 2, "a string, b string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = features.placed_values(rows, ["a", "b"]).groupBy("part").count().collect()
+        found = features.category_index(rows, ["a", "b"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) > 2 and max(r["count"] for r in sizes) < 2500
+    by = {}
+    for r in found.collect():
+        by.setdefault(r["feature"], []).append((r["index"], r["value"]))
+    assert sorted(by["a"]) == list(enumerate(values))
+    assert sorted(by["b"]) == list(enumerate("0123456789"))
+    assert features.category_index(rows.limit(0), ["a"]).isEmpty()

@@ -116,3 +116,23 @@ def test_only_production_archives(spark, table):
     assert {(r["model_name"], r["version"]): r["stage"] for r in moved.collect()}[("a", "3")] == "Production"
     with pytest.raises(ValueError, match="none of"):
         versions.promote_versions(table, target, "Live")
+
+
+def test_many_candidates_of_one_model_are_gated_in_one_pass(spark):
+    rows = [("m", f"r{i:06d}", None if i % 101 == 0 else float("nan") if i % 103 == 0 else (i * 7919 % 100003) / 100003 + i / 1e5, i) for i in range(100_000)]
+    rows += [(None, "x", 0.5, 1), (None, "y", 0.6, 2), ("held", "z", 0.5, 1)]
+    candidates = spark.createDataFrame(rows, "model_name string, run_id string, candidate_metric double, position int").repartition(7)
+    production = spark.createDataFrame([("held", 0.49)], "model_name string, production_metric double")
+    gated = versions.promotion_gate(candidates, production)
+    plan = gated._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan
+    found = {(r["model_name"], r["run_id"]): (r["production_metric"], r["passed"]) for r in gated.collect()}
+    assert len(found) == len(rows)
+    now = {"held": (0.49,)}
+    for name, run, metric, _ in rows:
+        metric = None if metric is None or metric != metric else metric
+        held = now.get(name)
+        passed = held is None or metric is not None and (held[0] is None or metric - held[0] > versions.IMPROVEMENT)
+        assert found[name, run] == (held[0] if held else None, passed)
+        if passed:
+            now[name] = (metric,)
