@@ -684,7 +684,7 @@ def gate_one_model(spark, folder):
     """Every order is a candidate of one model that has no production version yet."""
     key = F.col("o_orderkey")
     candidates = table(spark, folder, "orders").select(
-        F.lit("price").alias("model_name"),
+        F.when(key.isNotNull(), "price").alias("model_name"),
         F.concat(F.lit("run_"), key.cast("string")).alias("run_id"),
         ((key * 7919) % 100003 / F.lit(100003.0)).alias("candidate_metric"),
         key.alias("position"),

@@ -10,7 +10,7 @@ from dataclasses import asdict, dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelry.contract import CATEGORICAL_FEATURES, NUMERIC_FEATURES, require_columns
@@ -122,13 +122,15 @@ def category_index(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """(feature, value, index): the place of each value among its column's sorted values, from 0.
 
     A number is the value's place in its own part after the rows of the parts before. No task holds more than
-    a part, whatever the values share, and only the sizes of the parts are added up in one.
+    a part, whatever the values share; only the sizes of the parts, a row a feature and part, go to the driver.
     """
     placed = placed_values(df, names)
-    before = Window.partitionBy("feature").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = placed.groupBy("feature", "part").agg(F.count(F.lit(1)).alias("size"), F.min("at").alias("first"))
-    start = F.coalesce(F.sum("size").over(before), F.lit(0)) - F.col("first")
-    parts = parts.select("feature", "part", start.alias("start"))
+    sizes = placed.groupBy("feature", "part").agg(F.count(F.lit(1)).alias("size"), F.min("at").alias("first")).collect()
+    starts, before = [], dict.fromkeys(names, 0)
+    for r in sorted(sizes, key=lambda r: r["part"]):
+        starts.append((r["feature"], r["part"], before[r["feature"]] - r["first"]))
+        before[r["feature"]] += r["size"]
+    parts = df.sparkSession.createDataFrame(starts, "feature string, part bigint, start bigint")
     return placed.join(parts, ["feature", "part"]).select("feature", "value", (F.col("at") + F.col("start")).alias("index"))
 
 
