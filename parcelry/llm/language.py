@@ -5,7 +5,7 @@ blank) in order of frequency. A document is compared by the out-of-place distanc
 frequent n-grams, the sum of how far each stands from its place in the profile, an absent one
 counting as far as can be. The nearest profile wins; equal distances go to the language that sorts first.
 
-Defined cases: a null text, or one without a letter, is `und` with score 0; rows without a text or a
+Defined cases: a null text, or one without a letter (marks alone are none), is `und` with score 0; rows without a text or a
 language teach nothing; without any profile everything is `und`; repeated rows count as often as
 they occur; texts of any length are read whole.
 """
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,15 +27,13 @@ UNKNOWN = "und"
 PROFILE = 300
 SIZES = (1, 2, 3)
 _BITS = 21  # of a code point
-_BMP = None
+_TOP = 0x40000  # no letter lies beyond the third plane
 
 
-def _letters() -> np.ndarray:
-    """Which of the code points below 0x30000 are letters; those above are not counted."""
-    global _BMP
-    if _BMP is None:
-        _BMP = np.fromiter((unicodedata.category(chr(c))[0] in "LM" for c in range(0x30000)), bool, 0x30000)
-    return _BMP
+@cache
+def _letters(kinds: str) -> np.ndarray:
+    """Which of the code points below _TOP are of these kinds: L a letter, M a mark on one."""
+    return np.fromiter((unicodedata.category(chr(c))[0] in kinds for c in range(_TOP)), bool, _TOP)
 
 
 def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -47,14 +46,14 @@ def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
     sizes = np.fromiter(map(len, lowered), np.int64, len(lowered))
     owner = np.repeat(np.arange(len(lowered) + 1), np.concatenate([[1], sizes + 1]))  # 1-based; separators belong to the text before
-    letter = _letters()[np.minimum(points, 0x2FFFF)] & (points < 0x30000)
+    letter = _letters("LM")[np.minimum(points, _TOP - 1)] & (points < _TOP)
     keep = letter.copy()
     keep[1:] |= letter[:-1]  # the first blank after a word
     keep[0] = True
     points, owner, letter = np.where(letter, points, 32)[keep], owner[keep], letter[keep]
     after = np.roll(owner, -1)
     owner = np.where(letter, owner, after)  # a blank goes with what follows it
-    seen = np.zeros(0x30000, bool)
+    seen = np.zeros(_TOP, bool)
     seen[points] = True
     symbols = np.flatnonzero(seen)
     code = (np.cumsum(seen) - 1)[points]
@@ -123,8 +122,8 @@ def learn(docs: DataFrame, profile: int = PROFILE) -> DataFrame:
 
     rows = docs.where("text is not null and lang is not null").select("text", "lang")
     totals = rows.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram")) - 1
-    return totals.withColumn("place", place).where(F.col("place") < profile).select("lang", "gram", "place")
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
+    return totals.withColumn("turn", turn).where(F.col("turn") <= profile).select("lang", "gram", (F.col("turn") - 1).alias("place"))
 
 
 def predict(docs: DataFrame, key: str, profiles: DataFrame, profile: int = PROFILE) -> DataFrame:
@@ -150,7 +149,9 @@ def predict(docs: DataFrame, key: str, profiles: DataFrame, profile: int = PROFI
 
     def nearest(texts):
         text, gram, counts = _grams(texts)
-        if not len(text) or not langs:
+        single = gram < 1 << _BITS
+        known = np.bincount(text[single][_letters("L")[gram[single]]], minlength=len(texts)) > 0
+        if not known.any() or not langs:
             return [UNKNOWN] * len(texts), [0.0] * len(texts)
         order = np.lexsort((gram, -counts, text))
         text, gram = text[order], gram[order]
@@ -166,7 +167,7 @@ def predict(docs: DataFrame, key: str, profiles: DataFrame, profile: int = PROFI
         total = np.stack([np.bincount(text, far[:, k], len(texts)) for k in range(len(langs))], 1)
         best = total.argmin(1)
         likeness = 1 - total.min(1) / np.maximum(size * profile, 1)
-        return [langs[k] if n else UNKNOWN for k, n in zip(best, size)], np.where(size > 0, likeness, 0.0).tolist()
+        return [langs[k] if own else UNKNOWN for k, own in zip(best, known)], np.where(known, likeness, 0.0).tolist()
 
     return docs.select(key, "text").mapInArrow(label, docs.select(key).schema.add("lang_pred", "string").add("score", "double"))
 

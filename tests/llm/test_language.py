@@ -69,3 +69,25 @@ def test_odd_rows(odd_docs, no_docs):
     assert by[1] == by[2] == by[5] == by[9] == {"und"} and by[6] == {"xx"}
     assert {r.lang_pred for r in language.identify(docs, F.lit(False)).collect()} == {"und"}
     assert language.identify(no_docs.withColumn("lang", F.lit("xx")), F.lit(True)).collect() == []
+
+
+def test_marks_alone_are_no_letters_and_all_planes_count(spark):
+    learn = spark.createDataFrame([(1, "the cat \U00030005", "en"), (2, "die katze", "de")], "doc_id long, text string, lang string")
+    profiles = language.learn(learn)
+    asked = ["\u0301\u0308", "a\u0301", "\U00030005", "\U0001F600", None]
+    table = spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string")
+    found = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.predict(table, "doc_id", profiles).collect()}
+    assert found[0] == found[3] == found[4] == ("und", 0.0)
+    assert found[1][0] != "und" and found[2][0] == "en" and found[2][1] > 0
+
+
+def test_equal_distances_go_to_the_language_that_sorts_first(spark):
+    learn = spark.createDataFrame([(1, "same words", "xx"), (2, "same words", "aa")], "doc_id long, text string, lang string")
+    table = spark.createDataFrame([(1, "same"), (2, "zzz")], "doc_id long, text string")
+    found = language.predict(table, "doc_id", language.learn(learn)).collect()
+    assert {r["lang_pred"] for r in found} == {"aa"}
+
+
+def test_profiles_are_limited_before_the_last_sort(spark):
+    learn = spark.createDataFrame([(1, "same words", "xx")], "doc_id long, text string, lang string")
+    assert "WindowGroupLimit" in language.learn(learn)._jdf.queryExecution().executedPlan().toString()
