@@ -7,8 +7,7 @@ metric the latest step counts, the largest where steps are equal or not given.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import partial
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -96,7 +95,7 @@ def promotion_gate(
     queue = queue.repartition("model_name").sortWithinPartitions("model_name", "position", "run_id", "candidate_metric")
     named_type = candidates.schema["model_name"].dataType.simpleString()
     schema = f"model_name {named_type}, run_id string, candidate_metric double, production_metric double, held boolean, passed boolean"
-    gated = queue.drop("position").mapInArrow(partial(_gate, threshold=threshold), schema)
+    gated = queue.drop("position").mapInArrow(_gate(threshold), schema)
     reason = (
         F.when(~F.col("held"), "no production version")
         .when(F.col("candidate_metric").isNull(), "candidate lacks the metric")
@@ -107,25 +106,32 @@ def promotion_gate(
     return gated.select("model_name", "run_id", "candidate_metric", "production_metric", "passed", reason.alias("reason"))
 
 
-def _gate(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    """Each row with the production metric it met; rows of a model come one after another."""
-    model, metric, held, begun = None, None, False, False
-    for batch in batches:
-        rows = zip(*[batch.column(c).to_pylist() for c in ("model_name", "candidate_metric", "production_metric", "held")])
-        met, was_held, passes = [], [], []
-        for name, offer, given, there in rows:
-            if not begun or name != model:
-                begun, model, metric, held = True, name, given, bool(there)
-            gains = offer is not None and (metric is None or offer - metric > threshold)
-            passed = gains or not held
-            met.append(metric)
-            was_held.append(held)
-            passes.append(passed)
-            if passed:
-                metric, held = offer, True
-        columns = [batch.column(c) for c in ("model_name", "run_id", "candidate_metric")]
-        columns += [pa.array(met, pa.float64()), pa.array(was_held, pa.bool_()), pa.array(passes, pa.bool_())]
-        yield pa.record_batch(columns, names=["model_name", "run_id", "candidate_metric", "production_metric", "held", "passed"])
+def _gate(threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Each row with the production metric it met; rows of a model come one after another.
+
+    A closure travels to the workers whole, so they need not find this package.
+    """
+
+    def gate(batches):
+        model, metric, held, begun = None, None, False, False
+        for batch in batches:
+            rows = zip(*[batch.column(c).to_pylist() for c in ("model_name", "candidate_metric", "production_metric", "held")])
+            met, was_held, passes = [], [], []
+            for name, offer, given, there in rows:
+                if not begun or name != model:
+                    begun, model, metric, held = True, name, given, bool(there)
+                gains = offer is not None and (metric is None or offer - metric > threshold)
+                passed = gains or not held
+                met.append(metric)
+                was_held.append(held)
+                passes.append(passed)
+                if passed:
+                    metric, held = offer, True
+            columns = [batch.column(c) for c in ("model_name", "run_id", "candidate_metric")]
+            columns += [pa.array(met, pa.float64()), pa.array(was_held, pa.bool_()), pa.array(passes, pa.bool_())]
+            yield pa.record_batch(columns, names=["model_name", "run_id", "candidate_metric", "production_metric", "held", "passed"])
+
+    return gate
 
 
 def register_versions(versions: DataFrame, gated: DataFrame, stage: str | None = None) -> DataFrame:
