@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelry.functions.columns import without_nan
@@ -134,16 +134,35 @@ def _gate(threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     return gate
 
 
+def _counted() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Each row with its turn, from 1, among the rows of its model, which come one after another."""
+
+    def count(batches):
+        model, turn = None, 0
+        for batch in batches:
+            turns = []
+            for name in batch.column("model_name").to_pylist():
+                turn = turn + 1 if turn and name == model else 1
+                model = name
+                turns.append(turn)
+            yield pa.record_batch([*batch.columns, pa.array(turns, pa.int64())], names=["model_name", "run_id", "turn"])
+
+    return count
+
+
 def register_versions(versions: DataFrame, gated: DataFrame, stage: str | None = None) -> DataFrame:
     """A row with the next version numbers for every candidate that passed, in the order it was gated.
 
     gated holds a model's candidates as promotion_gate gives them: each later one has beaten the one
-    before, so their metrics rise and order them; one without a metric comes first.
+    before, so their metrics rise and order them; one without a metric comes first. They are counted
+    as they stream by, so a model with many holds none of them in memory.
     """
-    turn = F.row_number().over(Window.partitionBy("model_name").orderBy(F.col("candidate_metric").asc_nulls_first(), "run_id"))
+    passed = gated.filter("passed").select("model_name", "run_id", "candidate_metric").repartition("model_name")
+    passed = passed.sortWithinPartitions("model_name", F.col("candidate_metric").asc_nulls_first(), "run_id")
+    named_type, run_type = (passed.schema[c].dataType.simpleString() for c in ("model_name", "run_id"))
+    turns = passed.drop("candidate_metric").mapInArrow(_counted(), f"model_name {named_type}, run_id {run_type}, turn bigint")
     last = latest_versions(versions).withColumnRenamed("version", "last_version")
-    passed = gated.filter("passed").withColumn("turn", turn)
-    return passed.join(last, "model_name", "left").select(
+    return turns.join(last, "model_name", "left").select(
         "model_name",
         (F.coalesce("last_version", F.lit(0)) + F.col("turn")).cast("bigint").alias("version"),
         "run_id",
