@@ -277,6 +277,10 @@ cuts AS (SELECT c.bedrooms AS cut, avg(price) FILTER (WHERE t.bedrooms <= c.bedr
 best AS (SELECT * FROM cuts WHERE n_high > 0 ORDER BY n_low * low * low + n_high * high * high DESC LIMIT 1)
 SELECT property_id, round(CASE WHEN bedrooms <= cut THEN low ELSE high END, 3) AS prediction FROM t, best"""
 
+#: Every tree of the forest is this stump, so both bounds are its prediction.
+STUMP_BOUNDS = f"SELECT property_id, prediction, prediction AS lower_bound, prediction AS upper_bound FROM ({STUMP})"
+
+
 def _leafwise() -> str:
     """A tree grown by three best splits, each over all leaves, columns and values at once."""
     steps = ["""t AS (
@@ -495,6 +499,18 @@ SELECT property_id, dense_rank() OVER (ORDER BY customer) - 1 AS index FROM o"""
     "boosted_stump": STUMP,
     "leafwise_tree": LEAFWISE_TREE,
     "leafwise_importance": LEAFWISE_IMPORTANCE,
+    "forest_interval_stumps": STUMP_BOUNDS,
+    "forest_interval_stumps_joined": STUMP_BOUNDS,
+    "flat_bounds": f"""WITH {PRICED} SELECT property_id, price AS prediction, price AS lower_bound, price AS upper_bound FROM priced""",
+    "train_job_metadata": f"""WITH {LISTINGS}, kept AS (
+  SELECT * FROM listings WHERE (property_type IS NULL OR property_type <> '4-NOT SPECIFIED') AND {KEPT}
+), sided AS (
+  SELECT *, row_number() OVER (ORDER BY {MD5}) <= ceil((SELECT count(*) FROM kept) * 0.2::DOUBLE) AS test FROM kept
+)
+SELECT 'ridge' AS model_key, 'log1p' AS target_transform, count(*) FILTER (NOT test) AS train_size, count(*) FILTER (test) AS test_size,
+  count(*) FILTER (test) AS calibration_size, round(quantile_cont(price, 0.25::DOUBLE) FILTER (test), 4) AS cutoff,
+  {len(NUMERIC_FEATURES)} + count(DISTINCT property_type) FILTER (NOT test) + count(DISTINCT vegas_district) FILTER (NOT test) AS feature_count
+FROM sided""",
     "stump_importance": "SELECT 'bedrooms' AS feature, 1.0::DOUBLE AS importance",
     "train_ridge_one_feature": f"""WITH {FILLED}, {RIDGE}
 SELECT property_id, round(exp(my + slope * (x - mx)) - 1, 2) AS prediction FROM fit""",

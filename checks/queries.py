@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -634,6 +635,41 @@ def forest_interval(spark, folder):
     return scoring.score_table(listings(spark, folder), trained).select("property_id", *scoring.OUTPUTS)
 
 
+def _stump_bounds(spark, folder, **options):
+    """Bounds from the trees of a forest of equal stumps on all listings, without a calibrated interval."""
+    rows, trained = _stump(spark, folder, "random_forest", {"n_estimators": 3, "max_depth": 1, "bootstrap": False})
+    inner = models.inner_model(trained.model)
+    forest = partial(intervals.with_forest_bounds, model=inner, leaf=models.LEAF, target_transform="none", **options)
+    bounded = intervals.add_interval(scoring.predict(rows, trained), None, forest=forest)
+    return rounded(bounded.select("property_id", *scoring.OUTPUTS), 3, *scoring.OUTPUTS)
+
+
+def forest_interval_stumps(spark, folder):
+    return _stump_bounds(spark, folder)
+
+
+def forest_interval_stumps_joined(spark, folder):
+    """The same with the leaves joined, as for a forest of too many to send."""
+    return _stump_bounds(spark, folder, leaves_sent=0)
+
+
+def flat_bounds(spark, folder):
+    """Bounds of a model without an interval."""
+    return intervals.add_interval(priced_orders(spark, folder).select("property_id", F.col("price").alias("prediction")), None)
+
+
+def train_job_metadata(spark, folder):
+    """What a whole training run records of its rows and features."""
+    result = _train(spark, folder, "ridge", {"alpha": 1.0})
+    kept = result.trained.metadata
+    row = (
+        kept["model_key"], kept["target_transform"], kept["train_size"], kept["test_size"], kept["prediction_interval"]["calibration_size"],
+        len(kept["feature_names"]), round(result.metrics["cheap_segment_cutoff_p25"], 4),
+    )
+    schema = "model_key string, target_transform string, train_size long, test_size long, calibration_size long, feature_count long, cutoff double"
+    return spark.createDataFrame([row], schema)
+
+
 def feature_importance(spark, folder):
     trained = _forest(spark, folder)
     return models.feature_importance(spark, trained.model, trained.preprocessor.feature_names)
@@ -759,7 +795,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         apply_interval_legacy, interval_margin, train_ridge_one_feature, score_table, score_job_csv,
         forest_stump, boosted_stump, stump_importance, leafwise_tree, leafwise_importance,
         train_ridge, train_gradient_boosting, train_hist_gradient_boosting, train_random_forest,
-        batch_score, forest_interval, feature_importance, model_roundtrip, model_roundtrip_one_feature,
+        batch_score, forest_interval, forest_interval_stumps, forest_interval_stumps_joined, flat_bounds, train_job_metadata,
+        feature_importance, model_roundtrip, model_roundtrip_one_feature,
         list_versions, resolve_version, production_metric, promotion_gate, gate_one_model, register_versions,
         promote_version, promote_missing_target, promote_job, promote_in_store,
         promote_several_candidates, promote_several_stages,

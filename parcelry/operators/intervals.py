@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import logging
-import re
+from collections.abc import Callable
 from itertools import accumulate
 
 from pyspark.ml.functions import vector_to_array
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from parcelry.functions.columns import is_present, pick_by_edges, sorted_array_quantile
 from parcelry.operators.metrics import CHEAP, metric_columns
 from parcelry.operators.order_stats import GAP_ROWS, Wanted, linear_grid, order_statistics
+from parcelry.session import new_shared_path
 
 log = logging.getLogger(__name__)
 
@@ -24,6 +25,9 @@ ALPHA = 0.05
 SEGMENTS = 5
 MIN_SEGMENT_ROWS = 10
 
+#: Leaves of a forest, 8 bytes each, that may go to every task as a constant of the plan.
+LEAVES_SENT = 100_000
+
 INTERVAL_SCHEMA = (
     "method string, alpha double, coverage double, num_segments int, segment_edges array<double>, "
     "relative_error_quantiles_by_segment array<double>, "
@@ -141,12 +145,12 @@ def add_interval(
     df: DataFrame,
     interval: dict | None,
     prediction: str = "prediction",
-    forest: tuple[Column, Column] | None = None,
+    forest: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Add lower_bound and upper_bound in the units of the prediction.
 
-    Without a usable calibration the bounds come from the forest's trees if given, else they
-    equal the prediction.
+    Without a usable calibration the bounds come from the forest's trees if given, as a function
+    that adds them, else they equal the prediction.
     """
     raw = F.col(prediction)
     p = non_negative(raw)
@@ -157,7 +161,7 @@ def add_interval(
         bounds = df.withColumns({"__p": p, "__q": q}).withColumns({"lower_bound": lower, "upper_bound": upper})
         return bounds.drop("__p", "__q")
     if forest is not None:
-        return df.withColumns({"lower_bound": forest[0], "upper_bound": forest[1]})
+        return forest(df)
     log.warning("No interval for this model; bounds equal the prediction.")
     return df.withColumns({"lower_bound": raw, "upper_bound": raw})
 
@@ -171,24 +175,52 @@ def interval_margin(df: DataFrame, coverage: float = 1 - ALPHA, prediction: str
     )
 
 
-def leaf_values(model: RandomForestRegressionModel) -> list[list[float]]:
-    """Predicted value of every leaf, per tree, in the order Spark numbers leaves."""
-    trees = re.split(r"\n  Tree \d+ \(weight [^)]*\):", model.toDebugString)[1:]
-    return [[float(v) for v in re.findall(r"Predict: (\S+)", tree)] for tree in trees]
+def leaf_values(model: RandomForestRegressionModel) -> DataFrame:
+    """(tree, values): the leaves' values of every tree, from the node table that Spark writes with a model.
+
+    Nodes are numbered from the top, a node before its left and then its right side, and Spark counts leaves
+    in that order.
+    """
+    spark = SparkSession.active()
+    path = new_shared_path(spark, "forest")
+    model.write().save(path)
+    nodes = spark.read.parquet(f"{path}/data").select(F.col("treeID").alias("tree"), "nodeData.*")
+    ordered = F.sort_array(F.collect_list(F.struct("id", "prediction")))
+    return nodes.where(F.col("leftChild") < 0).groupBy("tree").agg(ordered["prediction"].alias("values"))
 
 
-def forest_bounds(model: RandomForestRegressionModel, leaf: Column, target_transform: str) -> tuple[Column, Column]:
-    """2.5 and 97.5 percentiles over the trees' own predictions.
+def with_forest_bounds(
+    df: DataFrame,
+    model: RandomForestRegressionModel,
+    leaf: str,
+    target_transform: str,
+    leaves_sent: int = LEAVES_SENT,
+) -> DataFrame:
+    """Add lower_bound and upper_bound: 2.5 and 97.5 percentiles over the trees' own predictions.
 
     leaf holds each tree's leaf number, which the model adds in its one pass over the rows,
-    so no tree is applied a second time.
+    so no tree is applied a second time. A forest of at most leaves_sent leaves goes to the rows as one constant;
+    the leaves of a larger one are joined by tree and number. The rows are then written once, so that their
+    numbers hold, and only these and their leaf numbers are shuffled.
     """
-    values = leaf_values(model)
-    table = F.from_json(F.lit(json.dumps(values)), "array<array<double>>")
-    trees = F.transform(
-        vector_to_array(leaf), lambda at, tree: table[tree][at.cast("int")]
-    )
-    if target_transform == "log1p":
-        trees = F.transform(trees, lambda v: F.expm1(v))
-    ordered = F.array_sort(trees)
-    return tuple(sorted_array_quantile(ordered, len(values), q) for q in (0.025, 0.975))
+    leaves, trees = leaf_values(model), model.getNumTrees
+
+    def bounds(values: Column) -> dict[str, Column]:
+        if target_transform == "log1p":
+            values = F.transform(values, lambda v: F.expm1(v))
+        ordered = F.array_sort(values)
+        return {c: sorted_array_quantile(ordered, trees, q) for c, q in (("lower_bound", 0.025), ("upper_bound", 0.975))}
+
+    numbers = F.transform(vector_to_array(F.col(leaf)), lambda at: at.cast("int"))
+    if leaves.agg(F.sum(F.size("values"))).first()[0] <= leaves_sent:
+        values = [row["values"] for row in leaves.orderBy("tree").collect()]
+        table = F.from_json(F.lit(json.dumps(values)), "array<array<double>>")
+        return df.withColumns(bounds(F.transform(numbers, lambda at, tree: table[tree][at])))
+    path = new_shared_path(df.sparkSession, "forest-rows")
+    df.withColumn("__row", F.monotonically_increasing_id()).write.parquet(path)
+    rows = df.sparkSession.read.parquet(path)
+    each = leaves.select("tree", F.posexplode("values").alias("leaf", "value"))
+    met = rows.select("__row", F.posexplode(numbers).alias("tree", "leaf")).join(each, ["tree", "leaf"])
+    found = met.groupBy("__row").agg(F.collect_list("value").alias("__values"))
+    found = found.select("__row", *[c.alias(name) for name, c in bounds(F.col("__values")).items()])
+    return rows.drop("lower_bound", "upper_bound").join(found, "__row", "left").drop("__row")

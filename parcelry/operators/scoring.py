@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelry.contract import require_columns
 from parcelry.operators.cleaning import fill_optional, rename_aliases
-from parcelry.operators.intervals import add_interval, forest_bounds
+from parcelry.operators.intervals import add_interval, with_forest_bounds
 from parcelry.operators.location import backfill_location, district_centroids, split_missing_location
 from parcelry.operators.models import LEAF, inner_model
 from parcelry.sources.models import TrainedModel
@@ -55,13 +57,17 @@ def score_table(
     centroids: DataFrame | None = None,
     on_missing_location: str = "impute",
 ) -> DataFrame:
-    """The original columns plus prediction, lower_bound and upper_bound. Map-only."""
+    """The original columns plus prediction, lower_bound and upper_bound.
+
+    Map-only, but for a forest without a calibrated interval whose leaves are too many to send.
+    """
     kept = [c for c in df.columns if c not in OUTPUTS]
     carried = df.select(*kept, F.struct(*kept).alias("__original"))
     scored = predict(prepare_requests(carried, centroids, on_missing_location), trained)
     inner = inner_model(trained.model)
     forest = None
     if isinstance(inner, RandomForestRegressionModel):
-        forest = forest_bounds(inner, F.col(LEAF), trained.metadata.get("target_transform", "log1p"))
+        transform = trained.metadata.get("target_transform", "log1p")
+        forest = partial(with_forest_bounds, model=inner, leaf=LEAF, target_transform=transform)
     bounded = add_interval(scored, trained.metadata.get("prediction_interval"), forest=forest)
     return bounded.select("__original.*", *OUTPUTS)

@@ -1,4 +1,5 @@
 import logging
+import re
 
 import numpy as np
 import pytest
@@ -89,6 +90,19 @@ def test_forest_bounds_match_the_trees_one_by_one(spark, transform):
     assert scored["upper_bound"].to_numpy() == pytest.approx(np.percentile(by_tree, 97.5, axis=0), rel=1e-12)
 
 
+def test_forest_bounds_by_join_equal_those_by_constant(spark):
+    df = rows(spark, 90)
+    trained = fit(spark, df, "random_forest", {"n_estimators": 5, "max_depth": 3})
+    scored, inner = trained.model.transform(df.unionByName(df.limit(7))), models.inner_model(trained.model)
+    found = [
+        sorted(map(tuple, intervals.with_forest_bounds(scored, inner, models.LEAF, "log1p", sent).select("property_id", "lower_bound", "upper_bound").collect()))
+        for sent in (intervals.LEAVES_SENT, 0)
+    ]
+    assert found[0] == found[1] and len(found[0]) == 97
+    listed = [v for r in intervals.leaf_values(inner).orderBy("tree").collect() for v in r["values"]]
+    assert listed == [float(v) for v in re.findall(r"Predict: (\S+)", inner.toDebugString)]
+
+
 def test_feature_importance_is_ordered_and_trees_only(spark):
     df = rows(spark)
     trained = fit(spark, df, "random_forest", {"n_estimators": 3, "max_depth": 4})
