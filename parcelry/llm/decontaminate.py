@@ -7,13 +7,14 @@ share of the item it holds, however long it is and wherever the parts stand. A c
 a document with NEAR of an item less likely than MISS. Items that share a band are verified by exact
 containment: the share of the item's distinct shingles that the whole document has.
 
-A document holds an item if it contains NEAR of it or more, in one piece or with other words in between.
+A document holds an item if it contains NEAR of it or more, in one piece or with other words in between. Items of
+fewer words than a shingle are a class of their own, without bands: a document holds one where all its words stand in a row.
 
 Items are a query set, sent to the tasks in blocks of at most BLOCK_SHINGLES shingles; every block
 scans all documents.
 
-Defined cases: null texts and items hold nothing; items shorter than a shingle are one shingle of all
-their words and match a run of exactly these words only as a whole text; repeated items each report;
+Defined cases: null texts and items hold nothing, nor do items without words; an item of one common word is held by every
+document with that word; repeated items each report;
 repeated document keys report once per row; whole texts are read.
 """
 
@@ -50,8 +51,13 @@ class Block:
     def __init__(self, ids: list, texts: list[str]):
         words = Words(pa.array(texts, pa.string()), lower=True)
         grams, bounds = shingles(words.hashes(), words.bounds)
-        kinds = size_class(np.diff(words.bounds))
+        counts = np.diff(words.bounds)
+        kinds = size_class(counts)
         self.ids = np.array(ids)
+        self.runs = {n: _by_run(grams[bounds[:-1][counts == n]], np.flatnonzero(counts == n)) for n in np.unique(counts).tolist() if 0 < n < SHINGLE_WORDS}
+        sizes = np.where(counts < SHINGLE_WORDS, 0, np.diff(bounds))
+        grams = grams[np.repeat(sizes > 0, np.diff(bounds))]
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
         self.all, number = np.unique(grams, return_inverse=True)
         self.sets = [np.unique(number[a:b]) for a, b in zip(bounds, bounds[1:])]
         self.held = np.zeros(len(self.all), bool)
@@ -95,6 +101,24 @@ class Block:
         yield from ((item, share) for item, share in shares if share >= NEAR)
 
 
+    def find_short(self, hashes: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(text, item's place) of the items of fewer words than a shingle; hashes: the words of the texts."""
+        for n, (runs, members, cuts) in self.runs.items():
+            own, own_bounds = shingles(hashes, bounds, n)
+            number = np.minimum(np.searchsorted(runs, own), len(runs) - 1)
+            at = np.flatnonzero(runs[number] == own)
+            text = np.searchsorted(own_bounds, at, "right") - 1
+            for i, k in np.unique(np.stack([text, number[at]]), axis=1).T.tolist():
+                yield from ((i, item) for item in members[cuts[k] : cuts[k + 1]].tolist())
+
+
+def _by_run(runs: np.ndarray, members: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct runs in order, and for run k the members[cuts[k] : cuts[k + 1]]."""
+    order = np.argsort(runs, kind="stable")
+    distinct, cuts = np.unique(runs[order], return_index=True)
+    return distinct, members[order], np.append(cuts, len(order))
+
+
 def _blocks(items: DataFrame, item_key: str) -> Iterator[list]:
     """Items in blocks of a bounded number of words, an item of more alone."""
     block, held = [], 0
@@ -127,12 +151,15 @@ def _held(block: Block, texts: pa.Array) -> Iterator[tuple[int, int, float]]:
     """(text, item's place, containment) of a batch."""
     for a, b in pieces(texts):
         words = Words(texts[a:b], lower=True)
-        grams, bounds = shingles(words.hashes(), words.bounds)
+        hashes = words.hashes()
+        grams, bounds = shingles(hashes, words.bounds)
         hits, numbers = block.hits(grams)
         cuts = np.searchsorted(hits, bounds)
         for i in np.flatnonzero(np.diff(cuts)).tolist():
             for item, share in block.find(numbers[cuts[i] : cuts[i + 1]]):
                 yield a + i, item, share
+        for i, item in block.find_short(hashes, words.bounds):
+            yield a + i, item, 1.0
 
 
 def _search(sent, key: str, item_key: str):

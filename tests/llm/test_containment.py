@@ -1,4 +1,3 @@
-import math
 import random
 import re
 
@@ -12,25 +11,23 @@ def shingles(words):
     return [tuple(words[i : i + 5]) for i in range(len(words) - 4)] or ([tuple(words)] if words else [])
 
 
-def brute(docs, items, split):
-    """(document's place, item) to the best share of the item's shingles in a window of its class."""
+def brute(docs, items, split, anywhere):
+    """(document's place, item) to the share of the item's shingles in the document; `anywhere`: an item of fewer words
+    than five is held where they stand in a row, else only as the whole text.
+    """
     out = {}
     for d, text in enumerate(docs):
-        own = shingles(split(text or ""))
-        words = len(split(text or ""))
+        words = split(text or "")
+        own = set(shingles(words))
         for name, item in items:
-            asked = set(shingles(split(item or "")))
-            if not asked or not asked & set(own):
-                continue
-            bound = 8 << max(0, math.ceil(math.log2(len(split(item)) / 8)))
-            size, step, n, best = bound + bound // 2, bound // 2, 0, 0
-            while True:
-                best = max(best, len(asked & set(own[n * step : n * step + size - 4])) / len(asked))
-                if n * step + size >= words:
-                    break
-                n += 1
-            if best >= 0.8:
-                out[d, name] = round(best, 9)
+            asked = split(item or "")
+            n = len(asked)
+            if 0 < n < 5 and anywhere:
+                share = float(any(words[i : i + n] == asked for i in range(len(words) - n + 1)))
+            else:
+                share = len(set(shingles(asked)) & own) / max(len(set(shingles(asked))), 1)
+            if share >= 0.8:
+                out[d, name] = round(share, 9)
     return out
 
 
@@ -54,7 +51,7 @@ def test_decontamination_against_brute_force(spark, monkeypatch, block):
     docs, items = planted(5)
     table = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
     asked = spark.createDataFrame(items, "item_id long, text string")
-    expected = brute(docs, items, lambda t: t.lower().split())
+    expected = brute(docs, items, lambda t: t.lower().split(), True)
     found = {(r.doc_id, r.item_id): round(r.containment, 9) for r in decontaminate.contained(table, asked).collect()}
     assert found == expected and len(expected) > 20
     clean = {r.doc_id for r in decontaminate.clean(table, asked).collect()}
@@ -68,7 +65,7 @@ def test_licenses_against_brute_force(spark, monkeypatch, block):
     named = [(f"t{i}", t) for i, t in items]
     table = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
     known = spark.createDataFrame(named, "template string, text string")
-    expected = brute(docs, named, lambda t: [w for w in re.split(r"[\W_]+", t.lower()) if w])
+    expected = brute(docs, named, lambda t: [w for w in re.split(r"[\W_]+", t.lower()) if w], False)
     found = {(r.doc_id, r.template): round(r.containment, 9) for r in licenses.scan(table, known).collect()}
     assert found == expected and len(expected) > 20
 
@@ -86,6 +83,16 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert kept.columns == odd_docs.columns and kept.count() == odd_docs.count() - 2
 
 
+def test_short_items_are_found_inside_texts(spark):
+    docs = ["one two alpha beta gamma three four", "alpha beta", "Alpha  beta\ngamma", "beta alpha gamma x y z", "", None]
+    items = [(1, "alpha beta gamma"), (2, "GAMMA"), (3, "alpha beta gamma"), (4, " "), (5, "beta gamma")]
+    table = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").coalesce(1)
+    asked = spark.createDataFrame(items, "item_id long, text string")
+    found = sorted(tuple(r) for r in decontaminate.contained(table, asked).collect())
+    assert found == [(d, i, 1.0) for d, i in ((0, 1), (0, 2), (0, 3), (0, 5), (2, 1), (2, 2), (2, 3), (2, 5), (3, 2))]
+    assert [r.doc_id for r in decontaminate.clean(table, asked).collect()] == [1, 4, 5]
+
+
 def test_no_python_on_the_native_path(spark, odd_docs):
     plan = licenses.scan(odd_docs, licenses.templates(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
