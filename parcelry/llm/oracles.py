@@ -1,9 +1,51 @@
-"""DuckDB SQL of the trie, the secrets and the fill-in-the-middle forms."""
+"""DuckDB SQL of repeated bytes and words, the trie, the secrets and the fill-in-the-middle forms."""
 
 from __future__ import annotations
 
 from parcelry.llm import secrets
 
+#: Every byte's 200-byte string by its digest; starts that overlap or touch join to spans, and what lies between is kept.
+BYTES_SQL = """
+WITH d AS (
+    SELECT doc_id, row_number() OVER () AS r, encode(coalesce(text, '')) AS b FROM documents
+), starts AS (
+    SELECT r, unnest(runs) AS run, generate_subscripts(runs, 1) - 1 AS p
+    FROM (SELECT r, list_transform(range(greatest(octet_length(b) - 199, 0)), lambda p: md5(b[p + 1 : p + 200])) AS runs FROM d)
+), again AS (
+    SELECT r, p FROM (SELECT r, p, count(*) OVER (PARTITION BY run) AS n FROM starts) WHERE n > 1
+), marked AS (
+    SELECT r, p, coalesce(p - lag(p) OVER (PARTITION BY r ORDER BY p) > 200, true)::INT AS fresh FROM again
+), spans AS (
+    SELECT r, min(p) AS first, max(p) + 200 AS last FROM (SELECT r, p, sum(fresh) OVER (PARTITION BY r ORDER BY p) AS span FROM marked) GROUP BY r, span
+), edges AS (
+    SELECT r, first, last FROM spans UNION ALL SELECT r, octet_length(b), NULL FROM d
+), kept AS (
+    SELECT r, first, last, coalesce(lag(last) OVER (PARTITION BY r ORDER BY first, last NULLS LAST), 0) AS begin FROM edges
+)
+SELECT doc_id, octet_length(any_value(b)) AS n_bytes, coalesce(sum(last - first), 0)::BIGINT AS n_removed, count(last) AS n_spans,
+    sha256(unhex(string_agg(hex(b[begin + 1 : first]), '' ORDER BY first, last NULLS LAST))) AS kept_sha256
+FROM kept JOIN d USING (r) GROUP BY doc_id, r
+"""
+
+#: Every window of 20 words as text; all but its first place cover the words that go.
+WORDS_SQL = """
+WITH d AS (
+    SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x09-\\x0D ]+'), lambda x: x <> '') AS w FROM documents
+), windows AS (
+    SELECT doc_id, unnest(runs) AS run, generate_subscripts(runs, 1) AS p
+    FROM (SELECT doc_id, list_transform(range(greatest(len(w) - 19, 0)), lambda p: array_to_string(w[p + 1 : p + 20], ' ')) AS runs FROM d)
+), later AS (
+    SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY run ORDER BY doc_id, p) AS n FROM windows) WHERE n > 1
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(p, p + 20)) AS p FROM later
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n
+    FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d) ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 #: CRC-32 bit by bit: each byte goes in by XOR and is followed by eight shifts.
 _CRC32 = """xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split({text}, ''),
     lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1])))::BIGINT[],

@@ -23,7 +23,7 @@ from parcelry.llm import (
     toxicity,
 )
 from parcelry.llm.common import crc_mod, table
-from parcelry.llm.oracles import INFILL_SQL, SECRETS_SQL, TRIE_SQL
+from parcelry.llm.oracles import BYTES_SQL, INFILL_SQL, SECRETS_SQL, TRIE_SQL, WORDS_SQL
 
 
 def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
@@ -139,33 +139,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op13_fill_in_middle,
     )
 }
-#: Words, shingles of five, and windows of an item's class that hold a shared shingle.
+#: The share of an item's distinct shingles of five words that stand anywhere in a document; a shorter item is one
+#: shingle of all its words.
 _CONTAINMENT_SQL = """
 WITH d AS (
     SELECT doc_id, row_number() OVER () AS r, {words} AS w
     FROM documents WHERE text IS NOT NULL
 ), i AS (
-    SELECT {item}, {words} AS w
+    SELECT {item}, row_number() OVER () AS i, {words} AS w
     FROM {items} WHERE text IS NOT NULL AND {item} IS NOT NULL
 ), ig AS (
-    SELECT DISTINCT {item}, len(w) AS n, array_to_string(w[p + 1 : p + 5], ' ') AS g
-    FROM (SELECT {item}, w, unnest(range(greatest(len(w) - 4, least(len(w), 1)))) AS p FROM i)
-), ic AS (
-    SELECT {item}, g, count(*) OVER (PARTITION BY {item}) AS size_of, 4 * power(2, ceil(log2(greatest(n, 8) / 8)))::BIGINT AS step
-    FROM ig
+    SELECT DISTINCT {item}, i, least(len(w), 5) AS k, unnest(list_transform(range(greatest(len(w) - 4, 1)), lambda p: array_to_string(w[p + 1 : p + 5], ' '))) AS g
+    FROM i WHERE len(w) > 0
+), sized AS (
+    SELECT *, count(*) OVER (PARTITION BY i) AS size_of FROM ig
 ), dg AS (
-    SELECT doc_id, r, len(w) AS n, p, array_to_string(w[p + 1 : p + 5], ' ') AS g
-    FROM (SELECT doc_id, r, w, unnest(range(greatest(len(w) - 4, least(len(w), 1)))) AS p FROM d)
-), hit AS (
-    SELECT doc_id, r, {item}, g, p, step, size_of, greatest(ceil((n - 3 * step) / step), 0)::BIGINT AS last FROM dg JOIN ic USING (g)
-), held AS (
-    SELECT DISTINCT doc_id, r, {item}, g, size_of, unnest(range(
-        greatest(ceil((p - 3 * step + 5) / step), 0)::BIGINT, least(p // step, last) + 1)) AS win
-    FROM hit
+    SELECT DISTINCT doc_id, r, k, unnest(list_transform(range(greatest(len(w) - k + 1, 0)), lambda p: array_to_string(w[p + 1 : p + k], ' '))) AS g
+    FROM d, (SELECT DISTINCT k FROM ig)
 ), share AS (
-    SELECT doc_id, r, {item}, win, count(*) / any_value(size_of) AS part FROM held GROUP BY ALL
+    SELECT doc_id, r, {item}, i, count(*) / any_value(size_of) AS part FROM dg JOIN sized USING (k, g) GROUP BY ALL
 )
-SELECT doc_id, {item}, round(max(part), 6) AS containment FROM share WHERE part >= 0.8 GROUP BY doc_id, r, {item}
+SELECT doc_id, {item}, round(part, 6) AS containment FROM share WHERE part >= 0.8
 """
 DECONTAMINATION_SQL = _CONTAINMENT_SQL.format(
     item="item_id", items="benchmark", words=r"list_filter(string_split_regex(lower(text), '[\x09-\x0D ]+'), lambda x: x <> '')"
@@ -178,6 +172,8 @@ LICENSES_SQL = _CONTAINMENT_SQL.format(
 )
 
 ORACLE: dict[str, str] = {
+    "op2_suffixes": BYTES_SQL,
+    "op3_substrings": WORDS_SQL,
     "op5_licenses": LICENSES_SQL,
     "op7_decontamination": DECONTAMINATION_SQL,
     "op11_prefix_trie": TRIE_SQL,
