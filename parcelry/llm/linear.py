@@ -73,15 +73,16 @@ def chance(logit):
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, training: Column, key: str, rows: int) -> DataFrame:
-    """(key, text, label, place) of at most `rows` labelled keys, picked by a hash of the key.
+    """(key, text, label, place) of at most `rows` labelled keys, a row each, picked by a hash of the key.
 
-    A key with several labels takes the largest; null labels and keys are left out. Only the picked keys,
-    `rows` at most, are broadcast.
+    A key with several labels takes the largest, one with several texts the least; null labels and keys are left out. Only
+    the picked keys, `rows` at most, are broadcast; the rows of a key collapse in each task before they are shuffled.
     """
     known = labels.where(training & F.col(label).isNotNull() & F.col(key).isNotNull())
     known = known.groupBy(key).agg(F.max(label).cast("int").alias("label"))
     picked = known.withColumn("place", F.xxhash64(F.col(key), F.lit(17))).orderBy("place", key).limit(rows)
-    return docs.select(key, "text").join(F.broadcast(picked), key)
+    met = docs.select(key, "text").join(F.broadcast(picked), key)
+    return met.groupBy(key, "label", "place").agg(F.min("text").alias("text")).select(key, "text", "label", "place")
 
 
 def train(sample: DataFrame, learn: Callable[[FollowTheLeader, pa.RecordBatch], None], schema: str, featurise: Callable) -> np.ndarray:

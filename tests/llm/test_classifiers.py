@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -80,3 +81,57 @@ def test_sample_is_bounded(spark):
     rows = sentences(spark)
     sample = linear.labelled_sample(rows, rows.select("doc_id", "label"), "label", F.lit(True), "doc_id", 50)
     assert sample.count() == 50
+
+
+def test_sample_holds_one_row_a_key(spark):
+    docs = spark.createDataFrame([(1, f"t{i}") for i in range(400)] + [(2, None), (3, "c"), (None, "d")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, label int")
+    sample = linear.labelled_sample(docs, labels, "label", F.lit(True), "doc_id", 2)
+    assert sorted((r.doc_id, r.text, r.label) for r in sample.collect()) == [(1, "t0", 1), (2, None, 0)]
+
+
+def plain_leader(sample, swap, penalty, lower):
+    """Bucket to weight by the same rules, one float at a time."""
+
+    def buckets(text):
+        return linear.features(*linear.token_hashes(pa.array([text]), lower), 2)[0].tolist()
+
+    sums, squares = {}, {}
+
+    def weight(i):
+        z, n, hold = sums.get(i, 0.0), squares.get(i, 0.0), 0.0 if i == linear.BIAS else 3.0
+        return 0.0 if abs(z) <= hold else -(z - math.copysign(hold, z)) / ((1.0 + math.sqrt(n)) / 0.5 + 1.0)
+
+    for _ in range(linear.PASSES):
+        for text, label in sample:
+            at, other = buckets(text), swap(text)
+            logit = sum(weight(i) for i in at)
+            slope = 1 / (1 + math.exp(-logit)) - label
+            slopes = dict.fromkeys(at, slope)
+            if other is not None:
+                to = buckets(other)
+                gap = 2 * penalty * min(max(logit - sum(weight(i) for i in to), -4), 4)
+                slopes = {i: (i in at) * (slope + gap) - (i in to) * gap for i in {*at, *to}}
+            held = {i: weight(i) for i in slopes}
+            for i, g in slopes.items():
+                n = squares.get(i, 0.0)
+                sums[i] = sums.get(i, 0.0) + g - (math.sqrt(n + g * g) - math.sqrt(n)) / 0.5 * held[i]
+                squares[i] = n + g * g
+    return {i: weight(i) for i in sums}
+
+
+def swapped_words(text):
+    follows = {a: group[(k + 1) % len(group)] for group in toxicity.IDENTITY_TERMS for k, a in enumerate(group)}
+    words = text.split()
+    return " ".join(follows.get(w, w) for w in words) if any(w in follows for w in words) else None
+
+
+@pytest.mark.parametrize("model, swap, lower", [(quality, lambda text: None, False), (toxicity, swapped_words, True)])
+def test_learning_against_plain_updates(spark, model, swap, lower):
+    rows = sentences(spark, n=150)
+    labels = rows.select("doc_id", "label")
+    sample = linear.labelled_sample(rows, labels, "label", F.lit(True), "doc_id", 1000).orderBy("place").collect()
+    expected = plain_leader([(r.text, r.label) for r in sample], swap, toxicity.PENALTY, lower)
+    weights = model.fit(rows, labels, "label", F.lit(True))
+    found = {i: weights[i] for i in np.flatnonzero(weights).tolist()}
+    assert found == pytest.approx({i: w for i, w in expected.items() if w}, abs=1e-9) and len(found) > 5
