@@ -11,7 +11,8 @@ level for texts that have no higher one); the likeness of two is the share of eq
 
 Defined cases: a null text counts as empty; the fingerprints of two empty texts are alike (1), an empty and
 another text's are not (0); equal texts have equal fingerprints; keys are taken in ascending order, null
-first and equal ones by text; the next of the last is the first, and a table of one row is its own next.
+first and equal ones by text; the next of the last is the first, and a table of one row is its own next. Comparing
+with the next text needs a numeric key; fingerprints alone take any.
 """
 
 from __future__ import annotations
@@ -141,6 +142,8 @@ def in_order(docs: DataFrame, key: str, parts: int) -> DataFrame:
     Adds `bucket` and `tail`, which marks such a copy; the last range is followed by the first row of all.
     Only the cuts and the ranges that have rows, `parts` at most, go through the driver.
     """
+    if not isinstance(docs.schema[key].dataType, T.NumericType):
+        raise ValueError(f"Texts are ordered by a numeric key; '{key}' is {docs.schema[key].dataType.simpleString()}")
     number = F.col(key).cast("double")
     cuts = docs.select(number.alias("x")).approxQuantile("x", [i / parts for i in range(1, parts)], 0.1 / parts) if parts > 1 else []
     edges = [float("-inf"), *sorted(set(cuts)), float("inf")]

@@ -1,4 +1,6 @@
 import hashlib
+import itertools
+import random
 
 import numpy as np
 import pytest
@@ -23,6 +25,60 @@ def test_phrases_do_not_depend_on_the_neighbouring_texts():
     assert (together == alone).all()
 
 
+M = 2**64 - 1
+
+
+def scrambled(x):
+    """The mixing function on one Python integer."""
+    x &= M
+    x = ((x ^ x >> 30) * 0xBF58476D1CE4E5B9) & M
+    x = ((x ^ x >> 27) * 0x94D049BB133111EB) & M
+    return x ^ x >> 31
+
+
+def plain_phrases(names):
+    """One level of parsing, name by name."""
+    runs = [(name, len(list(same))) for name, same in itertools.groupby(names)]
+    names = [scrambled(name + n * 0xC2B2AE3D27D4EB4F) if n > 1 else name for name, n in runs]
+    labels, width = names, 64
+    for _ in range(parsing.TOSSES):
+        tossed = []
+        for i, label in enumerate(labels):
+            left = labels[i - 1] if i else label ^ 2**width - 1
+            bit = next(b for b in range(width) if label >> b & 1 != left >> b & 1)
+            tossed.append(2 * bit + (label >> bit & 1))
+        labels, width = tossed, 8
+    phrases = []
+    for i, name in enumerate(names):
+        last = i == len(names) - 1
+        if not i or labels[i] < labels[i - 1] and (last or labels[i] <= labels[i + 1]):
+            phrases.append([])
+        phrases[-1].append(name)
+    return [scrambled(sum(scrambled(name + k * 0x9E3779B97F4A7C15) for k, name in enumerate(p))) for p in phrases]
+
+
+def plain_sketch(text):
+    names, least = [scrambled(ord(c) + 7) for c in text], {}
+    for level in range(1, parsing.LEVELS + 1):
+        if not names:
+            break
+        names = plain_phrases(names)
+        if len(names) == 1 or level >= parsing.LEAST_LEVEL:
+            for name in names:
+                value = scrambled(name + level)
+                least[value >> 58] = min(value, least.get(value >> 58, M))
+        if len(names) == 1:
+            break
+    return [min(scrambled(least[k]) & 0xFFFF, parsing.EMPTY - 1) if k in least else parsing.EMPTY for k in range(parsing.SLOTS)]
+
+
+def test_sketches_against_plain_parsing():
+    draw = random.Random(8)
+    texts = some_texts(11) + ["", "a", "aa", "aaaaaaaaaa", "ab" * 50, "漢字🙂" * 9]
+    texts += ["".join(draw.choice("abcdefgh ") for _ in range(draw.randint(1, 900))) for _ in range(30)]
+    assert parsing.sketches(texts).tolist() == [plain_sketch(t) for t in texts]
+
+
 def test_phrases_are_bounded():
     names = np.random.default_rng(1).integers(0, 2**63, 100_000).astype(np.uint64)
     phrases, _ = parsing._level(names, np.array([0, len(names)]))
@@ -57,3 +113,10 @@ def test_odd_rows(odd_docs, no_docs, spark):
     assert parsing.compare_edited(no_docs).collect() == []
     alone = parsing.compare_edited(spark.createDataFrame([(5, "abcd")], "doc_id long, text string")).first()
     assert alone.near_next == 1.0 and alone.edited_sha256 == hashlib.sha256(b"abab").hexdigest()
+
+
+def test_text_keys(spark):
+    docs = spark.createDataFrame([("a", "abcd"), ("b", "efgh")], "doc_id string, text string")
+    assert parsing.fingerprint(docs).count() == 2
+    with pytest.raises(ValueError, match="numeric"):
+        parsing.compare_edited(docs)
