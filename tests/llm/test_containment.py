@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from made_texts import some_texts
 from parcelry.llm import decontaminate, licenses
@@ -93,6 +94,18 @@ def test_short_items_are_found_inside_texts(spark):
     assert [r.doc_id for r in decontaminate.clean(table, asked).collect()] == [1, 4, 5]
 
 
+def test_licences_tell_their_kin_apart(spark):
+    texts = dict(licenses.TEMPLATES)
+    asked = ["mit-text", "mit-0-text", "bsd-2-text", "bsd-3-text", "isc-text", "0bsd-text", "gpl-2-notice", "lgpl-3-notice", "agpl-3-notice", "zlib-text"]
+    docs = spark.createDataFrame([(k, "File one.\n" + texts[k].replace(", ", ",\n") + "\nMore words follow here.") for k in asked], "doc_id string, text string")
+    found = licenses.scan(docs, licenses.templates(spark)).where("containment = 1").groupBy("doc_id").agg(F.collect_set("template").alias("t")).collect()
+    held = {r.doc_id: {t for t in r.t if not t.startswith("warranty")} for r in found}
+    assert all(k in held[k] for k in asked)
+    assert "mit-text" not in held["mit-0-text"] and "bsd-3-text" not in held["bsd-2-text"] and "isc-text" not in held["0bsd-text"]
+    assert not {"gpl-2-notice", "gpl-3-notice", "agpl-3-notice"} & held["lgpl-3-notice"]
+    assert held["zlib-text"] == {"zlib-text"}
+
+
 def test_no_python_on_the_native_path(spark, odd_docs):
     plan = licenses.scan(odd_docs, licenses.templates(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
