@@ -32,9 +32,9 @@ PRICED = """priced AS (
 )"""
 
 CENTROIDS = f"""centroids AS (
-  SELECT n_name, 35.5::DOUBLE + n_nationkey * 0.25::DOUBLE AS c_lat,
-         -115.5::DOUBLE + n_nationkey * 0.25::DOUBLE AS c_lon
-  FROM nation WHERE n_nationkey <> {q.shapes.UNPLACED_NATION}
+  SELECT CASE WHEN n_nationkey = {q.shapes.UNPLACED_NATION} THEN 'Old ' || n_name ELSE n_name END AS n_name,
+         35.5::DOUBLE + n_nationkey * 0.25::DOUBLE AS c_lat, -115.5::DOUBLE + n_nationkey * 0.25::DOUBLE AS c_lon
+  FROM nation
 )"""
 
 PAIRS = """pairs AS (
@@ -73,8 +73,8 @@ VERSIONS = """versions AS (
          (o_orderkey % 64) / 64.0::DOUBLE AS metric_value
   FROM orders
   UNION ALL
-  SELECT 'candidate_' || c_custkey, 'test_r2', (c_custkey % 32) / 32.0::DOUBLE
-  FROM customer WHERE c_custkey % 13 <> 0
+  SELECT 'candidate_' || c_custkey, 'test_r2', CASE WHEN c_custkey % 13 <> 0 THEN (c_custkey % 32) / 32.0::DOUBLE END
+  FROM customer
 ), production AS (
   SELECT v.model_name, v.version, v.run_id, r.metric_value AS production_metric
   FROM (SELECT model_name, max(version) AS version, arg_max(run_id, version) AS run_id
