@@ -65,8 +65,13 @@ def jdbc_options(
     return options
 
 
-def read_jdbc(spark: SparkSession, **settings) -> DataFrame:
-    """Property table over JDBC. The caller supplies the driver jar and the credentials."""
+def read_jdbc(spark: SparkSession, one_task: bool = False, **settings) -> DataFrame:
+    """Property table over JDBC. The caller supplies the driver jar and the credentials.
+
+    A read without a partition column goes through a single task, so it must be asked for.
+    """
+    if not settings.get("partition_column") and not one_task:
+        raise ValueError("Name a partition_column, its bounds and the partitions, or ask for one_task if the table is small")
     return spark.read.format("jdbc").options(**jdbc_options(**settings)).load()
 
 

@@ -72,6 +72,11 @@ def test_jdbc_options_partition_the_read():
         tables.jdbc_options("jdbc:x:y", "t", partition_column="property_id")
 
 
+def test_a_jdbc_read_in_one_task_is_asked_for(spark):
+    with pytest.raises(ValueError, match="partition_column"):
+        tables.read_jdbc(spark, url="jdbc:x:y", table="t")
+
+
 def test_a_csv_extract_keeps_line_breaks(spark, tmp_path):
     df = spark.createDataFrame([(1, "12 Main\nApt 4"), (2, 'a "b", c')], "id long, note string")
     found = tables.store_extract(df, str(tmp_path / "extract"), "csv")
