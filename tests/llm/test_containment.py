@@ -12,7 +12,7 @@ def shingles(words):
     return [tuple(words[i : i + 5]) for i in range(len(words) - 4)] or ([tuple(words)] if words else [])
 
 
-def brute(docs, items, split, anywhere):
+def brute(docs, items, split, anywhere=True):
     """(document's place, item) to the share of the item's shingles in the document; `anywhere`: an item of fewer words
     than five is held where they stand in a row, else only as the whole text.
     """
