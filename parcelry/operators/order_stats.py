@@ -13,8 +13,9 @@ import math
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelry.functions.columns import sql_double, without_nan
@@ -272,26 +273,22 @@ def _count_cuts(narrow, fields, cuts, new) -> None:
 
 
 def _read_gaps(narrow, fields, cuts, waiting, found) -> None:
-    """Read the remaining ranks from gaps counted to hold at most gap_rows rows each."""
+    """Read the remaining ranks from gaps counted to hold at most gap_rows rows each.
+
+    The rows of a gap are sorted and numbered, which spills; the ranks wanted, many where a column has many quantiles, are
+    a small table that meets them.
+    """
     long, number = _rows_in_gaps(narrow, fields, cuts, list(waiting))
-    places = F.lit(None)
-    for key, ranks in waiting.items():
-        at = F.array(*[F.lit(rank - key[1].below) for rank in ranks])
-        places = F.when(F.col("cell") == number[key], at).otherwise(places)
-    listed = long.groupBy("cell").agg(F.collect_list("x").alias("x"))
-    rows = listed.select("cell", _at_places(F.col("x"), places).alias("values")).collect()
-    read = {r["cell"]: r["values"] for r in rows}
+    asked = [(number[key], rank - key[1].below) for key, ranks in waiting.items() for rank in ranks]
+    asked = pa.table({"cell": pa.array([c for c, _ in asked], pa.int32()), "place": pa.array([p for _, p in asked], pa.int32())})
+    numbered = long.withColumn("place", F.row_number().over(Window.partitionBy("cell").orderBy("x")) - 1)
+    met = numbered.join(F.broadcast(narrow.sparkSession.createDataFrame(asked)), ["cell", "place"])
+    read = {(r["cell"], r["place"]): r["x"] for r in met.collect()}
     for key, ranks in waiting.items():
-        values = read.get(number[key])
-        if not values or None in values:
+        places = [(number[key], rank - key[1].below) for rank in ranks]
+        if not all(p in read for p in places):
             raise RuntimeError(CHANGED)
-        found[key[0]].update(zip(ranks, values))
-
-
-def _at_places(values: Column, places: Column) -> Column:
-    """Elements of the sorted values; the one-element wrapper has them sorted only once."""
-    wrapped = F.array(F.sort_array(values))
-    return F.transform(wrapped, lambda v: F.transform(places, lambda at: F.get(v, at)))[0]
+        found[key[0]].update((rank, read[p]) for rank, p in zip(ranks, places))
 
 
 def quantiles(df: DataFrame, column: Column, parts: int, gap_rows: int = GAP_ROWS) -> list[float] | None:

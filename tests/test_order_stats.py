@@ -69,3 +69,13 @@ def test_neighbouring_doubles_are_told_apart(spark):
     values = [np.nextafter(1.0, 2.0) if i % 2 else 1.0 for i in range(600)] + [np.nextafter(1.0, 0.0)] * 100
     found = order_statistics(frame(spark, values), {"x": Wanted(F.col("x"), linear_grid(20), "higher")}, gap_rows=1)
     assert found.values["x"] == list(np.quantile(values, linear_grid(20), method="higher"))
+
+
+def test_many_quantiles_of_several_columns_leave_many_gaps(spark):
+    """More open gaps than a nested expression can hold: 6 columns of 254 inner quantiles."""
+    values = np.random.default_rng(3).normal(size=(8000, 6))
+    df = spark.createDataFrame([tuple(map(float, v)) for v in values], ", ".join(f"x{i} double" for i in range(6))).repartition(4)
+    parts = tuple(i / 255 for i in range(1, 255))
+    found = order_statistics(df, {f"x{i}": Wanted(F.col(f"x{i}"), parts) for i in range(6)}, gap_rows=100)
+    for i in range(6):
+        assert found.values[f"x{i}"] == list(np.quantile(values[:, i], parts))
