@@ -7,7 +7,9 @@ metric the latest step counts, the largest where steps are equal or not given.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -15,12 +17,16 @@ from pyspark.sql import functions as F
 
 from parcelry.functions.columns import without_nan
 from parcelry.operators.joins import lookup_join
+from parcelry.session import new_shared_path
 
 # Stages, the gate's metric and its threshold.
 STAGES = ("Staging", "Production", "Archived")
 PRODUCTION = "Production"
 METRIC = "test_r2"
 IMPROVEMENT = 0.02
+#: Candidates of one model that a task gates at most; those of a larger model are dealt to blocks of about as many.
+BLOCK_ROWS = 250_000
+_QUEUE = ("model_name", "position", "run_id", "candidate_metric")
 
 
 def _number() -> Column:
@@ -71,7 +77,7 @@ def production_metric(versions: DataFrame, runs: DataFrame, metric_name: str = M
 
 
 def promotion_gate(
-    candidates: DataFrame, production: DataFrame, threshold: float = IMPROVEMENT
+    candidates: DataFrame, production: DataFrame, threshold: float = IMPROVEMENT, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Which candidates (model_name, run_id, candidate_metric[, position]) may replace production.
 
@@ -82,8 +88,9 @@ def promotion_gate(
     any candidate that has it. `reason` says which case applied. production has one row per
     Production version held, as production_metric gives it.
 
-    A NaN metric counts as missing. The candidates of a model stream through one task in sorted order; it holds
-    the current metric alone, however many there are.
+    A NaN metric counts as missing. The candidates of a model stream through one task in sorted order, which holds
+    the current metric alone. Where a model has over block_rows, all candidates are stored in sorted blocks in the shared
+    folder, _begins finds the metric that each block begins with, and the blocks are gated side by side.
     """
     place = F.col("position") if "position" in candidates.columns else F.lit(0)
     offered = candidates.select(
@@ -91,11 +98,18 @@ def promotion_gate(
         without_nan(F.col("candidate_metric").cast("double")).alias("candidate_metric"),
     )
     known = without_nan(F.col("production_metric").cast("double")).alias("production_metric")
-    queue = lookup_join(offered, production.select("model_name", known, F.lit(True).alias("held")), "model_name", known_unique=True)
-    queue = queue.repartition("model_name").sortWithinPartitions("model_name", "position", "run_id", "candidate_metric")
+    lookup = production.select("model_name", known, F.lit(True).alias("held"))
     named_type = candidates.schema["model_name"].dataType.simpleString()
     schema = f"model_name {named_type}, run_id string, candidate_metric double, production_metric double, held boolean, passed boolean"
-    gated = queue.drop("position").mapInArrow(_gate(threshold), schema)
+    sizes = offered.groupBy("model_name").count().agg(F.max("count").alias("most"), F.sum("count").alias("all")).first()
+    if (sizes["most"] or 0) <= block_rows:
+        queue = lookup_join(offered, lookup, "model_name", known_unique=True)
+        queue = queue.repartition("model_name").sortWithinPartitions(*_QUEUE)
+        gated = queue.drop("position").mapInArrow(_gate(threshold), schema)
+    else:
+        blocks = _in_blocks(offered, lookup, math.ceil(sizes["all"] / block_rows))
+        begins = _begins(blocks, threshold)
+        gated = _sorted_blocks(blocks).mapInArrow(_gate(threshold, begins), schema)
     reason = (
         F.when(~F.col("held"), "no production version")
         .when(F.col("candidate_metric").isNull(), "candidate lacks the metric")
@@ -106,20 +120,87 @@ def promotion_gate(
     return gated.select("model_name", "run_id", "candidate_metric", "production_metric", "passed", reason.alias("reason"))
 
 
-def _gate(threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _in_blocks(offered: DataFrame, lookup: DataFrame, n: int) -> DataFrame:
+    """The candidates stored with the number of their block, n ranges of the order in which they are gated, and what the lookup has.
+
+    The lookup meets the models of each block, not their candidates, so that those of a large model stay spread.
+    """
+    spark = offered.sparkSession
+    path = new_shared_path(spark, "candidates")
+    offered.repartitionByRange(n, *_QUEUE).withColumn("block", F.spark_partition_id()).write.parquet(path)
+    blocks = spark.read.parquet(path)
+    models = lookup_join(blocks.select("model_name", "block").distinct(), lookup, "model_name", known_unique=True)
+    models.write.parquet(f"{path}-models")
+    return blocks.join(spark.read.parquet(f"{path}-models"), ["block", "model_name"], "left")
+
+
+def _sorted_blocks(blocks: DataFrame, n: int | None = None) -> DataFrame:
+    """Whole blocks in order, a few a task: as many tasks as blocks, so that a task does not grow with the table."""
+    n = n or blocks.agg(F.max("block")).first()[0] + 1
+    return blocks.repartition(n, "block").sortWithinPartitions("block", *_QUEUE).drop("position")
+
+
+def _begins(blocks: DataFrame, threshold: float) -> dict[int, tuple[float | None, bool]]:
+    """(metric, held) at the first row of each block that goes on with the model of the block before.
+
+    A block without an offer that gains over what it begins with ends as it begins; its best offer shows that. The others are run,
+    many in one job: where a block must wait for the one before, its begin is guessed, from the best offers so far or an earlier run,
+    and only blocks that have been guessed wrong run again. Each job settles at least the first of them. The driver
+    holds a row a block.
+    """
+    first, last = (f(F.struct("model_name")).alias(n) for f, n in ((F.min, "first"), (F.max, "last")))
+    facts = [F.max(c).alias(n) for c, n in (("candidate_metric", "best"), ("production_metric", "given"), ("held", "held"))]
+    about = blocks.groupBy("block").agg(first, last, *facts).orderBy("block").collect()
+    known, ended = {}, {}
+    while True:
+        begins, asked, state = {}, {}, None
+        for i, row in enumerate(about):
+            block, whole = row["block"], row["first"] == row["last"]
+            if i and about[i - 1]["last"] == row["first"]:
+                begins[block] = state
+            if i + 1 == len(about) or about[i + 1]["first"] != row["last"]:
+                continue  # no model goes on from here
+            begin = begins.get(block, (row["given"], bool(row["held"]))) if whole else None
+            if (block, begin) in known:
+                state = known[block, begin]
+            elif whole and begin[1] and not _gains(row["best"], begin[0], threshold):
+                state = begin
+            else:
+                asked[block] = begin
+                offers = [m for m in (row["best"], begin[0] if whole else None) if m is not None]
+                state = ended.get(block, (max(offers, default=None), True))
+        if not asked:
+            return begins
+        runs = {b: begins[b] for b in asked if b in begins}
+        run = _sorted_blocks(blocks.where(F.col("block").isin(list(asked))), len(asked))
+        for r in run.mapInArrow(_gate(threshold, runs, only_ends=True), "block int, metric double, held boolean").collect():
+            ended[r["block"]] = known[r["block"], asked[r["block"]]] = (r["metric"], r["held"])
+
+
+def _gains(offer: float | None, metric: float | None, threshold: float) -> bool:
+    return offer is not None and (metric is None or offer - metric > threshold)
+
+
+def _gate(threshold: float, begins: dict | None = None, only_ends: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Each row with the production metric it met; rows of a model come one after another.
 
-    A closure travels to the workers whole, so they need not find this package.
+    With `begins` rows come in whole blocks, whose first model goes on from the (metric, held) given for it; only_ends
+    gives (block, metric, held) after each block instead of the rows. A closure travels to the workers whole, so they need not find this package.
     """
 
     def gate(batches):
-        model, metric, held, begun = None, None, False, False
+        model, metric, held, begun, block = None, None, False, False, None
         for batch in batches:
-            rows = zip(*[batch.column(c).to_pylist() for c in ("model_name", "candidate_metric", "production_metric", "held")])
-            met, was_held, passes = [], [], []
-            for name, offer, given, there in rows:
-                if not begun or name != model:
-                    begun, model, metric, held = True, name, given, bool(there)
+            numbers = repeat(None) if begins is None else batch.column("block").to_pylist()
+            rows = zip(numbers, *[batch.column(c).to_pylist() for c in ("model_name", "candidate_metric", "production_metric", "held")])
+            met, was_held, passes, ends = [], [], [], []
+            for number, name, offer, given, there in rows:
+                if not begun or number != block or name != model:
+                    if begun and number != block:
+                        ends.append((block, metric, held))
+                    goes_on = begins is not None and number in begins and (not begun or number != block)
+                    metric, held = begins[number] if goes_on else (given, bool(there))
+                    begun, block, model = True, number, name
                 gains = offer is not None and (metric is None or offer - metric > threshold)
                 passed = gains or not held
                 met.append(metric)
@@ -127,9 +208,19 @@ def _gate(threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
                 passes.append(passed)
                 if passed:
                     metric, held = offer, True
+            if only_ends:
+                yield from closed(ends)
+                continue
             columns = [batch.column(c) for c in ("model_name", "run_id", "candidate_metric")]
             columns += [pa.array(met, pa.float64()), pa.array(was_held, pa.bool_()), pa.array(passes, pa.bool_())]
             yield pa.record_batch(columns, names=["model_name", "run_id", "candidate_metric", "production_metric", "held", "passed"])
+        if only_ends and begun:
+            yield from closed([(block, metric, held)])
+
+    def closed(ends):
+        if ends:
+            columns = [pa.array(c, t) for c, t in zip(zip(*ends), (pa.int32(), pa.float64(), pa.bool_()))]
+            yield pa.record_batch(columns, names=["block", "metric", "held"])
 
     return gate
 

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from parcelry.operators import versions
 from parcelry.plans import jobs
@@ -136,3 +137,33 @@ def test_many_candidates_of_one_model_are_gated_in_one_pass(spark):
         assert found[name, run] == (held[0] if held else None, passed)
         if passed:
             now[name] = (metric,)
+
+
+def _gated_plainly(rows, held, threshold):
+    """Candidates one at a time: {run_id: (production_metric, held, passed)}."""
+    now, out = dict(held), {}
+    for name, position, run, offer in sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1], r[2])):
+        there, metric = name in now, now.get(name)
+        passed = not there or (offer is not None and (metric is None or offer - metric > threshold))
+        out[run] = (metric, passed)
+        if passed:
+            now[name] = offer
+    return out
+
+
+@pytest.mark.parametrize("threshold", [0.02, 0.0, -0.05])
+@pytest.mark.parametrize("order", ["mixed", "rising"])
+def test_a_large_model_is_gated_in_blocks_side_by_side(spark, threshold, order):
+    rows = []
+    for name, n in (("big", 400), ("held", 260), (None, 90), ("small", 5), ("unmeasured", 120)):
+        for i in range(n):
+            offer = i / n if order == "rising" else (i * 7919 % 1009) / 1009
+            rows.append((name, i, f"{name}_{i:04d}", None if i % 13 == 0 or name == "unmeasured" else offer))
+    candidates = spark.createDataFrame(rows, "model_name string, position int, run_id string, candidate_metric double").repartition(4)
+    held = {"held": 0.4, "unmeasured": None}
+    production = spark.createDataFrame(list(held.items()), "model_name string, production_metric double")
+    gated = versions.promotion_gate(candidates, production, threshold, block_rows=25)
+    found = gated.withColumn("task", F.spark_partition_id()).collect()
+    assert {r["run_id"]: (r["production_metric"], r["passed"]) for r in found} == _gated_plainly(rows, held, threshold)
+    assert len(found) == len(rows)
+    assert len({r["task"] for r in found if r["model_name"] == "big"}) > 4
