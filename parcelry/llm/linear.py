@@ -110,6 +110,7 @@ def train(sample: DataFrame, learn: Callable[[FollowTheLeader, pa.RecordBatch],
             found = ordered.mapInArrow(run, "at int, sum double, square double").toArrow()
             at = found["at"].to_numpy()
             leader.sums[at], leader.squares[at] = found["sum"].to_numpy(), found["square"].to_numpy()
+            state.destroy()
     finally:
         ordered.unpersist()
     return leader.weights(np.arange(1 << BITS))

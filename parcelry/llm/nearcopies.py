@@ -197,9 +197,11 @@ def _led(inside: DataFrame, turn: int, near: float) -> DataFrame:
     leaders = inside.groupBy("bucket").agg(*[F.min(o).alias(f"l{k}") for k, o in enumerate(order)])
     led = inside.join(leaders, "bucket").select(*[F.col(c).alias(f"{c}_a") for c in about], F.explode(F.array(*[f"l{k}" for k in range(LEADERS)])).alias("l"))
     led = led.select(*[f"{c}_a" for c in about], *[F.col("l")[c].alias(f"{c}_b") for c in about])
-    likely = led.where("component_a <> component_b").where(_may_be_near(near))
-    likely = likely.select("text_id_a", F.struct(_equal("sketch_a", "sketch_b").alias("equal"), "text_id_b").alias("met"))
-    best = likely.groupBy("text_id_a").agg(F.slice(F.sort_array(F.collect_set("met"), asc=False), 1, PARTNERS).alias("met"))
+    fits = F.least("size_a", "size_b") >= F.lit(near) * F.greatest("size_a", "size_b")
+    likely = led.where("component_a <> component_b").where(fits).select("text_id_a", "text_id_b", _equal("sketch_a", "sketch_b").alias("equal"))
+    # tested in the aggregate, so that the plan holds the long expression once; as a filter it would be copied
+    met = F.when(F.col("equal") >= LEAST_EQUAL, F.struct("equal", "text_id_b"))
+    best = likely.groupBy("text_id_a").agg(F.slice(F.sort_array(F.collect_set(met), asc=False), 1, PARTNERS).alias("met"))
     best = best.select("text_id_a", F.explode("met.text_id_b").alias("text_id_b"))
     return best.select(F.least("text_id_a", "text_id_b").alias("a"), F.greatest("text_id_a", "text_id_b").alias("b")).distinct()
 
@@ -306,19 +308,14 @@ def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _may_be_near(near: float) -> Column:
-    fits = F.least("size_a", "size_b") >= F.lit(near) * F.greatest("size_a", "size_b")
-    return fits & (_equal("sketch_a", "sketch_b") >= LEAST_EQUAL)
-
-
 def _equal(a: str, b: str) -> Column:
-    """Number of equal bytes of two sketches: in each, the lowest bit gathers whether any bit differs."""
+    """Number of equal bytes of two sketches: every second byte of what differs has eight bits above it, which 255 more reach unless it is 0."""
+    low, above = F.lit(0x00FF00FF00FF00FF), F.lit(0x0100010001000100)
     differ = F.lit(0)
     for i in range(_SKETCH):
         x = F.col(a)[i].bitwiseXOR(F.col(b)[i])
-        for shift in (4, 2, 1):
-            x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
-        differ = differ + F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
+        for half in (x, F.shiftrightunsigned(x, 8)):
+            differ = differ + F.bit_count((half.bitwiseAND(low) + low).bitwiseAND(above))
     return F.lit(COORDINATES) - differ
 
 

@@ -132,3 +132,18 @@ def test_shared_units_slice_by_slice(monkeypatch):
     left, right = ([np.unique(draw.integers(0, 40, n)) for n in sizes] for sizes in ([5, 0, 30, 12], [9, 25, 1]))
     expected = [[len(set(a) & set(b)) for b in right] for a in left]
     assert nearcopies._shared(left, right).astype(int).tolist() == expected
+
+
+def test_sketches_are_compared_once_in_a_plan(spark):
+    rng = np.random.default_rng(5)
+    a, b = (rng.integers(0, 256, (50, nearcopies._SKETCH * 8), dtype=np.uint8) for _ in range(2))
+    b[:, ::3] = a[:, ::3]
+    a[:, 125:] = b[:, 125:] = 0
+    rows = [(str(i).encode(), x.view(np.int64).tolist(), y.view(np.int64).tolist()) for i, (x, y) in enumerate(zip(a, b))]
+    made = spark.createDataFrame(rows, "text_id binary, sketch_a array<long>, sketch_b array<long>")
+    found = made.select("text_id", nearcopies._equal("sketch_a", "sketch_b").alias("equal")).collect()
+    assert {int(r["text_id"]): r["equal"] for r in found} == {i: int((a[i] == b[i])[:125].sum()) for i in range(50)}
+    inside = "text_id binary, bucket long, component binary, size long, sketch array<long>, met long"
+    led = nearcopies._led(spark.createDataFrame([], inside), 0, 0.8)
+    plan = led._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.count(" ^ ") <= 2 * nearcopies._SKETCH
