@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelry.llm.common import NEAR, SHINGLE_WORDS, Words, mix, pieces, salted, shingles
+from parcelry.llm.common import NEAR, SHINGLE_WORDS, Words, mapped, mix, pieces, salted, shingles
 
 LEAST_WORDS = 8
 MISS = 1e-7
@@ -140,7 +140,7 @@ def contained(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key:
     found = []
     for block in _blocks(items, item_key):
         sent = spark.sparkContext.broadcast(tuple(zip(*block)))
-        found.append(docs.select(key, "text").where("text is not null").mapInArrow(_search(sent, key, item_key), schema))
+        found.append(mapped(docs.select(key, "text").where("text is not null"), _search(sent, key, item_key), schema))
     out = found[0] if found else docs.limit(0).select(key).withColumn(item_key, F.lit(None).cast(items.schema[item_key].dataType)).withColumn("containment", F.lit(None).cast("double"))
     for part in found[1:]:
         out = out.unionByName(part)
@@ -180,7 +180,7 @@ def clean(docs: DataFrame, items: DataFrame, item_key: str = "item_id") -> DataF
     """The rows of docs that hold no item, as they are. Nothing is shuffled."""
     for block in _blocks(items, item_key):
         sent = docs.sparkSession.sparkContext.broadcast(tuple(zip(*block)))
-        docs = docs.mapInArrow(_without(sent), docs.schema)
+        docs = mapped(docs, _without(sent), docs.schema)
     return docs
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcelry.llm.common import Words, mix, pieces
+from parcelry.llm.common import Words, mapped, mix, pieces
 
 BITS = 20
 BIAS = 0
@@ -102,12 +102,12 @@ def train(sample: DataFrame, learn: Callable[[FollowTheLeader, pa.RecordBatch],
         yield pa.record_batch([pa.array(at), pa.array(leader.sums[at]), pa.array(leader.squares[at])], names=["at", "sum", "square"])
 
     leader = FollowTheLeader()
-    ordered = sample.mapInArrow(featurise, f"place long, label int, {schema}").repartition(1).sortWithinPartitions("place")
+    ordered = mapped(sample, featurise, f"place long, label int, {schema}").repartition(1).sortWithinPartitions("place")
     ordered = ordered.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         for _ in range(PASSES):
             state = sample.sparkSession.sparkContext.broadcast((leader.sums, leader.squares))
-            found = ordered.mapInArrow(run, "at int, sum double, square double").toArrow()
+            found = mapped(ordered, run, "at int, sum double, square double").toArrow()
             at = found["at"].to_numpy()
             leader.sums[at], leader.squares[at] = found["sum"].to_numpy(), found["square"].to_numpy()
             state.destroy()
@@ -140,4 +140,4 @@ def scored(docs: DataFrame, weights: np.ndarray, orders: int, lower: bool, colum
                 scores.append(chance(np.add.reduceat(w[at].astype(np.float64), bounds[:-1])))
             yield pa.record_batch([*batch.columns, pa.array(np.concatenate(scores))], names=[*columns, column])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema, T.StructField(column, T.DoubleType())]))
+    return mapped(docs, run, T.StructType([*docs.schema, T.StructField(column, T.DoubleType())]))

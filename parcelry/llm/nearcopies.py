@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcelry.llm.common import NEAR, Words, mix, pieces, removed, shingles, stored
+from parcelry.llm.common import NEAR, Words, mapped, mix, pieces, removed, shingles, stored
 from parcelry.llm.components import components
 from parcelry.session import use_checkpoints
 
@@ -146,7 +146,7 @@ def signatures(docs: DataFrame, key: str) -> DataFrame:
         ]
     )
     rows = docs.where(F.col("text").isNotNull()).select(_text_id(F.col("text")).alias("text_id"), key, "text")
-    return rows.mapInArrow(run, schema)
+    return mapped(rows, run, schema)
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
@@ -164,7 +164,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
     rows = docs.where(F.col("text").isNotNull()).select(_text_id(F.col("text")).alias("id"), F.col(key).alias("least"), "text")
     wanted = wanted.select(F.col("text_id").alias("id"), "least")
     met = rows.join(wanted, (rows["id"] == wanted["id"]) & rows["least"].eqNullSafe(wanted["least"]), "left_semi")
-    return met.select("id", "text").mapInArrow(run, "id binary, units array<long>").dropDuplicates(["id"])
+    return mapped(met.select("id", "text"), run, "id binary, units array<long>").dropDuplicates(["id"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, near: float) -> DataFrame:
@@ -229,7 +229,7 @@ def _across(inside: DataFrame, sets: DataFrame, near: float) -> DataFrame:
     )
     group = ["bucket", "one", "two"]
     rows = rows.join(sets, "id").repartition(*group).sortWithinPartitions(*group)
-    return rows.mapInArrow(_links_of_blocks(near), "a binary, b binary").distinct()
+    return mapped(rows, _links_of_blocks(near), "a binary, b binary").distinct()
 
 
 def _links_of_blocks(near: float):

@@ -26,13 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcelry.llm.common import inverse_powers, mix, pieces, powers, prefix_sums, salted
+from parcelry.llm.common import inverse_powers, mapped, mix, pieces, powers, prefix_sums, salted
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 THETA = 0.0005
 #: Fixed value: the sign that stands for a blank in a piece.
 BLANK = "▁"
-_BATCH = 1 << 20
+_BATCH = 1 << 19
 #: Pieces decoded at once.
 _DECODED = 1 << 18
 
@@ -276,7 +276,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", seed: i
                 found = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids, pa.int32()))
                 yield pa.record_batch([*batch.slice(a, b - a).columns[: len(columns)], found], names=[*columns, "piece_ids"])
 
-    return _seeded(docs, key, seed).mapInArrow(run, T.StructType([*docs.schema, T.StructField("piece_ids", T.ArrayType(T.IntegerType()))]))
+    return mapped(_seeded(docs, key, seed), run, T.StructType([*docs.schema, T.StructField("piece_ids", T.ArrayType(T.IntegerType()))]))
 
 
 def roundtrip(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", seed: int = 0, theta: float = THETA) -> DataFrame:
@@ -295,7 +295,7 @@ def roundtrip(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", seed
                 yield pa.record_batch([batch.column(0)[a:b], found, lossless], names=schema.names)
 
     schema = T.StructType([docs.schema[key], T.StructField("piece_ids", T.ArrayType(T.IntegerType())), T.StructField("lossless", T.BooleanType())])
-    return _seeded(docs.select(key, "text"), key, seed).mapInArrow(run, schema)
+    return mapped(_seeded(docs.select(key, "text"), key, seed), run, schema)
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -316,4 +316,4 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 yield pa.record_batch([*part.columns, text.cast(pa.string())], names=[*columns, "decoded"])
                 a = b
 
-    return encoded.mapInArrow(run, T.StructType([*encoded.schema, T.StructField("decoded", T.StringType())]))
+    return mapped(encoded, run, T.StructType([*encoded.schema, T.StructField("decoded", T.StringType())]))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelry.llm import superstrings
-from parcelry.llm.common import Words, pieces, removed, stored, utf8
+from parcelry.llm.common import Words, mapped, pieces, removed, stored, utf8
 
 WINDOW = 20
 GRAM = 5
@@ -71,7 +71,7 @@ def _edges(texts: DataFrame, opened: DataFrame, window: int) -> DataFrame:
             T.StructField("later", T.BooleanType()),
         ]
     )
-    return superstrings.beside(texts, opened, "inner").mapInArrow(run, schema)
+    return mapped(superstrings.beside(texts, opened, "inner"), run, schema)
 
 
 def repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -148,7 +148,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW,
         ]
     )
     spans = repeats(docs, key, window, gram)
-    return superstrings.beside(superstrings.packed(docs, key, carry), spans, "left").mapInArrow(run, schema)
+    return mapped(superstrings.beside(superstrings.packed(docs, key, carry), spans, "left"), run, schema)
 
 
 def cut(docs: DataFrame, key: str = "doc_id") -> DataFrame:
