@@ -17,6 +17,8 @@ BITS = 20
 BIAS = 0
 PASSES = 3
 SCORE_BYTES = 1 << 20
+#: Buckets whose weights are worked out at once on the driver.
+SLICE = 1 << 14
 
 
 def token_hashes(texts: pa.Array, lower: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -60,6 +62,13 @@ class FollowTheLeader:
         rate = (self.ease + np.sqrt(self.squares[at])) / self.step + self.ridge
         return np.where(np.abs(z) > hold, -(z - np.sign(z) * hold) / rate, 0.0)
 
+    def all_weights(self) -> np.ndarray:
+        """The weights of all buckets, a slice at a time, so that little is held beside them."""
+        out = np.empty(1 << BITS)
+        for a in range(0, len(out), SLICE):
+            out[a : a + SLICE] = self.weights(np.arange(a, a + SLICE))
+        return out
+
     def learn(self, at: np.ndarray, slope: np.ndarray | float, now: np.ndarray) -> None:
         """Take a gradient over the distinct buckets `at`, whose weights now are `now`."""
         before = self.squares[at]
@@ -111,9 +120,11 @@ def train(sample: DataFrame, learn: Callable[[FollowTheLeader, pa.RecordBatch],
             at = found["at"].to_numpy()
             leader.sums[at], leader.squares[at] = found["sum"].to_numpy(), found["square"].to_numpy()
             state.destroy()
+            del found, at
+            pa.default_memory_pool().release_unused()
     finally:
         ordered.unpersist()
-    return leader.weights(np.arange(1 << BITS))
+    return leader.all_weights()
 
 
 def lists(values: np.ndarray, bounds: np.ndarray, kind: pa.DataType) -> pa.Array:

@@ -1,5 +1,7 @@
 """Batches that tasks hold whole in the executor and in Python."""
 
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -51,3 +53,14 @@ def test_a_lower_limit_stays(spark, limit, of):
     spark.conf.set(LIMIT, "1k")
     of(one_task(spark, 3, 10))
     assert spark.conf.get(LIMIT) == "1k"
+
+
+def test_the_driver_holds_little_beside_the_weights():
+    draw, leader = np.random.default_rng(5), linear.FollowTheLeader()
+    leader.sums[:], leader.squares[:] = draw.normal(0, 5, 1 << linear.BITS), draw.random(1 << linear.BITS)
+    plain = leader.weights(np.arange(1 << linear.BITS))
+    tracemalloc.start()
+    weights = leader.all_weights()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(weights, plain) and peak < 1.5 * weights.nbytes
