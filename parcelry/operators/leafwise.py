@@ -1,13 +1,15 @@
 """Histogram gradient boosting whose trees grow leaf by leaf.
 
-Features are binned once. A tree then needs only sums over bins: how many rows of a leaf fall in each bin of each feature, and
-what their gradients add up to. One aggregate counts all the leaves of a round together, combined in each task before the
-shuffle; what reaches the driver is bounded by leaves times bins and does not grow with the rows. Of two sibling leaves only
-the smaller one is counted; the other's sums are the parent's less its own.
+Features are binned once, and the binned rows stand in the executors as blocks of arrays, one a partition, beside their gradients.
+A tree then needs only sums over bins: how many rows of a leaf fall in each bin of each feature, and what their gradients add up
+to. One pass over the blocks counts all the leaves of a round together, a partial sum a block; what reaches the driver is bounded by
+leaves times bins and does not grow with the rows. Of two sibling leaves only the smaller one is counted; the other's sums are the
+parent's less its own. Of a leaf with few rows (SENT_ROWS) these are sent in place of sums, and it is split further without a pass.
 
 The leaf with the largest gain is split next, until the tree has as many leaves as it may. To know the gains of the leaves still open,
-a round counts the children of all those that may yet be split, so that a tree takes as many rounds as it
-gets deep rather than one a leaf. The loss is half the squared error, with an L2 term on leaf values.
+a round counts the children of all those that may yet be split, so that a tree takes no more rounds than it
+gets deep rather than one a leaf. The loss is half the squared error, with an L2 term on leaf values. The sums of the next root and the
+loss of the rows held out follow from the leaves of the last tree; both are counted anew now and then.
 
 A binary column of an encoded category is a bin of its category, so that wide encodings cost a bin each and no column.
 The fitted trees become a GBTRegressionModel, written in that model's own saved form and loaded: prediction, importances,
@@ -16,27 +18,39 @@ saving and loading are Spark's.
 
 from __future__ import annotations
 
+import gc
 import json
 import logging
+import math
+import pickle
 import time
 import uuid
-from collections.abc import Sequence
-from dataclasses import dataclass, field
+from collections.abc import Iterator, Sequence
+from contextlib import closing
+from dataclasses import dataclass, field, replace
+from functools import partial
 
 import numpy as np
+import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelry.functions.columns import sql_double
 from parcelry.operators.order_stats import Wanted, order_statistics
-from parcelry.session import new_shared_path
+from parcelry.session import new_shared_path, use_checkpoints
 
 log = logging.getLogger(__name__)
 
-#: Trees after which the scores of all rows are written anew, so that plans stay short.
-REWRITE = 8
+#: Trees after which the blocks are checkpointed and all sums counted anew, so that lineage stays short and rounding small.
+REWRITE = 16
+#: Rows of a block at least, unless there is but one, and its bytes at most.
+BLOCK_ROWS, BLOCK_BYTES = 25_000, 16 << 20
+#: Rows up to which a leaf's rows are sent, about as many bytes as its sums.
+SENT_ROWS = 4096
+#: Blocks up to which the driver adds up their partial sums; those of more are added up in tasks first.
+PARTIALS = 16
 #: Rows from which early stopping is on where it is left to choose.
 MANY_ROWS = 10_000
 
@@ -67,15 +81,21 @@ class LeafwiseOptions:
             raise ValueError("l2_regularization must not be negative, learning_rate and max_iter must be positive")
 
 
-@dataclass
+@dataclass(eq=False)
 class Node:
-    """A node of a growing tree. sums: rows and gradients of each bin, known once the node has been counted."""
+    """A node of a growing tree. sums: rows and gradients of each bin, for a root and its open leaves.
+
+    aside: what Block.aside gives for its rows; own: the rows themselves, where they were sent.
+    """
 
     id: int
     depth: int
     rows: int
     slope: float
+    aside: np.ndarray
+    parent: Node | None = None
     sums: np.ndarray | None = None
+    own: Block | None = None
     gain: float = 0.0
     slot: int = -1
     children: tuple[Node, Node] | None = None
@@ -113,10 +133,182 @@ class Bins:
             return of, self.edges[of][place]
         return numbers + slot - int(self.starts[numbers]), 0.5
 
-    def goes_left(self, slot: int) -> str:
-        """SQL of the same split on binned rows."""
-        of, place = self.owner(slot)
-        return f"b{of} <= {place}" if of < len(self.edges) else f"b{of} <> {place}"
+    @property
+    def row_bytes(self) -> int:
+        """Bytes of a row in a block."""
+        return 8 + sum(_width(int(size)).itemsize for size in np.diff(self.starts))
+
+
+def _width(size: int) -> np.dtype:
+    """Narrowest type of the bins of a field; the one after the last is an unknown category's."""
+    return np.min_scalar_type(size)
+
+
+@dataclass
+class Block:
+    """Binned rows: the bin of each field and the gradient, first of the rows learnt from, then of those held out."""
+
+    fields: list[np.ndarray]
+    slope: np.ndarray
+    learnt: int
+
+    def take(self, rows: np.ndarray) -> Block:
+        """Some of the rows, by their ascending places."""
+        return Block([f[rows] for f in self.fields], self.slope[rows], int(np.searchsorted(rows, self.learnt)))
+
+    def sums(self, rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Rows and gradients of each bin, of those of the rows that are learnt from."""
+        rows = rows[: np.searchsorted(rows, self.learnt)]
+        slope, n, s = self.slope[rows], [], []
+        for own, size in zip(self.fields, sizes):
+            at = own[rows]
+            # a category that the encoding does not know belongs to no slot
+            n.append(np.bincount(at, minlength=size)[:size])
+            s.append(np.bincount(at, slope, size)[:size])
+        return np.array([np.concatenate(n), np.concatenate(s)]) if n else np.zeros((2, 0))
+
+    def aside(self, rows: np.ndarray) -> np.ndarray:
+        """Number, gradients and squared gradients of those of the rows that are held out; gradients of the others."""
+        first, slope = np.searchsorted(rows, self.learnt), self.slope[rows]
+        rest = slope[first:]
+        return np.array([len(rest), rest.sum(), (rest**2).sum(), slope[:first].sum()])
+
+    @staticmethod
+    def joined(blocks: Sequence[Block]) -> Block:
+        first, rest = [slice(b.learnt) for b in blocks], [slice(b.learnt, None) for b in blocks]
+        both = [*zip(blocks, first), *zip(blocks, rest)]
+        fields = [np.concatenate([b.fields[i][at] for b, at in both]) for i in range(len(blocks[0].fields))]
+        return Block(fields, np.concatenate([b.slope[at] for b, at in both]), sum(b.learnt for b in blocks))
+
+
+@dataclass(frozen=True)
+class Split:
+    """A split as the blocks take it: number or category `of`, and the last bin that goes left, or the category that goes right."""
+
+    id: int
+    of: int
+    place: int
+    number: bool
+    left: int
+    right: int
+
+
+def _routed(block: Block, splits: Sequence[Split], wanted: set[int]) -> dict[int, np.ndarray]:
+    """Ascending places of the rows of the wanted nodes. Splits come after those above them and lead to wanted nodes."""
+    parts, needed = {0: np.arange(len(block.slope))}, wanted.union(s.id for s in splits)
+    for s in splits:
+        rows = parts.pop(s.id)
+        at = block.fields[s.of][rows]
+        goes_left = at <= s.place if s.number else at != s.place
+        if s.left in needed:
+            parts[s.left] = rows[goes_left]
+        if s.right in needed:
+            parts[s.right] = rows[~goes_left]
+    return parts
+
+
+@dataclass
+class Counted:
+    """What blocks give for some nodes: aside a node, rows and gradients of each slot of a node that has any, rows of nodes sent whole."""
+
+    aside: np.ndarray
+    keys: np.ndarray
+    sums: np.ndarray
+    blocks: dict[int, Block]
+
+
+def _count(block: Block, splits: Sequence[Split], summed: Sequence[int], sent: Sequence[int], sizes: np.ndarray) -> Counted:
+    if not gc.get_freeze_count():
+        gc.freeze()  # a worker collects garbage after each task, and looking through all modules takes longer than a pass
+    parts = _routed(block, splits, {*summed, *sent})
+    aside = np.array([block.aside(parts[i]) for i in (*summed, *sent)])
+    whole = np.concatenate([block.sums(parts[i], sizes) for i in summed], axis=1) if summed else np.zeros((2, 0))
+    keys = np.flatnonzero(whole[0])
+    return Counted(aside, keys, whole[:, keys], {i: block.take(parts[i]) for i in sent})
+
+
+def _added(a: Counted, b: Counted) -> Counted:
+    keys, at = np.unique(np.concatenate((a.keys, b.keys)), return_inverse=True)
+    sums = np.concatenate((a.sums, b.sums), axis=1)
+    both = np.array([np.bincount(at, x, len(keys)) for x in sums])
+    return Counted(a.aside + b.aside, keys, both, {i: Block.joined((a.blocks[i], b.blocks[i])) for i in a.blocks})
+
+
+def _moved(block: Block, splits: Sequence[Split], steps: dict[int, float]) -> Block:
+    """The rows after a tree has added its steps to their scores."""
+    slope = block.slope.copy()
+    for leaf, rows in _routed(block, splits, set(steps)).items():
+        slope[rows] += steps[leaf]
+    return replace(block, slope=slope)
+
+
+def _to_blocks(batches: Iterator[pa.RecordBatch], sizes: Sequence[int], start: float) -> Iterator[pa.RecordBatch]:
+    """One block of the rows (b0, ..., y, held_out) of a task, for a score that is the same on all of them."""
+    batches = [b for b in batches if b.num_rows]
+    if not batches:
+        return
+    rows = pa.Table.from_batches(batches)
+    held_out = rows.column("held_out").to_numpy()
+    order = np.argsort(held_out, kind="stable")
+    fields = [rows.column(f"b{i}").to_numpy()[order].astype(_width(size)) for i, size in enumerate(sizes)]
+    block = Block(fields, start - rows.column("y").to_numpy()[order], int(len(order) - held_out.sum()))
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(block)], pa.binary())], ["block"])
+
+
+class _Blocks:
+    """The binned rows of one model in the executors, and the passes over them."""
+
+    def __init__(self, table: DataFrame, n: int, bins: Bins, start: float):
+        self.bins, self.sizes = bins, np.diff(bins.starts)
+        self.spark, self.old, self.file = table.sparkSession, None, None
+        cores = self.spark.sparkContext.defaultParallelism
+        parts = max(1, min(cores, n // BLOCK_ROWS), math.ceil(n * bins.row_bytes / BLOCK_BYTES))
+        made = table.repartition(parts).mapInArrow(partial(_to_blocks, sizes=self.sizes.tolist(), start=start), "block binary")
+        self.rdd: RDD = made.rdd.map(lambda r: pickle.loads(r.block)).persist(StorageLevel.MEMORY_AND_DISK)
+        self.parts = parts
+
+    def counted(self, splits: Sequence[Split], summed: Sequence[int], sent: Sequence[int] = ()) -> tuple[dict, dict, dict]:
+        """Aside of the nodes, sums of those to sum, rows of those to send, each by node."""
+        found = self.rdd.map(partial(_count, splits=splits, summed=summed, sent=sent, sizes=self.sizes))
+        partials = found.collect() if self.parts <= PARTIALS else [found.treeReduce(_added)]
+        self._settle()
+        slots = int(self.bins.starts[-1])
+        sums = np.zeros((2, len(summed) * slots))
+        for p in partials:
+            sums[:, p.keys] += p.sums
+        each = {i: sums[:, k * slots : (k + 1) * slots] for k, i in enumerate(summed)}
+        rows = {i: Block.joined([p.blocks[i] for p in partials]) for i in sent}
+        return dict(zip((*summed, *sent), sum(p.aside for p in partials))), each, rows
+
+    def root(self, learnt: int) -> Node:
+        """A root counted from the rows as they are."""
+        aside, sums, _ = self.counted([], [0])
+        return Node(0, 0, learnt, float(aside[0][3]), aside[0], None, sums[0])
+
+    def move(self, splits: Sequence[Split], steps: dict[int, float], rewrite: bool) -> None:
+        """Add a tree's steps. It is done, and the blocks before are given up, in the pass that comes next."""
+        self.old, self.rdd = self.rdd, self.rdd.map(partial(_moved, splits=splits, steps=steps))
+        self.rdd.persist(StorageLevel.MEMORY_AND_DISK)
+        if rewrite:
+            self.rdd.checkpoint()
+
+    def _settle(self) -> None:
+        if self.old is None:
+            return
+        self.old.unpersist()
+        self.old = None
+        file = self.rdd.getCheckpointFile()
+        if file:
+            if self.file:
+                _delete(self.spark, self.file)
+            self.file = file
+
+    def close(self) -> None:
+        for rdd in (self.old, self.rdd):
+            if rdd is not None:
+                rdd.unpersist()
+        if self.file:
+            _delete(self.spark, self.file)
 
 
 def find_edges(rows: DataFrame, numbers: Sequence[str], max_bins: int) -> list[list[float]]:
@@ -139,10 +331,11 @@ def find_edges(rows: DataFrame, numbers: Sequence[str], max_bins: int) -> list[l
 
 
 def _binned(rows: DataFrame, numbers: Sequence[str], places: Sequence[str], label: str, bins: Bins) -> DataFrame:
-    """(b0, b1, ..., y): the bin of each number and the place of each category."""
+    """(b0, b1, ..., y): the bin of each number and the place of each category, an unknown one after the last."""
+    known = [F.when((F.col(c) >= 0) & (F.col(c) < size), F.col(c).cast("int")).otherwise(size) for c, size in zip(places, bins.sizes)]
     made = rows.select(
         *[(-F.col(c).cast("double")).alias(f"x{i}") for i, c in enumerate(numbers)],
-        *[F.col(c).cast("int").alias(f"b{len(numbers) + k}") for k, c in enumerate(places)],
+        *[place.alias(f"b{len(numbers) + k}") for k, place in enumerate(known)],
         F.col(label).cast("double").alias("y"),
     )
     wide = [i for i, e in enumerate(bins.edges) if e]
@@ -158,7 +351,7 @@ def best_split(node: Node, bins: Bins, options: LeafwiseOptions) -> None:
     """Set the node's largest gain and its slot: the first feature and bin of equal ones. No split that may be made leaves the gain at 0."""
     if options.max_depth is not None and node.depth >= options.max_depth:
         return
-    rows, slopes = node.sums[:, :-1]
+    rows, slopes = node.sums
     first = len(bins.edges)
     right_rows, right_slopes = rows.copy(), slopes.copy()
     for i in range(first):
@@ -178,95 +371,113 @@ def best_split(node: Node, bins: Bins, options: LeafwiseOptions) -> None:
             node.gain, node.slot = float(gains[slot]), slot
 
 
-def _leaf_sql(node: Node, bins: Bins, leaf, expanded: bool) -> str:
-    """Nested CASE that leads a binned row to its leaf; `expanded` goes on to children that are not split off yet."""
-    if node.children is None or not (node.split or expanded):
-        return leaf(node)
-    left, right = (_leaf_sql(c, bins, leaf, expanded) for c in node.children)
-    return f"CASE WHEN {bins.goes_left(node.slot)} THEN {left} ELSE {right} END"
-
-
 class _Grower:
-    """Grows the trees of one model on binned rows (b0, ..., y, score)."""
+    """Grows the trees of one model on its blocks."""
 
     def __init__(self, bins: Bins, options: LeafwiseOptions):
         self.bins, self.options = bins, options
 
-    def counted(self, rows: DataFrame, leaf: str, wanted: list[int]) -> dict[int, np.ndarray]:
-        """Rows and gradients of each bin, for the wanted leaves."""
-        ends = [int(s) for s in self.bins.starts]
-        # a category that the encoding does not know belongs to no slot; the slot after all others counts every row
-        fields = [F.when(F.col(f"b{i}") < b - a, F.lit(a) + F.col(f"b{i}")) for i, (a, b) in enumerate(zip(ends, ends[1:]))]
-        fields = [F.struct(f.alias("slot")) for f in (*fields, F.lit(ends[-1]))]
-        placed = rows.select(F.expr(leaf).alias("leaf"), (F.col("score") - F.col("y")).alias("slope"), F.array(*fields).alias("slots"))
-        if wanted != [0]:
-            placed = placed.where(F.col("leaf").isin(wanted))
-        sums = placed.select("leaf", "slope", F.inline("slots")).where("slot IS NOT NULL").groupBy("leaf", "slot").agg(F.count(F.lit(1)).alias("n"), F.sum("slope").alias("s"))
-        found = sums.toArrow()
-        out = {i: np.zeros((2, int(self.bins.starts[-1]) + 1)) for i in wanted}
-        for leaf_id, part in _groups(found.column("leaf").to_numpy()):
-            at = found.column("slot").to_numpy()[part]
-            out[leaf_id][0, at] = found.column("n").to_numpy()[part]
-            out[leaf_id][1, at] = found.column("s").to_numpy()[part]
-        return out
-
-    def expand(self, rows: DataFrame, root: Node, nodes: list[Node], next_id: int) -> int:
-        """Count the children of all the nodes in one aggregate."""
-        counted = []
+    def split_of(self, node: Node) -> Split:
+        of, place = self.bins.owner(node.slot)
+        return Split(node.id, of, place, of < len(self.bins.edges), *[c.id for c in node.children])
+
+    def open(self, node: Node, next_id: int) -> int:
+        """Give a node its children, whose rows and gradients are known from its sums."""
+        of, place = self.bins.owner(node.slot)
+        a = self.bins.starts[of]
+        own = node.sums[:, a : a + place + 1].sum(1) if of < len(self.bins.edges) else (node.rows, node.slope) - node.sums[:, node.slot]
+        left = Node(next_id, node.depth + 1, int(own[0]), float(own[1]), np.zeros(4), node)
+        right = Node(next_id + 1, node.depth + 1, node.rows - left.rows, node.slope - left.slope, np.zeros(4), node)
+        node.children = (left, right)
+        return next_id + 2
+
+    def expand(self, blocks: _Blocks, nodes: list[Node]) -> None:
+        """Count the children of all the nodes in one pass."""
+        summed, sent, above = [], [], {}
         for node in nodes:
-            of, place = self.bins.owner(node.slot)
-            a = self.bins.starts[of]
-            own = node.sums[:, a : a + place + 1].sum(1) if of < len(self.bins.edges) else (node.rows, node.slope) - node.sums[:, node.slot]
-            left = Node(next_id, node.depth + 1, int(own[0]), float(own[1]))
-            right = Node(next_id + 1, node.depth + 1, node.rows - left.rows, node.slope - left.slope)
-            node.children = (left, right)
-            counted.append(left if left.rows <= right.rows else right)
-            next_id += 2
-        leaf = _leaf_sql(root, self.bins, lambda n: str(n.id), True)
-        sums = self.counted(rows, leaf, [n.id for n in counted])
-        for node, small in zip(nodes, counted):
-            small.sums = sums[small.id]
-            other = node.children[1] if small is node.children[0] else node.children[0]
-            other.sums = node.sums - small.sums
-            for child in node.children:
-                best_split(child, self.bins, self.options)
-            node.sums = None
-        return next_id
-
-    def grow(self, rows: DataFrame) -> Node:
+            small, large = sorted(node.children, key=lambda n: (n.rows, n.id))
+            (sent if small.rows <= SENT_ROWS else summed).append(small)
+            if large.rows <= SENT_ROWS:
+                sent.append(large)
+            while node is not None and node.id not in above:
+                above[node.id] = node
+                node = node.parent
+        splits = [self.split_of(above[i]) for i in sorted(above)]
+        aside, sums, rows = blocks.counted(splits, [n.id for n in summed], [n.id for n in sent])
+        for node in (*summed, *sent):
+            node.aside = aside[node.id]
+            node.own = rows.get(node.id)
+            node.sums = sums[node.id] if node.own is None else node.own.sums(np.arange(len(node.own.slope)), blocks.sizes)
+        for node in nodes:
+            small, large = sorted(node.children, key=lambda n: (n.rows, n.id))
+            if large.sums is None:
+                large.sums, large.aside = node.sums - small.sums, node.aside - small.aside
+            self._rate(node)
+
+    def part(self, node: Node, sizes: np.ndarray) -> None:
+        """Split a node's own rows."""
+        parts = _routed(node.own, [replace(self.split_of(node), id=0)], {c.id for c in node.children})
+        for child in node.children:
+            child.own, child.aside = node.own.take(parts[child.id]), node.own.aside(parts[child.id])
+            child.sums = node.own.sums(parts[child.id], sizes)
+        self._rate(node)
+
+    def _rate(self, node: Node) -> None:
+        for child in node.children:
+            best_split(child, self.bins, self.options)
+
+    def grow(self, blocks: _Blocks, root: Node) -> list[Node]:
+        """Split the root and what is below it. Returns the leaves."""
         most = self.options.max_leaf_nodes or 1 << 30
-        sums = self.counted(rows, "0", [0])[0]
-        root = Node(0, 0, int(sums[0, -1]), float(sums[1, -1]), sums)
         best_split(root, self.bins, self.options)
-        open_, next_id, leaves = [root], 1, 1
-        while leaves < most:
+        open_, next_id = [root], 1
+        while len(open_) < most:
             ready = sorted((n for n in open_ if n.gain > 0), key=lambda n: (-n.gain, n.id))
             if not ready:
                 break
-            if ready[0].children is None:
-                ahead = [n for n in ready[: most - leaves] if n.children is None]
-                next_id = self.expand(rows, root, ahead, next_id)
             node = ready[0]
-            node.split = True
+            if node.children is None:
+                ahead = [node] if node.own else [n for n in ready[: most - len(open_)] if n.children is None and not n.own]
+                for n in ahead:
+                    next_id = self.open(n, next_id)
+                if node.own:
+                    self.part(node, blocks.sizes)
+                else:
+                    self.expand(blocks, ahead)
+            node.split, node.own = True, None
+            if node is not root:
+                node.sums = None
             open_.remove(node)
             open_.extend(node.children)
-            leaves += 1
-        return root
+        return open_
 
     def value(self, node: Node) -> float:
         return -node.slope / (node.rows + self.options.l2_regularization)
 
-    def step(self, root: Node) -> str:
-        """SQL of what a tree adds to a row's score."""
-        rate = self.options.learning_rate
-        return _leaf_sql(root, self.bins, lambda n: sql_double(rate * self.value(n)), False)
-
-
-def _groups(keys: np.ndarray):
-    order = np.argsort(keys, kind="stable")
-    values, first = np.unique(keys[order], return_index=True)
-    for value, part in zip(values.tolist(), np.split(order, first[1:])):
-        yield value, part
+    def step(self, node: Node) -> float:
+        """What a leaf adds to the score of its rows."""
+        return self.options.learning_rate * self.value(node)
+
+    def after(self, root: Node, leaves: list[Node]) -> Node:
+        """The root of the next tree, from the leaves of one that is grown."""
+        sums, aside, slope = root.sums.copy(), root.aside.copy(), root.slope
+        for leaf in leaves:
+            step, (n, s) = self.step(leaf), leaf.aside[:2]
+            sums[1] += step * leaf.sums[0]
+            slope += step * leaf.rows
+            aside += (0.0, step * n, step * (2 * s + step * n), step * leaf.rows)
+        return Node(0, 0, root.rows, slope, aside, None, sums)
+
+    def strip(self, root: Node) -> list[Node]:
+        """Give up what only growing needed. Returns the nodes that are split, a node after those above it."""
+        found = [root]
+        for node in found:
+            node.sums = node.own = node.parent = None
+            if node.split:
+                found.extend(node.children)
+            else:
+                node.children = None
+        return [n for n in found if n.split]
 
 
 def _stalled(losses: list[float], options: LeafwiseOptions) -> bool:
@@ -281,10 +492,10 @@ def fit_leafwise(
     """Boosted trees over `numbers`, then over the categories of `places`, columns of 0-based places of `sizes` categories.
 
     The model reads a feature vector of the numbers followed by a 0/1 element for each category. `columns` are the model's
-    featuresCol, labelCol and predictionCol. Binned rows and running scores stand in the shared folder while
-    trees are grown.
+    featuresCol, labelCol and predictionCol. Binned rows stand in the shared folder while trees are grown.
     """
     spark = rows.sparkSession
+    use_checkpoints(spark)
     bins = Bins(find_edges(rows, numbers, options.max_bins), list(sizes))
     path = new_shared_path(spark, "binned")
     held_out = F.rand(options.seed) < F.lit(options.validation_fraction)
@@ -296,27 +507,26 @@ def fit_leafwise(
     stops = options.early_stopping is True or (options.early_stopping == "auto" and n > MANY_ROWS)
     if stops:
         log.info("Early stopping holds %.0f %% of the rows out", 100 * options.validation_fraction)
-    learnt = made.where(~F.col("held_out")) if stops else made
-    start = learnt.agg(F.avg("y")).first()[0]
-    scored, paths = made.withColumn("score", F.lit(start)), [path]
+    else:
+        made = made.withColumn("held_out", F.lit(False))
+    start, learnt = made.where(~F.col("held_out")).agg(F.avg("y"), F.count("y")).first()
     grower, trees, losses = _Grower(bins, options), [], []
-    for turn in range(options.max_iter):
-        learnt = scored.where(~F.col("held_out")) if stops else scored
-        root = grower.grow(learnt)
-        if not root.split:
-            break  # no leaf may be split, and none will be later
-        trees.append(root)
-        scored = scored.withColumn("score", F.col("score") + F.expr(grower.step(root)))
-        if (turn + 1) % REWRITE == 0 and turn + 1 < options.max_iter:
-            paths.append(new_shared_path(spark, "binned"))
-            scored.write.parquet(paths[-1])
-            scored = spark.read.parquet(paths[-1])
-            _delete(spark, paths[-2])
-        if stops:
-            losses.append(scored.where("held_out").agg(F.avg((F.col("score") - F.col("y")) ** 2 / 2)).first()[0] or 0.0)
-            if _stalled(losses, options):
-                break
-    _delete(spark, paths[-1])
+    with closing(_Blocks(made, n, bins, start)) as blocks:
+        root = blocks.root(learnt)
+        for turn in range(options.max_iter):
+            leaves = grower.grow(blocks, root)
+            if not root.split:
+                break  # no leaf may be split, and none will be later
+            rewrite = (turn + 1) % REWRITE == 0 and turn + 1 < options.max_iter
+            following, steps = grower.after(root, leaves), {n.id: grower.step(n) for n in leaves}
+            blocks.move([grower.split_of(n) for n in grower.strip(root)], steps, rewrite)
+            trees.append(root)
+            root = blocks.root(learnt) if rewrite else following
+            if stops:
+                losses.append(root.aside[2] / root.aside[0] / 2 if root.aside[0] else 0.0)
+                if _stalled(losses, options):
+                    break
+    _delete(spark, path)
     return _as_model(spark, start, trees, grower, columns)
 
 

@@ -1,14 +1,20 @@
 """Leaf-wise boosting against a plain version that looks at every split of every leaf."""
 
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import functions as F
 
+from checks import queries
+from parcelry.contract import TrainingOptions
 from parcelry.operators import leafwise
 from parcelry.operators.leafwise import LeafwiseOptions, fit_leafwise
+from parcelry.plans import jobs
 from parcelry.plans import listings as shapes
+from parcelry.session import shared_folder
 
 NAMES = {"featuresCol": "features", "labelCol": "y", "predictionCol": "prediction"}
 
@@ -84,6 +90,74 @@ def test_rows_scored_anew_change_nothing(table, monkeypatch):
     assert again["prediction"].to_numpy() == pytest.approx(once["prediction"].to_numpy(), rel=1e-12)
 
 
+def test_rows_sent_and_partial_sums_change_nothing(table, monkeypatch):
+    wanted = {"max_iter": 4, "max_leaf_nodes": 9, "min_samples_leaf": 5}
+    _, once, _ = fitted(table, **wanted)
+    for name, value in (("SENT_ROWS", 0), ("PARTIALS", 0), ("BLOCK_BYTES", 20_000), ("SENT_ROWS", 1 << 30)):
+        monkeypatch.setattr(leafwise, name, value)
+        _, again, _ = fitted(table, **wanted)
+        assert again["prediction"].to_numpy() == pytest.approx(once["prediction"].to_numpy(), rel=1e-9), name
+
+
+def test_the_next_root_follows_from_the_leaves(table, monkeypatch):
+    """Sums and loss taken over from a tree's leaves are those counted anew."""
+    after, root = leafwise._Grower.after, leafwise._Blocks.root
+    taken, counted = [], []
+
+    def kept(found, to):
+        to.append((found.rows, found.sums.copy(), found.aside.copy()))
+        return found
+
+    monkeypatch.setattr(leafwise, "REWRITE", 1)
+    monkeypatch.setattr(leafwise._Grower, "after", lambda *a: kept(after(*a), taken))
+    monkeypatch.setattr(leafwise._Blocks, "root", lambda *a: kept(root(*a), counted))
+    fitted(table, max_iter=4, early_stopping=True)
+    assert len(taken) == len(counted) == 4
+    for (rows, sums, aside), (rows_again, sums_again, aside_again) in zip(taken, counted[1:]):
+        assert rows == rows_again and aside_again[0] > 0
+        assert sums[0] == pytest.approx(sums_again[0])
+        scale = abs(sums_again[1]).max()
+        assert sums[1] == pytest.approx(sums_again[1], rel=1e-9, abs=1e-9 * scale)
+        assert aside[:3] == pytest.approx(aside_again[:3], rel=1e-9, abs=1e-9 * scale)
+
+
+def test_many_rounds_take_few_passes_and_leave_no_files(table, spark, monkeypatch):
+    passes, own, files = [], leafwise._Blocks.counted, shared_folder(spark)
+    monkeypatch.setattr(leafwise._Blocks, "counted", lambda self, *a: passes.append(1) or own(self, *a))
+    before = {str(p) for p in Path(files).rglob("*")}
+    model, _, _ = fitted(table, max_iter=40, min_samples_leaf=8, learning_rate=0.03, early_stopping=False)
+    assert model.getNumTrees == 41
+    assert len(passes) <= 40 * 6
+    left = [p for p in map(str, Path(files).rglob("part-*")) if p not in before]
+    assert left == []
+
+
+def test_the_training_query_runs_the_shipped_rounds(spark, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    def seen(spark, rows, options):
+        raise Seen(options)
+
+    monkeypatch.setattr(jobs, "train_job", seen)
+    with pytest.raises(Seen) as found:
+        queries.train_hist_gradient_boosting(spark, "/root/testdata/sf0.001")
+    options, shipped = found.value.args[0], TrainingOptions()
+    assert options.hyperparameters == shipped.hyperparameters == {"learning_rate": 0.03, "max_iter": 1200, "min_samples_leaf": 8}
+    assert options.model_type == shipped.model_type
+
+
+def test_an_unknown_category_goes_with_the_others(spark):
+    rows = [(float(i), k, y) for i in range(30) for k, y in ((0, 1.0), (1, 6.0), (2, 9.0), (None, 1.0))]
+    df = spark.createDataFrame(rows, "a double, k int, y double")
+    made = df.select("a", "k", "y", *[F.when(F.col("k") == i, 1.0).otherwise(0.0).alias(f"k{i}") for i in range(2)])
+    vectors = VectorAssembler(inputCols=["a", "k0", "k1"], outputCol="features").transform(made)
+    options = LeafwiseOptions(learning_rate=1.0, max_iter=1, max_leaf_nodes=3, min_samples_leaf=5)
+    model = fit_leafwise(vectors, ["a"], ["k"], [2], "y", options, **NAMES)
+    found = {r["k"]: r["prediction"] for r in model.transform(vectors).collect()}
+    assert found == pytest.approx({0: 1.0, 1: 6.0, 2: 5.0, None: 5.0})
+
+
 def test_depth_bins_and_saved_form(table, tmp_path):
     model, scored, _ = fitted(table, max_iter=1, max_depth=2, max_bins=8, early_stopping=False)
     assert scored["prediction"].nunique() <= 4 and max(t.depth for t in model.trees) == 2
